@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.llm.automaton import SuffixAutomaton
-from tramloom.llm.common import OWN, binary, gather, materialize, mix64, slices, text_hash
+from tramloom.llm.common import OWN, binary, gather, materialize, mix64, slices
 
 LENGTH = 35
 GRAM = 8
@@ -97,13 +97,18 @@ def document_stretches(words: list[bytes], length: int, gram: int):
     return stretches(word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))), length, gram)
 
 
-def _scan(length: int, gram: int):
+def _scan(length: int, gram: int, places: bool):
+    """The anchors of all stretches; with ``places`` also their documents, contents and places (first << 5 | windows)."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
-            row, found = [], [document_stretches(t.split(), length, gram) for t in binary(b, "text")]
-            row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            found = [document_stretches(t.split(), length, gram) for t in binary(b, "text")]
             anchor, content, first, windows = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(4))
-            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(row)), b.column("th").take(pa.array(row)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(windows.astype(np.int32))], names=["id", "th", "anchor", "content", "first", "windows"])
+            columns = {"anchor": pa.array(anchor.view(np.int64))}
+            if places:
+                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                columns |= {"id": b.column("id").take(row), "th": b.column("th").take(row), "content": pa.array(content.view(np.int64)), "place": pa.array(first << 5 | windows)}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return scan
 
@@ -120,7 +125,8 @@ def _fetch(length: int):
                     cols[0].append(w["anchor"])
                     cols[1].append(w["content"])
                     cols[2].append(w["n"])
-                    cols[3].append(b" ".join(words[w["first"] : w["first"] + w["windows"] + length - 1]))
+                    first, windows = w["place"] >> 5, w["place"] & 31
+                    cols[3].append(b" ".join(words[first : first + windows + length - 1]))
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
 
     return fetch
@@ -144,8 +150,10 @@ def _match(length: int, room: int):
         shard: list[int] = []
         held = 0
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            shard += order[low:high].tolist()
-            held += int(high - low) * (2 * length)
+            # rows alike (same id and text) give the same stretch more than once
+            own = {int(contents[i]): int(i) for i in order[low:high]}
+            shard += own.values()
+            held += len(own) * (2 * length)
             if held < room and high < len(order):
                 continue
             found = match_shard([column[i].as_py().split() for i in shard], [int(counts[i]) for i in shard], length)
@@ -156,24 +164,24 @@ def _match(length: int, room: int):
     return match
 
 
-def repeated_windows(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(key, th, windows): for each row with repeated windows, the places of their first words. th is text_hash(text)."""
-    kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text"))
-    rows = source.mapInArrow(_scan(length, gram), f"id {kind}, th long, anchor long, content long, first int, windows int")
-    rows = materialize(rows, "stretches")
-    kinds = rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "first", "windows", "id")).alias("from"))
-    suspected = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    chosen = kinds.join(suspected, "anchor")
-    wanted = chosen.groupBy(F.col("from.id").alias("id"), F.col("from.th").alias("th")).agg(F.collect_list(F.struct("anchor", "content", "n", F.col("from.first").alias("first"), F.col("from.windows").alias("windows"))).alias("wanted"))
-    # rows alike give the same words, so one of them is enough
-    w = wanted.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "wanted")
-    giving = source.join(w, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
-    shards = giving.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").dropDuplicates(["anchor", "content"])
-    found = materialize(shards.repartition("anchor").mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>"), "repeats")
-    hits = rows.select("id", "th", "anchor", "content", "first").join(found, ["anchor", "content"])
-    hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.col("first")).alias("at"))
-    return hits.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("windows")).withColumnRenamed("id", key)
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words.
+
+    The anchors alone are counted first, so that of all places only those of repeated anchors stay after the join.
+    """
+    assert length - gram < 32, "a place holds up to 31 windows"
+    anchors = docs.select("text").mapInArrow(_scan(length, gram, False), "anchor long")
+    suspected = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th int, content long, place long"
+    rows = materialize(docs.mapInArrow(_scan(length, gram, True), shape).join(suspected, "anchor"), "stretches")
+    kinds = rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from"))
+    wanted = kinds.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", F.col("from.place").alias("place"))).alias("wanted"))
+    giving = docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
+    shards = giving.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary")
+    found = shards.repartition("anchor").mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
+    hits = rows.select("id", "th", "anchor", "content", "place").join(found, ["anchor", "content"])
+    hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.shiftright("place", 5).cast("int")).alias("at"))
+    return hits.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("windows"))
 
 
 def cut(words: list[bytes], windows: list[int] | None, length: int) -> tuple[list[bytes], int]:
@@ -190,8 +198,14 @@ def cut(words: list[bytes], windows: list[int] | None, length: int) -> tuple[lis
 
 def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """docs with text replaced by the kept words joined by one space, and n_words and n_removed added."""
-    own = repeated_windows(docs, text, key, length, gram).select(F.col(key).alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"), F.col("windows").alias(f"{OWN}windows"))
-    joined = docs.join(own, F.col(key).eqNullSafe(F.col(f"{OWN}id")) & (text_hash(F.col(text)) == F.col(f"{OWN}th")), "left").drop(f"{OWN}id", f"{OWN}th")
+    # one shuffle of the texts serves both joins, that which fetches stretches and that which cuts: the same columns by the same keys
+    th = F.hash(F.col(text))  # beside the id 32 bits are enough
+    rest = [c for c in docs.columns if c not in (key, text)]
+    keyed = docs.select(F.col(key).alias("id"), th.alias("th"), F.col(text).alias("text"))
+    own = repeated_windows(keyed, length, gram).select(F.col("id").alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"), F.col("windows").alias(f"{OWN}windows"))
+    source = docs.select(F.col(key).alias("id"), th.alias("th"), F.col(text).alias("text"), *[F.col(c).alias(f"{OWN}c{i}") for i, c in enumerate(rest)])
+    joined = source.join(own, F.col("id").eqNullSafe(F.col(f"{OWN}id")) & (F.col("th") == F.col(f"{OWN}th")), "left")
+    joined = joined.select(F.col("id").alias(key), F.col("text").alias(text), *[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(rest)], f"{OWN}windows").select(*docs.columns, f"{OWN}windows")
     names = docs.columns
     shape = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long")
 
