@@ -45,7 +45,7 @@ def fingerprint(rows: DataFrame) -> DataFrame:
 
 def read_static_table(spark: SparkSession, path: str) -> DataFrame:
     """A member of a static bundle; all columns are text, and empty stays empty."""
-    return spark.read.csv(path, header=True, inferSchema=False, emptyValue="", nullValue="\u0000", mode="PERMISSIVE", escape='"')
+    return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"').na.fill("")
 
 
 def archive_columns(captured_at: Column) -> list[Column]:

@@ -27,14 +27,14 @@ _OUT = "trip_id string, stop_sequence int, stop_id string, trip_run int, actual_
 _STATE = "sequence int, captured double, run int, reached int"
 
 
-def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, idle: str = "1 day") -> DataFrame:
+def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "4 hours", idle: str = "1 day") -> DataFrame:
     """Arrivals as vehicles' stop sequences rise, with run numbers; needs captured_at, trip_id, stop_sequence, stop_id.
 
-    The state of a trip is its last sighting, its run and the last stop reached in it; it ends after some idle time.
-    Sightings older than the last one of their trip are left out.
+    The state of a trip is its last sighting, its run and the last stop reached in it; it ends some idle time after that
+    sighting, by the stream's own time. Sightings older than the last one of their trip are left out.
     """
     limit = settings.max_bracket_sec
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    idle_ms = int((pd.Timedelta(idle) + pd.Timedelta(delay)).total_seconds() * 1000)  # always beyond the watermark
 
     def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -56,11 +56,11 @@ def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, idle: str
             sequence, captured = now, t
         if sequence is not None:
             state.update((sequence, captured, run, reached))
-            state.setTimeoutDuration(idle_ms)
+            state.setTimeoutTimestamp(int(captured * 1000) + idle_ms)
         names = [c.split()[0] for c in _OUT.split(", ")]
         yield pd.DataFrame(out, columns=names)
 
-    return stream.where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id").applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.withWatermark("captured_at", delay).where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id").applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def latest_conditions(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
