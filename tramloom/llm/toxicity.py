@@ -13,6 +13,7 @@ of one kind only, every score is the share of toxic ones (0 without any).
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,39 @@ EPOCHS, BATCH = 8, 64
 _STRIP = b".,;:!?\"'()[]{}<>*_-"
 
 
-def features(word: bytes) -> tuple[int, list[int]]:
-    """Word bucket and character trigram buckets."""
-    word = word.lower().strip(_STRIP)
-    edged = b"^" + word[:40] + word[-8:] * (len(word) > 40) + b"$"
-    return xxhash.xxh3_64_intdigest(word) % WORDS, [xxhash.xxh3_64_intdigest(edged[i : i + 3]) % GRAMS for i in range(max(1, len(edged) - 2))]
+class Trigrams(dict):
+    """Buckets of character trigrams, kept as they come up."""
+
+    def __missing__(self, gram: bytes) -> int:
+        if len(self) > 1 << 18:
+            self.clear()
+        bucket = self[gram] = xxhash.xxh3_64_intdigest(gram) % GRAMS
+        return bucket
+
+
+_trigrams = Trigrams()
+
+
+class Features:
+    """Word buckets and character trigram buckets of many words, in flat arrays: the trigrams of word i are many[i] long."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        buckets, flat, many = np.empty(len(words), np.int32), array("h"), np.empty(len(words), np.int32)
+        digest, known = xxhash.xxh3_64_intdigest, _trigrams
+        for n, word in enumerate(words):
+            word = word.lower().strip(_STRIP)
+            edged = b"^" + word[:40] + word[-8:] * (len(word) > 40) + b"$"
+            buckets[n] = digest(word) % WORDS
+            before = len(flat)
+            flat.extend([known[edged[i : i + 3]] for i in range(max(1, len(edged) - 2))])
+            many[n] = len(flat) - before
+        self.words, self.grams, self.many = buckets, np.frombuffer(flat, np.int16) if flat else np.empty(0, np.int16), many
+        self.starts = np.r_[0, np.cumsum(many)[:-1]].astype(np.int64) if len(words) else np.empty(0, np.int64)
+
+    def grams_of(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The trigrams of some words one after the other, and how many each has."""
+        many = self.many[some]
+        return self.grams[np.repeat(self.starts[some] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())], many
 
 
 def window_starts(n: int) -> list[int]:
@@ -67,19 +96,26 @@ class Inputs:
                     self.todo.append(w)
             return [known[w] for w in words]
 
+    def add(self, found: Features, room: int = 20_000) -> None:
+        """Inputs of more words, in both directions, some words at a time."""
+        new = [[self.xf], [self.xb]]
+        for at in range(0, len(found.words), room):
+            x = vectors(self.p, found, np.arange(at, min(len(found.words), at + room)))
+            for d, rows in zip("fb", new, strict=True):
+                rows.append(x @ self.p[f"W{d}"] + self.p[f"c{d}"])
+        self.xf, self.xb = (np.concatenate(rows) for rows in new)
+
     def project(self) -> tuple[np.ndarray, np.ndarray]:
         if self.todo:
-            x = vectors(self.p, [features(w) for w in self.todo])
-            self.xf, self.xb = (np.concatenate([old, x @ self.p[f"W{d}"] + self.p[f"c{d}"]]) for d, old in (("f", self.xf), ("b", self.xb)))
+            self.add(Features(self.todo))
             self.todo = []
         return self.xf, self.xb
 
 
-def vectors(p: Params, found: list[tuple[int, list[int]]]) -> np.ndarray:
-    many = np.array([len(g) for _, g in found])
-    flat = np.concatenate([g for _, g in found]).astype(np.int64)
-    sums = np.add.reduceat(p["gram"][flat], np.r_[0, np.cumsum(many)[:-1]], axis=0)
-    return np.concatenate([p["word"][[w for w, _ in found]], sums / many[:, None]], axis=1).astype(np.float32)
+def vectors(p: Params, found: Features, some: np.ndarray) -> np.ndarray:
+    grams, many = found.grams_of(some)
+    sums = np.add.reduceat(p["gram"][grams], np.r_[0, np.cumsum(many)[:-1]], axis=0)
+    return np.concatenate([p["word"][found.words[some]], sums / many[:, None]], axis=1).astype(np.float32)
 
 
 def windowed(numbers: list[int]) -> np.ndarray:
@@ -115,9 +151,10 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     number: dict[bytes, int] = {}
     parts = [windowed([number.setdefault(w, len(number) + 1) for w in t.split()]) for t in texts]
     y = np.array(labels)
-    found = [(0, [0])] + [features(w) for w in number]
+    found = Features([b"", *number])
+    del texts
     # at first, windows look as toxic as their words' shares among toxic documents
-    in_toxic, in_all = np.ones(len(found)), np.full(len(found), 2.0)
+    in_toxic, in_all = np.ones(len(found.words)), np.full(len(found.words), 2.0)
     for x, label in zip(parts, y, strict=True):
         own = np.unique(x)
         in_all[own] += 1
@@ -126,13 +163,11 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     odds[0] = 0
     looks = [odds[x].sum(1) for x in parts]
     adam = Adam(p)
-    word_of, gram_of = np.array([w for w, _ in found]), [np.array(g) for _, g in found]
     for epoch in range(epochs):
         if epoch >= 2:
             inputs = Inputs(p)
-            inputs.number = number
-            x = vectors(p, found[1:])
-            inputs.xf, inputs.xb = (np.concatenate([np.zeros((1, 3 * HIDDEN), np.float32), x @ p[f"W{d}"] + p[f"c{d}"]]) for d in "fb")
+            inputs.xf, inputs.xb = inputs.xf[:0], inputs.xb[:0]
+            inputs.add(found)
             every = window_logits(p, inputs, np.concatenate(parts))
             looks = np.split(every, np.cumsum([len(x) for x in parts])[:-1])
         picked = [(x[int(s.argmax())], label) for x, s, label in zip(parts, looks, y, strict=True)]
@@ -144,7 +179,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
             ids, target = np.stack([s[0] for s in some]).T, np.array([s[1] for s in some], np.float32)
             own, place = np.unique(ids, return_inverse=True)
             place = place.reshape(ids.shape)
-            x = vectors(p, [found[i] for i in own])
+            x = vectors(p, found, own)
             xf, xb = (x @ p[f"W{d}"] + p[f"c{d}"] for d in "fb")
             mask = (ids > 0).astype(np.float32)
             logit, cache = forward(p, xf[place], xb[place], mask, keep=True)
@@ -157,9 +192,9 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
                 g[f"W{d}"], g[f"c{d}"] = x.T @ sums, sums.sum(0)
                 dx += sums @ p[f"W{d}"].T
             g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-            np.add.at(g["word"], word_of[own], dx[:, :WIDTH])
-            many = np.array([len(gram_of[i]) for i in own])
-            np.add.at(g["gram"], np.concatenate([gram_of[i] for i in own]), np.repeat(dx[:, WIDTH:] / many[:, None], many, axis=0))
+            np.add.at(g["word"], found.words[own], dx[:, :WIDTH])
+            grams, many = found.grams_of(own)
+            np.add.at(g["gram"], grams, np.repeat(dx[:, WIDTH:] / many[:, None], many, axis=0))
             adam.step(g)
     return p
 
