@@ -13,7 +13,7 @@ Defined results: a null or empty text has fingerprint zero and links like any ot
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -95,27 +95,24 @@ def sharded(keyed: DataFrame, shard: int = SHARD) -> DataFrame:
     return dealt.repartition("key", "low", "high")
 
 
-def linker(radius: int, check: Callable[[pa.Table], Callable[[np.ndarray, np.ndarray], np.ndarray]] | None = None):
-    """For mapInArrow over sharded rows (key, low, high, item, fp, ...): a spanning forest (u, v) of each group's links."""
+def _grouped(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """Sharded rows sorted by group and item, with their groups and items."""
+    with np.errstate(over="ignore"):
+        group = mix64(table["key"].to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (table["low"].to_numpy().astype(np.uint64) * np.uint64(1 << 20) + table["high"].to_numpy().astype(np.uint64)))
+    item = table["item"].to_numpy()
+    order = np.lexsort((item, group))
+    return table.take(order), group[order], item[order]
+
+
+def linker(radius: int):
+    """For mapInArrow over sharded rows (key, low, high, item, fp): a spanning forest (u, v) of each group's links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = gather(batches)
-        if table is None:
+        if (table := gather(batches)) is None:
             return
-        with np.errstate(over="ignore"):
-            group = mix64(table["key"].to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (table["low"].to_numpy().astype(np.uint64) * np.uint64(1 << 20) + table["high"].to_numpy().astype(np.uint64)))
-        item = table["item"].to_numpy()
-        order = np.lexsort((item, group))
-        table, group, item = table.take(order), group[order], item[order]
-        forest = Forest(table["fp"].to_numpy().view(np.uint64), group)
-        holds = check(table) if check else None
+        table, group, item = _grouped(table)
         parent = np.arange(len(item))
-        for a, b in forest.pairs(radius):
-            if holds is not None:
-                apart = find(parent, a) != find(parent, b)
-                a, b = a[apart], b[apart]
-                good = holds(a, b)
-                a, b = a[good], b[good]
+        for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
             unite(parent, a, b)
         root = find(parent, np.arange(len(item)))
         linked = np.flatnonzero(root != np.arange(len(item)))
@@ -124,6 +121,65 @@ def linker(radius: int, check: Callable[[pa.Table], Callable[[np.ndarray, np.nda
     return run
 
 
+def _root(parent: list[int], i: int) -> int:
+    while parent[i] != i:
+        parent[i] = parent[parent[i]]
+        i = parent[i]
+    return i
+
+
+def likeness_linker(radius: int, least: float, sure: float, forests: int = 4):
+    """As linker, for rows that carry a sketch: links (u < v, likeness) of the pairs within the radius that look alike.
+
+    Links of ``sure`` likeness or more span each group's classes. Of the others, from ``least`` on, as many spanning
+    forests as stated go on, each of the likest links that those before it left: if some of them fail on closer look,
+    others still join what belongs together. Their number is in proportion to that of the items.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (table := gather(batches)) is None:
+            return
+        table, group, item = _grouped(table)
+        sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        certain, layers = list(range(len(item))), [list(range(len(item))) for _ in range(forests)]
+        edges: list[tuple[int, int, float]] = []
+
+        def open_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Pairs joined neither by sure links nor in the last forest."""
+            out = np.ones(len(a), bool)
+            for parent in (certain, layers[-1]):
+                roots = np.array(parent)
+                out &= find(roots, a) != find(roots, b)
+            return out
+
+        for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
+            keep = open_pairs(a, b)
+            a, b = a[keep], b[keep]
+            same = np.concatenate([(sketches[a[i : i + 65536]] == sketches[b[i : i + 65536]]).mean(1) for i in range(0, len(a), 65536)]) if len(a) else np.empty(0)
+            like = (same * 256 - 1) / 255
+            order = np.argsort(-like, kind="stable")[: int((like >= least).sum())]
+            for at in range(0, len(order), 4096):
+                some = order[at : at + 4096]
+                some = some[open_pairs(a[some], b[some])] if at else some
+                for i, j, x in zip(a[some].tolist(), b[some].tolist(), like[some].tolist(), strict=True):
+                    if (u := _root(certain, i)) == (v := _root(certain, j)):
+                        continue
+                    if x >= sure:
+                        certain[max(u, v)] = min(u, v)
+                    for parent in layers:
+                        if (u := _root(parent, i)) != (v := _root(parent, j)):
+                            parent[max(u, v)] = min(u, v)
+                            if x < sure:
+                                edges.append((i, j, x))
+                                break
+                    if x >= sure:
+                        edges.append((i, j, x))
+        ends = [sorted((int(item[i]), int(item[j]))) for i, j, _ in edges]
+        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64()), pa.array([e[2] for e in edges], pa.float64())], names=["u", "v", "likeness"])
+
+    return run
+
+
 def keys(fp: Column, masks: list[int]) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)])
 
@@ -148,6 +204,8 @@ def simhash_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 BANDS, ROWS = 10, 3
 #: Sketch bytes by which a link's similarity is measured (standard error 0.029 at 0.8).
 SKETCH = 192
+#: Links whose measured similarity is further than this from the threshold are sure; the others are settled on whole sets.
+DOUBT = 0.09
 #: At a similarity of 0.8 the fingerprints of two documents differ in about 10 bits, and hardly ever in more than these.
 SIMILAR_RADIUS = 26
 _XOR, _TIMES = (mix64(np.arange(k, SKETCH + k, dtype=np.uint64)).astype(np.uint32) | np.uint32(1) for k in (1, 1 << 20))
@@ -167,7 +225,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 
     Equal word sequences form one item first, so that copies are never compared. Items meet in shards by bands of
     minima, since at a similarity of 0.8 fingerprints differ in too many bits for common blocks; in a shard, the
-    BK-tree over SimHash fingerprints finds partners within SIMILAR_RADIUS and sketches carried along confirm them.
+    BK-tree over SimHash fingerprints finds partners within SIMILAR_RADIUS and sketches carried along measure them. Of
+    each shard the likest links that span it go on; those in doubt are settled on the whole sets of shingles.
     ``th`` is text_hash(text): with the key it finds the row again. class_id is a hash that names the class.
     """
     kind = docs.schema[key].dataType.simpleString()
@@ -186,28 +245,59 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                 sketch.append((least & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(item, pa.int64()), pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "th", "item", "fp", "bands", "sketch"])
 
-    def check(table: pa.Table):
-        sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
-        need = similarity * 255 / 256 + 1 / 256
-
-        def holds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            good = np.zeros(len(a), bool)
-            for at in range(0, len(a), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                good[part] = (sketches[a[part]] == sketches[b[part]]).mean(1) >= need
-            return good
-
-        return holds
-
     rows = materialize(docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text")).mapInArrow(run, schema), "near")
     items = rows.groupBy("item").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     keyed = items.select(F.explode("bands").alias("key"), "item", "fp", "sketch")
     live = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    edges = sharded(keyed.join(live, "key"), shard).mapInArrow(linker(SIMILAR_RADIUS, check), "u long, v long")
-    found = components(edges)
+    found = sharded(keyed.join(live, "key"), shard).mapInArrow(likeness_linker(SIMILAR_RADIUS, similarity - DOUBT, similarity + DOUBT), "u long, v long, likeness double")
+    links = materialize(found.groupBy("u", "v").agg(F.max("likeness").alias("likeness")), "near-links")
+    doubtful = links.where(F.col("likeness") < similarity + DOUBT).select("u", "v")
+    source = docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text"))
+    settled = settle(doubtful, rows.select("id", "th", "item"), source, shingle, similarity)
+    found = components(links.where(F.col("likeness") >= similarity + DOUBT).select("u", "v").unionByName(settled))
     return rows.select("id", "th", "item").join(found, F.col("item") == F.col("node"), "left").select(F.col("id").alias(key), "th", F.coalesce("component", "item").alias("class_id"))
 
 
+def settle(pairs: DataFrame, rows: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those pairs (u, v) of items whose whole sets of word shingles have the similarity.
+
+    One row stands for each item; only items in doubt have their sets shuffled, and a pair meets its two sets in a group.
+    """
+    ends = pairs.select("u", "v", F.col("u").alias("item")).unionByName(pairs.select("u", "v", F.col("v").alias("item")))
+    asked = ends.groupBy("item").agg(F.collect_list(F.struct("u", "v")).alias("pairs"))  # a spanning forest's edges in each of few bands
+    first = rows.join(asked.select("item"), "item").groupBy("item").agg(F.min(F.struct("th", "id")).alias("r"))
+    wanted = first.join(asked, "item").groupBy(F.col("r.th").alias("wth"), F.col("r.id").alias("wid")).agg(F.first("pairs").alias("pairs"))
+    texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "pairs")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 200):
+            u, v, held = [], [], []
+            for t, own in zip(binary(b, "text"), b.column("pairs").to_pylist(), strict=True):
+                hashes = np.unique(shingle_hashes(t.lower().split(), shingle)).tobytes()
+                u += [p["u"] for p in own]
+                v += [p["v"] for p in own]
+                held += [hashes] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(held, pa.binary())], names=["u", "v", "held"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[tuple[int, int], bytes] = {}
+        for b in batches:
+            good = []
+            for u, v, held in zip(*(b.column(c).to_pylist() for c in ("u", "v", "held")), strict=True):
+                if (other := waiting.get((u, v))) is None:
+                    waiting[u, v] = held
+                elif other != held:  # rows alike send a set again
+                    x, y = (np.frombuffer(z, np.uint64) for z in (other, held))
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if common >= similarity * (len(x) + len(y) - common):
+                        good.append((u, v))
+                    waiting[u, v] = b""
+            good = [g for g in dict.fromkeys(good)]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in good], pa.int64()), pa.array([g[1] for g in good], pa.int64())], names=["u", "v"])
+
+    return texts.mapInArrow(sets, "u long, v long, held binary").repartition("u", "v").mapInArrow(compare, "u long, v long")
+
+
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without near duplicates: of each class the row with the least key stays (null keys last), one of rows alike."""
     classes = near_duplicates(docs, text, key, shingle, similarity)
