@@ -12,6 +12,7 @@ others, and where all of a payload's ids are null all are responses.
 
 from __future__ import annotations
 
+import gzip
 import re
 from collections.abc import Iterator
 
@@ -74,26 +75,29 @@ def record(digest: Column, size: Column, refers_to: Column, ident: Column, url:
     )
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write all pages as deduplicated WARC archives into the folder path."""
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> None:
+    """Write all pages as deduplicated WARC archives into the folder path; with gzip an archive is one member."""
     heads = materialize(resolve_revisits(pages, key, url, html, min_bytes), "resolved")
+    kept, again = heads.where("refers_to is null"), heads.where("refers_to is not null")
     payload = F.coalesce(F.col(html), F.lit(""))
-    kept = heads.where("refers_to is null")
     size = kept.agg(F.sum("bytes"), F.count("*")).first()
     archives = max(1, -(-((size[0] or 0) + 400 * size[1]) // archive_bytes))
-    # a response takes its payload from its own row; rows alike give and take one each, by their number
-    bodies = pages.select(F.col(key).alias("pid"), sha1_base32(payload.cast("binary")).alias("pd"), payload.alias("payload")).dropDuplicates(["pid", "pd"])
-    full = kept.join(bodies, F.col("id").eqNullSafe(F.col("pid")) & (F.col("digest") == F.col("pd")))
-    lines = lambda df, body: df.select(record(F.col("digest"), F.col("bytes"), F.col("refers_to"), F.col("id"), F.col("url"), body).alias("value"), "id", "digest")
-    every = lines(full, F.col("payload")).unionByName(lines(heads.where("refers_to is not null"), F.lit("")))
-    every.repartition(archives, "digest", "id").select("value").write.option("lineSep", _END).text(path)
+    # each row that is a response writes its own payload, so payloads shuffle once, into as many archives as their size asks for
+    k = F.xxhash64("id", "digest").alias("k")
+    bodies = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), payload.alias("payload"), sha1_base32(payload.cast("binary")).alias("digest"))
+    chosen = kept.select(k).distinct().repartition(archives, "k")  # dealt alike, so that the join moves no payload again
+    full = bodies.select("*", k).repartition(archives, "k").join(chosen, "k")
+    lines = lambda df, size, to, body: df.select(record(F.col("digest"), size, to, F.col("id"), F.col("url"), body).alias("value"))
+    own = lines(full, F.octet_length("payload"), F.lit(None).cast("string"), F.col("payload"))
+    own.unionByName(lines(again, F.col("bytes"), F.col("refers_to"), F.lit(""))).write.option("lineSep", _END).option("compression", compression).text(path)
 
 
 _LINE = re.compile(rb"([^:\r\n]+): ?([^\r\n]*)")
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    """(headers, payload) of each record of an archive."""
+    """(headers, payload) of each record of an archive, gzipped or not."""
+    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     at = 0
     while at < len(data):
         cut = data.index(b"\r\n\r\n", at)
