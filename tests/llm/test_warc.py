@@ -2,7 +2,8 @@ import base64
 import hashlib
 import random
 
-from tramloom.llm import warc
+import duckdb
+from tramloom.llm import queries, warc
 
 _SHAPE = "page_id long, url string, html string"
 
@@ -38,6 +39,15 @@ def test_round_trip_of_odd_pages(spark):
     assert _rows(warc.archived_pages(spark.createDataFrame(rows, _SHAPE).repartition(3))) == brute(rows)
 
 
+def test_sql_says_the_same():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    rows = _odd() + [(None, "u", "same"), (80, "u", "same"), (None, "v", "alone")]
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    got = con.execute(queries.OP10_SQL).fetchall()
+    assert sorted(((i is None, i or 0), n, d, t, to if to is not None else -1) for i, n, d, t, to in got) == brute(rows)
+
+
 def test_archives_hold_each_payload_once(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"payload {i % 4} " * 50) for i in range(40)]
     path = f"{tmp_path}/warc"

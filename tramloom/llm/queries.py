@@ -128,7 +128,17 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(x, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) % 32 + 1, 1)), '') AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM m
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those queries that SQL can express; the others are tested against brute force."""
-    return {"op3_substring_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_balltree_topk": OP7_SQL, "op8_decontaminate": OP8_SQL}
+    return {"op3_substring_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_balltree_topk": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_warc_revisits": OP10_SQL}
