@@ -122,3 +122,39 @@ def test_near_duplicates_keep_one_of_each_group(spark, odd, odd_rows, nothing):
     assert len([r for r in left if not (r["text"] or "").strip()]) == 1 and len([r for r in left if r["doc_id"] == 4]) == 1
     assert {r["doc_id"] for r in left} >= set(range(40, 70)) | {8} and 9 not in {r["doc_id"] for r in left}
     assert simhash.keep_one(nothing).collect() == []
+
+
+def _templated(rng, n, words, own, name="t"):
+    """n documents of one template of ``words`` words, each followed by ``own`` words of its own."""
+    base = [f"{name}{i}" for i in range(words)]
+    return [base + [f"o{rng.randrange(1 << 40)}" for _ in range(own)] for _ in range(n)]
+
+
+def _classes(spark, docs, **options):
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["class_id"] for r in simhash.near_duplicates(rows, **options).collect()}
+
+
+def _set_classes(docs, similarity=0.8):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in docs]
+    label = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if label[i] != label[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                old = label[i]
+                label = [label[j] if x == old else x for x in label]
+    return label
+
+
+def _same_partition(found, want):
+    return len({(found[i], w) for i, w in enumerate(want)}) == len(set(found.values())) == len(set(want))
+
+
+@pytest.mark.parametrize("options", [{}, {"room": 20_000}])
+def test_templated_documents_under_the_threshold_stay_apart(spark, options):
+    docs = _templated(random.Random(4), 300, 204, 26, "g")  # 200 of 252 shingles in common, 0.794, and sketches that say 0.89 of some
+    assert abs(_jaccard(" ".join(docs[0]), " ".join(docs[1])) - 0.794) < 0.001
+    docs[299] = docs[3][:-4] + ["x", "y", "z", "u"]
+    want = _set_classes(docs)
+    assert len(set(want)) == 299
+    assert _same_partition(_classes(spark, docs, **options), want)

@@ -18,6 +18,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,17 +83,21 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def sharded(keyed: DataFrame, shard: int = SHARD) -> DataFrame:
-    """keyed (key, item, ...) repartitioned so that any two items of a key meet in one task, in groups (key, low, high).
+def dealt(keyed: DataFrame, room: int, weight: Column) -> DataFrame:
+    """keyed (key, item, ...) with (low, high, part) added, such that any two items of a key share a group (key, low, high).
 
-    A key with more than ``shard`` items is dealt into parts, and every pair of parts becomes a group of its own.
+    A key that weighs more than ``room`` is dealt into parts, and every pair of parts becomes a group of its own.
     """
-    hot = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard).withColumn("parts", F.ceil(F.col("n") / shard).cast("int")).select("key", "parts")
+    hot = keyed.groupBy("key").agg(F.sum(weight).alias("n")).where(F.col("n") > room).withColumn("parts", F.ceil(F.col("n") / room).cast("int")).select("key", "parts")
     parts = F.coalesce("parts", F.lit(1))
     part = F.pmod(F.xxhash64("item"), parts).cast("int")
-    dealt = keyed.join(hot, "key", "left").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("parts", "part", "other")
-    return dealt.repartition("key", "low", "high")
+    rows = keyed.join(hot, "key", "left").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return rows.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("parts", "other")
+
+
+def sharded(keyed: DataFrame, shard: int = SHARD) -> DataFrame:
+    """keyed (key, item, ...) repartitioned so that any two items of a key meet in one task, in groups (key, low, high)."""
+    return dealt(keyed, shard, F.lit(1)).drop("part").repartition("key", "low", "high")
 
 
 def _grouped(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
@@ -121,61 +126,25 @@ def linker(radius: int):
     return run
 
 
-def _root(parent: list[int], i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
-
-
-def likeness_linker(radius: int, least: float, sure: float, forests: int = 4):
-    """As linker, for rows that carry a sketch: links (u < v, likeness) of the pairs within the radius that look alike.
-
-    Links of ``sure`` likeness or more span each group's classes. Of the others, from ``least`` on, as many spanning
-    forests as stated go on, each of the likest links that those before it left: if some of them fail on closer look,
-    others still join what belongs together. Their number is in proportion to that of the items.
-    """
+def likeness_linker(radius: int, least: float):
+    """As linker, for rows that carry a sketch: a spanning forest of the pairs within the radius that look alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (table := gather(batches)) is None:
             return
         table, group, item = _grouped(table)
         sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
-        certain, layers = list(range(len(item))), [list(range(len(item))) for _ in range(forests)]
-        edges: list[tuple[int, int, float]] = []
-
-        def open_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            """Pairs joined neither by sure links nor in the last forest."""
-            out = np.ones(len(a), bool)
-            for parent in (certain, layers[-1]):
-                roots = np.array(parent)
-                out &= find(roots, a) != find(roots, b)
-            return out
-
+        parent = np.arange(len(item))
         for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
-            keep = open_pairs(a, b)
-            a, b = a[keep], b[keep]
-            same = np.concatenate([(sketches[a[i : i + 65536]] == sketches[b[i : i + 65536]]).mean(1) for i in range(0, len(a), 65536)]) if len(a) else np.empty(0)
-            like = (same * 256 - 1) / 255
-            order = np.argsort(-like, kind="stable")[: int((like >= least).sum())]
-            for at in range(0, len(order), 4096):
-                some = order[at : at + 4096]
-                some = some[open_pairs(a[some], b[some])] if at else some
-                for i, j, x in zip(a[some].tolist(), b[some].tolist(), like[some].tolist(), strict=True):
-                    if (u := _root(certain, i)) == (v := _root(certain, j)):
-                        continue
-                    if x >= sure:
-                        certain[max(u, v)] = min(u, v)
-                    for parent in layers:
-                        if (u := _root(parent, i)) != (v := _root(parent, j)):
-                            parent[max(u, v)] = min(u, v)
-                            if x < sure:
-                                edges.append((i, j, x))
-                                break
-                    if x >= sure:
-                        edges.append((i, j, x))
-        ends = [sorted((int(item[i]), int(item[j]))) for i, j, _ in edges]
-        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64()), pa.array([e[2] for e in edges], pa.float64())], names=["u", "v", "likeness"])
+            for at in range(0, len(a), 65536):
+                i, j = a[at : at + 65536], b[at : at + 65536]
+                apart = find(parent, i) != find(parent, j)
+                i, j = i[apart], j[apart]
+                alike = ((sketches[i] == sketches[j]).mean(1) * 256 - 1) / 255 >= least
+                unite(parent, i[alike], j[alike])
+        root = find(parent, np.arange(len(item)))
+        linked = np.flatnonzero(root != np.arange(len(item)))
+        yield pa.RecordBatch.from_arrays([pa.array(item[linked]), pa.array(item[root[linked]])], names=["u", "v"])
 
     return run
 
@@ -204,8 +173,10 @@ def simhash_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 BANDS, ROWS = 10, 3
 #: Sketch bytes by which a link's similarity is measured (standard error 0.029 at 0.8).
 SKETCH = 192
-#: Links whose measured similarity is further than this from the threshold are sure; the others are settled on whole sets.
+#: Pairs whose measured similarity is at most this under the threshold are candidates, settled on whole sets.
 DOUBT = 0.09
+#: Shingles of one group of candidates that a task takes at once; larger groups are compared in blocks of two parts.
+SET_ROOM = 4_000_000
 #: At a similarity of 0.8 the fingerprints of two documents differ in about 10 bits, and hardly ever in more than these.
 SIMILAR_RADIUS = 26
 _XOR, _TIMES = (mix64(np.arange(k, SKETCH + k, dtype=np.uint64)).astype(np.uint32) | np.uint32(1) for k in (1, 1 << 20))
@@ -220,82 +191,131 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, shard: int = SHARD) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8, shard: int = SHARD, room: int = SET_ROOM) -> DataFrame:
     """(key, th, class_id): the class of every row, by links of at least ``similarity`` between sets of word shingles.
 
     Equal word sequences form one item first, so that copies are never compared. Items meet in shards by bands of
     minima, since at a similarity of 0.8 fingerprints differ in too many bits for common blocks; in a shard, the
-    BK-tree over SimHash fingerprints finds partners within SIMILAR_RADIUS and sketches carried along measure them. Of
-    each shard the likest links that span it go on; those in doubt are settled on the whole sets of shingles.
+    BK-tree over SimHash fingerprints finds partners within SIMILAR_RADIUS and sketches carried along measure them. What
+    may be alike forms groups of candidates, and no link holds but by the whole sets of shingles (settle).
     ``th`` is text_hash(text): with the key it finds the row again. class_id is a hash that names the class.
     """
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"id {kind}, th long, item long, fp long, bands array<long>, sketch binary"
+    schema = f"id {kind}, th long, item long, fp long, n long, bands array<long>, sketch binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1000):
-            item, fp, bands, sketch = [], [], [], []
+            item, fp, n, bands, sketch = [], [], [], [], []
             for t in binary(b, "text"):
                 words = t.lower().split()
                 h = shingle_hashes(words, shingle)
                 least = minima(h)
                 item.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words), SEED)))
                 fp.append(signed(fingerprint(h)))
+                n.append(len(np.unique(h)))
                 bands.append([signed(xxhash.xxh64_intdigest(least[i * ROWS : i * ROWS + ROWS].tobytes(), i)) for i in range(BANDS)])
                 sketch.append((least & np.uint32(255)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(item, pa.int64()), pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "th", "item", "fp", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(item, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "th", "item", "fp", "n", "bands", "sketch"])
 
     rows = materialize(docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text")).mapInArrow(run, schema), "near")
     items = rows.groupBy("item").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     keyed = items.select(F.explode("bands").alias("key"), "item", "fp", "sketch")
     live = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    found = sharded(keyed.join(live, "key"), shard).mapInArrow(likeness_linker(SIMILAR_RADIUS, similarity - DOUBT, similarity + DOUBT), "u long, v long, likeness double")
-    links = materialize(found.groupBy("u", "v").agg(F.max("likeness").alias("likeness")), "near-links")
-    doubtful = links.where(F.col("likeness") < similarity + DOUBT).select("u", "v")
+    found = sharded(keyed.join(live, "key"), shard).mapInArrow(likeness_linker(SIMILAR_RADIUS, similarity - DOUBT), "u long, v long")
+    groups = materialize(components(found).select(F.col("node").alias("item"), F.col("component").alias("key")), "near-groups")
     source = docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text"))
-    settled = settle(doubtful, rows.select("id", "th", "item"), source, shingle, similarity)
-    found = components(links.where(F.col("likeness") >= similarity + DOUBT).select("u", "v").unionByName(settled))
+    found = components(settle(groups, rows.select("id", "th", "item", "fp", "n"), source, shingle, similarity, room))
     return rows.select("id", "th", "item").join(found, F.col("item") == F.col("node"), "left").select(F.col("id").alias(key), "th", F.coalesce("component", "item").alias("class_id"))
 
 
-def settle(pairs: DataFrame, rows: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those pairs (u, v) of items whose whole sets of word shingles have the similarity.
+def settle(groups: DataFrame, rows: DataFrame, source: DataFrame, shingle: int, similarity: float, room: int) -> DataFrame:
+    """Links (u, v) that span the classes of each group (item, key), by the similarity of whole sets of word shingles.
 
-    One row stands for each item; only items in doubt have their sets shuffled, and a pair meets its two sets in a group.
+    One row stands for each item, and its set is shuffled once, or once for each part of a group with more than ``room``.
     """
-    ends = pairs.select("u", "v", F.col("u").alias("item")).unionByName(pairs.select("u", "v", F.col("v").alias("item")))
-    asked = ends.groupBy("item").agg(F.collect_list(F.struct("u", "v")).alias("pairs"))  # a spanning forest's edges in each of few bands
-    first = rows.join(asked.select("item"), "item").groupBy("item").agg(F.min(F.struct("th", "id")).alias("r"))
-    wanted = first.join(asked, "item").groupBy(F.col("r.th").alias("wth"), F.col("r.id").alias("wid")).agg(F.first("pairs").alias("pairs"))
-    texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "pairs")
+    first = rows.join(groups, "item").groupBy("item", "key").agg(F.min(F.struct("th", "id", "fp", "n")).alias("r"))
+    places = dealt(first.select("item", "key", F.col("r.th").alias("wth"), F.col("r.id").alias("wid"), F.col("r.fp").alias("fp"), F.col("r.n").alias("n")), room, F.col("n"))
+    wanted = places.groupBy("item", "wth", "wid").agg(F.collect_list(F.struct("key", "low", "high", "part", "item", "fp")).alias("places")).drop("item")
+    texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "places")
+    schema = "key long, low int, high int, part int, item long, fp long, held binary"
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # of rows alike, a task sends one
         for b in slices(batches, 200):
-            u, v, held = [], [], []
-            for t, own in zip(binary(b, "text"), b.column("pairs").to_pylist(), strict=True):
-                hashes = np.unique(shingle_hashes(t.lower().split(), shingle)).tobytes()
-                u += [p["u"] for p in own]
-                v += [p["v"] for p in own]
-                held += [hashes] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(held, pa.binary())], names=["u", "v", "held"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[tuple[int, int], bytes] = {}
-        for b in batches:
-            good = []
-            for u, v, held in zip(*(b.column(c).to_pylist() for c in ("u", "v", "held")), strict=True):
-                if (other := waiting.get((u, v))) is None:
-                    waiting[u, v] = held
-                elif other != held:  # rows alike send a set again
-                    x, y = (np.frombuffer(z, np.uint64) for z in (other, held))
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    if common >= similarity * (len(x) + len(y) - common):
-                        good.append((u, v))
-                    waiting[u, v] = b""
-            good = [g for g in dict.fromkeys(good)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in good], pa.int64()), pa.array([g[1] for g in good], pa.int64())], names=["u", "v"])
-
-    return texts.mapInArrow(sets, "u long, v long, held binary").repartition("u", "v").mapInArrow(compare, "u long, v long")
+            put: list[dict] = []
+            held: list[bytes] = []
+            for t, own in zip(binary(b, "text"), b.column("places").to_pylist(), strict=True):
+                if own[0]["item"] in sent:
+                    continue
+                sent.add(own[0]["item"])
+                put += own
+                held += [np.unique(shingle_hashes(t.lower().split(), shingle)).tobytes()] * len(own)
+            types = {"key": pa.int64(), "low": pa.int32(), "high": pa.int32(), "part": pa.int32(), "item": pa.int64(), "fp": pa.int64()}
+            yield pa.RecordBatch.from_arrays([*[pa.array([x[c] for x in put], t) for c, t in types.items()], pa.array(held, pa.binary())], names=[*types, "held"])
+
+    return texts.mapInArrow(sets, schema).repartition("key", "low", "high").mapInArrow(set_linker(SIMILAR_RADIUS, similarity), "u long, v long")
+
+
+def set_linker(radius: int, similarity: float, room: int = SET_ROOM):
+    """For mapInArrow over rows (key, low, high, part, item, fp, held: the sorted set): a spanning forest (u, v) of each group's links.
+
+    Every pair within the radius is compared exactly unless its items are joined by then. Of a group of two parts
+    only the pairs across them are looked at, since each part is a group too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (table := gather(batches)) is None:
+            return
+        table, group, item = _grouped(table)
+        once = np.r_[True, (group[1:] != group[:-1]) | (item[1:] != item[:-1])]  # rows alike send a set again
+        table, group, item = table.filter(pa.array(once)), group[once], item[once]
+        fp, part = table["fp"].to_numpy().view(np.uint64), table["part"].to_numpy()
+        across = table["low"].to_numpy() != table["high"].to_numpy()
+        held = table["held"]
+        ends = np.r_[np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
+        low, size = 0, np.cumsum(pc.binary_length(held).to_numpy()) // 8
+        for n, high in enumerate(ends.tolist()):  # some whole groups at a time
+            if n + 1 < len(ends) and size[ends[n + 1] - 1] - (size[low - 1] if low else 0) <= room:
+                continue
+            some = slice(low, high)
+            u, v = _exact_links(fp[some], group[some], part[some], across[some], [np.frombuffer(x, np.uint64) for x in held[low:high].to_pylist()], radius, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(item[some][u]), pa.array(item[some][v])], names=["u", "v"])
+            low = high
+
+    return run
+
+
+def _exact_links(fp: np.ndarray, group: np.ndarray, part: np.ndarray, across: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float, room: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = flat.astype(np.int32)
+    marked, parent = np.zeros(len(kinds), bool), np.arange(len(sets))
+    for a, b in Forest(fp, group).pairs(radius):
+        # a pair of sets whose sizes are too far apart can't be alike
+        keep = (~across[a] | (part[a] != part[b])) & (np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]))
+        a, b = a[keep], b[keep]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        while len(a):
+            apart = find(parent, a) != find(parent, b)
+            a, b = a[apart], b[apart]
+            now = max(1, int(np.searchsorted(np.cumsum(sizes[b[:4096]]), room)))
+            i, j, a, b = a[:now], b[:now], a[now:], b[now:]
+            common = np.zeros(len(i), np.int64)
+            for low, high in itertools.pairwise([*np.flatnonzero(np.r_[True, i[1:] != i[:-1]]).tolist(), len(i)] if len(i) else []):
+                own, many = flat[starts[i[low]] : starts[i[low]] + sizes[i[low]]], sizes[j[low:high]]
+                marked[own] = True
+                before = np.cumsum(many) - many
+                hits = marked[flat[np.repeat(starts[j[low:high]] - before, many) + np.arange(many.sum())]]
+                sums = np.r_[0, np.cumsum(hits)]
+                common[low:high] = sums[before + many] - sums[before]
+                marked[own] = False
+            alike = common >= similarity * (sizes[i] + sizes[j] - common)
+            unite(parent, i[alike], j[alike])
+    root = find(parent, np.arange(len(sets)))
+    linked = np.flatnonzero(root != np.arange(len(sets)))
+    return linked, root[linked]
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
