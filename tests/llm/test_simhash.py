@@ -158,3 +158,13 @@ def test_templated_documents_under_the_threshold_stay_apart(spark, options):
     want = _set_classes(docs)
     assert len(set(want)) == 299
     assert _same_partition(_classes(spark, docs, **options), want)
+
+
+def test_planted_pairs_in_a_templated_group_are_found(spark):
+    rng = random.Random(6)
+    docs = _templated(rng, 700, 204, 33)  # pairwise 0.75
+    for i in range(0, 140, 2):  # 18 words in common beside the template's: 0.81
+        docs[i + 1] = docs[i][: 204 + 10] + docs[i + 1][204 + 10 :]
+    want = _set_classes(docs)
+    assert len(set(want)) == 630
+    assert _same_partition(_classes(spark, docs), want)
