@@ -168,3 +168,14 @@ def test_planted_pairs_in_a_templated_group_are_found(spark):
     want = _set_classes(docs)
     assert len(set(want)) == 630
     assert _same_partition(_classes(spark, docs), want)
+
+
+def test_documents_that_repeat_a_passage_unlike_often(spark):
+    rng = random.Random(9)
+    docs = []
+    for g in range(60):
+        body, passage = ([f"r{rng.randrange(1 << 40)}" for _ in range(n)] for n in (200, 20))
+        docs += [body + passage, body + passage * 60]
+    want = _set_classes(docs)
+    assert len(set(want)) == 60
+    assert _same_partition(_classes(spark, docs), want)

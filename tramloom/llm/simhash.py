@@ -208,11 +208,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
             item, fp, n, bands, sketch = [], [], [], [], []
             for t in binary(b, "text"):
                 words = t.lower().split()
-                h = shingle_hashes(words, shingle)
+                h = np.unique(shingle_hashes(words, shingle))  # a set, so that repeats move no bits
                 least = minima(h)
                 item.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words), SEED)))
                 fp.append(signed(fingerprint(h)))
-                n.append(len(np.unique(h)))
+                n.append(len(h))
                 bands.append([signed(xxhash.xxh64_intdigest(least[i * ROWS : i * ROWS + ROWS].tobytes(), i)) for i in range(BANDS)])
                 sketch.append((least & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(item, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "th", "item", "fp", "n", "bands", "sketch"])
