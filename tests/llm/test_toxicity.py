@@ -68,3 +68,29 @@ def test_odd_rows_and_labels(spark, odd, odd_rows, nothing):
     assert {r["score"] for r in toxicity.score_toxicity(odd, one).collect()} == {1.0}
     assert {r["score"] for r in toxicity.score_toxicity(odd, labels.limit(0)).collect()} == {0.0}
     assert toxicity.score_toxicity(nothing, labels).collect() == []
+
+
+def test_long_runs_are_read_whole():
+    for run in ("".join(chr(0x4E00 + i) for i in range(500)), "ab" * 24, "é" * 25, "x" + "𝒳y" * 90, "under_scored." * 40):
+        word = run.encode()
+        pieces = [x.removeprefix(b" ") for x in toxicity.tokens(b"one " + word + b" two")[1:-1]]
+        assert all(len(x) <= toxicity.LONG and x.decode() for x in pieces)
+        grams = {g for x in pieces for g in (x[i : i + 3] for i in range(len(x) - 2))}
+        assert grams == {word[i : i + 3] for i in range(len(word) - 2)}
+    assert toxicity.tokens(b" a  b\n") == [b"a", b"b"] and toxicity.tokens(b"") == []
+    # each byte of a word of any length moves its trigrams
+    for n in (45, 48):
+        plain, changed = (toxicity.Features(toxicity.tokens(w)).grams.tolist() for w in (b"q" * n, b"q" * (n - 6) + b"zzz" + b"q" * 3))
+        assert plain != changed
+
+
+def test_toxic_words_inside_unspaced_texts_are_recognised():
+    rng = np.random.default_rng(2)
+    texts, labels = [], []
+    for i in range(600):
+        run = "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 300, 120))
+        texts.append((run[:60] + "毒語" * (i % 2) + run[60:]).encode())
+        labels.append(i % 2)
+    p = toxicity.train(texts[:450], labels[:450])
+    scores = np.array(toxicity.score_texts(p, toxicity.Inputs(p), texts[450:]))
+    assert _auc(labels[450:], scores) > 0.9

@@ -1,6 +1,8 @@
 """Toxicity: a bidirectional GRU with attention pooling over word and character inputs, trained in numpy.
 
-A word's input is its hashed vector beside the mean of its hashed character trigrams' vectors. Documents are scored by
+A word's input is its hashed vector beside the mean of its hashed character trigrams' vectors. A run of over LONG bytes
+without white space (unspaced scripts, glued words) is read as overlapping pieces, each a place of its own with trigrams
+only, so that nothing of it is left out and no input grows with it. Documents are scored by
 overlapping windows of WINDOW words, STRIDE apart, over the whole text; a document's score is its highest window's.
 Training takes a bounded sample of labelled documents (``sample`` rows, with whole texts): of a toxic document the
 window that looks most toxic, of a clean one a random window and the one that looks most toxic.
@@ -30,9 +32,37 @@ SAMPLE = 3000
 WINDOW, STRIDE = 32, 24
 WORDS, GRAMS, WIDTH, HIDDEN, ATTENTION = 8192, 4096, 10, 10, 8
 EPOCHS, BATCH = 8, 64
+#: Bytes of the longest word that is one input; of a longer one, pieces of PIECE bytes stand PIECE_STEP apart.
+LONG, PIECE, PIECE_STEP = 48, 24, 12
 _STRIP = b".,;:!?\"'()[]{}<>*_-"
 
 
+def tokens(text: bytes) -> list[bytes]:
+    """The words of a text, those of over LONG bytes in overlapping pieces of whole characters, each after a space as its mark."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    out: list[bytes] = []
+    for word in words:
+        if len(word) <= LONG:
+            out.append(word)
+            continue
+        low = 0
+        while len(word) - low > PIECE:
+            out.append(b" " + word[low : _edge(word, low + PIECE)])
+            low = _edge(word, low + PIECE_STEP)
+        out.append(b" " + word[low:])
+    return out
+
+
+def _edge(word: bytes, at: int) -> int:
+    """The first byte of the character that holds byte ``at``."""
+    low = at
+    while low > at - 3 and word[low] & 0xC0 == 0x80:
+        low -= 1
+    return low
+
+
 class Trigrams(dict):
     """Buckets of character trigrams, kept as they come up."""
 
@@ -53,8 +83,11 @@ class Features:
         buckets, flat, many = np.empty(len(words), np.int32), array("h"), np.empty(len(words), np.int32)
         digest, known = xxhash.xxh3_64_intdigest, _trigrams
         for n, word in enumerate(words):
-            word = word.lower().strip(_STRIP)
-            edged = b"^" + word[:40] + word[-8:] * (len(word) > 40) + b"$"
+            if word[:1] == b" ":
+                word, edged = b" ", word[1:].lower()
+            else:
+                word = word.lower().strip(_STRIP)
+                edged = b"^" + word + b"$"
             buckets[n] = digest(word) % WORDS
             before = len(flat)
             flat.extend([known[edged[i : i + 3]] for i in range(max(1, len(edged) - 2))])
@@ -138,7 +171,7 @@ def window_logits(p: Params, inputs: Inputs, windows: np.ndarray, room: int = 10
 def score_texts(p: Params, inputs: Inputs, texts: list[bytes]) -> list[float]:
     if len(inputs.number) > inputs.room:
         inputs.clear()
-    parts = [windowed(inputs.numbers(t.split())) for t in texts]
+    parts = [windowed(inputs.numbers(tokens(t))) for t in texts]
     starts = np.r_[0, np.cumsum([len(x) for x in parts])[:-1]]
     best = np.maximum.reduceat(window_logits(p, inputs, np.concatenate(parts)), starts)
     return (1 / (1 + np.exp(-np.clip(best.astype(np.float64), -30, 30)))).tolist()
@@ -149,7 +182,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     rng = np.random.default_rng(seed)
     p = new_params(WORDS, GRAMS, WIDTH, HIDDEN, ATTENTION, rng)
     number: dict[bytes, int] = {}
-    parts = [windowed([number.setdefault(w, len(number) + 1) for w in t.split()]) for t in texts]
+    parts = [windowed([number.setdefault(w, len(number) + 1) for w in tokens(t)]) for t in texts]
     y = np.array(labels)
     found = Features([b"", *number])
     del texts
