@@ -37,6 +37,7 @@ def _substrings(df, rows, **options):
 
 def test_substrings_of_odd_rows(odd, odd_rows, nothing):
     _substrings(odd, [(i, t) for i, t, _ in odd_rows])
+    _substrings(odd, [(i, t) for i, t, _ in odd_rows], hot_kinds=1)
     assert substrings.dedup_substrings(odd).columns == [*odd.columns, "n_words", "n_removed"]
     assert substrings.dedup_substrings(nothing).collect() == []
 
@@ -48,6 +49,20 @@ def test_substrings_with_few_words_and_overlaps(spark):
     _substrings(spark.createDataFrame(rows, "doc_id long, text string"), rows, length=10, gram=3)
     rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 300)))) for i in range(40)]
     _substrings(spark.createDataFrame(rows, "doc_id long, text string"), rows, length=6, gram=2)
+    for kinds in (0, 2, 5):
+        _substrings(spark.createDataFrame(rows, "doc_id long, text string"), rows, length=6, gram=2, hot_kinds=kinds)
+
+
+def test_a_passage_in_very_many_contexts_and_null_ids(spark):
+    """The edges of a passage meet in few anchors with a kind of stretch for each document; null ids don't mix texts up."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(70))
+    filler = lambda n: " ".join(f"f{rng.randrange(10**9)}" for _ in range(n))
+    rows = [(None if i % 3 else i, f"{filler(40)} {passage} {filler(40)}") for i in range(90)] * 2
+    rows += [(None, f"{filler(30)}\t{passage}") for _ in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _substrings(df, rows, hot_kinds=16)
+    _substrings(df, rows)
 
 
 def test_substrings_at_the_threshold(spark):
@@ -112,21 +127,23 @@ def _lines(df, rows, **options):
 
 def test_lines_of_odd_rows(odd, odd_rows, nothing):
     rows = [(i, t) for i, t, _ in odd_rows]
-    _lines(odd, rows, bits=14)
-    _lines(odd, rows, bits=10)  # filters too small for their lines give the same result
-    assert lines.dedup_lines(nothing, bits=12).collect() == []
-    null = lines.dedup_lines(odd, bits=12).where("doc_id = 1").first()
+    _lines(odd, rows)
+    _lines(odd, rows, bits=500_000)  # in many segments
+    assert lines.dedup_lines(nothing).collect() == []
+    null = lines.dedup_lines(odd).where("doc_id = 1").first()
     assert null["text"] is None and null["n_lines"] == 1
 
 
 def test_lines_at_the_thresholds(spark):
     forty, short = "é" * 40, "é" * 39
     rows = [(i, f"{forty}\n{short}\n\n{i}") for i in range(5)] + [(10 + i, "four documents hold this line of text, no more") for i in range(4)] + [(30, "x\r\n y "), (None, forty), (31, f"{forty}\n{forty}")]
-    _lines(spark.createDataFrame(rows, "doc_id long, text string"), rows, bits=14)
+    _lines(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
 def test_line_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    _lines(docs, [tuple(r) for r in docs.collect()])
+    rows = [tuple(r) for r in docs.collect()]
+    _lines(docs, rows)
+    _lines(docs, rows, filter_bytes=0, bits=5000)  # a filter that is too large to broadcast
     sums = lines.dedup_lines(docs).select(F.sha2(F.col("text").cast("binary"), 256).alias("h"), "text").first()
     assert sums["h"] == hashlib.sha256(sums["text"].encode()).hexdigest()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,15 +16,17 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Columns that operators add for their own use; no table column may start so.
 OWN = "__tl_"
-#: Rows that may be broadcast; beyond it the join is left to a shuffle.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes that may be broadcast; beyond either the join is left to a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session may do without it."""
     sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tramloom-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
@@ -41,9 +44,51 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most ``rows`` rows, else df as it is, for a shuffle join. df should be materialized."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def forget(df: DataFrame) -> None:
+    """Delete a table that materialize wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    own = shared_dir(spark).split("://")[-1]
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if own in folder:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def col(name: str) -> Column:
+    """A column by its plain name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without(docs: DataFrame, *own: str) -> DataFrame:
+    """docs without columns named like an operator's own outputs, in either case: those take their place."""
+    taken = {c.lower() for c in own}
+    if bad := [c for c in docs.columns if c.lower().startswith(OWN)]:
+        raise ValueError(f"columns named {OWN}... are reserved: {bad}")
+    return docs.select(*[col(c) for c in docs.columns if c.lower() not in taken])
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most ``rows`` rows and ``size`` bytes, else df as it is, for a shuffle join. df should be materialized."""
+    n, held = df.select(F.octet_length(F.to_json(F.struct(*map(col, df.columns)))).alias("b")).agg(F.count("*"), F.sum("b")).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= size else df
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], n: str, how: str = "inner", by: Sequence[str] = ()) -> DataFrame:
+    """left joined with right (one row a key, with the number of left's rows in ``n``), no task getting a hot key whole.
+
+    A key with over twice the rows of an average partition is dealt into parts, and its row of right goes to each of
+    them. Such keys are fewer than half the partitions, so their broadcast is bounded. Rows of left are dealt by a hash
+    of the columns ``by``; without any, by their place in the files that left must then be read from.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    total = right.agg(F.sum(n)).first()[0] or 0
+    room = max(1024, 2 * total // int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = F.ceil(F.col(n) / F.lit(room)).cast("int")
+    hot = F.broadcast(right.where(F.col(n) > room).select(*keys, parts.alias(f"{OWN}parts")))
+    deal = F.xxhash64(*by) if by else F.monotonically_increasing_id()
+    left = left.join(hot, keys, "left").withColumn(f"{OWN}part", F.pmod(deal, F.coalesce(f"{OWN}parts", F.lit(1))).cast("int")).drop(f"{OWN}parts")
+    right = right.withColumn(f"{OWN}part", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), parts - 1)))).drop(n)
+    return left.join(right, [*keys, f"{OWN}part"], how).drop(f"{OWN}part")
 
 
 def n_words(text: Column | str) -> Column:
@@ -67,14 +112,23 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
-def out(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
-
-
-def gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
-    """All batches of a partition of short fixed-width rows."""
-    found = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(found) if found else None
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], room: int) -> Iterator[pa.Table]:
+    """Tables of whole groups of a partition sorted by ``keys``, about ``room`` rows at a time."""
+    held, rows, wait = [], 0, room
+    for b in batches:
+        held += [b] if b.num_rows else []
+        rows += b.num_rows
+        if rows < wait:
+            continue
+        table = pa.Table.from_batches(held)
+        last = np.logical_and.reduce([(x := table[k].to_numpy()) == x[-1] for k in keys])
+        cut = 0 if last.all() else rows - int(np.argmin(last[::-1]))
+        wait = room if cut else 2 * rows  # one group so far
+        if cut:
+            yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), rows - cut
+    if rows:
+        yield pa.Table.from_batches(held)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import materialize
+from tramloom.llm.common import forget, materialize, spread_join
 
 
 def _stats(edges: DataFrame) -> tuple:
@@ -15,8 +15,8 @@ def _stats(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (u, v: long); the component is its least node.
 
-    A node's neighbours are never gathered: each round takes minima by a partial aggregate and joins them back, so that
-    a hot node only skews a sort-merge join, which adaptive execution splits. Every round is written to the shared folder.
+    A node's neighbours are never gathered: each round takes minima by a partial aggregate and joins them back, the rows
+    of a hot node in parts. Every round is written to the shared folder, and rounds that were read are deleted.
     """
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     before = None
@@ -25,15 +25,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u is not null")
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "cc-least")
         # large star: every larger neighbour of u is linked to the least of u and its neighbours
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = spread_join(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "cc")
+        forget(now), forget(least)
         # small star: u and its smaller neighbours are linked to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "cc-least")
+        moved = spread_join(large, low, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         now = materialize(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        forget(large), forget(low)
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     to = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.llm.bktree import Forest, find, unite
-from tramloom.llm.common import OWN, binary, gather, materialize, mix64, out, slices, text_hash
+from tramloom.llm.common import OWN, binary, col, materialize, mix64, slices, small, spread_join, text_hash, whole_groups, without
 from tramloom.llm.graph import components
 
 SEED = 42
@@ -56,9 +56,6 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-_PRINTS = pa.schema([("h", pa.int64()), ("fp", pa.int64())])
-
-
 def fingerprints(docs: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
     """(key, fp: the fingerprint as a signed long) of every row."""
     kind = docs.schema[key].dataType.simpleString()
@@ -91,37 +88,40 @@ def dealt(keyed: DataFrame, room: int, weight: Column) -> DataFrame:
     hot = keyed.groupBy("key").agg(F.sum(weight).alias("n")).where(F.col("n") > room).withColumn("parts", F.ceil(F.col("n") / room).cast("int")).select("key", "parts")
     parts = F.coalesce("parts", F.lit(1))
     part = F.pmod(F.xxhash64("item"), parts).cast("int")
-    rows = keyed.join(hot, "key", "left").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = keyed.join(small(materialize(hot, "hot-shards")), "key", "left").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     return rows.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("parts", "other")
 
 
+_GROUP = ("key", "low", "high")
+
+
 def sharded(keyed: DataFrame, shard: int = SHARD) -> DataFrame:
-    """keyed (key, item, ...) repartitioned so that any two items of a key meet in one task, in groups (key, low, high)."""
-    return dealt(keyed, shard, F.lit(1)).drop("part").repartition("key", "low", "high")
+    """keyed (key, item, ...) dealt such that any two items of a key meet in one task, in groups (key, low, high) one after the other."""
+    return dealt(keyed, shard, F.lit(1)).drop("part").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "item")
 
 
-def _grouped(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    """Sharded rows sorted by group and item, with their groups and items."""
-    with np.errstate(over="ignore"):
-        group = mix64(table["key"].to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (table["low"].to_numpy().astype(np.uint64) * np.uint64(1 << 20) + table["high"].to_numpy().astype(np.uint64)))
-    item = table["item"].to_numpy()
-    order = np.lexsort((item, group))
-    return table.take(order), group[order], item[order]
+def _numbered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A number for the group of each row, and the items, of rows sorted by group and item."""
+    columns = [table[c].to_numpy() for c in _GROUP]
+    return np.cumsum(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]), table["item"].to_numpy()
+
+
+def _forest(parent: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
+    root = find(parent, np.arange(len(item)))
+    linked = np.flatnonzero(root != np.arange(len(item)))
+    return pa.RecordBatch.from_arrays([pa.array(item[linked]), pa.array(item[root[linked]])], names=["u", "v"])
 
 
 def linker(radius: int):
     """For mapInArrow over sharded rows (key, low, high, item, fp): a spanning forest (u, v) of each group's links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (table := gather(batches)) is None:
-            return
-        table, group, item = _grouped(table)
-        parent = np.arange(len(item))
-        for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
-            unite(parent, a, b)
-        root = find(parent, np.arange(len(item)))
-        linked = np.flatnonzero(root != np.arange(len(item)))
-        yield pa.RecordBatch.from_arrays([pa.array(item[linked]), pa.array(item[root[linked]])], names=["u", "v"])
+        for table in whole_groups(batches, _GROUP, 5 * SHARD):
+            group, item = _numbered(table)
+            parent = np.arange(len(item))
+            for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
+                unite(parent, a, b)
+            yield _forest(parent, item)
 
     return run
 
@@ -130,21 +130,18 @@ def likeness_linker(radius: int, least: float):
     """As linker, for rows that carry a sketch: a spanning forest of the pairs within the radius that look alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (table := gather(batches)) is None:
-            return
-        table, group, item = _grouped(table)
-        sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
-        parent = np.arange(len(item))
-        for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
-            for at in range(0, len(a), 65536):
-                i, j = a[at : at + 65536], b[at : at + 65536]
-                apart = find(parent, i) != find(parent, j)
-                i, j = i[apart], j[apart]
-                alike = ((sketches[i] == sketches[j]).mean(1) * 256 - 1) / 255 >= least
-                unite(parent, i[alike], j[alike])
-        root = find(parent, np.arange(len(item)))
-        linked = np.flatnonzero(root != np.arange(len(item)))
-        yield pa.RecordBatch.from_arrays([pa.array(item[linked]), pa.array(item[root[linked]])], names=["u", "v"])
+        for table in whole_groups(batches, _GROUP, SHARD):
+            group, item = _numbered(table)
+            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+            parent = np.arange(len(item))
+            for a, b in Forest(table["fp"].to_numpy().view(np.uint64), group).pairs(radius):
+                for at in range(0, len(a), 65536):
+                    i, j = a[at : at + 65536], b[at : at + 65536]
+                    apart = find(parent, i) != find(parent, j)
+                    i, j = i[apart], j[apart]
+                    alike = ((sketches[i] == sketches[j]).mean(1) * 256 - 1) / 255 >= least
+                    unite(parent, i[alike], j[alike])
+            yield _forest(parent, item)
 
     return run
 
@@ -156,15 +153,16 @@ def keys(fp: Column, masks: list[int]) -> Column:
 def simhash_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """key, fingerprint (hex) and component_id (least key reachable over links of at most ``radius`` bits) of every row."""
     prints = materialize(fingerprints(docs, text, key, shingle), "simhash")
-    reps = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-distinct")
+    reps = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "simhash-distinct")
     masks = block_masks(radius, reps.count())
     keyed = reps.select(F.explode(keys(F.col("fp"), masks)).alias("key"), F.col("fp").alias("item"), "fp")
     edges = sharded(keyed, shard).mapInArrow(linker(radius), "u long, v long")
     found = components(edges)
-    names = found.join(reps, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("rep").alias("least"))
-    names = found.join(names, "component").select(F.col("node").alias("fp"), F.col("least"))
-    named = reps.join(names, "fp", "left").select("fp", F.when(F.col("least").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id"))
-    return prints.join(named, "fp").select(F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    names = found.join(reps, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("n"))
+    names = spread_join(found, materialize(names, "simhash-names"), "component", "n", by=["node"]).select(F.col("node").alias("fp"), F.col("least"))
+    named = reps.join(names, "fp", "left").select("fp", "n", F.when(F.col("least").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id"))
+    named = spread_join(prints, materialize(named, "simhash-named"), "fp", "n")
+    return named.select(F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 # --- near duplicates by similarity -------------------------------------------------------------------------------
@@ -217,15 +215,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                 sketch.append((least & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(item, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "th", "item", "fp", "n", "bands", "sketch"])
 
-    rows = materialize(docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text")).mapInArrow(run, schema), "near")
+    rows = materialize(docs.select(col(key).alias("id"), text_hash(col(text)).alias("th"), col(text).alias("text")).mapInArrow(run, schema), "near")
     items = rows.groupBy("item").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    copies = materialize(rows.groupBy("item").agg(F.count("*").alias("copies")), "near-copies")
     keyed = items.select(F.explode("bands").alias("key"), "item", "fp", "sketch")
-    live = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    found = sharded(keyed.join(live, "key"), shard).mapInArrow(likeness_linker(SIMILAR_RADIUS, similarity - DOUBT), "u long, v long")
-    groups = materialize(components(found).select(F.col("node").alias("item"), F.col("component").alias("key")), "near-groups")
-    source = docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text"))
+    live = materialize(rows.select("item", "bands").groupBy("item").agg(F.first("bands").alias("bands")).select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-bands")
+    found = sharded(spread_join(keyed, live, "key", "n", by=["item"]), shard).mapInArrow(likeness_linker(SIMILAR_RADIUS, similarity - DOUBT), "u long, v long")
+    groups = materialize(components(found).select(F.col("node").alias("item"), F.col("component").alias("key")).join(copies, "item"), "near-groups")
+    source = docs.select(col(key).alias("id"), text_hash(col(text)).alias("th"), col(text).alias("text"))
     found = components(settle(groups, rows.select("id", "th", "item", "fp", "n"), source, shingle, similarity, room))
-    return rows.select("id", "th", "item").join(found, F.col("item") == F.col("node"), "left").select(F.col("id").alias(key), "th", F.coalesce("component", "item").alias("class_id"))
+    found = materialize(found.join(copies, F.col("node") == F.col("item")).select("item", "component", "copies"), "near-classes")
+    return spread_join(rows.select("id", "th", "item"), found, "item", "copies", "left").select(F.col("id").alias(key), "th", F.coalesce("component", "item").alias("class_id"))
 
 
 def settle(groups: DataFrame, rows: DataFrame, source: DataFrame, shingle: int, similarity: float, room: int) -> DataFrame:
@@ -233,7 +233,7 @@ def settle(groups: DataFrame, rows: DataFrame, source: DataFrame, shingle: int,
 
     One row stands for each item, and its set is shuffled once, or once for each part of a group with more than ``room``.
     """
-    first = rows.join(groups, "item").groupBy("item", "key").agg(F.min(F.struct("th", "id", "fp", "n")).alias("r"))
+    first = spread_join(rows, groups, "item", "copies").groupBy("item", "key").agg(F.min(F.struct("th", "id", "fp", "n")).alias("r"))
     places = dealt(first.select("item", "key", F.col("r.th").alias("wth"), F.col("r.id").alias("wid"), F.col("r.fp").alias("fp"), F.col("r.n").alias("n")), room, F.col("n"))
     wanted = places.groupBy("item", "wth", "wid").agg(F.collect_list(F.struct("key", "low", "high", "part", "item", "fp")).alias("places")).drop("item")
     texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "places")
@@ -253,7 +253,7 @@ def settle(groups: DataFrame, rows: DataFrame, source: DataFrame, shingle: int,
             types = {"key": pa.int64(), "low": pa.int32(), "high": pa.int32(), "part": pa.int32(), "item": pa.int64(), "fp": pa.int64()}
             yield pa.RecordBatch.from_arrays([*[pa.array([x[c] for x in put], t) for c, t in types.items()], pa.array(held, pa.binary())], names=[*types, "held"])
 
-    return texts.mapInArrow(sets, schema).repartition("key", "low", "high").mapInArrow(set_linker(SIMILAR_RADIUS, similarity), "u long, v long")
+    return texts.mapInArrow(sets, schema).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "item").mapInArrow(set_linker(SIMILAR_RADIUS, similarity), "u long, v long")
 
 
 def set_linker(radius: int, similarity: float, room: int = SET_ROOM):
@@ -264,23 +264,22 @@ def set_linker(radius: int, similarity: float, room: int = SET_ROOM):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (table := gather(batches)) is None:
-            return
-        table, group, item = _grouped(table)
-        once = np.r_[True, (group[1:] != group[:-1]) | (item[1:] != item[:-1])]  # rows alike send a set again
-        table, group, item = table.filter(pa.array(once)), group[once], item[once]
-        fp, part = table["fp"].to_numpy().view(np.uint64), table["part"].to_numpy()
-        across = table["low"].to_numpy() != table["high"].to_numpy()
-        held = table["held"]
-        ends = np.r_[np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
-        low, size = 0, np.cumsum(pc.binary_length(held).to_numpy()) // 8
-        for n, high in enumerate(ends.tolist()):  # some whole groups at a time
-            if n + 1 < len(ends) and size[ends[n + 1] - 1] - (size[low - 1] if low else 0) <= room:
-                continue
-            some = slice(low, high)
-            u, v = _exact_links(fp[some], group[some], part[some], across[some], [np.frombuffer(x, np.uint64) for x in held[low:high].to_pylist()], radius, similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(item[some][u]), pa.array(item[some][v])], names=["u", "v"])
-            low = high
+        for table in whole_groups(batches, _GROUP, 1):
+            group, item = _numbered(table)
+            once = np.r_[True, (group[1:] != group[:-1]) | (item[1:] != item[:-1])]  # rows alike send a set again
+            table, group, item = table.filter(pa.array(once)), group[once], item[once]
+            fp, part = table["fp"].to_numpy().view(np.uint64), table["part"].to_numpy()
+            across = table["low"].to_numpy() != table["high"].to_numpy()
+            held = table["held"]
+            ends = np.r_[np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
+            low, size = 0, np.cumsum(pc.binary_length(held).to_numpy()) // 8
+            for n, high in enumerate(ends.tolist()):  # some whole groups at a time
+                if n + 1 < len(ends) and size[ends[n + 1] - 1] - (size[low - 1] if low else 0) <= room:
+                    continue
+                some = slice(low, high)
+                u, v = _exact_links(fp[some], group[some], part[some], across[some], [np.frombuffer(x, np.uint64) for x in held[low:high].to_pylist()], radius, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(item[some][u]), pa.array(item[some][v])], names=["u", "v"])
+                low = high
 
     return run
 
@@ -320,15 +319,16 @@ def _exact_links(fp: np.ndarray, group: np.ndarray, part: np.ndarray, across: np
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without near duplicates: of each class the row with the least key stays (null keys last), one of rows alike."""
-    classes = near_duplicates(docs, text, key, shingle, similarity)
-    best = classes.groupBy("class_id").agg(F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("th"))).alias("k")).select(F.col(f"k.{key}").alias(f"{OWN}id"), F.col("k.th").alias(f"{OWN}th"))
-    best = best.groupBy(f"{OWN}id", f"{OWN}th").agg(F.count("*").alias(f"{OWN}n"))
-    th = text_hash(F.col(text))
-    kept = docs.withColumn(f"{OWN}h", th).join(best, F.col(key).eqNullSafe(F.col(f"{OWN}id")) & (F.col(f"{OWN}h") == F.col(f"{OWN}th")), "left_semi")
+    classes = near_duplicates(without(docs), text, key, shingle, similarity)
+    ident = col(key)
+    best = classes.groupBy("class_id").agg(F.min(F.struct(ident.isNull().alias("none"), ident.alias("id"), "th")).alias("k")).select(F.col("k.id").alias(f"{OWN}id"), F.col("k.th").alias(f"{OWN}th"))
+    kept = docs.withColumn(f"{OWN}h", text_hash(col(text))).join(best.distinct(), ident.eqNullSafe(F.col(f"{OWN}id")) & (F.col(f"{OWN}h") == F.col(f"{OWN}th")), "left_semi")
     return one_of_alike(kept, key, f"{OWN}h").drop(f"{OWN}h")
 
 
 def one_of_alike(df: DataFrame, key: str, th: str) -> DataFrame:
     """One of the rows with equal key and hash, whatever their other columns."""
     rest = [c for c in df.columns if c not in (key, th)]
-    return df.groupBy(key, th).agg(*[F.first(F.struct(*rest)).alias(f"{OWN}r")]).select(key, *[F.col(f"{OWN}r.{c}").alias(c) for c in rest], th).select(*df.columns)
+    row = F.first(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(rest)])).alias(f"{OWN}r")
+    one = df.groupBy(col(key), col(th)).agg(row).select(col(key), col(th), *[F.col(f"{OWN}r.c{i}").alias(c) for i, c in enumerate(rest)])
+    return one.select(*map(col, df.columns))

@@ -5,15 +5,18 @@
    words, the union of its windows; a document of n words has about n / 14 of them, and only their hashes shuffle.
 2. Anchors whose hash occurs twice or more are suspected. Equal stretches are pre-aggregated to one with a count, so
    that groups of copies, however large, leave one stretch each.
-3. The words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
+3. An anchor with over HOT_KINDS kinds of stretches (the edge of a passage in very many contexts) is split: its windows
+   become stretches of their own, dealt by their whole hash, and those that occur once are left out. Equal windows still
+   meet, and no anchor brings more than HOT_KINDS stretches to an automaton.
+4. The words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
    bounded automata: all stretches of an anchor lie in one, and a shard is built, used and dropped in its own task.
    A broadcast of all automata would grow with the corpus; the shuffle by anchor sends each only what it can match.
-4. Stretches stream through the automaton; a position is repeated if its state for ``length`` words occurs more than
+5. Stretches stream through the automaton; a position is repeated if its state for ``length`` words occurs more than
    once, weighted by counts. Windows are owned once, so a place never counts twice.
-5. Repeated windows are joined back to all documents with the stretch and their words are removed.
+6. Repeated windows are joined back to all documents with the stretch and their words are removed.
 
 Defined results: a null or empty text has no words; rows alike repeat each other; documents shorter than ``length``
-lose nothing; an empty table gives an empty result.
+lose nothing; an empty table gives an empty result. Columns of the input named n_words or n_removed give way.
 """
 
 from __future__ import annotations
@@ -26,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.llm.automaton import SuffixAutomaton
-from tramloom.llm.common import OWN, binary, gather, materialize, mix64, slices
+from tramloom.llm.common import OWN, binary, col, materialize, mix64, slices, spread_join, whole_groups, without
 
 LENGTH = 35
 GRAM = 8
-#: Words of distinct stretches that one automaton takes; an anchor with more is dealt with its own automaton.
-SHARD_WORDS = 200_000
+#: Words of distinct stretches that one automaton takes, but for its last anchor; distinct stretches that an anchor may have.
+SHARD_WORDS, HOT_KINDS = 100_000, 1024
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEP_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -113,14 +116,43 @@ def _scan(length: int, gram: int, places: bool):
     return scan
 
 
+def _split(length: int):
+    """Each window of the stretches of hot anchors as a stretch of its own, by a hash of all its words."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 500):
+            row, anchor, content, at = [], [], [], []
+            for i, (t, wanted) in enumerate(zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True)):
+                words = t.split()
+                hashes = word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words)))
+                whole = np.zeros(len(words) - length + 1, np.uint64)
+                for k in range(length):
+                    whole = whole * _STEP + hashes[k : k + len(whole)]
+                for w in wanted:
+                    first, windows = w["place"] >> 5, w["place"] & 31
+                    own = whole[first : first + windows]
+                    row += [i] * windows
+                    anchor.append(mix64(own ^ np.uint64(w["anchor"] & (1 << 64) - 1)))
+                    content.append(mix64(own))
+                    at.append(np.arange(first, first + windows) << 5 | 1)
+            rows = pa.array(row, pa.int64())
+            join = lambda x: pa.array(np.concatenate(x).view(np.int64) if x else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([join(anchor), b.column("id").take(rows), b.column("th").take(rows), join(content), join(at)], names=["anchor", "id", "th", "content", "place"])
+
+    return split
+
+
 def _fetch(length: int):
     """The words of the stretches that a document was chosen to give."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for b in slices(batches, 500):
             cols: list[list] = [[], [], [], []]
             for t, wanted in zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True):
-                words = t.split()
+                if wanted == before:  # rows alike come one after the other
+                    continue
+                words, before = t.split(), wanted
                 for w in wanted:
                     cols[0].append(w["anchor"])
                     cols[1].append(w["content"])
@@ -139,47 +171,54 @@ def match_shard(texts: list[list[bytes]], counts: list[int], length: int) -> lis
 
 
 def _match(length: int, room: int):
+    """For mapInArrow over stretches sorted by anchor and content: (anchor, content, n, repeated) of those with repeated windows."""
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = gather(batches)
-        if table is None:
-            return
-        order = np.argsort(table["anchor"].to_numpy(), kind="stable")
-        anchors = table["anchor"].to_numpy()[order]
-        bounds = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1], True])
-        column, counts, contents = table["words"], table["n"].to_numpy(), table["content"].to_numpy()
-        shard: list[int] = []
-        held = 0
-        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            # rows alike (same id and text) give the same stretch more than once
-            own = {int(contents[i]): int(i) for i in order[low:high]}
-            shard += own.values()
-            held += len(own) * (2 * length)
-            if held < room and high < len(order):
-                continue
-            found = match_shard([column[i].as_py().split() for i in shard], [int(counts[i]) for i in shard], length)
-            hits = [(i, f) for i, f in zip(shard, found, strict=True) if f]
-            yield pa.RecordBatch.from_arrays([pa.array([int(table["anchor"][i].as_py()) for i, _ in hits], pa.int64()), pa.array([int(contents[i]) for i, _ in hits], pa.int64()), pa.array([f for _, f in hits], pa.list_(pa.int32()))], names=["anchor", "content", "repeated"])
-            shard, held = [], 0
+        for table in whole_groups(batches, ["anchor"], max(1, room // (2 * length))):
+            anchor, content = table["anchor"].to_numpy(), table["content"].to_numpy()
+            table = table.filter(pa.array(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]))  # rows alike give a stretch again
+            found = match_shard([x.split() for x in table["words"].to_pylist()], table["n"].to_pylist(), length)
+            hits = table.select(["anchor", "content", "n"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
+            yield from hits.append_column("repeated", pa.array([f for f in found if f], pa.list_(pa.int32()))).combine_chunks().to_batches()
 
     return match
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _kinds(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from"))
+
+
+def _of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents that wanted (wid, wth, wanted) names."""
+    return docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).drop("wid", "wth")
+
+
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words.
 
     The anchors alone are counted first, so that of all places only those of repeated anchors stay after the join.
     """
     assert length - gram < 32, "a place holds up to 31 windows"
     anchors = docs.select("text").mapInArrow(_scan(length, gram, False), "anchor long")
-    suspected = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th int, content long, place long"
-    rows = materialize(docs.mapInArrow(_scan(length, gram, True), shape).join(suspected, "anchor"), "stretches")
-    kinds = rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from"))
+    suspected = materialize(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content long, place long"
+    found = docs.mapInArrow(_scan(length, gram, True), shape)
+    rows = materialize(spread_join(found, suspected, "anchor", "n", by=["id", "th", "place"]), "stretches")
+    kinds = materialize(_kinds(rows), "stretch-kinds")
+    hot = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).where(F.col("kinds") > hot_kinds).select("anchor", "n"), "hot-anchors")
+    if not hot.isEmpty():
+        asked = spread_join(rows.select("anchor", "id", "th", "place"), hot, "anchor", "n")
+        asked = asked.groupBy(F.col("id").alias("wid"), F.col("th").alias("wth")).agg(F.collect_set(F.struct("anchor", "place")).alias("wanted"))
+        split = materialize(_of(docs, asked).mapInArrow(_split(length), shape), "split-stretches")
+        more = materialize(_kinds(split).where("n > 1"), "split-kinds")
+        split = spread_join(split, more.select("anchor", "content", "n"), ["anchor", "content"], "n")
+        rest = lambda df: df.join(hot.select("anchor"), "anchor", "left_anti")
+        rows, kinds = rest(rows).unionByName(split), rest(kinds).unionByName(more)
     wanted = kinds.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", F.col("from.place").alias("place"))).alias("wanted"))
-    giving = docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
-    shards = giving.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary")
-    found = shards.repartition("anchor").mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
-    hits = rows.select("id", "th", "anchor", "content", "place").join(found, ["anchor", "content"])
+    shards = _of(docs, wanted).mapInArrow(_fetch(length), "anchor long, content long, n long, words binary")
+    shards = shards.repartition("anchor").sortWithinPartitions("anchor", "content")
+    found = materialize(shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, n long, repeated array<int>"), "repeated-stretches")
+    hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n", by=["id", "th", "place"])
     hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.shiftright("place", 5).cast("int")).alias("at"))
     return hits.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("windows"))
 
@@ -196,18 +235,19 @@ def cut(words: list[bytes], windows: list[int] | None, length: int) -> tuple[lis
     return [words[i] for i in keep], len(words) - len(keep)
 
 
-def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """docs with text replaced by the kept words joined by one space, and n_words and n_removed added."""
     # one shuffle of the texts serves both joins, that which fetches stretches and that which cuts: the same columns by the same keys
-    th = F.hash(F.col(text))  # beside the id 32 bits are enough
+    docs = without(docs, "n_words", "n_removed")
+    th = F.xxhash64(col(text))
     rest = [c for c in docs.columns if c not in (key, text)]
-    keyed = docs.select(F.col(key).alias("id"), th.alias("th"), F.col(text).alias("text"))
-    own = repeated_windows(keyed, length, gram).select(F.col("id").alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"), F.col("windows").alias(f"{OWN}windows"))
-    source = docs.select(F.col(key).alias("id"), th.alias("th"), F.col(text).alias("text"), *[F.col(c).alias(f"{OWN}c{i}") for i, c in enumerate(rest)])
+    keyed = docs.select(col(key).alias("id"), th.alias("th"), col(text).alias("text"))
+    own = repeated_windows(keyed, length, gram, hot_kinds).select(F.col("id").alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th"), F.col("windows").alias(f"{OWN}windows"))
+    source = docs.select(col(key).alias("id"), th.alias("th"), col(text).alias("text"), *[col(c).alias(f"{OWN}c{i}") for i, c in enumerate(rest)])
     joined = source.join(own, F.col("id").eqNullSafe(F.col(f"{OWN}id")) & (F.col("th") == F.col(f"{OWN}th")), "left")
-    joined = joined.select(F.col("id").alias(key), F.col("text").alias(text), *[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(rest)], f"{OWN}windows").select(*docs.columns, f"{OWN}windows")
+    joined = joined.select(F.col("id").alias(key), F.col("text").alias(text), *[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(rest)], f"{OWN}windows").select(*map(col, docs.columns), f"{OWN}windows")
     names = docs.columns
-    shape = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long")
+    shape = docs.select("*").schema.add("n_words", "long").add("n_removed", "long")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
