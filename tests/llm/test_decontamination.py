@@ -50,9 +50,19 @@ def test_against_brute_force(spark, odd_rows):
     _against(spark, docs, items)
 
 
-def test_several_blocks_of_the_benchmark(spark, odd_rows):
+def test_hashes_in_parts_and_a_join_by_shuffle(spark, odd_rows):
     docs, items = _cases(odd_rows)
-    _against(spark, docs, items, block_bytes=500)
+    _against(spark, docs, items, hash_bytes=500, room=0)
+
+
+def test_very_frequent_words_and_passages(spark):
+    """A hot passage, windows of frequent words only, short items; also where one shingle stands in most documents."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(30))
+    items = [(1, passage), (2, "the cat " * 8), (3, "the the the the the the the the the the the"), (4, "the"), (5, "the cat"), (6, f"the {passage}")]
+    docs = [(i, " ".join(rng.choice(["the", "cat", "sat", passage]) for _ in range(40))) for i in range(60)]
+    _against(spark, docs, items)
+    _against(spark, docs, items, room=0)
 
 
 def test_empty_tables(spark, odd, nothing):

@@ -54,7 +54,22 @@ def test_mix_of_a_table_and_its_rerun(spark):
 
 
 def test_odd_rows(odd, nothing, odd_rows):
-    rows = mixing.mix_sources(odd.drop("size")).collect()
+    rows = mixing.mix_sources(odd).collect()
     assert len(rows) == len(odd_rows)
     assert all(r["taken"] == 0 for r in rows if r["size"] == 0) and all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
     assert mixing.mix_sources(nothing).collect() == []
+
+
+def test_rows_alike_are_numbered_and_taken_evenly(spark):
+    rows = [(None, "one two three", "a")] * 3000 + [(i, "w " * (i % 50), "ab"[i % 2]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.mix_sources(docs)
+    found = mix.collect()
+    assert len(found) == 5000
+    _check(found)
+    again = mixing.mix_sources(docs.repartition(5)).groupBy("doc_id", "copies").count().collect()
+    assert sorted(map(str, again)) == sorted(map(str, mix.groupBy("doc_id", "copies").count().collect()))
+    kept = mixing.take(docs)
+    assert kept.columns == ["doc_id", "text", "source", "size", "source_size", "target", "copies", "taken"]
+    assert kept.where("doc_id is null").agg({"copies": "sum"}).first()[0] == sum(r["copies"] for r in found if r["doc_id"] is None)
+    assert sum(r["taken"] for r in kept.collect()) == sum(r["taken"] for r in found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +74,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], n: str, how: str = "inner", by: Sequence[str] = ()) -> DataFrame:
-    """left joined with right (one row a key, with the number of left's rows in ``n``), no task getting a hot key whole.
+    """left joined with right (by key, with the number of left's rows of the key in ``n``), no task getting a hot key whole.
 
     A key with over twice the rows of an average partition is dealt into parts, and its row of right goes to each of
     them. Such keys are fewer than half the partitions, so their broadcast is bounded. Rows of left are dealt by a hash
@@ -84,7 +84,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], n:
     total = right.agg(F.sum(n)).first()[0] or 0
     room = max(1024, 2 * total // int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = F.ceil(F.col(n) / F.lit(room)).cast("int")
-    hot = F.broadcast(right.where(F.col(n) > room).select(*keys, parts.alias(f"{OWN}parts")))
+    hot = F.broadcast(right.where(F.col(n) > room).select(*keys, parts.alias(f"{OWN}parts")).distinct())
     deal = F.xxhash64(*by) if by else F.monotonically_increasing_id()
     left = left.join(hot, keys, "left").withColumn(f"{OWN}part", F.pmod(deal, F.coalesce(f"{OWN}parts", F.lit(1))).cast("int")).drop(f"{OWN}parts")
     right = right.withColumn(f"{OWN}part", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), parts - 1)))).drop(n)
@@ -112,6 +112,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], names: Sequence[str], added: dict[str, str]) -> DataFrame:
+    """mapInArrow that gives the columns ``names`` of df and ``added`` (name to type), whatever characters names have."""
+    every, result = df.columns, [*names, *added]
+    plain = df.toDF(*[f"c{i}" for i in range(len(every))])
+    shape = plain.select(*[f"c{every.index(c)}" for c in names]).schema
+    for i, kind in enumerate(added.values()):
+        shape = shape.add(f"a{i}", kind)
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(b.rename_columns(every) for b in batches):
+            yield b.rename_columns(shape.names)
+
+    return plain.mapInArrow(inner, shape).toDF(*result)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], room: int) -> Iterator[pa.Table]:
     """Tables of whole groups of a partition sorted by ``keys``, about ``room`` rows at a time."""
     held, rows, wait = [], 0, room

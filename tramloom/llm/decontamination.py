@@ -1,12 +1,14 @@
 """Benchmark decontamination by a prefix-filtered join of shingles.
 
-An item's windows of ``width`` consecutive words (one shorter window for a shorter item) must occur whole. For whole
-containment the necessary prefix of a window, with its words ordered by rarity in the corpus, is its rarest word, so
-a window is joined to a document only where that word stands. The word's place in the window fixes where the window
-would start (positional bound) and the document must have room for it (length bound); the words are then compared.
+An item's windows of ``width`` consecutive words (one shorter window for a shorter item) must occur whole. The tokens of
+a window are its shingles of GRAM words (of all its words, if fewer), ordered by their rarity in the corpus. For whole
+containment the necessary prefix is the rarest one, so a window is joined to a document only where that shingle stands.
+Its place in the window fixes where the window would start (positional bound), the document must have room for it (length
+bound), and then the words are compared.
 
-The benchmark side is taken in blocks of bounded size, each broadcast; nearly always there is one. Corpus counts
-cover all documents.
+Windows, rarity and join are made in Spark. Only hashes of shingles are broadcast, 8 bytes each and at most HASH_BYTES at
+once: with more, the documents are read once for each part. Corpus counts cover all documents, and a shingle that very
+many documents have is joined in parts.
 
 Defined results: null or wordless texts have no words and no hits; wordless items have no windows; a null item id
 still marks words but is not listed; repeated items each count by id; rows alike get like results.
@@ -14,127 +16,193 @@ still marks words but is not listed; repeated items each count by id; rows alike
 
 from __future__ import annotations
 
-import hashlib
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import binary, materialize, slices, text_hash
+from tramloom.llm.common import OWN, binary, col, materialize, mix64, slices, small, spread_join, text_hash
+from tramloom.llm.substrings import word_hashes
 
-WIDTH = 10
-#: Bytes of item texts that one broadcast block may hold, on average of a hash split.
-BLOCK_BYTES = 16_000_000
+WIDTH, GRAM = 10, 3
+#: Bytes of shingle hashes that one broadcast holds.
+HASH_BYTES = 32_000_000
 #: ASCII letters A-Z to lower case, other ASCII but digits and a-z to a space; bytes from 0x80 are parts of words.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def windows_of(items: Iterable[tuple[str | None, bytes]], width: int) -> dict[tuple[bytes, ...], set[str | None]]:
-    """Each window with the ids of the items that have it."""
-    found: dict[tuple[bytes, ...], set[str | None]] = defaultdict(set)
-    for name, text in items:
-        words = words_of(text)
-        for i in range(max(1, len(words) - width + 1) if words else 0):
-            found[tuple(words[i : i + width])].add(name)
-    return dict(found)
-
-
-def prefix_index(windows: dict[tuple[bytes, ...], set], counts: dict[bytes, int]) -> dict[bytes, list[tuple[int, list[bytes], list]]]:
-    """Windows by their rarest word, with its place in them; a window with a word that the corpus lacks is left out."""
-    index: dict[bytes, list] = defaultdict(list)
-    for window, names in windows.items():
-        if all(w in counts for w in window):
-            rarest = min(window, key=lambda w: (counts[w], w))
-            index[rarest].append((window.index(rarest), list(window), sorted(names, key=str)))
-    return dict(index)
-
-
-def occurrences(words: list[bytes], index: dict[bytes, list]) -> list[tuple[int, int, list]]:
-    """(start, length, item ids) of each window that occurs in words."""
-    if index.keys().isdisjoint(words):
-        return []
-    found, n = [], len(words)
-    for at, word in enumerate(words):
-        for place, window, names in index.get(word, ()):
-            start = at - place
-            if start >= 0 and start + len(window) <= n and words[start : start + len(window)] == window:
-                found.append((start, len(window), names))
-    return found
-
-
-def _count(shared):
+def grams(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` consecutive words, by the hashes of the words."""
+    n = max(0, len(hashes) - width + 1)
+    x = np.full(n, width, np.uint64)
+    for i in range(width):
+        x = x * _STEP + hashes[i : i + n]
+    return mix64(x)
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))) if words else np.empty(0, np.uint64)
+
+
+class Vocabulary:
+    """A set of 64-bit hashes, as a sorted array behind a table of their leading bits."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        self.known = known
+        self.lead = np.zeros(1 << 20, bool)
+        self.lead[known >> np.uint64(44)] = True
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are in the set, and the place of each there."""
+        some = np.flatnonzero(self.lead[h >> np.uint64(44)])
+        if not len(some):
+            return some, some
+        at = np.minimum(np.searchsorted(self.known, h[some]), len(self.known) - 1)
+        same = self.known[at] == h[some]
+        return some[same], at[same]
+
+
+def _windows(width: int):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 500):
+            item, held, tokens = [], [], []
+            for name, text in zip(b.column("item").to_pylist(), binary(b, "text"), strict=True):
+                words = words_of(text)
+                gram = min(GRAM, len(words), width)
+                own = grams(hashes_of(words), gram).view(np.int64) if words else []
+                for i in range(max(1, len(words) - width + 1) if words else 0):
+                    item.append(name)
+                    held.append([w.decode() for w in words[i : i + width]])
+                    tokens.append(own[i : i + len(held[-1]) - gram + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(held, pa.list_(pa.string())), pa.array(tokens, pa.list_(pa.int64()))], names=["item", "words", "tokens"])
+
+    return windows
+
+
+def _tokens(batch: pa.RecordBatch, widths: list[int]) -> tuple[list[list[bytes]], np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The words of each row, where each row's words begin, and (width, hashes, place of the first word) of all rows' shingles."""
+    words = [words_of(t) for t in binary(batch, "text")]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    row, hashes = np.repeat(np.arange(len(words)), sizes), hashes_of([w for own in words for w in own])
+    found = []
+    for width in widths:
+        inside = np.flatnonzero(row[: max(0, len(row) - width + 1)] == row[width - 1 :])
+        found.append((width, grams(hashes, width)[inside], inside))
+    return words, np.r_[0, np.cumsum(sizes)], found
+
+
+def _count(shared, widths: list[int]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total = shared.value, Counter()
-        for b in slices(batches, 1000):
-            for t in binary(b, "text"):
-                total.update(filter(vocabulary.__contains__, words_of(t)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+        vocabulary = Vocabulary(shared.value)
+        total = np.zeros(len(vocabulary.known), np.int64)
+        for b in slices(batches, 500):
+            for _, hashes, _ in _tokens(b, widths)[2]:
+                np.add.at(total, vocabulary.find(hashes)[1], 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(vocabulary.known[seen].view(np.int64)), pa.array(total[seen])], names=["token", "n"])
 
     return count
 
 
-def _scan(shared):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        for b in slices(batches, 1000):
-            n, starts, lengths, items = [], [], [], []
-            for t in binary(b, "text"):
-                words = words_of(t)
-                hits = occurrences(words, index)
-                n.append(len(words))
-                starts.append([h[0] for h in hits])
-                lengths.append([h[1] for h in hits])
-                items.append(sorted({x for h in hits for x in h[2] if x is not None}))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(n, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(lengths, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], names=["id", "th", "n_words", "starts", "lengths", "items"])
+_PLACES = "array<struct<token:bigint,at:int,low:int,around:array<string>>>"
 
-    return scan
 
+def _scan(shared, widths: list[int], width: int):
+    """For mapInArrow over documents: the number of words, and each place of a prefix shingle with the words around it."""
+    kind = pa.list_(pa.struct([("token", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("around", pa.list_(pa.string()))]))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(shared.value)
+        for b in slices(batches, 500):
+            words, begin, found = _tokens(b, widths)
+            places: list[list[dict]] = [[] for _ in words]
+            for gram, hashes, first in found:
+                hit, _ = vocabulary.find(hashes)
+                rows = np.searchsorted(begin, first[hit], "right") - 1
+                for i, at, token in zip(rows.tolist(), (first[hit] - begin[rows]).tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
+                    low = max(0, at - width + gram)
+                    places[i].append({"token": token, "at": at, "low": low, "around": [w.decode() for w in words[i][low : at + width]]})
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(map(len, words), pa.int64(), size=len(words)), pa.array(places, kind)], names=["id", "th", "n_words", "places"])
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        hit, count, digest = [], [], []
-        for n, starts, lengths, items in zip(*(b.column(c).to_pylist() for c in ("n_words", "starts", "lengths", "items")), strict=True):
-            marks = np.zeros(n + 1, np.int64)
-            np.add.at(marks, np.asarray(starts, np.int64), 1)
-            np.add.at(marks, np.asarray(starts, np.int64) + np.asarray(lengths, np.int64), -1)
-            hit.append(int((np.cumsum(marks)[:n] > 0).sum()) if starts else 0)
-            names = sorted(set(items))
-            count.append(len(names))
-            digest.append(hashlib.sha256(",".join(names).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("n_words"), pa.array(hit, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array([h > 0 for h in hit], pa.bool_()), b.column("items")], names=["id", "th", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"])
+    return scan
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """key, th, n_words, n_hit, n_items, items_sha256, contaminated and items of every row of docs."""
-    sc = docs.sparkSession.sparkContext
+def _parts(tokens: DataFrame, hash_bytes: int) -> Iterator:
+    """Broadcasts of the tokens (materialized, one column) as sorted arrays, each of about ``hash_bytes`` at most."""
+    parts = max(1, -(-8 * tokens.count() // hash_bytes))
+    for i in range(parts):
+        own = tokens.where(F.pmod(F.xxhash64("token"), F.lit(parts)) == i).toArrow()["token"].to_numpy()
+        yield tokens.sparkSession.sparkContext.broadcast(np.sort(own.astype(np.int64).view(np.uint64)))
+
+
+def prefix_windows(source: DataFrame, items: DataFrame, width: int, hash_bytes: int = HASH_BYTES) -> tuple[DataFrame, list[int]]:
+    """(token, n, place, words, items) of each window that can occur: its rarest shingle and how often the corpus has that; and the widths of shingles."""
+    every = items.mapInArrow(_windows(width), "item string, words array<string>, tokens array<long>")
+    windows = materialize(every.groupBy("words").agg(F.first("tokens").alias("tokens"), F.collect_set("item").alias("items")), "windows")
+    each = windows.select("words", F.size("tokens").alias("many"), F.posexplode("tokens").alias("place", "token"))
+    tokens = materialize(each.groupBy("token").agg(F.count("*").alias("own")), "tokens")
+    widths = sorted(r[0] for r in windows.select(F.least(F.lit(GRAM), F.size("words"))).distinct().collect())
+    counted = None
+    for part in _parts(tokens.select("token"), hash_bytes):
+        own = source.select("text").mapInArrow(_count(part, widths), "token long, n long")
+        counted = own if counted is None else counted.unionByName(own)
+    counts = materialize(counted.groupBy("token").agg(F.sum("n").alias("n")).join(tokens, "token"), "token-counts")
+    met = spread_join(each, counts, "token", "own", by=["words", "place"])
+    least = met.groupBy("words").agg(F.min(F.struct("n", "token", "place")).alias("least"), F.count("*").alias("met"), F.first("many").alias("many")).where("met = many")
+    found = least.join(windows.select("words", "items"), "words").select("least.token", "least.n", "least.place", "words", "items")
+    return materialize(found, "prefixes"), widths
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", width: int = WIDTH, hash_bytes: int = HASH_BYTES, room: int | None = None) -> DataFrame:
+    """key, th, n_words, n_hit, n_items, items_sha256, contaminated and items of every row of docs. th is text_hash(text)."""
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(key).alias("id"), text_hash(text).alias("th"), F.col(text).alias("text"))
-    items = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, raw = size // block_bytes + 1, None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
-        windows = windows_of(((r["id"], (r["text"] or "").encode()) for r in own.toLocalIterator()), width)
-        vocabulary = sc.broadcast({w for window in windows for w in window})
-        counted = source.select("text").mapInArrow(_count(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        counts = {bytes(r["word"]): r["n"] for r in counted.toLocalIterator()}
-        found = source.mapInArrow(_scan(sc.broadcast(prefix_index(windows, counts))), f"id {kind}, th long, n_words long, starts array<int>, lengths array<int>, items array<string>")
-        raw = found if raw is None else raw.unionByName(found)
-    if blocks > 1:
-        # rows alike get the same lists, so more of them in a group change nothing but need a row each
-        merged = materialize(raw, "hits").groupBy("id", "th").agg(F.first("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "lengths", "items")], (F.count("*") / blocks).cast("int").alias("times"))
-        raw = merged.withColumn("times", F.explode(F.sequence(F.lit(1), "times"))).drop("times")
-    return raw.mapInArrow(_digest, f"id {kind}, th long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>").withColumnRenamed("id", key)
+    source = docs.select(col(key).alias("id"), text_hash(col(text)).alias("th"), col(text).alias("text"))
+    items = benchmark.select(col(item).cast("string").alias("item"), col(item_text).alias("text"))
+    prefixes, widths = prefix_windows(source, items, width, hash_bytes)
+    base = places = None
+    for part in _parts(materialize(prefixes.select("token").distinct(), "prefix-tokens"), hash_bytes):
+        rows = materialize(source.mapInArrow(_scan(part, widths, width), f"id {kind}, th long, n_words long, places {_PLACES}"), "places")
+        base = rows.select("id", "th", "n_words") if base is None else base
+        own = rows.select("id", "th", F.inline("places"))
+        places = own if places is None else places.unionByName(own)
+    few = small(prefixes) if room is None else small(prefixes, size=room)
+    met = places.join(few.drop("n"), "token") if few is not prefixes else spread_join(places, prefixes, "token", "n", by=["id", "th", "at"])
+    # the window's start among the words around, and what it would cover
+    start, size = F.col("at") - F.col("low") - F.col("place"), F.size("words")
+    fits = (start >= 0) & (start + size <= F.size("around"))
+    met = met.where(fits).where(F.slice("around", F.when(start >= 0, start + 1).otherwise(1), size) == F.col("words"))
+    spans = F.array_sort(F.collect_set(F.struct((F.col("at") - F.col("place")).alias("start"), size.alias("size"))))
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items"))))
+    hits = materialize(met.groupBy(F.col("id").alias("hit_id"), F.col("th").alias("hit_th")).agg(spans.alias("spans"), names.alias("names")), "hits")
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+
+    def cover(acc, span):
+        end = span["start"] + span["size"]
+        return F.struct(F.greatest(acc["end"], end).alias("end"), (acc["n"] + F.greatest(F.lit(0), end - F.greatest(acc["end"], span["start"]))).alias("n"))
+
+    joined = base.join(small(hits), F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left")
+    listed = F.coalesce("names", F.array().cast("array<string>"))
+    return joined.select(
+        F.col("id").alias(key),
+        "th",
+        "n_words",
+        F.coalesce(F.aggregate("spans", zero, cover, lambda acc: acc["n"]), F.lit(0)).cast("long").alias("n_hit"),
+        F.size(listed).cast("long").alias("n_items"),
+        F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
+        F.col("spans").isNotNull().alias("contaminated"),
+        listed.alias("items"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH) -> DataFrame:
     """docs without those in which a benchmark window occurs."""
-    bad = contamination(docs, benchmark, text, key, width=width).where("contaminated").select(F.col(key).alias("__tl_id"), F.col("th").alias("__tl_th")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__tl_id")) & (text_hash(F.col(text)) == F.col("__tl_th")), "left_anti")
+    found = contamination(docs, benchmark, text, key, width=width).where("contaminated")
+    bad = small(materialize(found.select(col(key).alias(f"{OWN}id"), F.col("th").alias(f"{OWN}th")).distinct(), "contaminated"))
+    return docs.join(bad, col(key).eqNullSafe(F.col(f"{OWN}id")) & (text_hash(col(text)) == F.col(f"{OWN}th")), "left_anti")

@@ -1,24 +1,32 @@
 """Main text of web pages by consensus host paths.
 
 Each page's containers are scored by the text of their paragraphs; the page votes for the generalised tag-class path of
-its best one. Votes are counted per host, and every page is extracted again with the first of its host's paths, in the
-order of votes, that it has. A page with none of them uses its own best container, and a page without any its body.
+its best one. Votes are counted per host and weighed by the pages that have the path at all, so that what stands on every
+page and wins on a few loses to what wins wherever it stands. Every page is extracted again with that of its own paths
+which has the highest share of votes. A page with no voted path uses its own best container, and a page without any its body. A path has
+all class names of its tags, in order, with digits generalised. Of all votes, up to PATH_BYTES go to every task; beyond
+it pages' paths are joined with them by shuffles, with the same result.
 
 Defined results: a null or empty html gives an empty text; pages without a host share one host; rows alike vote each;
-a tie of votes goes to the path that sorts first; an unclosed comment, tag or raw-text element ends with the page.
+a tie goes to the path that sorts first; an unclosed comment, tag or raw-text element ends with the page.
+Columns of the input named main_text or n_chars give way.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import materialize, slices, small
+from tramloom.llm.common import OWN, col, materialize, slices, spread_join, without
+
+#: Bytes of voted paths that go to every task.
+PATH_BYTES = 8_000_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|<[a-zA-Z/!?][^<>]*+\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
@@ -175,7 +183,7 @@ class Page:
                 elif tag not in ("html", "body", "main"):
                     skip = skip or bool(_BOILERPLATE.intersection(words)) or bool(_HEADER.intersection(words)) and not re.search(r"(^|>)(article|main)", above) and "article" not in words and "entry" not in words
                 if name == "class":
-                    kind = "." + ".".join(sorted(re.sub(r"\d+", "#", w) for w in value.split())[:3]) if value.split() else ""
+                    kind = "." + ".".join(sorted({re.sub(r"\d+", "#", w) for w in value.split()})) if value.split() else ""
         return skip, kind
 
     def best(self) -> str | None:
@@ -193,44 +201,78 @@ class Page:
                 covered = high
         return " ".join(" ".join(pieces).split()) or None
 
-    def main_text(self, paths: list[str]) -> str:
-        for path in paths:
+    def main_text(self, shares: dict[str, float]) -> str:
+        for path in sorted({p for p in self.paths if p in shares}, key=lambda p: (-shares[p], p)):
             if found := self.text_of(path):
                 return found
         own = self.best()
         return (self.text_of(own) if own else None) or " ".join("".join(self.parts).split())
 
 
-def host_of(url):
-    return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+def host_of(url: str):
+    return F.lower(F.regexp_extract(F.coalesce(col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each host's paths, in some pages at a time: the pages that have it, and those that vote for it."""
+    for b in slices(batches, 200):
+        have, best = Counter(), Counter()
+        for host, x in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
+            page = Page(x or "")
+            have.update((host, p) for p in set(page.paths))
+            if found := page.best():
+                best[host, found] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in have], pa.string()), pa.array([k[1] for k in have], pa.string()), pa.array([best[k] for k in have], pa.int64()), pa.array(list(have.values()), pa.int64())], names=["host", "path", "n", "pages"])
+
+
+def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, path, pages, share) of each path that a host's pages voted for; one page more in the share makes many votes count more."""
+    seen = pages.select(host_of(url).alias("host"), col(html).alias("html")).mapInArrow(_vote, "host string, path string, n long, pages long")
+    voted = seen.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")).where("n > 0")
+    return materialize(voted.select("host", "path", "pages", (F.col("n") / (F.col("pages") + 1)).alias("share")), "host-paths")
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct paths of each page that have a text."""
     for b in slices(batches, 200):
-        found = [Page(x or "").best() for x in b.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(found, pa.string())], names=["host", "path"])
+        rows, paths = [], []
+        for i, x in enumerate(b.column("html").to_pylist()):
+            page = Page(x or "")
+            own = [p for p in dict.fromkeys(page.paths) if page.text_of(p)]
+            rows += [i] * len(own)
+            paths += own
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column("host").take(at), b.column("h").take(at), pa.array(paths, pa.string())], names=["host", "h", "path"])
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html", paths: int = 16) -> DataFrame:
-    """(host, paths): the paths that a host's pages voted for, by votes; a page without any of them has its own best."""
-    votes = pages.select(host_of(url).alias("host"), F.col(html).alias("html")).mapInArrow(_vote, "host string, path string")
-    counted = votes.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("n"))
-    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "path"))).where(F.col("place") <= paths)
-    listed = ranked.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
-    return materialize(listed, "host-paths")
+def _chosen(rows: DataFrame, votes: DataFrame) -> DataFrame:
+    """rows (host, h: a hash of the page, html) with that path of each page which has the highest share, where there is one."""
+    held = materialize(rows.select("host", "h", "html").mapInArrow(_held, "host string, h long, path string"), "page-paths")
+    first = spread_join(held, votes, ["host", "path"], "pages").groupBy("host", "h").agg(F.min(F.struct(-F.col("share"), "path")).alias("first"))
+    return rows.join(first.select("host", "h", F.col("first.path").alias("path")), ["host", "h"], "left")
 
 
-def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", path_bytes: int = PATH_BYTES) -> DataFrame:
     """pages with html replaced by main_text and n_chars; all rows and other columns stay."""
+    pages = without(pages, "main_text", "n_chars")
     names = [c for c in pages.columns if c != html]
-    rows = pages.withColumn("__tl_host", host_of(url))
-    known = host_paths(pages, url, html).select(F.col("host").alias("__tl_h"), F.col("paths").alias("__tl_paths"))
-    joined = rows.join(small(known), F.col("__tl_host") == F.col("__tl_h"), "left").select(*names, html, "__tl_paths")
-    shape = pages.select(*names).schema.add("main_text", "string").add("n_chars", "long")
+    votes = host_paths(pages, url, html)
+    few = (votes.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 8)).first()[0] or 0) <= path_bytes
+    rows = pages.select(*[col(c).alias(f"{OWN}{i}") for i, c in enumerate(names)], host_of(url).alias("host"), F.xxhash64(col(html)).alias("h"), col(html).alias("html"))
+    known: dict[str, dict[str, float]] = {}
+    if few:
+        for r in votes.toLocalIterator():
+            known.setdefault(r["host"], {})[r["path"]] = r["share"]
+        rows = rows.withColumn("path", F.lit(None).cast("string"))
+    else:
+        rows = _chosen(rows, votes)
+    shared = pages.sparkSession.sparkContext.broadcast(known)
+    shape = pages.select(*map(col, names)).schema.add("main_text", "string").add("n_chars", "long")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 200):
-            found = [Page(x or "").main_text(p or []) for x, p in zip(b.column(html).to_pylist(), b.column("__tl_paths").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(found, pa.string()), pa.array(map(len, found), pa.int64(), size=len(found))], names=[*names, "main_text", "n_chars"])
+            hosts, own = (b.column(c).to_pylist() for c in ("host", "path"))
+            found = [Page(x or "").main_text({p: 1} if p else shared.value.get(h, {})) for x, h, p in zip(b.column("html").to_pylist(), hosts, own, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[b.column(f"{OWN}{i}") for i in range(len(names))], pa.array(found, pa.string()), pa.array(map(len, found), pa.int64(), size=len(found))], names=[*names, "main_text", "n_chars"])
 
-    return joined.mapInArrow(extract, shape)
+    return rows.mapInArrow(extract, shape)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import OWN, binary, col, materialize, slices, spread_join, text_hash, without
+from tramloom.llm.common import OWN, binary, col, map_rows, materialize, slices, spread_join, text_hash, without
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -194,7 +194,6 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     own = repeated_lines(docs, text, key, min_chars, min_docs, filter_bytes, bits).select(*[F.col(c).alias(OWN + c) for c in ("id", "th", "drops")])
     joined = docs.join(own, col(key).eqNullSafe(F.col(f"{OWN}id")) & (text_hash(col(text)) == F.col(f"{OWN}th")), "left").drop(f"{OWN}id", f"{OWN}th")
     names = docs.columns
-    shape = docs.select(*map(col, names)).schema.add(counts[0], "long").add(counts[1], "long")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1000):
@@ -208,4 +207,4 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
             new = pa.array(kept, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([*[new if c == text else b.column(c) for c in names], pa.array(n, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, *counts])
 
-    return joined.mapInArrow(rewrite, shape)
+    return map_rows(joined, rewrite, names, dict.fromkeys(counts, "long"))

@@ -8,7 +8,7 @@ apart from each other, leave two undecided documents each, and those fly again t
 at the end is solved by trying all outcomes of at most ``landing`` + 2 documents.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own, ranked last;
-rows alike are mixed one by one; an empty table gives an empty result. Further columns are left out here.
+rows alike are numbered and mixed one by one; an empty table gives an empty result. Further columns are left out here.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import materialize, n_words, small
+from tramloom.llm.common import OWN, col, materialize, n_words, small, without
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3.0
@@ -120,7 +120,10 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     each, so that a source with a third of all rows is spread like any other.
     """
     spark = docs.sparkSession
-    base = materialize(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), n_words(text).alias("size"), F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("order")), "mix-sizes")
+    base = docs.select(col(key).alias("id"), col(source).alias("source"), n_words(col(text)).alias("size"), F.xxhash64(col(key), col(text), F.lit(seed)).alias("mix_key"))
+    alike = base.groupBy(*base.columns).agg(F.count("*").alias("n"))
+    number = F.explode(F.sequence(F.lit(1), "n")).alias("number")  # rows alike go to shards of their own choice
+    base = materialize(alike.select(*base.columns, number).select(*base.columns, F.when(F.col("number") == 1, F.col("mix_key")).otherwise(F.xxhash64("mix_key", "number")).alias("order")), "mix-sizes")
     totals = [(r["source"], r["size"], r["n"]) for r in base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).toLocalIterator()]
     targets = source_targets({s: n for s, n, _ in totals}, weights, max_repeat)
     known = spark.createDataFrame([(s, n, targets[s], rows) for s, n, rows in totals], f"src {base.schema['source'].dataType.simpleString()}, source_size long, target double, n long")
@@ -145,4 +148,21 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     state = state.withColumn("shard", F.lit(0).cast("long"))
     done = done.unionByName(state.groupBy("source", "shard").applyInArrow(_decide(seed, True), state.schema))
     copies = F.col("whole") + F.round("prob").cast("long")
-    return done.select(F.col("id").alias(key), F.col("source").alias(source), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), F.col("order").alias("mix_key"))
+    return done.select(F.col("id").alias(key), F.col("source").alias(source), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "mix_key")
+
+
+def take(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """The documents that the mix takes, whole, with size, source_size, target, copies and taken.
+
+    Of rows alike the copies go to as many rows as there are, as evenly as whole copies allow. Columns of the input
+    named like the five give way to them.
+    """
+    docs = without(docs, "size", "source_size", "target", "copies", "taken")
+    seed = options.get("seed", 17)
+    chosen = mix_sources(docs, text, key, source, **options).groupBy(F.col("mix_key").alias(f"{OWN}mix"))
+    chosen = chosen.agg(F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("copies").alias(f"{OWN}all"), F.count("*").alias(f"{OWN}n")).where(f"{OWN}all > 0")
+    joined = docs.withColumn(f"{OWN}mix", F.xxhash64(col(key), col(text), F.lit(seed))).join(chosen, f"{OWN}mix")
+    number = F.row_number().over(Window.partitionBy(f"{OWN}mix").orderBy(f"{OWN}mix"))
+    joined = joined.withColumn("copies", F.expr(f"{OWN}all div {OWN}n") + (number <= F.col(f"{OWN}all") % F.col(f"{OWN}n")).cast("long"))
+    joined = joined.where("copies > 0").withColumn("taken", F.col("copies") * F.col("size"))
+    return joined.select(*map(col, docs.columns), "size", "source_size", "target", "copies", "taken")

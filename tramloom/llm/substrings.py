@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.llm.automaton import SuffixAutomaton
-from tramloom.llm.common import OWN, binary, col, materialize, mix64, slices, spread_join, whole_groups, without
+from tramloom.llm.common import OWN, binary, col, map_rows, materialize, mix64, slices, spread_join, whole_groups, without
 
 LENGTH = 35
 GRAM = 8
@@ -247,7 +247,6 @@ def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", l
     joined = source.join(own, F.col("id").eqNullSafe(F.col(f"{OWN}id")) & (F.col("th") == F.col(f"{OWN}th")), "left")
     joined = joined.select(F.col("id").alias(key), F.col("text").alias(text), *[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(rest)], f"{OWN}windows").select(*map(col, docs.columns), f"{OWN}windows")
     names = docs.columns
-    shape = docs.select("*").schema.add("n_words", "long").add("n_removed", "long")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
@@ -262,4 +261,4 @@ def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", l
             new = pa.array(kept, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([*[new if c == text else b.column(c) for c in names], pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_words", "n_removed"])
 
-    return joined.mapInArrow(rewrite, shape)
+    return map_rows(joined, rewrite, names, {"n_words": "long", "n_removed": "long"})

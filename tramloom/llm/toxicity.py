@@ -4,18 +4,19 @@ A word's input is its hashed vector beside the mean of its hashed character trig
 without white space (unspaced scripts, glued words) is read as overlapping pieces, each a place of its own with trigrams
 only, so that nothing of it is left out and no input grows with it. Documents are scored by
 overlapping windows of WINDOW words, STRIDE apart, over the whole text; a document's score is its highest window's.
-Training takes a bounded sample of labelled documents (``sample`` rows, with whole texts): of a toxic document the
-window that looks most toxic, of a clean one a random window and the one that looks most toxic.
+Training takes a bounded sample of labelled documents: at most ``sample`` rows, one for each id, with whole texts of at
+most ``sample_bytes`` together. Of a toxic document it takes the window that looks most toxic, of a clean one a random
+window and the one that looks most toxic.
 
 Defined results: texts without words (null, empty) score what a window without words scores; labels that are null
 or whose document is missing are not used; a document labelled both ways counts as toxic; with no labels, or labels
-of one kind only, every score is the share of toxic ones (0 without any).
+of one kind only, every score is the share of toxic ones (0 without any). A column of the input named like the score
+gives way to it.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +25,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import OWN, binary, slices
+from tramloom.llm.common import OWN, binary, col, map_rows, mix64, slices, without
 from tramloom.llm.recurrent import Adam, Params, backward, forward, new_params
 
-#: Labelled rows that the training takes at most, a half of each kind at most.
-SAMPLE = 3000
-WINDOW, STRIDE = 32, 24
+#: Labelled rows that the training takes at most, a half of each kind at most, and bytes of their texts together.
+SAMPLE, SAMPLE_BYTES = 3000, 64_000_000
+#: Windows stand half a window apart, so that any passage of up to 16 words lies whole in one.
+WINDOW, STRIDE = 32, 16
 WORDS, GRAMS, WIDTH, HIDDEN, ATTENTION = 8192, 4096, 10, 10, 8
 EPOCHS, BATCH = 8, 64
 #: Bytes of the longest word that is one input; of a longer one, pieces of PIECE bytes stand PIECE_STEP apart.
@@ -63,37 +65,27 @@ def _edge(word: bytes, at: int) -> int:
     return low
 
 
-class Trigrams(dict):
-    """Buckets of character trigrams, kept as they come up."""
-
-    def __missing__(self, gram: bytes) -> int:
-        if len(self) > 1 << 18:
-            self.clear()
-        bucket = self[gram] = xxhash.xxh3_64_intdigest(gram) % GRAMS
-        return bucket
-
-
-_trigrams = Trigrams()
-
-
 class Features:
     """Word buckets and character trigram buckets of many words, in flat arrays: the trigrams of word i are many[i] long."""
 
     def __init__(self, words: list[bytes]) -> None:
-        buckets, flat, many = np.empty(len(words), np.int32), array("h"), np.empty(len(words), np.int32)
-        digest, known = xxhash.xxh3_64_intdigest, _trigrams
+        buckets, edged = np.empty(len(words), np.int32), []
+        digest = xxhash.xxh3_64_intdigest
         for n, word in enumerate(words):
             if word[:1] == b" ":
-                word, edged = b" ", word[1:].lower()
+                word, whole = b" ", word[1:].lower()
             else:
                 word = word.lower().strip(_STRIP)
-                edged = b"^" + word + b"$"
+                whole = b"^" + word + b"$"
             buckets[n] = digest(word) % WORDS
-            before = len(flat)
-            flat.extend([known[edged[i : i + 3]] for i in range(max(1, len(edged) - 2))])
-            many[n] = len(flat) - before
-        self.words, self.grams, self.many = buckets, np.frombuffer(flat, np.int16) if flat else np.empty(0, np.int16), many
-        self.starts = np.r_[0, np.cumsum(many)[:-1]].astype(np.int64) if len(words) else np.empty(0, np.int64)
+            edged.append(whole if len(whole) > 2 else whole.ljust(3))
+        sizes = np.fromiter(map(len, edged), np.int64, len(edged))
+        data = np.frombuffer(b"".join(edged), np.uint8).astype(np.uint64)
+        self.words, self.many = buckets, (sizes - 2).astype(np.int32)
+        self.starts = np.cumsum(self.many, dtype=np.int64) - self.many
+        first = np.repeat(np.cumsum(sizes) - sizes - self.starts, self.many) + np.arange(self.many.sum())
+        codes = data[first] << np.uint64(16) | data[first + 1] << np.uint64(8) | data[first + 2] if len(first) else np.empty(0, np.uint64)
+        self.grams = (mix64(codes) % np.uint64(GRAMS)).astype(np.int16)
 
     def grams_of(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The trigrams of some words one after the other, and how many each has."""
@@ -115,8 +107,9 @@ class Inputs:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.todo: list[bytes] = []
-        self.xf = np.zeros((1, 3 * HIDDEN), np.float32)
-        self.xb = np.zeros((1, 3 * HIDDEN), np.float32)
+        self.used = 1
+        self.xf = np.zeros((4096, 3 * HIDDEN), np.float32)
+        self.xb = np.zeros((4096, 3 * HIDDEN), np.float32)
 
     def numbers(self, words: list[bytes]) -> list[int]:
         known = self.number
@@ -131,12 +124,15 @@ class Inputs:
 
     def add(self, found: Features, room: int = 20_000) -> None:
         """Inputs of more words, in both directions, some words at a time."""
-        new = [[self.xf], [self.xb]]
+        end = self.used + len(found.words)
+        if end > len(self.xf):
+            self.xf, self.xb = (np.concatenate([x[: self.used], np.zeros((2 * end - self.used, 3 * HIDDEN), np.float32)]) for x in (self.xf, self.xb))
         for at in range(0, len(found.words), room):
             x = vectors(self.p, found, np.arange(at, min(len(found.words), at + room)))
-            for d, rows in zip("fb", new, strict=True):
-                rows.append(x @ self.p[f"W{d}"] + self.p[f"c{d}"])
-        self.xf, self.xb = (np.concatenate(rows) for rows in new)
+            low = self.used + at
+            self.xf[low : low + len(x)] = x @ self.p["Wf"] + self.p["cf"]
+            self.xb[low : low + len(x)] = x @ self.p["Wb"] + self.p["cb"]
+        self.used = end
 
     def project(self) -> tuple[np.ndarray, np.ndarray]:
         if self.todo:
@@ -199,7 +195,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     for epoch in range(epochs):
         if epoch >= 2:
             inputs = Inputs(p)
-            inputs.xf, inputs.xb = inputs.xf[:0], inputs.xb[:0]
+            inputs.used = 0  # the first of found is no word
             inputs.add(found)
             every = window_logits(p, inputs, np.concatenate(parts))
             looks = np.split(every, np.cumsum([len(x) for x in parts])[:-1])
@@ -237,32 +233,45 @@ def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, sample: int) -> tuple[list[bytes], list[int]]:
-    """A bounded sample by the order of a hash, half toxic at most; labels of held-out rows are left out."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(key).agg(F.max("toxic").alias(f"{OWN}y"))
-    known = known.join(docs.select(key).distinct(), key, "left_semi")
-    ids = [r for y in (1, 0) for r in known.where(F.col(f"{OWN}y") == y).orderBy(F.xxhash64(key), key).limit(sample // 2).collect()]
+def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, sample: int, sample_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int]]:
+    """A bounded sample by the order of a hash, half toxic at most; labels of held-out rows are left out.
+
+    Of rows with one id the text with the least hash is taken. A text for which the bytes don't suffice is passed over.
+    """
+    ident = col(key)
+    known = labels.where(F.col("toxic").isNotNull() & ident.isNotNull() & ~held_out(ident)).groupBy(ident.alias("id")).agg(F.max("toxic").alias("y"))
+    known = known.join(docs.select(ident.alias("id")).distinct(), "id", "left_semi")
+    ids = [r for y in (1, 0) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample // 2).collect()]
     if not ids:
         return [], []
-    chosen = docs.sparkSession.createDataFrame(ids, known.schema)
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()
-    rows = sorted({(str(r[0]), r[1] or "", int(r[2])) for r in rows})
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, known.schema))
+    own = docs.select(ident.alias("id"), F.coalesce(col(text), F.lit("")).alias("text")).join(chosen, "id")
+    one = F.min(F.struct(F.xxhash64("text"), F.octet_length("text").alias("size"))).alias("least")
+    room, wanted = sample_bytes, []
+    for r in sorted(own.groupBy("id", "y").agg(one).collect(), key=lambda r: (r["least"][0], r["id"])):
+        if r["least"]["size"] <= room:
+            room -= r["least"]["size"]
+            wanted.append((r["id"], r["least"][0]))
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(wanted, f"id {known.schema['id'].dataType.simpleString()}, least long"))
+    rows = own.join(wanted, "id").where(F.xxhash64("text") == F.col("least")).groupBy("id", "y").agg(F.min("text").alias("text")).collect()
+    rows = sorted((str(r["id"]), r["text"], int(r["y"])) for r in rows)
     return [r[1].encode() for r in rows], [r[2] for r in rows]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """docs with score (0 to 1) added; all rows and columns stay."""
+def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE, score: str = "score") -> DataFrame:
+    """docs with a score (0 to 1) added; all rows and columns stay."""
+    docs = without(docs, score)
     texts, marks = training_rows(docs, labels, text, key, sample)
     share = sum(marks) / len(marks) if marks else 0.0
     if not 0 < share < 1:
-        return docs.withColumn("score", F.lit(share))
+        return docs.withColumn(score, F.lit(share))
     shared = docs.sparkSession.sparkContext.broadcast(train(texts, marks))
-    names = docs.columns
+    names = [*docs.columns, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         inputs = Inputs(p)
         for b in slices(batches, 64):
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_texts(p, inputs, binary(b, text)), pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_texts(p, inputs, binary(b, text)), pa.float64())], names=names)
 
-    return docs.mapInArrow(run, docs.select(*names).schema.add("score", "double"))
+    return map_rows(docs, run, docs.columns, {score: "double"})
