@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramloom.llm import decontamination, lines, mixing, simhash, toxicity
-from tramloom.llm.common import materialize
+from tramloom.llm.common import OWN, col, materialize, without
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A stage of learnt scores and random balancing has no SQL; tests hold the pipeline against its stages by brute force.
@@ -19,13 +19,15 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5 stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score_toxicity(docs, labels).where("score < 0.5").drop("score")
+    return toxicity.score_toxicity(without(docs), labels, score=f"{OWN}score").where(f"{OWN}score < 0.5").drop(f"{OWN}score")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose lines that five documents or more hold, but for one keeper; n_chars follows."""
-    kept = lines.dedup_lines(docs).drop("n_lines", "n_dropped")
-    return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
+    kept = lines.dedup_lines(without(docs), counts=(f"{OWN}lines", f"{OWN}dropped")).drop(f"{OWN}lines", f"{OWN}dropped")
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return kept.select(*map(col, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +41,8 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with size, source_size, target, copies and taken. Rows alike share their copies evenly."""
-    chosen = mixing.mix_sources(docs).where("copies > 0")
-    chosen = chosen.groupBy(F.col("mix_key").alias("__tl_key")).agg(F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"), (F.sum("copies") / F.count("*")).cast("long").alias("copies"))
-    order = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(17))
-    return docs.withColumn("__tl_mix", order).join(chosen, F.col("__tl_mix") == F.col("__tl_key")).drop("__tl_mix", "__tl_key").withColumn("taken", F.col("copies") * F.col("size"))
+    """Documents that the mix takes, with size, source_size, target, copies and taken, which columns of these names give way to."""
+    return mixing.take(docs)
 
 
 STAGES = [
