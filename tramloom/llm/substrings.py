@@ -5,10 +5,9 @@
    words, the union of its windows; a document of n words has about n / 14 of them, and only their hashes shuffle.
 2. Anchors whose hash occurs twice or more are suspected. Equal stretches are pre-aggregated to one with a count, so
    that groups of copies, however large, leave one stretch each.
-3. An anchor with over HOT_KINDS kinds of stretches (the edge of a passage in very many contexts) is split: its windows
-   become stretches of their own, dealt by their whole hash, and those that occur once are left out. Equal windows still
-   meet, and no anchor brings more than HOT_KINDS stretches to an automaton.
-4. The words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
+3. An anchor with over HOT_KINDS kinds of stretches (the edge of a passage in very many contexts) would make an automaton
+   without bound. Its kinds are taken apart into windows, which are counted by a hash of all their words.
+4. Of all other anchors the words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
    bounded automata: all stretches of an anchor lie in one, and a shard is built, used and dropped in its own task.
    A broadcast of all automata would grow with the corpus; the shuffle by anchor sends each only what it can match.
 5. Stretches stream through the automaton; a position is repeated if its state for ``length`` words occurs more than
@@ -22,6 +21,7 @@ lose nothing; an empty table gives an empty result. Columns of the input named n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.llm.automaton import SuffixAutomaton
-from tramloom.llm.common import OWN, binary, col, map_rows, materialize, mix64, slices, spread_join, whole_groups, without
+from tramloom.llm.common import OWN, binary, col, forget, map_rows, materialize, mix64, slices, small, spread_join, whole_groups, without
 
 LENGTH = 35
 GRAM = 8
@@ -100,70 +100,74 @@ def document_stretches(words: list[bytes], length: int, gram: int):
     return stretches(word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))), length, gram)
 
 
-def _scan(length: int, gram: int, places: bool):
-    """The anchors of all stretches; with ``places`` also their documents, contents and places (first << 5 | windows)."""
+def _scan(length: int, gram: int):
+    """All stretches: their anchors, documents, contents and places (first << 5 | windows)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
             found = [document_stretches(t.split(), length, gram) for t in binary(b, "text")]
             anchor, content, first, windows = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(4))
-            columns = {"anchor": pa.array(anchor.view(np.int64))}
-            if places:
-                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                columns |= {"id": b.column("id").take(row), "th": b.column("th").take(row), "content": pa.array(content.view(np.int64)), "place": pa.array(first << 5 | windows)}
-            yield pa.RecordBatch.from_pydict(columns)
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            columns = (pa.array(anchor.view(np.int64)), b.column("id").take(row), b.column("th").take(row), pa.array(content.view(np.int64)), pa.array(first << 5 | windows))
+            yield pa.RecordBatch.from_arrays(list(columns), names=["anchor", "id", "th", "content", "place"])
 
     return scan
 
 
-def _split(length: int):
-    """Each window of the stretches of hot anchors as a stretch of its own, by a hash of all its words."""
+def _window_hashes(words: list[bytes], length: int) -> np.ndarray:
+    hashes = word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words)))
+    whole = np.zeros(len(words) - length + 1, np.uint64)
+    for k in range(length):
+        whole = whole * _STEP + hashes[k : k + len(whole)]
+    return mix64(whole).view(np.int64)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 500):
-            row, anchor, content, at = [], [], [], []
-            for i, (t, wanted) in enumerate(zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True)):
-                words = t.split()
-                hashes = word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words)))
-                whole = np.zeros(len(words) - length + 1, np.uint64)
-                for k in range(length):
-                    whole = whole * _STEP + hashes[k : k + len(whole)]
-                for w in wanted:
-                    first, windows = w["place"] >> 5, w["place"] & 31
-                    own = whole[first : first + windows]
-                    row += [i] * windows
-                    anchor.append(mix64(own ^ np.uint64(w["anchor"] & (1 << 64) - 1)))
-                    content.append(mix64(own))
-                    at.append(np.arange(first, first + windows) << 5 | 1)
-            rows = pa.array(row, pa.int64())
-            join = lambda x: pa.array(np.concatenate(x).view(np.int64) if x else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([join(anchor), b.column("id").take(rows), b.column("th").take(rows), join(content), join(at)], names=["anchor", "id", "th", "content", "place"])
 
-    return split
+def _wanted(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple[list[bytes], list[dict]]]:
+    """The words of each document that was chosen to give stretches, and those of a hot anchor or the others."""
+    before = None
+    for b in slices(batches, 500):
+        for t, wanted in zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True):
+            if wanted != before:  # rows alike come one after the other
+                before = wanted
+                if own := [w for w in wanted if w["hot"] == hot]:
+                    yield t.split(), own
 
 
 def _fetch(length: int):
-    """The words of the stretches that a document was chosen to give."""
+    """The words of the stretches that documents were chosen to give."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
-        for b in slices(batches, 500):
+        given = _wanted(batches, False)
+        while some := list(islice(given, 500)):
             cols: list[list] = [[], [], [], []]
-            for t, wanted in zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True):
-                if wanted == before:  # rows alike come one after the other
-                    continue
-                words, before = t.split(), wanted
+            for words, wanted in some:
                 for w in wanted:
-                    cols[0].append(w["anchor"])
-                    cols[1].append(w["content"])
-                    cols[2].append(w["n"])
                     first, windows = w["place"] >> 5, w["place"] & 31
-                    cols[3].append(b" ".join(words[first : first + windows + length - 1]))
+                    for c, v in zip(cols, (w["anchor"], w["content"], w["n"], b" ".join(words[first : first + windows + length - 1])), strict=True):
+                        c.append(v)
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
 
     return fetch
 
 
+def _fetch_windows(length: int):
+    """The windows of stretches of hot anchors, by the hash of all their words and their place in the stretch."""
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = _wanted(batches, True)
+        while some := list(islice(given, 500)):
+            cols: list[list] = [[] for _ in range(5)]
+            for words, wanted in some:
+                hashes = _window_hashes(words, length)
+                for w in wanted:
+                    first, windows = w["place"] >> 5, w["place"] & 31
+                    for c, v in zip(cols, (np.full(windows, w["anchor"]), np.full(windows, w["content"]), np.full(windows, w["n"]), hashes[first : first + windows], np.arange(windows)), strict=True):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["anchor", "content", "n", "window", "at"])
+
+    return fetch
+
+
 def match_shard(texts: list[list[bytes]], counts: list[int], length: int) -> list[list[int]]:
     """Of each text, the windows (by their first word) that occur more than once in all texts, counts weighing them."""
     automaton = SuffixAutomaton(texts, counts)
@@ -184,41 +188,28 @@ def _match(length: int, room: int):
     return match
 
 
-def _kinds(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from"))
-
-
-def _of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents that wanted (wid, wth, wanted) names."""
-    return docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).drop("wid", "wth")
-
-
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
-    """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words.
-
-    The anchors alone are counted first, so that of all places only those of repeated anchors stay after the join.
-    """
+    """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words."""
     assert length - gram < 32, "a place holds up to 31 windows"
-    anchors = docs.select("text").mapInArrow(_scan(length, gram, False), "anchor long")
-    suspected = materialize(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
     shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content long, place long"
-    found = docs.mapInArrow(_scan(length, gram, True), shape)
-    rows = materialize(spread_join(found, suspected, "anchor", "n", by=["id", "th", "place"]), "stretches")
-    kinds = materialize(_kinds(rows), "stretch-kinds")
-    hot = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).where(F.col("kinds") > hot_kinds).select("anchor", "n"), "hot-anchors")
-    if not hot.isEmpty():
-        asked = spread_join(rows.select("anchor", "id", "th", "place"), hot, "anchor", "n")
-        asked = asked.groupBy(F.col("id").alias("wid"), F.col("th").alias("wth")).agg(F.collect_set(F.struct("anchor", "place")).alias("wanted"))
-        split = materialize(_of(docs, asked).mapInArrow(_split(length), shape), "split-stretches")
-        more = materialize(_kinds(split).where("n > 1"), "split-kinds")
-        split = spread_join(split, more.select("anchor", "content", "n"), ["anchor", "content"], "n")
-        rest = lambda df: df.join(hot.select("anchor"), "anchor", "left_anti")
-        rows, kinds = rest(rows).unionByName(split), rest(kinds).unionByName(more)
-    wanted = kinds.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", F.col("from.place").alias("place"))).alias("wanted"))
-    shards = _of(docs, wanted).mapInArrow(_fetch(length), "anchor long, content long, n long, words binary")
-    shards = shards.repartition("anchor").sortWithinPartitions("anchor", "content")
-    found = materialize(shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, n long, repeated array<int>"), "repeated-stretches")
-    hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n", by=["id", "th", "place"])
+    every = materialize(docs.mapInArrow(_scan(length, gram), shape), "anchors")
+    suspected = materialize(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "suspected")
+    rows = materialize(spread_join(every, suspected, "anchor", "n"), "stretches")
+    forget(every)
+    kinds = materialize(rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from")), "stretch-kinds")
+    per = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot_kinds).select("anchor", F.lit(True).alias("hot")), "hot-anchors")
+    marked = kinds.join(small(per), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
+    giving = marked.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", "hot", F.col("from.place").alias("place"))).alias("wanted"))
+    given = docs.join(giving, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
+    shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
+    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, n long, repeated array<int>")
+    if not per.isEmpty():
+        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
+        twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
+        again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
+        found = found.unionByName(again.groupBy("anchor", "content", "n").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")))
+    found = materialize(found, "repeated-stretches")
+    hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n")
     hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.shiftright("place", 5).cast("int")).alias("at"))
     return hits.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("windows"))
 
