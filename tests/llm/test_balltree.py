@@ -28,7 +28,7 @@ def test_random_vectors_ties_and_odd_ones(spark):
     rows += [(2000 + i, rows[i % 3][1]) for i in range(40)]  # ties
     rows += [(3000, None), (3050, []), (3100, [None] * 12), (3150, [float("nan")] * 12), (3200, [float("inf")] + [0.0] * 11), (None, [1.0] * 12), (3250, [1.0, 2.0]), (3251, [1.0, -2.0]), (3300, [0.0] * 12)]
     _against(spark, rows)
-    _against(spark, rows, block=7, pilot=16)
+    _against(spark, rows, block_bytes=1000, pilot=16)
 
 
 def test_few_and_no_vectors(spark):
@@ -50,7 +50,7 @@ def test_search_leaves_most_of_a_clustered_tree_out():
             super().offer(q, score, ident)
 
     queries = points[::100]
-    best = Watched(len(queries), 5)
+    best = Watched(np.full((len(queries), 5), balltree._NONE), np.full((len(queries), 5), 1 << 62))
     balltree.search(tree, np.arange(len(points)), queries, np.full(len(queries), -1), best, np.full(len(queries), balltree._NONE))
     assert sum(seen) < 0.4 * len(queries) * len(points)
     want = np.sort(queries @ points.T, axis=1)[:, ::-1][:, :5]

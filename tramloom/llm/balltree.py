@@ -2,9 +2,11 @@
 
 Every shard's vectors form a ball tree. A node's upper bound for a query is q.c + |q| r; nodes are taken in the order
 of their bounds, and a node is left out once its bound is under the query's kth score so far. That score is shared:
-it starts from a pilot over a bounded sample of candidates and is handed from shard to shard within a task.
+it starts from a pilot, in which every query meets a bounded sample of candidates, and is handed from shard to shard
+within a task.
 
-Queries are taken in blocks of bounded size, each broadcast to all candidates.
+Queries are broadcast in blocks of BLOCK_BYTES. A shard's tree is built once a block and met by the block's queries some
+thousands at a time. With more than one block, candidates are prepared once and each block's finds are written.
 
 Defined results: vectors null, empty, or with null or non-finite components take no part; a query meets only vectors
 of its own length; rows with the query's id count as its own; fewer than k candidates give fewer rows; k ties go to
@@ -17,14 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import materialize
+from tramloom.llm.common import col, materialize
 
 K = 5
-#: Rows of a shard, of a leaf, of the pilot sample, of a block of queries.
-SHARD, LEAF, PILOT, BLOCK = 16_384, 64, 4_096, 4_096
+#: Rows of a shard, of a leaf, of the pilot sample, of queries that meet a tree at once.
+SHARD, LEAF, PILOT, AT_ONCE = 16_384, 64, 4_096, 4_096
+#: Bytes of queries that one broadcast holds.
+BLOCK_BYTES = 32_000_000
 _NONE = -(1 << 62)
 
 
@@ -58,9 +63,16 @@ class BallTree:
 class Best:
     """The k best (score, smaller id) of each query so far."""
 
-    def __init__(self, queries: int, k: int) -> None:
-        self.score = np.full((queries, k), _NONE, np.int64)
-        self.ident = np.full((queries, k), np.iinfo(np.int64).max, np.int64)
+    def __init__(self, score: np.ndarray, ident: np.ndarray) -> None:
+        self.score, self.ident = score, ident
+
+    @staticmethod
+    def of(queries: int, k: int) -> Best:
+        return Best(np.full((queries, k), _NONE, np.int64), np.full((queries, k), np.iinfo(np.int64).max, np.int64))
+
+    def part(self, some: slice) -> Best:
+        """The same memory, for some of the queries."""
+        return Best(self.score[some], self.ident[some])
 
     def offer(self, q: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
         """For queries q (distinct), rows of scores and ids."""
@@ -114,8 +126,13 @@ def search(tree: BallTree, ident: np.ndarray, queries: np.ndarray, own: np.ndarr
                 best.offer(q, np.where(mine, _NONE, score), np.where(mine, np.iinfo(np.int64).max, names))
 
 
-def usable(vector: Column | str) -> Column:
-    v = F.col(vector) if isinstance(vector, str) else vector
+def search_all(tree: BallTree, ident: np.ndarray, queries: np.ndarray, own: np.ndarray, best: Best, floor: np.ndarray) -> None:
+    for low in range(0, len(queries), AT_ONCE):
+        some = slice(low, low + AT_ONCE)
+        search(tree, ident, queries[some], own[some], best.part(some), floor[some])
+
+
+def usable(v: Column) -> Column:
     inf = float("inf")
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(inf))
     return v.isNotNull() & (F.size(v) > 0) & F.forall(v, fine)
@@ -131,15 +148,31 @@ def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield ident[rows].astype(np.int64), flat[start[rows, None] + np.arange(n)].astype(np.float64)
 
 
+def _floors(shared, k: int):
+    """For mapInArrow over queries (id, v): a lower bound of each one's kth score, by the pilot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = {n: (names, BallTree(points)) for n, (names, points) in shared.value.items()}
+        for b in batches:
+            for ident, q in _arrays(b):
+                best = Best.of(len(ident), k)
+                if q.shape[1] in trees:
+                    names, tree = trees[q.shape[1]]
+                    search_all(tree, names, q, ident, best, np.full(len(ident), _NONE, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(ident), pa.array(list(q), pa.list_(pa.float64())), pa.array(best.kth())], names=["id", "v", "floor"])
+
+    return run
+
+
 def _search(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = {n: (own, q, Best(len(own), k), floor) for n, (own, q, floor) in shared.value.items()}
+        blocks = {n: (own, q, Best.of(len(own), k), floor) for n, (own, q, floor) in shared.value.items()}
         held: dict[int, list] = {}
 
         def flush(n: int) -> None:
             ident, points = (np.concatenate(x) for x in zip(*held.pop(n), strict=True))
             own, queries, best, floor = blocks[n]
-            search(BallTree(points), ident, queries, own, best, floor)
+            search_all(BallTree(points), ident, queries, own, best, floor)
 
         for b in batches:
             for ident, points in _arrays(b):
@@ -156,29 +189,37 @@ def _search(shared, k: int):
     return run
 
 
-def top_k(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, scale: float = 256.0, block: int = BLOCK, pilot: int = PILOT) -> DataFrame:
+def _packed(table: pa.Table, *more: str) -> dict[int, tuple]:
+    """Of each vector length: ids, vectors and further columns."""
+    found: dict[int, tuple] = {}
+    for b in table.combine_chunks().to_batches():
+        length = pc.list_value_length(b.column("v")).to_numpy(zero_copy_only=False)
+        for n in np.unique(length):
+            own = b.filter(pa.array(length == n))
+            ident, points = next(iter(_arrays(own)))
+            found[int(n)] = (ident, points, *[own.column(c).to_numpy(zero_copy_only=False) for c in more])
+    return found
+
+
+def top_k(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, scale: float = 256.0, block_bytes: int = BLOCK_BYTES, pilot: int = PILOT) -> DataFrame:
     """query_id, rank, vec_id and score of the k best partners, by floor(scale x), of each row that ``queries`` selects."""
-    spark = vectors.sparkSession
-    whole = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("double"))
-    rows = vectors.where(usable(vector) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), whole.alias("v"), queries.alias("asked"))
+    broadcast = vectors.sparkSession.sparkContext.broadcast
+    whole = F.transform(col(vector), lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("double"))
+    rows = vectors.where(usable(col(vector)) & col(key).isNotNull()).select(col(key).cast("long").alias("id"), whole.alias("v"), queries.alias("asked"))
     asked = materialize(rows.where("asked").select("id", "v").dropDuplicates(), "queries")
     points = rows.select("id", "v")
-    count = asked.count()
-    blocks = max(1, -(-count // block))
-    sample = materialize(points.orderBy(F.xxhash64("id")).limit(pilot), "pilot").toArrow().combine_chunks()
+    sample = materialize(points.orderBy(F.xxhash64("id")).limit(pilot), "pilot").toArrow()
+    known = materialize(asked.mapInArrow(_floors(broadcast(_packed(sample)), k), "id long, v array<double>, floor long"), "floors")
+    blocks = max(1, -(-(known.agg(F.sum(8 * F.size("v") + 16)).first()[0] or 0) // block_bytes))
+    if blocks > 1:
+        points = materialize(points, "points")
     result = None
     for i in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).toArrow().combine_chunks()
-        packed = {}
-        for part in own.to_batches():
-            for ident, q in _arrays(part):
-                best = Best(len(ident), k)
-                for some in sample.to_batches():
-                    for names, p in _arrays(some):
-                        if p.shape[1] == q.shape[1]:
-                            search(BallTree(p), names, q, ident, best, np.full(len(ident), _NONE, np.int64))
-                packed[q.shape[1]] = (ident, q, best.kth().copy())
-        found = points.mapInArrow(_search(spark.sparkContext.broadcast(packed), k), "query_id long, vec_id long, score long")
+        shared = broadcast(_packed(known.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).toArrow(), "floor"))
+        found = points.mapInArrow(_search(shared, k), "query_id long, vec_id long, score long")
+        if blocks > 1:
+            found = materialize(found, "found")
+            shared.unpersist()
         result = found if result is None else result.unionByName(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return result.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
