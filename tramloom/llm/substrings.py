@@ -21,7 +21,6 @@ lose nothing; an empty table gives an empty result. Columns of the input named n
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -122,10 +121,14 @@ def _window_hashes(words: list[bytes], length: int) -> np.ndarray:
     return mix64(whole).view(np.int64)
 
 
+#: Stretches whose words or windows a task holds before it sends them.
+_SEND = 5000
+
+
 def _wanted(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple[list[bytes], list[dict]]]:
     """The words of each document that was chosen to give stretches, and those of a hot anchor or the others."""
     before = None
-    for b in slices(batches, 500):
+    for b in slices(batches, 20):
         for t, wanted in zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True):
             if wanted != before:  # rows alike come one after the other
                 before = wanted
@@ -136,34 +139,41 @@ def _wanted(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple[list
 def _fetch(length: int):
     """The words of the stretches that documents were chosen to give."""
 
+    def send(cols: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = _wanted(batches, False)
-        while some := list(islice(given, 500)):
-            cols: list[list] = [[], [], [], []]
-            for words, wanted in some:
-                for w in wanted:
-                    first, windows = w["place"] >> 5, w["place"] & 31
-                    for c, v in zip(cols, (w["anchor"], w["content"], w["n"], b" ".join(words[first : first + windows + length - 1])), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
+        cols: list[list] = [[] for _ in range(4)]
+        for words, wanted in _wanted(batches, False):
+            for w in wanted:
+                first, windows = w["place"] >> 5, w["place"] & 31
+                for c, v in zip(cols, (w["anchor"], w["content"], w["n"], b" ".join(words[first : first + windows + length - 1])), strict=True):
+                    c.append(v)
+            if len(cols[0]) >= _SEND:
+                yield send(cols)
+                cols = [[] for _ in range(4)]
+        yield send(cols)
 
     return fetch
 
 
 def _fetch_windows(length: int):
     """The windows of stretches of hot anchors, by the hash of all their words and their place in the stretch."""
+    names = ["anchor", "content", "n", "window", "at"]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = _wanted(batches, True)
-        while some := list(islice(given, 500)):
-            cols: list[list] = [[] for _ in range(5)]
-            for words, wanted in some:
-                hashes = _window_hashes(words, length)
-                for w in wanted:
-                    first, windows = w["place"] >> 5, w["place"] & 31
-                    for c, v in zip(cols, (np.full(windows, w["anchor"]), np.full(windows, w["content"]), np.full(windows, w["n"]), hashes[first : first + windows], np.arange(windows)), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["anchor", "content", "n", "window", "at"])
+        cols: list[list] = [[] for _ in names]
+        for words, wanted in _wanted(batches, True):
+            hashes = _window_hashes(words, length)
+            for w in wanted:
+                first, windows = w["place"] >> 5, w["place"] & 31
+                for c, v in zip(cols, (np.full(windows, w["anchor"]), np.full(windows, w["content"]), np.full(windows, w["n"]), hashes[first : first + windows], np.arange(windows)), strict=True):
+                    c.append(v)
+            if len(cols[0]) >= _SEND:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
+                cols = [[] for _ in names]
+        if cols[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
 
     return fetch
 
@@ -175,14 +185,14 @@ def match_shard(texts: list[list[bytes]], counts: list[int], length: int) -> lis
 
 
 def _match(length: int, room: int):
-    """For mapInArrow over stretches sorted by anchor and content: (anchor, content, n, repeated) of those with repeated windows."""
+    """For mapInArrow over stretches sorted by anchor and content: (anchor, content, repeated) of those with repeated windows."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["anchor"], max(1, room // (2 * length))):
             anchor, content = table["anchor"].to_numpy(), table["content"].to_numpy()
             table = table.filter(pa.array(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]))  # rows alike give a stretch again
             found = match_shard([x.split() for x in table["words"].to_pylist()], table["n"].to_pylist(), length)
-            hits = table.select(["anchor", "content", "n"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
+            hits = table.select(["anchor", "content"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
             yield from hits.append_column("repeated", pa.array([f for f in found if f], pa.list_(pa.int32()))).combine_chunks().to_batches()
 
     return match
@@ -202,14 +212,13 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     giving = marked.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", "hot", F.col("from.place").alias("place"))).alias("wanted"))
     given = docs.join(giving, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
     shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
-    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, n long, repeated array<int>")
+    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
     if not per.isEmpty():
-        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
-        twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
-        again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
-        found = found.unionByName(again.groupBy("anchor", "content", "n").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")))
-    found = materialize(found, "repeated-stretches")
-    hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n")
+        windows = given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct()
+        twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all")).where("all > 1").select("anchor", "window")
+        again = windows.join(twice, ["anchor", "window"]).groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated"))
+        found = found.unionByName(again)
+    hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n", sizes=kinds)
     hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.shiftright("place", 5).cast("int")).alias("at"))
     return hits.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("windows"))
 
