@@ -71,7 +71,7 @@ def test_schedule_joins_by_plain_id_and_date(spark):
     trips, stop_times = _trips(spark)
     planned = schedule.scheduled_stop_times(trips, stop_times)
     assert planned.count() == 4  # stop times without a trip go
-    dates = spark.createDataFrame([("2026-08-05",), ("2026-08-06",)], "service_date string")
+    dates = spark.createDataFrame([("2026-08-05", "RED"), ("2026-08-06", "RED"), ("2026-08-06", "BLUE")], "service_date string, route_id string")
     laid = schedule.scheduled_instants(planned, dates)
     assert laid.count() == 8
     both = arrivals.numbered_runs(arrivals.observed_arrivals(vehicles(spark, [(0, 1), (1, 2), (2, 3)])))

@@ -149,7 +149,7 @@ def test_codes_know_only_training(spark):
     assert encode.matrix(other.withColumn("k", F.lit(1)), codes, ["k", "x"], ["x"]).columns == ["k", "x"]
     rows = frame(spark, [seg(0)])
     columns = encode.feature_columns(rows)
-    assert "actual_duration_sec" not in columns and "trip_id" not in columns and set(encode.categorical_columns(rows, columns)) == {"route_id", "direction_id", "mode", "from_stop_id", "to_stop_id"}
+    assert "actual_duration_sec" not in columns and "trip_id" not in columns and set(encode.categorical_columns(rows, columns)) == {"route_id", "direction_id", "mode"}
 
 
 def test_baselines_and_calibration(spark):

@@ -1,8 +1,7 @@
+import random
 import time
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
-
 from tramloom.operators import stations
 from tramloom.streaming import feeds
 
@@ -61,19 +60,43 @@ def test_stream_counts_closed_hours_only(spark, tmp_path):
     assert sorted(got.values()) == [6, 6]
 
 
-def test_stream_arrivals_match_the_batch_operator(spark, tmp_path):
+def _batch_arrivals(spark, track):
     from tramloom.operators import arrivals
 
-    track = [(0, 1), (1, 2), (2, 2), (3, 4), (60, 1), (61, 2), (80, 3)]
-    batches = [[(_at(m), "T", q, f"PF_{q}")] for m, q in track]
-    got = sorted((r["trip_run"], r["stop_sequence"], r["arrival_bracket_sec"], r["sequence_jump"], r["arrival_confident"]) for r in _run(feeds.observed_arrivals(_stream(spark, tmp_path, batches, SHAPE)), "arrived"))
-    rows = spark.createDataFrame([(_at(m), "2026-08-05", "T", "T", None, None, None, None, f"PF_{q}", q) for m, q in track], "captured_at timestamp, service_date string, trip_id string, scheduled_trip_id string, schedule_version string, route_id string, direction_id int, vehicle_id string, stop_id string, stop_sequence int")
-    want = sorted((r["trip_run"], r["stop_sequence"], r["arrival_bracket_sec"], r["sequence_jump"], r["arrival_confident"]) for r in arrivals.numbered_runs(arrivals.observed_arrivals(rows)).collect())
-    assert got == want and len(got) == 4
+    rows = spark.createDataFrame([(_at(m), "2026-08-05", t, t, None, None, None, None, f"PF_{q}", q) for t, m, q in track], "captured_at timestamp, service_date string, trip_id string, scheduled_trip_id string, schedule_version string, route_id string, direction_id int, vehicle_id string, stop_id string, stop_sequence int")
+    return _arrived(arrivals.numbered_runs(arrivals.observed_arrivals(rows)).collect())
+
+
+def _arrived(rows):
+    return sorted((r["trip_id"], r["trip_run"], r["stop_sequence"], r["arrival_bracket_sec"], r["sequence_jump"], r["arrival_confident"], r["actual_arrival_ts"]) for r in rows)
+
+
+def test_stream_arrivals_match_the_batch_operator_in_any_order(spark, tmp_path):
+    track = [("T", m, q) for m, q in ((0, 1), (1, 2), (2, 2), (3, 4), (60, 1), (61, 2), (80, 3))] + [("U", 2 * m, m % 7) for m in range(40)]
+    shuffled = list(track)
+    random.Random(3).shuffle(shuffled)
+    over = [[(_at(900 + 600 * i), "later", 1, "PF")] for i in range(3)]  # moves the watermark past the others
+    batches = [[(_at(m), t, q, f"PF_{q}") for t, m, q in part] for part in (shuffled[:20], shuffled[20:])] + over
+    got = [r for r in _run(feeds.observed_arrivals(_stream(spark, tmp_path, batches, SHAPE)), "arrived") if r["trip_id"] != "later"]
+    want = _batch_arrivals(spark, track)
+    assert _arrived(got) == want and len(want) > 30
+
+
+def test_stream_counts_service_dates_once_their_tail_is_over(spark, tmp_path):
+    shape = "captured_at timestamp, service_date string"
+    days = [f"2026-08-{d:02d}" for d in range(5, 9)]
+    rows = [[(datetime(2026, 8, 5 + i, 12), d), (datetime(2026, 8, 6 + i, 6), d)] for i, d in enumerate(days)]  # the second within the tail
+    rows += [[(datetime(2026, 8, 20, 12), "2026-08-20")], [(datetime(2026, 8, 20, 13), "2026-08-20")]]
+    got = {r["service_date"]: r["n"] for r in _run(feeds.service_date_counts(_stream(spark, tmp_path, rows, shape)), "dates")}
+    assert got == dict.fromkeys(days, 2)
 
 
-def test_stream_conditions(spark, tmp_path):
-    shape = "from_stop_id string, to_stop_id string, actual_arrival_ts timestamp, delay_sec int"
-    s = _stream(spark, tmp_path, [[("a", "b", _at(1), 10), ("a", "b", _at(5), 30)]], shape)
-    rows = _run(feeds.latest_conditions(s), "conditions", "update")
-    assert [(r["n"], r["mean_delay"]) for r in rows] == [(2, 20.0)] and F is not None
+def test_stream_conditions_are_those_of_the_last_completions(spark, tmp_path):
+    shape = "from_stop_id string, to_stop_id string, actual_arrival_ts timestamp, actual_duration_sec int, delay_sec int"
+    done = [("a", "b", _at(m), 100 + 7 * m % 60, m) for m in range(12)]
+    random.Random(1).shuffle(done)
+    rows = _run(feeds.recent_conditions(_stream(spark, tmp_path, [done[:5], done[5:]], shape)), "conditions", "update")
+    last = max(rows, key=lambda r: (r["roll_n"], r["completed_at"]))
+    own = sorted(done, key=lambda r: r[2])[-5:]
+    assert last["roll_n"] == 5 and last["completed_at"] == own[-1][2].replace(tzinfo=None)
+    assert last["roll_median"] == sorted(r[3] for r in own)[2] and last["roll_delay_mean"] == sum(r[4] for r in own) / 5

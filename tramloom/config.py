@@ -1,4 +1,4 @@
-"""All thresholds of the transit operators, as arguments."""
+"""All thresholds of the transit operators, as arguments. Defaults are fixed values that results depend on."""
 
 from __future__ import annotations
 
@@ -28,7 +28,14 @@ class Settings:
     rolling_max_age_sec: int = 3600
     max_headway_sec: int = 3600
     implausible_schedule_sec: int = 900
+    # which flags a segment must pass, and which groups of features are made
+    plausible_only: bool = True
+    confident_only: bool = True
     observed_only: bool = False
+    calendar_features: bool = True
+    schedule_features: bool = True
+    identity_features: bool = True
+    historical_features: bool = True
     fare_evening_hour: float = 21.5
     # splits and journeys
     validation_fraction: float = 0.2

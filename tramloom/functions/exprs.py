@@ -19,6 +19,8 @@ def instant(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+# Patterns of ids and clock times below are fixed formats of the feeds and of the public timetable format.
+
 # --- ids and names -----------------------------------------------------------------------------------------------
 
 
@@ -142,10 +144,6 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition).cast("long")
 
 
-def exact_percentile(value: Column | str, share) -> Column:
-    return F.percentile(value, share)
-
-
 def plausible(duration: Column, bracket: Column, scheduled: Column, longest: int, ratio: int) -> Column:
     """Durations that can be real: no more negative than the bracket allows, not too long, not many times the schedule."""
     in_ratio = scheduled.isNull() | (scheduled <= 0) | (duration <= scheduled * ratio)

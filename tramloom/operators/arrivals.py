@@ -14,6 +14,10 @@ OBSERVED, PREDICTED = "vehicle_position", "trip_update"
 CARRIED = ("trip_id", "scheduled_trip_id", "schedule_version", "route_id", "direction_id", "vehicle_id", "service_date", "stop_id", "stop_sequence")
 
 
+def _carried(settings: Settings) -> tuple[str, ...]:
+    return (*CARRIED, *[k for k in settings.trip_keys if k not in CARRIED])
+
+
 def observed_arrivals(vehicles: DataFrame, settings: Settings = DEFAULT, tie: Sequence[str] = ()) -> DataFrame:
     """An arrival wherever a vehicle's stop sequence rises between two successive sightings of its trip.
 
@@ -24,7 +28,7 @@ def observed_arrivals(vehicles: DataFrame, settings: Settings = DEFAULT, tie: Se
     last = F.lag(F.struct("stop_sequence", "captured_at")).over(line)
     rose = seen.withColumn("last", last).where(F.col("stop_sequence") > F.col("last.stop_sequence"))
     width = (F.unix_seconds("captured_at") - F.unix_seconds("last.captured_at")).cast("int")
-    return rose.select(*CARRIED, X.midpoint(F.col("last.captured_at"), F.col("captured_at")).alias("actual_arrival_ts"), width.alias("arrival_bracket_sec"), (F.col("stop_sequence") - F.col("last.stop_sequence")).cast("int").alias("sequence_jump"), F.lit(OBSERVED).alias("arrival_source"), F.col("captured_at").alias("observed_at_utc"), (width <= settings.max_bracket_sec).alias("arrival_confident"))
+    return rose.select(*_carried(settings), X.midpoint(F.col("last.captured_at"), F.col("captured_at")).alias("actual_arrival_ts"), width.alias("arrival_bracket_sec"), (F.col("stop_sequence") - F.col("last.stop_sequence")).cast("int").alias("sequence_jump"), F.lit(OBSERVED).alias("arrival_source"), F.col("captured_at").alias("observed_at_utc"), (width <= settings.max_bracket_sec).alias("arrival_confident"))
 
 
 def predicted_arrivals(updates: DataFrame, settings: Settings = DEFAULT, tie: Sequence[str] = ()) -> DataFrame:
@@ -34,12 +38,12 @@ def predicted_arrivals(updates: DataFrame, settings: Settings = DEFAULT, tie: Se
     """
     usable = updates.where("arrival_ts is not null and stop_sequence is not null and trip_id is not null")
     ahead = usable.withColumn("horizon", F.unix_seconds("arrival_ts") - F.unix_seconds("captured_at"))
-    names = [c for c in CARRIED if c not in (*settings.trip_keys, "stop_sequence")]
+    names = [c for c in _carried(settings) if c not in (*settings.trip_keys, "stop_sequence")]
     what = F.struct(*names, "arrival_ts", "captured_at", "horizon")
     latest = F.max_by(what, F.when(F.col("horizon") > 0, F.struct("captured_at", *tie)))
     crossed = ahead.groupBy(*settings.trip_keys, "stop_sequence").agg(F.max("horizon").alias("most"), F.min("horizon").alias("least"), F.count("*").alias("observation_count"), latest.alias("p")).where("most > 0 and least < 0")
     width = F.col("p.horizon").cast("int")
-    carried = [F.col(f"p.{c}").alias(c) if c in names else F.col(c) for c in CARRIED]
+    carried = [F.col(f"p.{c}").alias(c) if c in names else F.col(c) for c in _carried(settings)]
     return crossed.select(*carried, F.col("p.arrival_ts").alias("actual_arrival_ts"), width.alias("arrival_bracket_sec"), F.lit(1).alias("sequence_jump"), F.lit(PREDICTED).alias("arrival_source"), F.col("p.captured_at").alias("observed_at_utc"), (width <= settings.max_bracket_sec).alias("arrival_confident"), "observation_count")
 
 

@@ -11,12 +11,12 @@ from tramloom.config import SEGMENT_KEY, TRIP_KEY
 
 #: What a model must never see: keys of the label's side and measurements of it.
 LABEL_SIDE = ("actual_duration_sec", "actual_arrival_ts", "delay_sec", "arrival_source", "arrival_bracket_sec", "arrival_confident", "duration_plausible", "observed_at_utc")
-CATEGORIES = ("route_id", "direction_id", "mode", "from_stop_id", "to_stop_id", "segment_id", "from_station", "to_station", "fare_period")
+CATEGORIES = ("route_id", "direction_id", "mode", "segment_id", "from_station", "to_station", "fare_period")
 
 
 def feature_columns(rows: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """Columns a model may see, in the table's order."""
-    hidden = {*TRIP_KEY, *LABEL_SIDE, *exclude, "actual_departure_ts", "split", "block_no"}
+    """Columns a model may see, in the table's order. Stop ids are keys of a row; segment and station tell a model of places."""
+    hidden = {*TRIP_KEY, *SEGMENT_KEY, *LABEL_SIDE, *exclude, "actual_departure_ts", "split", "block_no"}
     return [c for c in rows.columns if c not in hidden]
 
 
@@ -53,5 +53,3 @@ def matrix(rows: DataFrame, codes: DataFrame, columns: Sequence[str], categories
         raise ValueError(f"columns are missing: {', '.join(missing)}")
     return encode(rows, codes, categories).select(*columns)
 
-
-MODEL_KEYS = (*TRIP_KEY, *SEGMENT_KEY)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -38,6 +39,13 @@ def prediction_availability(updates: DataFrame) -> DataFrame:
     return updates.groupBy("stop_sequence").agg(F.count("*").alias("n"), X.count_where(a).alias("with_arrival"), X.count_where(d).alias("with_departure"), X.count_where(a & d).alias("with_both"), X.count_where(~a & ~d).alias("with_neither"))
 
 
+def prediction_profile(updates: DataFrame, k: int = 8) -> DataFrame:
+    """(measure, value, n, share): schedule relationships, and the k most frequent uncertainties and stop sequences with a departure."""
+    kinds = (("relationship", "relationship", "true", None), ("uncertainty", "uncertainty", "uncertainty is not null", k), ("departs_at", "stop_sequence", "departure_ts is not null", k))
+    parts = [value_counts(updates.where(where), column, most).select(F.lit(name).alias("measure"), "value", "n", "share") for name, column, where, most in kinds if column in updates.columns]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def jump_histogram(arrivals: DataFrame) -> DataFrame:
     """How many stops lie between successive sightings, and the brackets of each."""
     q = F.percentile("arrival_bracket_sec", F.lit(0.5))

@@ -78,11 +78,12 @@ def upstream_delay(rows: DataFrame) -> DataFrame:
 def headway(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Seconds since the previous departure from the stop on the same route and direction; long gaps are null."""
     keys = ("route_id", "direction_id", "from_stop_id")
-    line = Window.partitionBy(*keys).orderBy("actual_departure_ts", *_TIES)
-    gap = F.unix_seconds("actual_departure_ts") - F.unix_seconds(F.lag("actual_departure_ts").over(line))
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
+    apart = F.when(~known, F.xxhash64(*_TIES))  # rows without a key have no headway and need not meet
+    line = Window.partitionBy(*keys, apart).orderBy("actual_departure_ts", *_TIES)
+    gap = F.unix_seconds("actual_departure_ts") - F.unix_seconds(F.lag("actual_departure_ts").over(line))
     return rows.withColumn("headway_sec", F.when(known & (gap <= settings.max_headway_sec), gap))
 
 
@@ -121,9 +122,29 @@ def recent_conditions(rows: DataFrame, settings: Settings = DEFAULT, norm_window
 
 
 def conditions_lookup(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """One row per segment: the statistics as of its last completion, by one aggregate over the completions."""
-    last = F.max_by(F.struct("completed_at", *_ROLLED), F.struct("completed_at", *_TIES))
-    return completions(rows, settings).groupBy(*SEGMENT_KEY).agg(last.alias("l")).select(*SEGMENT_KEY, "l.*")
+    """One row per segment: the statistics as of its last completion.
+
+    Only the last N completions have a deviation that counts, so each segment takes N medians, of all before the last,
+    the last but one and so on, by one aggregate.
+    """
+    n = settings.rolling_traversals
+    newest = Window.partitionBy(*SEGMENT_KEY).orderBy(F.desc("actual_arrival_ts"), *[F.desc(c) for c in _TIES])
+    done = rows.where("actual_arrival_ts is not null").withColumn("age", F.row_number().over(newest)).select(*SEGMENT_KEY, *_TIES, "age", F.col("actual_arrival_ts").alias("completed_at"), "actual_duration_sec", "delay_sec")
+    duration, last = F.col("actual_duration_sec"), F.col("age") <= n
+    norms = [F.percentile(F.when(F.col("age") > i, duration), F.lit(0.5)).alias(f"norm{i}") for i in range(1, n + 1)]
+    own = [F.max(F.when(F.col("age") == i, duration)).alias(f"own{i}") for i in range(1, n + 1)]
+    one = done.groupBy(*SEGMENT_KEY).agg(
+        F.max_by(F.struct("completed_at", *_TIES), -F.col("age")).alias("l"),
+        F.percentile(F.when(last, duration), F.lit(0.5)).alias("roll_median"),
+        F.avg(F.when(last, duration)).alias("roll_mean"),
+        F.avg(F.when(last, F.col("delay_sec"))).alias("roll_delay_mean"),
+        F.least(F.count("*"), F.lit(n)).alias("roll_n"),
+        *norms,
+        *own,
+    )
+    apart = F.array_compact(F.array(*[F.col(f"own{i}") - F.col(f"norm{i}") for i in range(1, n + 1)]))
+    mean = F.when(F.size(apart) > 0, F.aggregate(apart, F.lit(0.0), lambda acc, v: acc + v) / F.size(apart))
+    return one.select(*SEGMENT_KEY, F.col("l.completed_at").alias("completed_at"), *_ROLLED[:-1], mean.alias("roll_deviation"))
 
 
 def with_lookup(rows: DataFrame, lookup: DataFrame, now: Column, settings: Settings = DEFAULT) -> DataFrame:
@@ -136,8 +157,13 @@ def historical_features(rows: DataFrame, settings: Settings = DEFAULT) -> DataFr
 
 
 def all_features(rows: DataFrame, settings: Settings = DEFAULT, holidays: DataFrame | None = None, lookup: DataFrame | None = None, now: Column | None = None) -> DataFrame:
-    """The one entry point for training and scoring. With a lookup, what only a trip's own past could tell is null."""
-    safe = safe_features(rows, settings, holidays)
+    """The one entry point for training and scoring, by the groups of features that the settings ask for.
+
+    With a lookup, what only a trip's own past could tell is null.
+    """
+    safe = safe_features(rows, settings, holidays, settings.calendar_features, settings.schedule_features, settings.identity_features)
+    if not settings.historical_features:
+        return safe
     if lookup is None:
         return historical_features(safe, settings)
     scored = with_lookup(safe, lookup, F.col("actual_departure_ts") if now is None else now, settings)

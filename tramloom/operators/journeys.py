@@ -96,9 +96,15 @@ def best_by_length(errors: DataFrame, predictions: Sequence[str]) -> DataFrame:
     return errors.select("n_segments", ranked["name"].alias("best"), ranked["mae"].alias("mae"))
 
 
-def head_to_head(journeys: DataFrame, segments: DataFrame, column: str, predictions: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
-    """Journey predictions and sums of segment predictions over the same windows, joined on run, origin and length."""
-    summed = window_sums(with_blocks(segments, settings), (column,), settings.lengths, ("from_stop_id",)).withColumnRenamed("from_stop_id", "origin_stop_id")
+def head_to_head(journeys: DataFrame, segments: DataFrame, columns: str | Sequence[str], predictions: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
+    """Journey predictions and sums of segment predictions over the same windows, joined on run, origin and length.
+
+    The sum of one column is named summed; of more, summed_ and the column's name.
+    """
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    names = {c: "summed" if i == 0 else f"summed_{c}" for i, c in enumerate(columns)}
+    blocks = segments if "block_no" in segments.columns else with_blocks(segments, settings)
+    summed = window_sums(blocks, columns, settings.lengths, ("from_stop_id",)).withColumnRenamed("from_stop_id", "origin_stop_id")
     keys = [*TRIP_KEY, "origin_stop_id", "n_segments"]
-    both = journeys.join(summed.select(*keys, F.col(f"sum_{column}").alias("summed")), keys)
-    return by_length(both, [*predictions, "summed"])
+    both = journeys.join(summed.select(*keys, *[F.col(f"sum_{c}").alias(n) for c, n in names.items()]), keys)
+    return by_length(both, [*predictions, *names.values()])

@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramloom.config import DEFAULT, Settings
-from tramloom.operators import encode
+from tramloom.operators import baselines, encode
 
 
 @dataclass(frozen=True)
 class Model:
-    """Fitted trees, codes and the columns in their order."""
+    """Fitted trees, codes, the columns in their order, and the mean by which targets exceed predictions."""
 
     trees: PipelineModel
     codes: DataFrame
     columns: tuple[str, ...]
     categories: tuple[str, ...]
+    offset: float = 0.0
 
 
 def _numbers(rows: DataFrame, codes: DataFrame, columns: Sequence[str], categories: Sequence[str]) -> DataFrame:
@@ -52,9 +53,37 @@ def predict(model: Model, rows: DataFrame) -> DataFrame:
     return model.trees.transform(_numbers(rows, model.codes, model.columns, model.categories)).select(*names, "prediction")
 
 
+def calibrate(model: Model, rows: DataFrame, target: str = "actual_duration_sec") -> Model:
+    """The model with the offset that its predictions of rows lack on average."""
+    found = baselines.residual_offset(predict(model, rows), "prediction", target).first()["offset"]
+    return replace(model, offset=float(found or 0.0))
+
+
+def predict_calibrated(model: Model, rows: DataFrame) -> DataFrame:
+    """rows with prediction and calibrated."""
+    return predict(model, rows).withColumn("calibrated", F.col("prediction") + F.lit(model.offset))
+
+
+_ABOUT = "columns array<string>, categories array<string>, offset double"
+_CODES = "column string, value string, code int"
+
+
+def save(model: Model, spark: SparkSession, path: str) -> None:
+    """Write all that scoring needs into the folder path, in place of what is there."""
+    model.trees.write().overwrite().save(f"{path}/trees")
+    spark.createDataFrame([(list(model.columns), list(model.categories), model.offset)], _ABOUT).write.mode("overwrite").parquet(f"{path}/about")
+    codes = spark.createDataFrame([], _CODES) if model.codes is None else model.codes.select("column", "value", F.col("code").cast("int").alias("code"))
+    codes.write.mode("overwrite").parquet(f"{path}/codes")
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    about = spark.read.schema(_ABOUT).parquet(f"{path}/about").first()
+    return Model(PipelineModel.load(f"{path}/trees"), spark.read.schema(_CODES).parquet(f"{path}/codes"), tuple(about["columns"]), tuple(about["categories"]), about["offset"])
+
+
 def gains(model: Model) -> DataFrame:
     """(feature, gain): each column's value and mark together. As many rows as the model has columns."""
-    spark = model.codes.sparkSession
+    spark = SparkSession.active()
     weights = model.trees.stages[-1].featureImportances.toArray()
     return spark.createDataFrame([(c, float(weights[2 * i] + weights[2 * i + 1])) for i, c in enumerate(model.columns)], "feature string, gain double")
 

@@ -21,15 +21,12 @@ def duplicate_trips(trips: DataFrame) -> DataFrame:
 
 
 def scheduled_instants(scheduled: DataFrame, dates: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Stop times on each service date of dates (service_date, and scheduled_trip_id if only some trips run).
+    """Stop times on the service dates of dates (service_date with scheduled_trip_id, or with route_id where all trips of a route run).
 
-    With trips named, an equi join takes the place of all dates for all trips.
+    Always an equi join: a timetable is never laid out for dates on which a trip or route was not seen.
     """
-    if "scheduled_trip_id" in dates.columns:
-        rows = scheduled.join(dates.select("scheduled_trip_id", "service_date").distinct(), "scheduled_trip_id")
-    else:
-        days = dates.select("service_date").distinct().groupBy().agg(F.collect_list("service_date").alias("days"))
-        rows = scheduled.join(F.broadcast(days)).withColumn("service_date", F.explode("days")).drop("days")
+    by = "scheduled_trip_id" if "scheduled_trip_id" in dates.columns else "route_id"
+    rows = scheduled.join(dates.select(by, "service_date").distinct(), by)
     start = X.service_day_start(F.col("service_date"), settings.zone)
     rows = rows.withColumn("service_day_start_utc", start)
     return rows.withColumn("scheduled_arrival_ts", F.timestamp_seconds(F.col("service_day_start_utc") + F.col("scheduled_arrival_offset_sec"))).withColumn("scheduled_departure_ts", F.timestamp_seconds(F.col("service_day_start_utc") + F.col("scheduled_departure_offset_sec")))
@@ -40,12 +37,12 @@ def resolve_bundles(dates: DataFrame, bundles: DataFrame) -> DataFrame:
 
     An 'unknown' end is open. A date's choice depends only on bundle starts, so one row per bundle and date is enough.
     """
-    d, start, end = F.col("service_date"), F.col("feed_start"), F.col("feed_end")
-    grade = F.when((start <= d) & ((end == "unknown") | (end >= d)), 2).when(start <= d, 1).otherwise(0)
-    best = F.max_by(F.struct("feed_start", "feed_end", "version"), F.struct("grade", "feed_start", "feed_end", "version"))
-    every = dates.select("service_date").distinct().join(F.broadcast(bundles))
-    chosen = every.withColumn("grade", grade).groupBy("service_date").agg(best.alias("b"), F.max("grade").alias("grade"))
-    return chosen.select("service_date", F.col("b.feed_start").alias("feed_start"), F.col("b.feed_end").alias("feed_end"), X.version_label(F.col("b.feed_start"), F.col("b.version")).alias("bundle"), (F.col("grade") == 2).alias("covered"))
+    one = bundles.agg(F.collect_list(F.struct("feed_start", "feed_end", "version")).alias("all"))  # a row: bundles are some dozens
+    d = F.col("service_date")
+    grade = lambda b: F.when((b["feed_start"] <= d) & ((b["feed_end"] == "unknown") | (b["feed_end"] >= d)), 2).when(b["feed_start"] <= d, 1).otherwise(0)
+    best = F.array_max(F.transform("all", lambda b: F.struct(grade(b).alias("grade"), b["feed_start"].alias("feed_start"), b["feed_end"].alias("feed_end"), b["version"].alias("version"))))
+    chosen = dates.select("service_date").distinct().join(F.broadcast(one)).select("service_date", best.alias("b")).where("b is not null")
+    return chosen.select("service_date", F.col("b.feed_start").alias("feed_start"), F.col("b.feed_end").alias("feed_end"), X.version_label(F.col("b.feed_start"), F.col("b.version")).alias("bundle"), (F.col("b.grade") == 2).alias("covered"))
 
 
 def bundle_version(trips: DataFrame) -> DataFrame:

@@ -10,8 +10,20 @@ from tramloom.operators.journeys import BLOCK_KEY
 
 
 def boundary(rows: DataFrame, ts: str, settings: Settings = DEFAULT) -> DataFrame:
-    """One row: the instant (microseconds) before which all but validation_fraction of the rows lie, between rows if need be."""
-    return rows.agg(F.percentile(F.unix_micros(ts), F.lit(1 - settings.validation_fraction)).alias("boundary"))
+    """One row: the instant (microseconds) before which all but validation_fraction of the rows lie, between rows if need be.
+
+    Rows are counted by second first, so that what one task puts in order is seconds, not rows; then only the rows of
+    the one or two seconds that hold the ranks in question are looked at.
+    """
+    known = rows.where(F.col(ts).isNotNull()).select(F.unix_micros(ts).alias("m"), F.unix_seconds(ts).alias("s"))
+    whole, line = Window.partitionBy(), Window.orderBy("s")
+    counted = known.groupBy("s").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(line))
+    rank = (F.col("total") - 1) * F.lit(1 - settings.validation_fraction)
+    held = counted.withColumn("rank", rank).where((F.col("upto") > F.floor("rank")) & (F.col("upto") - F.col("n") <= F.ceil("rank")))
+    near = known.join(F.broadcast(held), "s").withColumn("place", F.col("upto") - F.col("n") + F.row_number().over(Window.partitionBy("s").orderBy("m")) - 1)
+    at = lambda r: F.max(F.when(F.col("place") == r("rank"), F.col("m").cast("double")))
+    low, high, rank = at(F.floor), at(F.ceil), F.max("rank")
+    return near.agg((low + (rank - F.floor(rank)) * (high - low)).alias("boundary"))
 
 
 def _label(micros: Column, settings: Settings) -> Column:
@@ -52,6 +64,25 @@ def split_journeys(journeys: DataFrame, settings: Settings = DEFAULT, ts: str =
     return rows.join(F.broadcast(edge)).withColumn("split", _label(F.unix_micros("block_start"), settings)).drop("boundary")
 
 
+def journey_split_report(split: DataFrame, ts: str = "actual_departure_ts") -> DataFrame:
+    """Rows, blocks, service dates and ends of each part."""
+    block = F.struct(*BLOCK_KEY)
+    return split.groupBy("split").agg(F.count("*").alias("n_rows"), F.countDistinct(block).alias("blocks"), F.countDistinct("service_date").alias("dates"), F.min(F.unix_seconds(ts)).alias("first"), F.max(F.unix_seconds(ts)).alias("last"))
+
+
+def journey_split_warnings(split: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """One row: days of training and validation, and what makes the split doubtful."""
+    per_day = split.where("split <> 'embargo'").groupBy("service_date").agg(F.max((F.col("split") == "train").cast("int")).alias("t"), F.max((F.col("split") == "validation").cast("int")).alias("v"))
+    one = per_day.agg(F.count("*").alias("days"), F.coalesce(F.sum("t"), F.lit(0)).alias("train_days"), F.coalesce(F.sum("v"), F.lit(0)).alias("validation_days"), F.coalesce(F.sum(F.col("t") * F.col("v")), F.lit(0)).alias("shared_days"))
+    every = (F.col("validation_days") > 0) & (F.col("shared_days") == F.col("validation_days"))
+    return one.select("*", (F.col("days") < settings.min_days).alias("too_few_days"), (F.col("validation_days") < 2).alias("single_validation_day"), every.alias("validation_days_all_in_training"))
+
+
+def outside_blocks(segments: DataFrame, journeys: DataFrame) -> DataFrame:
+    """Segments (with block_no) of no block that any of the journeys belongs to."""
+    return segments.join(journeys.select(*BLOCK_KEY).distinct(), list(BLOCK_KEY), "left_anti")
+
+
 def shared_days(split: DataFrame) -> DataFrame:
     """Service dates that are in both training and validation."""
     part = lambda name: split.where(F.col("split") == name).select("service_date")

@@ -77,11 +77,12 @@ def resolve_requests(requests: DataFrame, codes: DataFrame, schedule: DataFrame)
 def nearest_names(names: DataFrame, known: DataFrame, k: int = 3) -> DataFrame:
     """For each name the k known names most alike by edit distance over length; of equals the lower.
 
-    known is a station list, so that names meet it by broadcast where it is small.
+    known is the station list of a network, some hundreds of names: it becomes one row, and each asked name picks its
+    own k from that row, so that pairs are never rows of a table.
     """
-    left = names.select(X.plain_name(F.col("name")).alias("asked")).distinct()
-    right = known.select(F.col("station")).distinct()
-    length = F.greatest(F.length("asked"), F.length("station"), F.lit(1))
-    pairs = left.join(F.broadcast(right)).withColumn("likeness", F.round(1 - F.levenshtein("asked", "station") / length, 6))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("likeness"), "station")))
-    return ranked.where(F.col("rank") <= k)
+    asked = names.select(X.plain_name(F.col("name")).alias("asked")).distinct()
+    one = known.agg(F.array_sort(F.collect_set("station")).alias("stations"))
+    likeness = lambda s: F.round(1 - F.levenshtein(F.col("asked"), s) / F.greatest(F.length("asked"), F.length(s), F.lit(1)), 6)
+    ranked = F.array_sort(F.transform("stations", lambda s: F.struct((-likeness(s)).alias("d"), s.alias("station"))))
+    best = asked.join(F.broadcast(one)).select("asked", F.posexplode(F.slice(ranked, 1, k)).alias("at", "b"))
+    return best.select("asked", F.col("b.station").alias("station"), (-F.col("b.d")).alias("likeness"), (F.col("at") + 1).alias("rank"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tramloom.config import COARSE
 from tramloom.operators import arrivals, features, schedule, segments
-from tramloom.sources import bridge
+from tramloom.sources import bridge, tables
 
 S = COARSE
 TIE = ("event_id",)
@@ -39,8 +39,10 @@ def planned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def built(spark: SparkSession, d: str) -> DataFrame:
-    both = combined(spark, d)
-    return segments.build_segments(both, schedule.scheduled_instants(planned(spark, d), both, S), "rail", "2024", "20670", S)
+    """All segments. They and the arrivals they come from are written once, since most queries read them more than once."""
+    both = tables.materialize(combined(spark, d), "arrivals")
+    rows = segments.build_segments(both, schedule.scheduled_instants(planned(spark, d), both, S), "rail", "2024", "20670", S)
+    return tables.materialize(rows, "segments")
 
 
 def kept(spark: SparkSession, d: str) -> DataFrame:

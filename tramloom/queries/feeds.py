@@ -88,11 +88,10 @@ add("cadence", lambda s, d: observations.modal_interval(_minutes(s, d)), _with(f
 add("earliest_hour", lambda s, d: observations.earliest(_captures(s, d)).select(F.unix_seconds("earliest_hour").alias("earliest_sec")), sql("SELECT (min(cap) // 3600) * 3600 AS earliest_sec FROM obs", "obs"))
 
 
-def _hours(s, d):
+def hours(s, d):
     spine = observations.hour_spine(s, F.timestamp_seconds(F.lit(1704067200)), F.timestamp_seconds(F.lit(1706832000)))  # 2024-01-01 to 2024-02-02
     every = spine.join(F.broadcast(s.range(2).select(F.when(F.col("id") == 0, "vehicles").otherwise("updates").alias("feed"))))
-    counted = _minutes(s, d).groupBy("feed", F.date_trunc("HOUR", "captured_at").alias("hour")).agg(F.count("*").alias("n"))
-    counts = every.join(counted, ["feed", "hour"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counts = observations.counts_by_hour(_minutes(s, d), every, by=["feed"])
     return quality.hour_status(counts, observations.modal_interval(_minutes(s, d)), F.timestamp_seconds(F.lit(1706788800)), DEFAULT)  # 2024-02-01 12:00
 
 
@@ -100,12 +99,12 @@ _HOURS = f"""{_CAPS}, {_CADENCE}, spine AS (SELECT feed, h AS hour FROM (SELECT
   cnt AS (SELECT s.feed, s.hour, count(m.m) AS n FROM spine s LEFT JOIN mins m ON m.feed = s.feed AND m.m >= s.hour AND m.m < s.hour + 3600 GROUP BY 1, 2),
   hrs AS (SELECT cnt.feed, hour, n, greatest(1, round_even(3600.0 / interval_seconds, 0)::INT) AS expected FROM cnt LEFT JOIN cad USING (feed)),
   st AS (SELECT *, CASE WHEN hour + 3600 > 1706788800 THEN 'pending' WHEN n = 0 THEN 'empty' WHEN n < expected * 0.9 THEN 'short' ELSE 'complete' END AS status FROM hrs)"""
-add("hour_status", lambda s, d: _hours(s, d).select("feed", F.unix_seconds("hour").alias("hour_sec"), F.col("n").cast("long").alias("n"), F.col("expected").cast("int").alias("expected"), "status"), _with(_HOURS, "SELECT feed, hour AS hour_sec, n, expected, status FROM st", "vp", "tu"))
+add("hour_status", lambda s, d: hours(s, d).select("feed", F.unix_seconds("hour").alias("hour_sec"), F.col("n").cast("long").alias("n"), F.col("expected").cast("int").alias("expected"), "status"), _with(_HOURS, "SELECT feed, hour AS hour_sec, n, expected, status FROM st", "vp", "tu"))
 _COVER = """cov AS (SELECT feed, count(*) AS hours, count_if(status = 'complete')::BIGINT AS complete_hours, count_if(status = 'short')::BIGINT AS short_hours, count_if(status = 'empty')::BIGINT AS empty_hours, count_if(status = 'pending')::BIGINT AS pending_hours, max(expected)::BIGINT AS expected_per_hour,
   coalesce(sum(n) FILTER (WHERE status = 'short'), 0) AS sh FROM st GROUP BY 1)"""
-add("snapshot_coverage", lambda s, d: quality.coverage(_hours(s, d)), _with(f"{_HOURS}, {_COVER}", "SELECT * EXCLUDE (sh), greatest((hours - pending_hours) * expected_per_hour - sh - complete_hours * expected_per_hour, 0)::BIGINT AS missing_snapshots FROM cov", "vp", "tu"))
-add("first_empty_hours", lambda s, d: quality.first_hours(_hours(s, d), "empty").select("feed", F.unix_seconds("hour").alias("hour_sec")), _with(_HOURS, "SELECT feed, hour AS hour_sec FROM st WHERE status = 'empty' ORDER BY feed, hour LIMIT 10", "vp", "tu"))
-add("hour_shortfall", lambda s, d: explore.hour_shortfall(_hours(s, d)).select("feed", F.unix_seconds("hour").alias("hour_sec"), F.col("n").cast("long").alias("n"), "status", "shortfall"), _with(_HOURS, "SELECT feed, hour AS hour_sec, n, status, greatest(expected::BIGINT - n, 0)::BIGINT AS shortfall FROM st", "vp", "tu"))
+add("snapshot_coverage", lambda s, d: quality.coverage(hours(s, d)), _with(f"{_HOURS}, {_COVER}", "SELECT * EXCLUDE (sh), greatest((hours - pending_hours) * expected_per_hour - sh - complete_hours * expected_per_hour, 0)::BIGINT AS missing_snapshots FROM cov", "vp", "tu"))
+add("first_empty_hours", lambda s, d: quality.first_hours(hours(s, d), "empty").select("feed", F.unix_seconds("hour").alias("hour_sec")), _with(_HOURS, "SELECT feed, hour AS hour_sec FROM st WHERE status = 'empty' ORDER BY feed, hour LIMIT 10", "vp", "tu"))
+add("hour_shortfall", lambda s, d: explore.hour_shortfall(hours(s, d)).select("feed", F.unix_seconds("hour").alias("hour_sec"), F.col("n").cast("long").alias("n"), "status", "shortfall"), _with(_HOURS, "SELECT feed, hour AS hour_sec, n, status, greatest(expected::BIGINT - n, 0)::BIGINT AS shortfall FROM st", "vp", "tu"))
 add(
     "decode_summary",
     lambda s, d: observations.decode_summary(_minutes(s, d).withColumn("service_date", F.date_format(X.local_time(F.col("captured_at"), S.zone), "yyyy-MM-dd"))),
@@ -113,7 +112,7 @@ add(
 )
 add(
     "blocking_issues",
-    lambda s, d: quality.blocking_issues(schedule.match_report(bridge.realtime_ids(s, d), bridge.trips(s, d).where(F.col("direction_id") == 0), S), quality.segment_quality(built(s, d), S), quality.coverage(_hours(s, d)), S),
+    lambda s, d: quality.blocking_issues(schedule.match_report(bridge.realtime_ids(s, d), bridge.trips(s, d).where(F.col("direction_id") == 0), S), quality.segment_quality(built(s, d), S), quality.coverage(hours(s, d)), S),
     _with(f"""{_HOURS}, {_COVER}, q AS (SELECT (count_if(dur < 0) + count_if(dur > 2592000) + count_if(sdur > 0 AND dur > sdur * 400)) / count(*)::DOUBLE AS v FROM segs), m AS (SELECT count_if(route_id <> 'NR' AND base::INT % 2 = 0 AND base IN (SELECT c_custkey::VARCHAR FROM customer)) / count_if(route_id <> 'NR')::DOUBLE AS v FROM rt)""",
       "SELECT 'low_match_rate' AS issue, '' AS about, round(v, 6) AS value FROM m WHERE v < 0.95 UNION ALL SELECT 'implausible_segments', '', round(v, 6) FROM q WHERE v > 0.05 UNION ALL SELECT 'empty_hours', feed, empty_hours::DOUBLE FROM cov WHERE empty_hours > 0", "vp", "tu", "segs", "rt"),
 )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tramloom.operators import baselines, encode, evaluate, features, journeys, model, split
 from tramloom.plans import pipelines
 from tramloom.queries.base import S, built, dated, kept, r
 from tramloom.queries.sql import Query, sql
+from tramloom.sources import tables
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -110,7 +113,7 @@ def _split(s, d):
     return split.temporal_split(dated(s, d), settings=S)
 
 
-def _valid(s, d):
+def valid(s, d):
     rows = _split(s, d)
     part = lambda n: rows.where(F.col("split") == n)
     return baselines.apply_medians(part("validation"), baselines.fitted_medians(part("train")), name="pred")
@@ -125,9 +128,9 @@ add(
     sql("""SELECT *, days < 14 AS too_few_days, validation_weekdays = 1 AS single_weekday, validation_days = 1 AS single_date, unseen_segments > 0 AS has_unseen FROM (SELECT count(DISTINCT service_date) AS days, count(DISTINCT service_date) FILTER (WHERE split = 'validation') AS validation_days, count(DISTINCT isodow(service_date::DATE)) FILTER (WHERE split = 'validation') AS validation_weekdays,
       (SELECT count(*) FROM (SELECT from_stop_id, to_stop_id FROM split WHERE split = 'validation' EXCEPT SELECT from_stop_id, to_stop_id FROM split WHERE split = 'train')) AS unseen_segments FROM split)""", "split"),
 )
-add("medians_applied", lambda s, d: _valid(s, d).select(*_KEY, r("pred")), sql(f"SELECT {_K}, round(pred::DOUBLE, 4) AS pred FROM scored", "scored"))
-add("residual_offset", lambda s, d: baselines.residual_offset(_valid(s, d), "pred").select(r("offset")), sql("SELECT round(avg(dur - pred)::DOUBLE, 4) AS \"offset\" FROM scored", "scored"))
-add("calibrated", lambda s, d: (lambda v: baselines.score(baselines.calibrated(v, "pred", baselines.residual_offset(v, "pred")), "calibrated", F.col("calibrated"), True))(_valid(s, d)).select("baseline", "n_rows", r("mae"), r("rmse")), sql("SELECT 'calibrated' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred - o))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred - o)::DOUBLE * (dur - pred - o))), 4) AS rmse FROM scored, (SELECT avg(dur - pred) AS o FROM scored)", "scored"))
+add("medians_applied", lambda s, d: valid(s, d).select(*_KEY, r("pred")), sql(f"SELECT {_K}, round(pred::DOUBLE, 4) AS pred FROM scored", "scored"))
+add("residual_offset", lambda s, d: baselines.residual_offset(valid(s, d), "pred").select(r("offset")), sql("SELECT round(avg(dur - pred)::DOUBLE, 4) AS \"offset\" FROM scored", "scored"))
+add("calibrated", lambda s, d: (lambda v: baselines.score(baselines.calibrated(v, "pred", baselines.residual_offset(v, "pred")), "calibrated", F.col("calibrated"), True))(valid(s, d)).select("baseline", "n_rows", r("mae"), r("rmse")), sql("SELECT 'calibrated' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred - o))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred - o)::DOUBLE * (dur - pred - o))), 4) AS rmse FROM scored, (SELECT avg(dur - pred) AS o FROM scored)", "scored"))
 
 # --- codes ---------------------------------------------------------------------------------------------------------
 _CATS = ["from_stop_id", "route_id"]
@@ -183,20 +186,20 @@ _CMP = ", ".join(f"round(avg(abs(dur - {c}))::DOUBLE, 4) AS {n}_mae, round(avg(d
 
 
 def _compared(s, d):
-    return pipelines.compared(_split(s, d), [], S)
+    return pipelines.compared(dated(s, d), [], S)
 
 
-add("journeys_compared", lambda s, d: _compared(s, d).select("n_segments", "n", *[r(c) for c in ("schedule_mae", "schedule_bias", "summed_mae", "summed_bias")]), sql(f"SELECT n_segments, count(*) AS n, {_CMP} FROM ssum GROUP BY 1", "ssum"))
-add("journeys_best", lambda s, d: journeys.best_by_length(_compared(s, d), ["schedule", "summed"]).select("n_segments", "best", r("mae")), sql("SELECT n_segments, CASE WHEN avg(abs(dur - sdur)) <= avg(abs(dur - pred)) THEN 'schedule' ELSE 'summed' END AS best, round(least(avg(abs(dur - sdur)), avg(abs(dur - pred)))::DOUBLE, 4) AS mae FROM ssum GROUP BY 1", "ssum"))
+add("journeys_compared", lambda s, d: _compared(s, d).select("n_segments", "n", *[r(c) for c in ("schedule_mae", "schedule_bias", "summed_mae", "summed_bias")]), sql(f"SELECT n_segments, count(*) AS n, {_CMP} FROM hsum GROUP BY 1", "hsum"))
+add("journeys_best", lambda s, d: journeys.best_by_length(_compared(s, d), ["schedule", "summed"]).select("n_segments", "best", r("mae")), sql("SELECT n_segments, CASE WHEN avg(abs(dur - sdur)) <= avg(abs(dur - pred)) THEN 'schedule' ELSE 'summed' END AS best, round(least(avg(abs(dur - sdur)), avg(abs(dur - pred)))::DOUBLE, 4) AS mae FROM hsum GROUP BY 1", "hsum"))
 add(
     "journey_level",
-    lambda s, d: evaluate.journey_level(journeys.with_blocks(_valid(s, d), S), "pred", "scheduled_duration_sec", S).select("n_segments", "n", r("median_sec"), r("model_mae"), r("baseline_mae"), r("floor_pct", digits=6), r("beats_pct")),
+    lambda s, d: evaluate.journey_level(journeys.with_blocks(valid(s, d), S), "pred", "scheduled_duration_sec", S).select("n_segments", "n", r("median_sec"), r("model_mae"), r("baseline_mae"), r("floor_pct", digits=6), r("beats_pct")),
     sql("SELECT n_segments, count(*) AS n, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median_sec, round(avg(abs(dur - pred))::DOUBLE, 4) AS model_mae, round(avg(abs(dur - sdur))::DOUBLE, 4) AS baseline_mae, round(2400 / quantile_cont(dur, 0.5)::DOUBLE, 6) AS floor_pct, round(100 * (1 - avg(abs(dur - pred)) / avg(abs(dur - sdur)))::DOUBLE, 4) AS beats_pct FROM ssum GROUP BY 1", "ssum"),
 )
 
 # --- evaluation ----------------------------------------------------------------------------------------------------
-add("segment_level", lambda s, d: evaluate.segment_level(_valid(s, d), ["pred", "scheduled_duration_sec"]).select("baseline", "n_rows", r("mae"), r("rmse"), r("median_abs")), sql("SELECT 'pred' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred)::DOUBLE * (dur - pred))), 4) AS rmse, round(quantile_cont(abs(dur - pred), 0.5)::DOUBLE, 4) AS median_abs FROM scored UNION ALL SELECT 'scheduled_duration_sec', count(*), round(avg(abs(dur - sdur))::DOUBLE, 4), round(sqrt(avg((dur - sdur)::DOUBLE * (dur - sdur))), 4), round(quantile_cont(abs(dur - sdur), 0.5)::DOUBLE, 4) FROM scored", "scored"))
-add("error_by_group", lambda s, d: evaluate.error_by_group(_valid(s, d), "route_id", ["pred"]).select("route_id", "n", r("pred_mae")), sql("SELECT route_id, count(*) AS n, round(avg(abs(dur - pred))::DOUBLE, 4) AS pred_mae FROM scored GROUP BY 1", "scored"))
+add("segment_level", lambda s, d: evaluate.segment_level(valid(s, d), ["pred", "scheduled_duration_sec"]).select("baseline", "n_rows", r("mae"), r("rmse"), r("median_abs")), sql("SELECT 'pred' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred)::DOUBLE * (dur - pred))), 4) AS rmse, round(quantile_cont(abs(dur - pred), 0.5)::DOUBLE, 4) AS median_abs FROM scored UNION ALL SELECT 'scheduled_duration_sec', count(*), round(avg(abs(dur - sdur))::DOUBLE, 4), round(sqrt(avg((dur - sdur)::DOUBLE * (dur - sdur))), 4), round(quantile_cont(abs(dur - sdur), 0.5)::DOUBLE, 4) FROM scored", "scored"))
+add("error_by_group", lambda s, d: evaluate.error_by_group(valid(s, d), "route_id", ["pred"]).select("route_id", "n", r("pred_mae")), sql("SELECT route_id, count(*) AS n, round(avg(abs(dur - pred))::DOUBLE, 4) AS pred_mae FROM scored GROUP BY 1", "scored"))
 add(
     "binned_predictions",
     lambda s, d: evaluate.binned(dated(s, d), "scheduled_duration_sec", bins=4, least=5).select("bin", "n", r("mean_prediction"), r("q25"), r("median"), r("q75")),
@@ -209,11 +212,15 @@ add(
 )
 
 # --- models --------------------------------------------------------------------------------------------------------
-_COLUMNS = ("local_hour", "local_dow", "stop_span", "scheduled_duration_sec", "from_stop_id", "route_id", "upstream_delay_sec", "headway_sec", "recent_deviation")
+_COLUMNS = ("local_hour", "local_dow", "stop_span", "scheduled_duration_sec", "from_station", "route_id", "upstream_delay_sec", "headway_sec", "recent_deviation")
+
+
+def _table(s, d):
+    return tables.materialize(pipelines.feature_table(built(s, d), S).select(*_KEY, "split", "actual_duration_sec", *_COLUMNS), "table")
 
 
 def _fitted(s, d):
-    rows = pipelines.feature_table(built(s, d), S).select(*_KEY, "split", "actual_duration_sec", *_COLUMNS).cache()
+    rows = _table(s, d)
     return rows, model.fit(rows.where("split = 'train'"), _COLUMNS, rounds=5, depth=4, bins=32)
 
 
@@ -223,6 +230,19 @@ def _scored(s, d):
     return out.select(*_KEY, "prediction", F.array_join(model.scoring_warnings(F.col("stop_span"), settings=S), ",").alias("warnings"))
 
 
+def _saved(s, d):
+    """A saved and loaded model scores every row as the fitted one does."""
+    rows, fitted = _fitted(s, d)
+    fitted = model.calibrate(fitted, rows.where("split = 'train'"))
+    path = f"{tables.shared_folder(s)}/model-{uuid.uuid4().hex}"
+    model.save(fitted, s, path)
+    valid = rows.where("split = 'validation'")
+    score = lambda m, name: model.predict_calibrated(m, valid).select(*_KEY, F.col("calibrated").alias(name))
+    both = score(fitted, "a").join(score(model.load(s, path), "b"), _KEY)
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("different"))
+
+
+add("model_saved_and_loaded", _saved, sql("SELECT count(*) AS n_rows, 0::BIGINT AS different FROM split WHERE split = 'validation'", "split"))
 add("trees_scored", _scored)
 add("trees_importance", lambda s, d: evaluate.importance(model.gains(_fitted(s, d)[1])))
 add("scoring_warnings", lambda s, d: features.recent_conditions(kept(s, d), S).select(*_KEY, F.array_join(model.scoring_warnings(F.col("trip_run") + 12, settings=S), ",").alias("warnings")), sql(f"SELECT {_K}, concat_ws(',', CASE WHEN trip_run + 12 > 17 THEN 'beyond_training' END, CASE WHEN NOT coalesce(age <= 604800, false) OR roll_deviation IS NULL THEN 'no_recent_conditions' END) AS warnings FROM recent", "recent"))

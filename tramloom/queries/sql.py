@@ -69,6 +69,16 @@ PARTS: dict[str, str] = {
     "ssum": """SELECT a.service_date, a.trip_id, a.trip_run, any_value(a.from_stop_id) AS origin, n::INT AS n_segments, sum(b.dur)::BIGINT AS dur, sum(b.sdur)::BIGINT AS sdur, sum(b.pred) AS pred
       FROM snum a, (SELECT unnest([1, 2, 3, 4]) AS n) l JOIN snum b ON b.service_date = a.service_date AND b.trip_id = a.trip_id AND b.trip_run = a.trip_run AND b.block_no = a.block_no AND b.place >= a.place AND b.place < a.place + n
       GROUP BY a.service_date, a.trip_id, a.trip_run, a.block_no, a.place, n HAVING count(*) = n""",
+    "vblk": "SELECT DISTINCT service_date, trip_id, trip_run, block_no FROM jsplit WHERE split = 'validation'",
+    "tside": "SELECT * FROM blocks ANTI JOIN vblk USING (service_date, trip_id, trip_run, block_no)",
+    "hmh": "SELECT from_stop_id, to_stop_id, local_hour, quantile_cont(dur, 0.5) AS m FROM tside GROUP BY ALL",
+    "hms": "SELECT from_stop_id, to_stop_id, quantile_cont(dur, 0.5) AS m FROM tside GROUP BY ALL",
+    "hma": "SELECT quantile_cont(dur, 0.5) AS m FROM tside",
+    "hscored": """SELECT v.*, coalesce(hmh.m, hms.m, hma.m) AS pred FROM (SELECT * FROM numbered SEMI JOIN vblk USING (service_date, trip_id, trip_run, block_no)) v
+      LEFT JOIN hmh ON v.from_stop_id = hmh.from_stop_id AND v.to_stop_id = hmh.to_stop_id AND v.local_hour = hmh.local_hour LEFT JOIN hms ON v.from_stop_id = hms.from_stop_id AND v.to_stop_id = hms.to_stop_id, hma""",
+    "hsum": """SELECT a.service_date, a.trip_id, a.trip_run, any_value(a.from_stop_id) AS origin, n::INT AS n_segments, sum(b.dur)::BIGINT AS dur, sum(b.sdur)::BIGINT AS sdur, sum(b.pred) AS pred
+      FROM hscored a, (SELECT unnest([1, 2, 3, 4]) AS n) l JOIN hscored b ON b.service_date = a.service_date AND b.trip_id = a.trip_id AND b.trip_run = a.trip_run AND b.block_no = a.block_no AND b.place >= a.place AND b.place < a.place + n
+      GROUP BY a.service_date, a.trip_id, a.trip_run, a.block_no, a.place, n HAVING count(*) = n""",
     "stops": """SELECT DISTINCT 'STN_' || code AS stop_id, name AS stop_name, '' AS parent_station FROM plat0 UNION ALL SELECT 'PF_' || code || '_' || s_suppkey, 'Platform', 'STN_' || code FROM plat0""",
     "plat0": """SELECT chr((65 + n_nationkey % 8)::INT) || lpad(n_nationkey::VARCHAR, 2, '0') AS code, s_suppkey, CASE WHEN n_nationkey % 5 = 0 THEN r_name ELSE n_name END AS name
       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",

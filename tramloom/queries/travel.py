@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tramloom.operators import arrivals, explore, quality, schedule, segments
@@ -74,10 +76,8 @@ add("segments_end_to_end", _pipeline, sql("SELECT service_date, count(*) AS n, s
 
 
 def _round_trip(s, d):
-    """Write the segments by date, write two dates again, and read all back."""
-    import uuid
-
-    path = f"{_shared(s)}/segments-{uuid.uuid4().hex}"
+    """Write the segments by date, write two dates again, and read all back, and then some dates alone."""
+    path = f"{tables.shared_folder(s)}/segments-{uuid.uuid4().hex}"
     rows = built(s, d)
     tables.write_partitions(rows, path)
     some = ["2024-01-03", "2024-01-04"]
@@ -86,12 +86,6 @@ def _round_trip(s, d):
     return back.groupBy("service_date").agg(F.count("*").alias("n"), F.sum("actual_duration_sec").alias("total_sec"))
 
 
-def _shared(s):
-    import tempfile
-
-    return (s.sparkContext.getConf().get("spark.checkpoint.dir") or s.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tramloom-")).rstrip("/")
-
-
 add("segments_written_and_read", _round_trip, sql("SELECT service_date, count(*) AS n, sum(dur)::BIGINT AS total_sec FROM segs GROUP BY 1", "segs"))
 
 # --- timetables ----------------------------------------------------------------------------------------------------
@@ -99,13 +93,16 @@ add("scheduled_stop_times", lambda s, d: planned(s, d), sql("SELECT trip_id AS s
 
 
 def _instants(s, d):
-    dates = combined(s, d).select("service_date").distinct()
-    rows = schedule.scheduled_instants(planned(s, d), dates, S)
+    rows = schedule.scheduled_instants(planned(s, d), combined(s, d), S)
     return rows.groupBy("scheduled_trip_id").agg(F.count("*").alias("n"), F.sum(F.unix_seconds("scheduled_arrival_ts")).alias("total_sec"), F.max(F.unix_seconds("scheduled_departure_ts")).alias("last_sec"))
 
 
-add("scheduled_instants", _instants, sql("""SELECT trip_id AS scheduled_trip_id, count(*) AS n, sum(epoch(strptime(service_date, '%Y-%m-%d'))::BIGINT + 18000 + off)::BIGINT AS total_sec, max(epoch(strptime(service_date, '%Y-%m-%d'))::BIGINT + 18000 + off)::BIGINT AS last_sec
-  FROM sched, (SELECT DISTINCT service_date FROM arrs) GROUP BY 1""", "sched", "arrs"))
+_INSTANT = "epoch(strptime(service_date, '%Y-%m-%d'))::BIGINT + 18000 + off"
+add(
+    "scheduled_instants",
+    _instants,
+    sql(f"SELECT trip_id AS scheduled_trip_id, count(*) AS n, sum({_INSTANT})::BIGINT AS total_sec, max({_INSTANT})::BIGINT AS last_sec FROM sched JOIN (SELECT DISTINCT trip_id, service_date FROM arrs) USING (trip_id) GROUP BY 1", "sched", "arrs"),
+)
 add(
     "bundle_in_force",
     lambda s, d: schedule.resolve_bundles(s.read.parquet(f"{d}/orders.parquet").select(F.date_format(F.date_add(F.to_date("o_orderdate"), 40), "yyyy-MM-dd").alias("service_date")), bridge.bundles(s, d)),
@@ -122,9 +119,9 @@ add(
 add("version_counts", lambda s, d: schedule.version_counts(bridge.realtime_ids(s, d)), sql("SELECT '20660' AS version, count(*) AS n FROM rt", "rt"))
 add(
     "static_join_report",
-    lambda s, d: schedule.static_join_report(bridge.realtime_ids(s, d), bridge.trips(s, d), bridge.stop_times(s, d), bridge.stop_times(s, d)),
+    lambda s, d: schedule.static_join_report(bridge.realtime_ids(s, d), bridge.trips(s, d), bridge.stop_times(s, d), bridge.stops(s, d)),
     sql("""SELECT 'trip_ids' AS measure, count(DISTINCT trip_id) AS n FROM rt UNION ALL SELECT 'by_versioned_id', 0 UNION ALL SELECT 'by_base_id', count(DISTINCT base) FROM rt WHERE base IN (SELECT c_custkey::VARCHAR FROM customer)
-      UNION ALL SELECT 'in_stop_times', count(DISTINCT base) FROM rt WHERE base IN (SELECT trip_id FROM sched) UNION ALL SELECT 'stop_ids', count(DISTINCT stop_id) FROM rt UNION ALL SELECT 'known_stops', count(DISTINCT stop_id) FROM rt WHERE stop_id IN (SELECT stop_id FROM sched)""", "rt", "sched"),
+      UNION ALL SELECT 'in_stop_times', count(DISTINCT base) FROM rt WHERE base IN (SELECT trip_id FROM sched) UNION ALL SELECT 'stop_ids', count(DISTINCT stop_id) FROM rt UNION ALL SELECT 'known_stops', count(DISTINCT stop_id) FROM rt WHERE stop_id IN (SELECT stop_id FROM stops)""", "rt", "sched", "stops"),
 )
 add("duplicate_trips", lambda s, d: schedule.duplicate_trips(bridge.trips(s, d).unionByName(bridge.trips(s, d).where("direction_id = 0"))), "SELECT c_custkey::VARCHAR || '_20670' AS trip_id, 2::BIGINT AS n FROM customer WHERE c_custkey % 2 = 0")
 add("arrival_jumps", lambda s, d: explore.jump_histogram(observed(s, d)).select("sequence_jump", "n", r("median_bracket"), "longest_bracket"), sql("SELECT jump AS sequence_jump, count(*) AS n, round(quantile_cont(bracket, 0.5)::DOUBLE, 4) AS median_bracket, max(bracket) AS longest_bracket FROM vpa GROUP BY 1", "vpa"))

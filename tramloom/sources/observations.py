@@ -68,10 +68,11 @@ def hour_spine(spark: SparkSession, start: Column, end: Column) -> DataFrame:
     return hours.where(F.col("hour") < end)
 
 
-def counts_by_hour(captures: DataFrame, hours: DataFrame, column: str = "captured_at") -> DataFrame:
-    """hour and count of captures, with the hours that have none."""
-    counted = captures.groupBy(F.date_trunc("HOUR", column).alias("hour")).agg(F.count("*").alias("n"))
-    return hours.join(counted, "hour", "left").select("hour", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+def counts_by_hour(captures: DataFrame, hours: DataFrame, column: str = "captured_at", by: Sequence[str] = ()) -> DataFrame:
+    """hours (by and hour) with the count of captures, also where there are none."""
+    keys = [*by, "hour"]
+    counted = captures.groupBy(*by, F.date_trunc("HOUR", column).alias("hour")).agg(F.count("*").alias("n"))
+    return hours.join(counted, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def earliest(captures: DataFrame, column: str = "captured_at") -> DataFrame:

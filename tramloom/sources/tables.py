@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +17,44 @@ REQUIRED_MEMBERS = ("feed_info.txt", "routes.txt", "stop_times.txt", "stops.txt"
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str] = ("service_date",)) -> None:
-    """Replace the partitions that df has rows for, one file in each; all others stay. A rerun gives the same table."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Replace the partitions that df has rows for; all others stay. A rerun gives the same table.
+
+    Rows are rebalanced by partition: small ones become one file, and adaptive execution splits large ones by size.
+    """
+    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def replace_dates(df: DataFrame, path: str, dates: Sequence[str]) -> None:
+    """Write the rows of the dates, whose partitions are then exactly these: of a date without rows nothing stays."""
+    spark = df.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = {d: at(f"{path}/service_date={d}") for d in dates}
+    before = {d: [f.getPath() for f in files.listStatus(p)] for d, p in folders.items() if files.exists(p)}
+    write_partitions(df.where(F.col("service_date").isin(list(dates))), path)
+    for d, old in before.items():
+        if any(files.exists(f) for f in old):  # not written again
+            files.delete(folders[d], True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """df written into the folder that driver and executors share, and read back: for what a plan reads more than once."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Only a local session may do without it."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tramloom-"))
+        found = sc.getCheckpointDir()
+    return found.rstrip("/")
 
 
 def write_window(observations: DataFrame, path: str, start: Column, end: Column) -> None:
@@ -44,8 +83,8 @@ def fingerprint(rows: DataFrame) -> DataFrame:
 
 
 def read_static_table(spark: SparkSession, path: str) -> DataFrame:
-    """A member of a static bundle; all columns are text, and empty stays empty."""
-    return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"').na.fill("")
+    """A member of a static bundle; all columns are text, and an empty field is the empty text whether quoted or not."""
+    return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"', nullValue="\u0000", emptyValue="").na.fill("")
 
 
 def archive_columns(captured_at: Column) -> list[Column]:
@@ -54,8 +93,8 @@ def archive_columns(captured_at: Column) -> list[Column]:
 
 
 def archive_path(feed: Column, captured_at: Column) -> Column:
-    year, month, day, hour = (F.date_format(captured_at, f) for f in ("yyyy", "MM", "dd", "HH"))
-    return F.concat(feed, F.lit("/year="), year, F.lit("/month="), month, F.lit("/day="), day, F.lit("/hour="), hour)
+    stamp = F.struct(*archive_columns(captured_at))
+    return F.concat_ws("/", feed, *[F.concat(F.lit(f"{c}="), stamp[c]) for c in ("year", "month", "day", "hour")])
 
 
 def content_addressed(files: DataFrame, content: str = "content", keys: Sequence[str] = ("mode",)) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Observations as a stream: dedup, hourly coverage, arrivals, and the latest conditions of each segment."""
+"""Observations as a stream: dedup, coverage by hour and service date, arrivals, and the latest conditions of each segment."""
 
 from __future__ import annotations
 
+import json
+import statistics
 from collections.abc import Iterator
 from typing import Any
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tramloom.config import DEFAULT, Settings
+from tramloom.functions import exprs as X
 
 
 def deduplicated(stream: DataFrame, keys: tuple[str, ...], delay: str = "4 hours", ts: str = "captured_at") -> DataFrame:
@@ -23,47 +26,95 @@ def hourly_counts(stream: DataFrame, delay: str = "4 hours", ts: str = "captured
     return stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), "n")
 
 
+def service_date_counts(stream: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Observations per service date; in append mode a date comes out once its whole day, tail and all, is over.
+
+    Event time here is the end of a row's service day. The first row of a later day moves it on by a day, some hours
+    before the tail of the day before has ended, so that the delay is a day, the tail, and an hour for clock changes.
+    """
+    ends = F.timestamp_seconds(X.service_day_end(F.col("service_date"), settings.zone, settings.overhang_hours))
+    rows = stream.withColumn("day_end", ends).withWatermark("day_end", f"{24 + settings.overhang_hours + 1} hours")
+    return rows.groupBy("service_date", "day_end").agg(F.count("*").alias("n"), F.max("captured_at").alias("last_captured_at")).drop("day_end")
+
+
 _OUT = "trip_id string, stop_sequence int, stop_id string, trip_run int, actual_arrival_ts timestamp, arrival_bracket_sec int, sequence_jump int, arrival_confident boolean, observed_at_utc timestamp"
-_STATE = "sequence int, captured double, run int, reached int"
+_STATE = "sequence int, captured long, run int, reached int, waiting string"
 
 
 def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "4 hours", idle: str = "1 day") -> DataFrame:
     """Arrivals as vehicles' stop sequences rise, with run numbers; needs captured_at, trip_id, stop_sequence, stop_id.
 
-    The state of a trip is its last sighting, its run and the last stop reached in it; it ends some idle time after that
-    sighting, by the stream's own time. Sightings older than the last one of their trip are left out.
+    Sightings wait in their trip's state until the watermark has passed them, and are then taken in the order of
+    capture, so that the order in which batches bring them does not matter. Beside them the state holds the last
+    sighting taken, the run and the last stop reached in it; it ends some idle time after that sighting.
     """
     limit = settings.max_bracket_sec
-    idle_ms = int((pd.Timedelta(idle) + pd.Timedelta(delay)).total_seconds() * 1000)  # always beyond the watermark
+    idle_us = int(pd.Timedelta(idle).total_seconds() * 1e6)
 
     def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        sequence, captured, run, reached = state.get if state.exists else (None, None, 0, None)
-        rows = pd.concat(list(batches)).dropna(subset=["stop_sequence"]).sort_values(["captured_at", "stop_sequence"])
+        sequence, captured, run, reached, held = state.get if state.exists else (None, None, 0, None, "[]")
+        waiting = json.loads(held)
+        if not state.hasTimedOut:
+            for rows in batches:
+                rows = rows.dropna(subset=["stop_sequence"])
+                micros = rows["captured_at"].astype("datetime64[us]").astype("int64")
+                waiting += [[int(t), int(n), s] for t, n, s in zip(micros, rows["stop_sequence"], rows["stop_id"], strict=True)]
+        passed = state.getCurrentWatermarkMs() * 1000
         out = []
-        for at, now, stop in zip(rows["captured_at"], rows["stop_sequence"].astype(int), rows["stop_id"], strict=True):
-            t = at.timestamp()
-            if captured is not None and t < captured:
+        waiting.sort(key=lambda w: (w[0], w[1]))
+        while waiting and waiting[0][0] <= passed:
+            t, now, stop = waiting.pop(0)
+            if captured is not None and t < captured:  # beyond the watermark when it came
                 continue
             if sequence is not None and now > sequence:
-                width = int(t // 1) - int(captured // 1)
+                width = t // 1_000_000 - captured // 1_000_000
                 if reached is not None and now <= reached:
                     run += 1
                 reached = now
-                out.append((key[0], now, stop, run, pd.Timestamp((int(captured) + int(t)) // 2, unit="s"), width, now - sequence, width <= limit, at))
+                middle = pd.Timestamp((captured // 1_000_000 + t // 1_000_000) // 2, unit="s")
+                out.append((key[0], now, stop, run, middle, width, now - sequence, width <= limit, pd.Timestamp(t, unit="us")))
             sequence, captured = now, t
-        if sequence is not None:
-            state.update((sequence, captured, run, reached))
-            state.setTimeoutTimestamp(int(captured * 1000) + idle_ms)
-        names = [c.split()[0] for c in _OUT.split(", ")]
-        yield pd.DataFrame(out, columns=names)
+        if waiting or captured is not None and captured + idle_us > passed:
+            state.update((sequence, captured, run, reached, json.dumps(waiting)))
+            due = waiting[0][0] if waiting else captured + idle_us
+            state.setTimeoutTimestamp(max(due, passed) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
+
+    keyed = stream.withWatermark("captured_at", delay).where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id")
+    return keyed.applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
-    return stream.withWatermark("captured_at", delay).where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id").applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
+_RECENT = "from_stop_id string, to_stop_id string, completed_at timestamp, roll_median double, roll_mean double, roll_delay_mean double, roll_n int"
 
-def latest_conditions(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """In update mode: the last completion of each segment per hour, and the mean delay within it."""
-    rows = stream.withWatermark("actual_arrival_ts", delay)
-    return rows.groupBy(F.window("actual_arrival_ts", "1 hour"), "from_stop_id", "to_stop_id").agg(F.max("actual_arrival_ts").alias("completed_at"), F.avg("delay_sec").alias("mean_delay"), F.count("*").alias("n"))
+
+def recent_conditions(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "1 hour") -> DataFrame:
+    """In update mode: statistics of each segment's last N completions, as a lookup for scoring; roll_n is 0 once they are too old.
+
+    The state is the N newest completions, whatever the order in which they come.
+    """
+    n, age_ms = settings.rolling_traversals, settings.rolling_max_age_sec * 1000
+    names = [c.split()[0] for c in _RECENT.split(", ")]
+
+    def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(*key, pd.NaT, None, None, None, 0)], columns=names)
+            return
+        held = json.loads(state.get[0]) if state.exists else []
+        for rows in batches:
+            rows = rows.dropna(subset=["actual_arrival_ts", "actual_duration_sec"])
+            at = rows["actual_arrival_ts"].astype("datetime64[us]").astype("int64")
+            held += [[int(t), float(d), None if pd.isna(late) else float(late)] for t, d, late in zip(at, rows["actual_duration_sec"], rows["delay_sec"], strict=True)]
+        held = sorted(held, key=lambda h: h[:2])[-n:]
+        if not held:
+            return
+        newest = held[-1][0]
+        state.update((json.dumps(held),))
+        state.setTimeoutTimestamp(max(newest // 1000 + age_ms, state.getCurrentWatermarkMs()) + 1)
+        late = [h[2] for h in held if h[2] is not None]
+        yield pd.DataFrame([(*key, pd.Timestamp(newest, unit="us"), statistics.median(h[1] for h in held), statistics.fmean(h[1] for h in held), statistics.fmean(late) if late else None, len(held))], columns=names)
+
+    keyed = stream.withWatermark("actual_arrival_ts", delay).select("from_stop_id", "to_stop_id", "actual_arrival_ts", "actual_duration_sec", "delay_sec").groupBy("from_stop_id", "to_stop_id")
+    return keyed.applyInPandasWithState(step, _RECENT, "held string", "update", GroupStateTimeout.EventTimeTimeout)
