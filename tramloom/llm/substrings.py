@@ -33,7 +33,7 @@ from tramloom.llm.common import OWN, binary, col, forget, map_rows, materialize,
 LENGTH = 35
 GRAM = 8
 #: Words of distinct stretches that one automaton takes, but for its last anchor; distinct stretches that an anchor may have.
-SHARD_WORDS, HOT_KINDS = 100_000, 1024
+SHARD_WORDS, HOT_KINDS = 100_000, 4096
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEP_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -214,9 +214,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
     found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
     if not per.isEmpty():
-        windows = given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct()
-        twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all")).where("all > 1").select("anchor", "window")
-        again = windows.join(twice, ["anchor", "window"]).groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated"))
+        # a plan of its own: with it, one stage would hold too many sorts at once
+        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
+        twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
+        again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
+        again = materialize(again.groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")), "hot-found")
         found = found.unionByName(again)
     hits = spread_join(rows.select("id", "th", "anchor", "content", "place"), found, ["anchor", "content"], "n", sizes=kinds)
     hits = hits.select("id", "th", F.transform("repeated", lambda x: x + F.shiftright("place", 5).cast("int")).alias("at"))
