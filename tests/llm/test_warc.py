@@ -74,3 +74,10 @@ def test_null_ids(spark):
     rows = [(None, "u", "same"), (5, "u", "same"), (None, "v", "alone"), (None, "w", "alone")]
     got = _rows(warc.archived_pages(spark.createDataFrame(rows, _SHAPE)))
     assert got == brute(rows)
+
+
+def test_text_ids_of_any_characters(spark):
+    ids = ["null", "", None, "a>b", "x\r\ny", "100%0A", "é", "z", "y"]
+    rows = [(i, f"http://x/{n}", "same" if n > 6 else f"page {n}") for n, i in enumerate(ids)]
+    got = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archived_pages(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert got == {(i, "response", None) for i in ids[:8]} | {("y", "revisit", "z")}

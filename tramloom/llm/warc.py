@@ -5,8 +5,8 @@ payload the one with the largest id is the response, the others become revisit r
 fresh headers are written by Spark's text writer, whose separator is the two CRLFs that end a record; they are read
 back by their Content-Length, and revisits are joined to the responses they refer to.
 
-Defined results: a null html is an empty payload; CR and LF in addresses are percent-encoded, a null address is left
-out; rows alike are each a record, and those that share the largest id are all responses; a null id is below all
+Defined results: a null html is an empty payload; CR and LF in addresses and ids are percent-encoded, a null address
+is left out, a null id has a name of its own; rows alike are each a record, and those that share the largest id are all responses; a null id is below all
 others, and where all of a payload's ids are null all are responses.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import fresh_path, materialize
+from tramloom.llm.common import col, fresh_path, materialize, spread_join
 
 #: Bytes of records that one archive holds on average; an archive is read back whole by one task.
 ARCHIVE_BYTES = 16_000_000
@@ -42,15 +42,34 @@ def sha1_base32(payload: Column) -> Column:
 
 def resolve_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> DataFrame:
     """id, url, digest, bytes, refers_to (null for responses) of every row, without payloads."""
-    payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    heads = materialize(pages.select(F.col(key).alias("id"), F.col(url).alias("url"), sha1_base32(payload).alias("digest"), F.octet_length(payload).cast("long").alias("bytes")), "heads")
+    payload = F.coalesce(col(html), F.lit("")).cast("binary")
+    heads = materialize(pages.select(col(key).alias("id"), col(url).alias("url"), sha1_base32(payload).alias("digest"), F.octet_length(payload).cast("long").alias("bytes")), "heads")
     # only payloads held twice need a join
-    first = heads.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.max("id").alias("original"), F.count("*").alias("n")).where("n > 1").select("digest", "original")
-    joined = heads.join(first, "digest", "left")
+    first = heads.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.max("id").alias("original"), F.count("*").alias("n")).where("n > 1")
+    joined = spread_join(heads, materialize(first, "originals"), "digest", "n", "left")
     other = F.col("original").isNotNull() & ~F.col("id").eqNullSafe(F.col("original")) & (F.col("bytes") >= min_bytes)
     return joined.select("id", "url", "digest", "bytes", F.when(other, F.col("original")).alias("refers_to"))
 
 
+_ESCAPES = (("%", "%25"), ("\r", "%0D"), ("\n", "%0A"))
+
+
+def _name(ident: Column) -> Column:
+    """The record id of a page id, whatever characters it has."""
+    text = ident.cast("string")
+    for plain, code in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return F.coalesce(F.concat(F.lit("<urn:page:"), text, F.lit(">")), F.lit("<urn:page>"))
+
+
+def _ident(name: Column, kind: str) -> Column:
+    """The page id of a record id."""
+    text = F.regexp_extract(name, "^<urn:page:(.*)>$", 1)
+    for plain, code in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(code), F.lit(plain))
+    return F.when(name != "<urn:page>", text).cast(kind)
+
+
 def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(name + ": "), value, F.lit("\r\n")), F.lit(""))
 
@@ -58,16 +77,15 @@ def _header(name: str, value: Column) -> Column:
 def record(digest: Column, size: Column, refers_to: Column, ident: Column, url: Column, payload: Column) -> Column:
     """One record but for the separator at its end."""
     revisit = refers_to.isNotNull()
-    name = lambda x: F.concat(F.lit("<urn:page:"), F.coalesce(x.cast("string"), F.lit("null")), F.lit(">"))
     address = F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         _header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        _header("WARC-Record-ID", name(ident)),
+        _header("WARC-Record-ID", _name(ident)),
         _header("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         _header("WARC-Target-URI", address),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
-        F.when(revisit, F.concat(_header("WARC-Refers-To", name(refers_to)), _header("WARC-Profile", F.lit(_PROFILE)))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(_header("WARC-Refers-To", _name(refers_to)), _header("WARC-Profile", F.lit(_PROFILE)))).otherwise(F.lit("")),
         F.lit("Content-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.when(revisit, F.lit(0)).otherwise(size).cast("string"),
         F.lit(_END),
@@ -79,12 +97,12 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """Write all pages as deduplicated WARC archives into the folder path; with gzip an archive is one member."""
     heads = materialize(resolve_revisits(pages, key, url, html, min_bytes), "resolved")
     kept, again = heads.where("refers_to is null"), heads.where("refers_to is not null")
-    payload = F.coalesce(F.col(html), F.lit(""))
+    payload = F.coalesce(col(html), F.lit(""))
     size = kept.agg(F.sum("bytes"), F.count("*")).first()
     archives = max(1, -(-((size[0] or 0) + 400 * size[1]) // archive_bytes))
     # each row that is a response writes its own payload, so payloads shuffle once, into as many archives as their size asks for
     k = F.xxhash64("id", "digest").alias("k")
-    bodies = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), payload.alias("payload"), sha1_base32(payload.cast("binary")).alias("digest"))
+    bodies = pages.select(col(key).alias("id"), col(url).alias("url"), payload.alias("payload"), sha1_base32(payload.cast("binary")).alias("digest"))
     chosen = kept.select(k).distinct().repartition(archives, "k")  # dealt alike, so that the join moves no payload again
     full = bodies.select("*", k).repartition(archives, "k").join(chosen, "k")
     lines = lambda df, size, to, body: df.select(record(F.col("digest"), size, to, F.col("id"), F.col("url"), body).alias("value"))
@@ -134,13 +152,15 @@ def archived_pages(pages: DataFrame, path: str | None = None, key: str = "page_i
     path = path or fresh_path(spark, "warc")
     kind = pages.schema[key].dataType.simpleString()
     write_archives(pages, path, key, url, html, min_bytes)
-    number = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1)
-    ident = lambda c: F.when(number(c) != "null", number(c)).cast(kind)
     read = read_archives(spark, path).select("record_id", F.col("type").alias("record_type"), "refers_to", F.substring("digest", 6, 32).alias("stated"), F.octet_length("payload").cast("long").alias("n"), sha1_base32(F.col("payload")).alias("found"))
     read = materialize(read, "archived")
     responses = read.where("record_type = 'response'")
     own = responses.select("record_id", "record_type", "refers_to", F.col("n").alias("payload_bytes"), F.col("found").alias("payload_digest"))
-    originals = responses.select(F.col("record_id").alias("original"), F.col("n").alias("payload_bytes"), F.col("found").alias("payload_digest")).dropDuplicates(["original", "payload_digest"])
-    revisits = read.where("record_type = 'revisit'").join(originals, (F.col("refers_to") == F.col("original")) & (F.col("stated") == F.col("payload_digest")))
+    revisits = read.where("record_type = 'revisit'")
+    asked = revisits.groupBy(F.col("refers_to").alias("original"), F.col("stated").alias("payload_digest")).agg(F.count("*").alias("asked"))
+    originals = responses.select(F.col("record_id").alias("original"), F.col("found").alias("payload_digest"), F.col("n").alias("payload_bytes")).dropDuplicates(["original", "payload_digest"])
+    originals = materialize(originals.join(asked, ["original", "payload_digest"]), "asked")
+    revisits = revisits.select("record_id", "record_type", "refers_to", F.col("refers_to").alias("original"), F.col("stated").alias("payload_digest"))
+    revisits = spread_join(revisits, originals, ["original", "payload_digest"], "asked")
     every = own.unionByName(revisits.select("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest"))
-    return every.select(ident(F.col("record_id")).alias(key), "payload_bytes", "payload_digest", "record_type", ident(F.col("refers_to")).alias("refers_to"))
+    return every.select(_ident(F.col("record_id"), kind).alias(key), "payload_bytes", "payload_digest", "record_type", _ident(F.col("refers_to"), kind).alias("refers_to"))
