@@ -35,26 +35,35 @@ add(
     sql(f"""SELECT {_K}, local_hour, round(hf, 4) AS local_hour_frac, dow AS local_dow, month(loc)::INT AS local_month, (dow >= 5)::INT AS is_weekend, round(sin(2 * pi() * hf / 24), 4) AS hour_sin, round(cos(2 * pi() * hf / 24), 4) AS hour_cos, round(sin(2 * pi() * dow / 7), 4) AS dow_sin, round(cos(2 * pi() * dow / 7), 4) AS dow_cos,
       h::INT AS is_holiday, (dow < 5 AND NOT h)::INT AS is_service_weekday, CASE WHEN dow >= 5 OR h THEN 'weekend' WHEN hf >= 21.5 THEN 'weekday_evening' ELSE 'weekday_daytime' END AS fare_period
       FROM (SELECT *, loc::DATE IN (SELECT ts::DATE FROM events WHERE day(ts) % 10 = 5) AS h FROM feat)""", "feat"),
-)
+)
 add(
     "features_schedule",
     lambda s, d: features.schedule_features(kept(s, d), S).select(*_KEY, "stops_remaining", r("trip_progress", digits=6), r("minutes_into_trip"), "trip_start_hour", "scheduled_duration_implausible"),
     sql(f"""SELECT {_K}, (max(stop_sequence) OVER w - stop_sequence)::INT AS stops_remaining, round(stop_sequence / nullif(max(stop_sequence) OVER w, 0)::DOUBLE, 6) AS trip_progress, round((dep - min(dep) OVER w) / 60.0::DOUBLE, 4) AS minutes_into_trip,
       hour(make_timestamp((min(dep) OVER w - 18000) * 1000000))::INT AS trip_start_hour, (sdur > 900)::INT AS scheduled_duration_implausible FROM fseg WINDOW w AS (PARTITION BY service_date, trip_id, trip_run)""", "fseg"),
-)
-add("features_identity", lambda s, d: features.identity_features(kept(s, d)).select(*_KEY, "segment_id", "from_station", "to_station"), sql(f"SELECT {_K}, from_stop_id || '>' || to_stop_id AS segment_id, substr(from_stop_id, 4, 3) AS from_station, substr(to_stop_id, 4, 3) AS to_station FROM fseg", "fseg"))
+)
+add(
+    "features_identity",
+    lambda s, d: features.identity_features(kept(s, d)).select(*_KEY, "segment_id", "from_station", "to_station"),
+    sql(f"SELECT {_K}, from_stop_id || '>' || to_stop_id AS segment_id, substr(from_stop_id, 4, 3) AS from_station, substr(to_stop_id, 4, 3) AS to_station FROM fseg", "fseg"),
+)
 add(
     "features_upstream_delay",
     lambda s, d: features.upstream_delay(kept(s, d)).select(*_KEY, "upstream_delay_sec", "upstream_delay_last_sec", F.col("segments_completed").cast("int").alias("segments_completed")),
     sql(f"SELECT {_K}, (sum(delay) OVER (PARTITION BY service_date, trip_id, trip_run ORDER BY stop_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::BIGINT AS upstream_delay_sec, lag(delay) OVER (PARTITION BY service_date, trip_id, trip_run ORDER BY stop_sequence) AS upstream_delay_last_sec, (row_number() OVER (PARTITION BY service_date, trip_id, trip_run ORDER BY stop_sequence) - 1)::INT AS segments_completed FROM fseg", "fseg"),
-)
+)
 add(
     "features_headway",
     lambda s, d: features.headway(kept(s, d), S).select(*_KEY, "headway_sec"),
     sql(f"SELECT {_K}, CASE WHEN gap <= 86400 THEN gap END AS headway_sec FROM (SELECT *, dep - lag(dep) OVER (PARTITION BY route_id, direction_id, from_stop_id ORDER BY dep, service_date, trip_id, trip_run, stop_sequence) AS gap FROM fseg)", "fseg"),
 )
 _RECENT = "CASE WHEN age <= 604800 THEN {c} END"
-_REC_SQL = ", ".join([f"round({_RECENT.format(c=c)}::DOUBLE, 4) AS {n}" for c, n in (("roll_median", "recent_duration_median"), ("roll_mean", "recent_duration_mean"), ("roll_delay_mean", "recent_delay_mean"), ("roll_deviation", "recent_deviation"), ("roll_median - sdur", "recent_vs_scheduled"))]) + f", {_RECENT.format(c='roll_n')}::INT AS recent_traversals, {_RECENT.format(c='age')}::BIGINT AS recent_age_sec"
+_REC_SQL = (
+    ", ".join(
+        [f"round({_RECENT.format(c=c)}::DOUBLE, 4) AS {n}" for c, n in (("roll_median", "recent_duration_median"), ("roll_mean", "recent_duration_mean"), ("roll_delay_mean", "recent_delay_mean"), ("roll_deviation", "recent_deviation"), ("roll_median - sdur", "recent_vs_scheduled"))],
+    )
+    + f", {_RECENT.format(c='roll_n')}::INT AS recent_traversals, {_RECENT.format(c='age')}::BIGINT AS recent_age_sec"
+)
 
 
 def _recent_columns(df, *keys):
@@ -72,7 +81,7 @@ add(
     "features_by_lookup",
     lambda s, d: (lambda rows: _recent_columns(features.all_features(rows, S, None, features.conditions_lookup(rows, S), F.timestamp_seconds(F.lit(_NOW))), *_KEY, "upstream_delay_sec"))(kept(s, d)),
     sql(f"SELECT {_K}, NULL::DOUBLE AS upstream_delay_sec, {_REC_SQL} FROM (SELECT f.*, {_NOW} - l.arr AS age, roll_median, roll_mean, roll_delay_mean, roll_n, roll_deviation FROM fseg f LEFT JOIN look l USING (from_stop_id, to_stop_id))", "fseg", "look"),
-)
+)
 add(
     "feature_summary",
     lambda s, d: features.feature_summary(features.all_features(kept(s, d), S), ("local_hour", "fare_period", "headway_sec", "recent_duration_median", "upstream_delay_sec")).select("feature", r("fill", digits=6), "n_distinct", r("mean"), "sparse"),
@@ -88,7 +97,10 @@ SELECT feature, round(fill, 6) AS fill, n_distinct, round(mean, 4) AS mean, fill
 )
 
 # --- baselines -----------------------------------------------------------------------------------------------------
-_SCORE = "count(*) AS n_rows, round(avg(abs(dur - p))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - p)::DOUBLE * (dur - p))), 4) AS rmse, round(quantile_cont(abs(dur - p), 0.5)::DOUBLE, 4) AS median_abs, round(avg((p IS NOT NULL)::INT), 6) AS coverage"
+_SCORE = (
+    "count(*) AS n_rows, round(avg(abs(dur - p))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - p)::DOUBLE * (dur - p))), 4) AS rmse, "
+    "round(quantile_cont(abs(dur - p), 0.5)::DOUBLE, 4) AS median_abs, round(avg((p IS NOT NULL)::INT), 6) AS coverage"
+)
 _BASE = f"""z AS (SELECT 'schedule' AS baseline, {_SCORE}, false AS in_sample FROM (SELECT dur, sdur AS p FROM feat)
   UNION ALL SELECT 'segment_median', {_SCORE}, true FROM (SELECT dur, quantile_cont(dur, 0.5) OVER (PARTITION BY from_stop_id, to_stop_id) AS p FROM feat)
   UNION ALL SELECT 'segment_hour_median', {_SCORE}, true FROM (SELECT dur, quantile_cont(dur, 0.5) OVER (PARTITION BY from_stop_id, to_stop_id, local_hour) AS p FROM feat)),
@@ -98,14 +110,25 @@ add(
     lambda s, d: baselines.suite(dated(s, d), S).select("baseline", "n_rows", r("mae"), r("rmse"), r("median_abs"), r("coverage", digits=6), "in_sample", r("floor_sec"), "best", r("over_floor_sec", digits=2)),
     sql("", "feat").rstrip() + ", " + _BASE + "\nSELECT z.*, round(f, 4) AS floor_sec, mae = (SELECT min(mae) FROM z) AS best, round(mae - f, 2) AS over_floor_sec FROM z, fl",
 )
-add("noise_floor", lambda s, d: baselines.noise_floor(dated(s, d)).select(r("bracket"), r("median_duration"), r("half_bracket"), r("floor_sec")), sql("SELECT round(quantile_cont(bracket, 0.5)::DOUBLE, 4) AS bracket, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median_duration, round(quantile_cont(bracket, 0.5)::DOUBLE / 2, 4) AS half_bracket, round(quantile_cont(bracket, 0.5)::DOUBLE / 2 * sqrt(2) * 0.8, 4) AS floor_sec FROM feat", "feat"))
+add(
+    "noise_floor",
+    lambda s, d: baselines.noise_floor(dated(s, d)).select(r("bracket"), r("median_duration"), r("half_bracket"), r("floor_sec")),
+    sql(
+        (
+            "SELECT round(quantile_cont(bracket, 0.5)::DOUBLE, 4) AS bracket, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median_duration, "
+            "round(quantile_cont(bracket, 0.5)::DOUBLE / 2, 4) AS half_bracket, round(quantile_cont(bracket, 0.5)::DOUBLE / 2 * sqrt(2) * 0.8, 4) AS floor_sec "
+            "FROM feat"
+        ),
+        "feat",
+    ),
+)
 _BUCKETS = ((0, 2400), (2400, 7200), (7200, 12000), (12000, 100000))
 add(
     "residual_homogeneity",
     lambda s, d: baselines.residual_homogeneity(kept(s, d), _BUCKETS).select("bucket", "n", r("residual_sd"), r("median_sec"), F.round("relative_sd_pct", 1).alias("relative_sd_pct")),
     sql("""SELECT bucket, count(*) AS n, round(stddev_samp(dur - sdur), 4) AS residual_sd, round(quantile_cont(sdur, 0.5)::DOUBLE, 4) AS median_sec, round_even(100 * stddev_samp(dur - sdur) / quantile_cont(sdur, 0.5)::DOUBLE, 1) AS relative_sd_pct
       FROM (SELECT *, CASE WHEN sdur > 0 AND sdur <= 2400 THEN '(0, 2400]' WHEN sdur > 2400 AND sdur <= 7200 THEN '(2400, 7200]' WHEN sdur > 7200 AND sdur <= 12000 THEN '(7200, 12000]' WHEN sdur > 12000 AND sdur <= 100000 THEN '(12000, 100000]' END AS bucket FROM fseg) WHERE bucket IS NOT NULL GROUP BY 1""", "fseg"),
-)
+)
 
 
 # --- splits --------------------------------------------------------------------------------------------------------
@@ -120,21 +143,43 @@ def valid(s, d):
 
 
 add("temporal_split", lambda s, d: _split(s, d).select(*_KEY, "split"), sql(f"SELECT {_K}, split FROM split", "split"))
-add("split_report", lambda s, d: split.split_report(_split(s, d)), sql("SELECT split, count(*) AS n_rows, count(DISTINCT service_date) AS dates, min(dep) AS first, max(dep) AS last FROM split GROUP BY 1", "split"))
-add("unseen_segments", lambda s, d: split.unseen_segments(_split(s, d)), sql("SELECT from_stop_id, to_stop_id FROM split WHERE split = 'validation' EXCEPT SELECT from_stop_id, to_stop_id FROM split WHERE split = 'train'", "split"))
+add(
+    "split_report",
+    lambda s, d: split.split_report(_split(s, d)),
+    sql("SELECT split, count(*) AS n_rows, count(DISTINCT service_date) AS dates, min(dep) AS first, max(dep) AS last FROM split GROUP BY 1", "split"),
+)
+add(
+    "unseen_segments",
+    lambda s, d: split.unseen_segments(_split(s, d)),
+    sql("SELECT from_stop_id, to_stop_id FROM split WHERE split = 'validation' EXCEPT SELECT from_stop_id, to_stop_id FROM split WHERE split = 'train'", "split"),
+)
 add(
     "split_warnings",
     lambda s, d: split.split_warnings(_split(s, d), S),
     sql("""SELECT *, days < 14 AS too_few_days, validation_weekdays = 1 AS single_weekday, validation_days = 1 AS single_date, unseen_segments > 0 AS has_unseen FROM (SELECT count(DISTINCT service_date) AS days, count(DISTINCT service_date) FILTER (WHERE split = 'validation') AS validation_days, count(DISTINCT isodow(service_date::DATE)) FILTER (WHERE split = 'validation') AS validation_weekdays,
       (SELECT count(*) FROM (SELECT from_stop_id, to_stop_id FROM split WHERE split = 'validation' EXCEPT SELECT from_stop_id, to_stop_id FROM split WHERE split = 'train')) AS unseen_segments FROM split)""", "split"),
-)
+)
 add("medians_applied", lambda s, d: valid(s, d).select(*_KEY, r("pred")), sql(f"SELECT {_K}, round(pred::DOUBLE, 4) AS pred FROM scored", "scored"))
 add("residual_offset", lambda s, d: baselines.residual_offset(valid(s, d), "pred").select(r("offset")), sql("SELECT round(avg(dur - pred)::DOUBLE, 4) AS \"offset\" FROM scored", "scored"))
-add("calibrated", lambda s, d: (lambda v: baselines.score(baselines.calibrated(v, "pred", baselines.residual_offset(v, "pred")), "calibrated", F.col("calibrated"), True))(valid(s, d)).select("baseline", "n_rows", r("mae"), r("rmse")), sql("SELECT 'calibrated' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred - o))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred - o)::DOUBLE * (dur - pred - o))), 4) AS rmse FROM scored, (SELECT avg(dur - pred) AS o FROM scored)", "scored"))
+add(
+    "calibrated",
+    lambda s, d: (lambda v: baselines.score(baselines.calibrated(v, "pred", baselines.residual_offset(v, "pred")), "calibrated", F.col("calibrated"), True))(valid(s, d)).select("baseline", "n_rows", r("mae"), r("rmse")),
+    sql(
+        (
+            "SELECT 'calibrated' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred - o))::DOUBLE, 4) AS mae, "
+            "round(sqrt(avg((dur - pred - o)::DOUBLE * (dur - pred - o))), 4) AS rmse FROM scored, (SELECT avg(dur - pred) AS o FROM scored)"
+        ),
+        "scored",
+    ),
+)
 
 # --- codes ---------------------------------------------------------------------------------------------------------
 _CATS = ["from_stop_id", "route_id"]
-_CODES = "SELECT 'from_stop_id' AS \"column\", from_stop_id AS value, (dense_rank() OVER (ORDER BY from_stop_id) - 1)::INT AS code FROM (SELECT DISTINCT from_stop_id FROM split WHERE split = 'train') UNION ALL SELECT 'route_id', route_id, (dense_rank() OVER (ORDER BY route_id) - 1)::INT FROM (SELECT DISTINCT route_id FROM split WHERE split = 'train')"
+_CODES = (
+    "SELECT 'from_stop_id' AS \"column\", from_stop_id AS value, (dense_rank() OVER (ORDER BY from_stop_id) - 1)::INT AS code "
+    "FROM (SELECT DISTINCT from_stop_id FROM split WHERE split = 'train') UNION ALL SELECT 'route_id', route_id, (dense_rank() OVER (ORDER BY route_id) "
+    "- 1)::INT FROM (SELECT DISTINCT route_id FROM split WHERE split = 'train')"
+)
 
 
 def _codes(s, d):
@@ -146,12 +191,12 @@ add(
     "codes_applied",
     lambda s, d: encode.encode(_split(s, d).where("split = 'validation'").select(*_KEY, "from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), _codes(s, d), _CATS),
     sql("", "split").rstrip() + f", codes AS ({_CODES})\nSELECT {_K}, coalesce(a.code, -1) AS from_stop_id, coalesce(b.code, -1) AS route_id FROM (SELECT {_K}, from_stop_id, CASE WHEN trip_run % 3 = 0 THEN 'R9' ELSE route_id END AS route_id FROM split WHERE split = 'validation') v LEFT JOIN codes a ON a.\"column\" = 'from_stop_id' AND a.value = v.from_stop_id LEFT JOIN codes b ON b.\"column\" = 'route_id' AND b.value = v.route_id",
-)
+)
 add(
     "unseen_rate",
     lambda s, d: encode.unseen_rate(_split(s, d).select("from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), _codes(s, d), _CATS).select("column", r("unseen_pct")),
     sql("", "split").rstrip() + f", codes AS ({_CODES}), v AS (SELECT from_stop_id, CASE WHEN trip_run % 3 = 0 THEN 'R9' ELSE route_id END AS route_id FROM split)\nSELECT 'from_stop_id' AS \"column\", round(100 * avg((from_stop_id NOT IN (SELECT value FROM codes WHERE \"column\" = 'from_stop_id'))::INT), 4) AS unseen_pct FROM v UNION ALL SELECT 'route_id', round(100 * avg((route_id NOT IN (SELECT value FROM codes WHERE \"column\" = 'route_id'))::INT), 4) FROM v",
-)
+)
 
 
 # --- journeys ------------------------------------------------------------------------------------------------------
@@ -168,20 +213,38 @@ add(
     "block_diagnostics",
     lambda s, d: journeys.block_diagnostics(_blocks(s, d)).select("n_segments", "runs", "blocks", "pairs", "broken", r("median_block"), r("contiguous_pct")),
     sql("", "blocks").rstrip() + ", b AS (SELECT service_date, trip_id, trip_run, block_no, count(*) AS n FROM blocks GROUP BY ALL), u AS (SELECT service_date, trip_id, trip_run, count(*) AS b, sum(n) AS n FROM b GROUP BY ALL)\nSELECT sum(n)::BIGINT AS n_segments, count(*) AS runs, sum(b)::BIGINT AS blocks, sum(n - 1)::BIGINT AS pairs, sum(b - 1)::BIGINT AS broken, (SELECT round(quantile_cont(n, 0.5)::DOUBLE, 4) FROM b) AS median_block, round(100 - 100 * sum(b - 1) / sum(n - 1)::DOUBLE, 4) AS contiguous_pct FROM u",
-)
+)
 add(
     "journeys",
     lambda s, d: _journeys(s, d).select("service_date", "trip_id", "trip_run", "block_no", "n_segments", "route_id", "direction_id", "origin_stop_id", "origin_sequence", "dest_stop_id", "dest_sequence", "origin_station", "dest_station", F.unix_seconds("actual_departure_ts").alias("departure_sec"), "actual_duration_sec", "scheduled_duration_sec", "stop_span"),
     sql("SELECT service_date, trip_id, trip_run, block_no, n_segments, route_id, direction_id, origin_stop_id, origin_sequence, dest_stop_id, dest_sequence, substr(origin_stop_id, 4, 3) AS origin_station, substr(dest_stop_id, 4, 3) AS dest_station, dep AS departure_sec, dur AS actual_duration_sec, sdur AS scheduled_duration_sec, stop_span FROM journ", "journ"),
-)
-add("journey_summary", lambda s, d: journeys.journey_summary(_journeys(s, d)).select("n_segments", "n_rows", r("p05"), r("median"), r("p95")), sql("SELECT n_segments, count(*) AS n_rows, round(quantile_cont(dur, 0.05)::DOUBLE, 4) AS p05, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median, round(quantile_cont(dur, 0.95)::DOUBLE, 4) AS p95 FROM journ GROUP BY 1", "journ"))
+)
+add(
+    "journey_summary",
+    lambda s, d: journeys.journey_summary(_journeys(s, d)).select("n_segments", "n_rows", r("p05"), r("median"), r("p95")),
+    sql(
+        (
+            "SELECT n_segments, count(*) AS n_rows, round(quantile_cont(dur, 0.05)::DOUBLE, 4) AS p05, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median, "
+            "round(quantile_cont(dur, 0.95)::DOUBLE, 4) AS p95 FROM journ GROUP BY 1"
+        ),
+        "journ",
+    ),
+)
 add(
     "journey_errors",
     lambda s, d: journeys.journey_errors(_blocks(s, d), "scheduled_duration_sec", S.lengths).select("n_segments", "n", r("mae"), r("rmse", digits=2), r("bias"), r("sd", digits=2), r("median_sec"), r("mae_pct", digits=3)),
     sql("SELECT n_segments, count(*) AS n, round(avg(abs(dur - sdur)), 4) AS mae, round(sqrt(avg((dur - sdur)::DOUBLE * (dur - sdur))), 2) AS rmse, round(avg(dur - sdur), 4) AS bias, round(stddev_samp(dur - sdur), 2) AS sd, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median_sec, round(100 * avg(abs(dur - sdur)) / quantile_cont(dur, 0.5)::DOUBLE, 3) AS mae_pct FROM journ GROUP BY 1", "journ"),
-)
-add("journey_split", lambda s, d: split.split_journeys(_journeys(s, d), S).groupBy("split", "n_segments").agg(F.count("*").alias("n")), sql("SELECT split, n_segments, count(*) AS n FROM jsplit GROUP BY 1, 2", "jsplit"))
-add("journey_shared_days", lambda s, d: split.shared_days(split.split_journeys(_journeys(s, d), S)), sql("SELECT service_date FROM jsplit WHERE split = 'train' INTERSECT SELECT service_date FROM jsplit WHERE split = 'validation'", "jsplit"))
+)
+add(
+    "journey_split",
+    lambda s, d: split.split_journeys(_journeys(s, d), S).groupBy("split", "n_segments").agg(F.count("*").alias("n")),
+    sql("SELECT split, n_segments, count(*) AS n FROM jsplit GROUP BY 1, 2", "jsplit"),
+)
+add(
+    "journey_shared_days",
+    lambda s, d: split.shared_days(split.split_journeys(_journeys(s, d), S)),
+    sql("SELECT service_date FROM jsplit WHERE split = 'train' INTERSECT SELECT service_date FROM jsplit WHERE split = 'validation'", "jsplit"),
+)
 _CMP = ", ".join(f"round(avg(abs(dur - {c}))::DOUBLE, 4) AS {n}_mae, round(avg(dur - {c})::DOUBLE, 4) AS {n}_bias" for c, n in (("sdur", "schedule"), ("pred", "summed")))
 
 
@@ -189,27 +252,57 @@ def _compared(s, d):
     return pipelines.compared(dated(s, d), [], S)
 
 
-add("journeys_compared", lambda s, d: _compared(s, d).select("n_segments", "n", *[r(c) for c in ("schedule_mae", "schedule_bias", "summed_mae", "summed_bias")]), sql(f"SELECT n_segments, count(*) AS n, {_CMP} FROM hsum GROUP BY 1", "hsum"))
-add("journeys_best", lambda s, d: journeys.best_by_length(_compared(s, d), ["schedule", "summed"]).select("n_segments", "best", r("mae")), sql("SELECT n_segments, CASE WHEN avg(abs(dur - sdur)) <= avg(abs(dur - pred)) THEN 'schedule' ELSE 'summed' END AS best, round(least(avg(abs(dur - sdur)), avg(abs(dur - pred)))::DOUBLE, 4) AS mae FROM hsum GROUP BY 1", "hsum"))
+add(
+    "journeys_compared",
+    lambda s, d: _compared(s, d).select("n_segments", "n", *[r(c) for c in ("schedule_mae", "schedule_bias", "summed_mae", "summed_bias")]),
+    sql(f"SELECT n_segments, count(*) AS n, {_CMP} FROM hsum GROUP BY 1", "hsum"),
+)
+add(
+    "journeys_best",
+    lambda s, d: journeys.best_by_length(_compared(s, d), ["schedule", "summed"]).select("n_segments", "best", r("mae")),
+    sql(
+        (
+            "SELECT n_segments, CASE WHEN avg(abs(dur - sdur)) <= avg(abs(dur - pred)) THEN 'schedule' ELSE 'summed' END AS best, round(least(avg(abs(dur - sdur)), "
+            "avg(abs(dur - pred)))::DOUBLE, 4) AS mae FROM hsum GROUP BY 1"
+        ),
+        "hsum",
+    ),
+)
 add(
     "journey_level",
     lambda s, d: evaluate.journey_level(journeys.with_blocks(valid(s, d), S), "pred", "scheduled_duration_sec", S).select("n_segments", "n", r("median_sec"), r("model_mae"), r("baseline_mae"), r("floor_pct", digits=6), r("beats_pct")),
     sql("SELECT n_segments, count(*) AS n, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median_sec, round(avg(abs(dur - pred))::DOUBLE, 4) AS model_mae, round(avg(abs(dur - sdur))::DOUBLE, 4) AS baseline_mae, round(2400 / quantile_cont(dur, 0.5)::DOUBLE, 6) AS floor_pct, round(100 * (1 - avg(abs(dur - pred)) / avg(abs(dur - sdur)))::DOUBLE, 4) AS beats_pct FROM ssum GROUP BY 1", "ssum"),
-)
+)
 
 # --- evaluation ----------------------------------------------------------------------------------------------------
-add("segment_level", lambda s, d: evaluate.segment_level(valid(s, d), ["pred", "scheduled_duration_sec"]).select("baseline", "n_rows", r("mae"), r("rmse"), r("median_abs")), sql("SELECT 'pred' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred)::DOUBLE * (dur - pred))), 4) AS rmse, round(quantile_cont(abs(dur - pred), 0.5)::DOUBLE, 4) AS median_abs FROM scored UNION ALL SELECT 'scheduled_duration_sec', count(*), round(avg(abs(dur - sdur))::DOUBLE, 4), round(sqrt(avg((dur - sdur)::DOUBLE * (dur - sdur))), 4), round(quantile_cont(abs(dur - sdur), 0.5)::DOUBLE, 4) FROM scored", "scored"))
-add("error_by_group", lambda s, d: evaluate.error_by_group(valid(s, d), "route_id", ["pred"]).select("route_id", "n", r("pred_mae")), sql("SELECT route_id, count(*) AS n, round(avg(abs(dur - pred))::DOUBLE, 4) AS pred_mae FROM scored GROUP BY 1", "scored"))
+add(
+    "segment_level",
+    lambda s, d: evaluate.segment_level(valid(s, d), ["pred", "scheduled_duration_sec"]).select("baseline", "n_rows", r("mae"), r("rmse"), r("median_abs")),
+    sql(
+        (
+            "SELECT 'pred' AS baseline, count(*) AS n_rows, round(avg(abs(dur - pred))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - pred)::DOUBLE * (dur - pred))), 4) "
+            "AS rmse, round(quantile_cont(abs(dur - pred), 0.5)::DOUBLE, 4) AS median_abs FROM scored UNION ALL SELECT 'scheduled_duration_sec', count(*), "
+            "round(avg(abs(dur - sdur))::DOUBLE, 4), round(sqrt(avg((dur - sdur)::DOUBLE * (dur - sdur))), 4), round(quantile_cont(abs(dur - sdur), 0.5)::DOUBLE, "
+            "4) FROM scored"
+        ),
+        "scored",
+    ),
+)
+add(
+    "error_by_group",
+    lambda s, d: evaluate.error_by_group(valid(s, d), "route_id", ["pred"]).select("route_id", "n", r("pred_mae")),
+    sql("SELECT route_id, count(*) AS n, round(avg(abs(dur - pred))::DOUBLE, 4) AS pred_mae FROM scored GROUP BY 1", "scored"),
+)
 add(
     "binned_predictions",
     lambda s, d: evaluate.binned(dated(s, d), "scheduled_duration_sec", bins=4, least=5).select("bin", "n", r("mean_prediction"), r("q25"), r("median"), r("q75")),
     sql("", "feat").rstrip() + ", e AS (SELECT list_distinct([quantile_cont(sdur, 0.25), quantile_cont(sdur, 0.5), quantile_cont(sdur, 0.75)]) AS e FROM feat), x AS (SELECT f.*, len(list_filter(e, lambda v: v < sdur))::INT AS bin FROM feat f, e)\nSELECT bin, count(*) AS n, round(avg(sdur), 4) AS mean_prediction, round(quantile_cont(dur, 0.25)::DOUBLE, 4) AS q25, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS median, round(quantile_cont(dur, 0.75)::DOUBLE, 4) AS q75 FROM x GROUP BY 1 HAVING count(*) >= 5",
-)
+)
 add(
     "clipped_residuals",
     lambda s, d: evaluate.clipped_residuals(dated(s, d), "scheduled_duration_sec", bins=5).select("bin", "n", r("mean_residual"), r("median_residual")),
     sql("", "feat").rstrip() + ", e AS (SELECT quantile_cont((dur - sdur)::DOUBLE, 0.005) AS lo, quantile_cont((dur - sdur)::DOUBLE, 0.995) AS hi, quantile_cont((dur - sdur)::DOUBLE, 0.5) AS md, avg(dur - sdur) AS mn FROM feat), x AS (SELECT least(greatest(dur - sdur, lo), hi) AS c, e.* FROM feat, e)\nSELECT least(floor((c - lo) / greatest((hi - lo) / 5, 1e-9)), 4)::INT AS bin, count(*) AS n, round(any_value(mn), 4) AS mean_residual, round(any_value(md), 4) AS median_residual FROM x GROUP BY 1",
-)
+)
 
 # --- models --------------------------------------------------------------------------------------------------------
 _COLUMNS = ("local_hour", "local_dow", "stop_span", "scheduled_duration_sec", "from_station", "route_id", "upstream_delay_sec", "headway_sec", "recent_deviation")
@@ -245,4 +338,14 @@ def _saved(s, d):
 add("model_saved_and_loaded", _saved, sql("SELECT count(*) AS n_rows, 0::BIGINT AS different FROM split WHERE split = 'validation'", "split"))
 add("trees_scored", _scored)
 add("trees_importance", lambda s, d: evaluate.importance(model.gains(_fitted(s, d)[1])))
-add("scoring_warnings", lambda s, d: features.recent_conditions(kept(s, d), S).select(*_KEY, F.array_join(model.scoring_warnings(F.col("trip_run") + 12, settings=S), ",").alias("warnings")), sql(f"SELECT {_K}, concat_ws(',', CASE WHEN trip_run + 12 > 17 THEN 'beyond_training' END, CASE WHEN NOT coalesce(age <= 604800, false) OR roll_deviation IS NULL THEN 'no_recent_conditions' END) AS warnings FROM recent", "recent"))
+add(
+    "scoring_warnings",
+    lambda s, d: features.recent_conditions(kept(s, d), S).select(*_KEY, F.array_join(model.scoring_warnings(F.col("trip_run") + 12, settings=S), ",").alias("warnings")),
+    sql(
+        (
+            f"SELECT {_K}, concat_ws(',', CASE WHEN trip_run + 12 > 17 THEN 'beyond_training' END, CASE WHEN NOT coalesce(age <= 604800, false) "
+            f"OR roll_deviation IS NULL THEN 'no_recent_conditions' END) AS warnings FROM recent"
+        ),
+        "recent",
+    ),
+)

@@ -20,7 +20,11 @@ def add(name: str, run: Query, text: str | None = None) -> None:
         SQL[name] = text
 
 
-add("stations_by_code", lambda s, d: stations.station_codes(bridge.stops(s, d)).withColumn("platforms", F.array_join("platforms", ",")), sql("SELECT code, name, array_to_string(platforms, ',') AS platforms FROM stcodes", "stcodes"))
+add(
+    "stations_by_code",
+    lambda s, d: stations.station_codes(bridge.stops(s, d)).withColumn("platforms", F.array_join("platforms", ",")),
+    sql("SELECT code, name, array_to_string(platforms, ',') AS platforms FROM stcodes", "stcodes"),
+)
 _PLAIN = "trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g'))"
 add(
     "stations_by_name",
@@ -74,7 +78,11 @@ add(
   p AS (SELECT asked, station, round(1 - levenshtein(asked, station) / greatest(length(asked), length(station), 1)::DOUBLE, 6) AS likeness FROM a, k)
 SELECT *, (row_number() OVER (PARTITION BY asked ORDER BY likeness DESC, station))::INT AS rank FROM p QUALIFY row_number() OVER (PARTITION BY asked ORDER BY likeness DESC, station) <= 3""",
 )
-add("id_versions", lambda s, d: bridge.realtime_ids(s, d).select("trip_id").distinct().select("trip_id", X.versionless(F.col("trip_id")).alias("base"), X.version_of(F.col("trip_id")).alias("version")), sql("SELECT DISTINCT trip_id, base, '20660' AS version FROM rt", "rt"))
+add(
+    "id_versions",
+    lambda s, d: bridge.realtime_ids(s, d).select("trip_id").distinct().select("trip_id", X.versionless(F.col("trip_id")).alias("base"), X.version_of(F.col("trip_id")).alias("version")),
+    sql("SELECT DISTINCT trip_id, base, '20660' AS version FROM rt", "rt"),
+)
 add(
     "readable_durations",
     lambda s, d: bridge.table(s, d, "orders").select("o_orderkey", X.readable_duration(F.col("o_orderkey") * 37 % 9000).alias("text")),

@@ -80,8 +80,16 @@ add(
 
 # --- published tables ----------------------------------------------------------------------------------------------
 _FEATURES = ("local_hour", "fare_period", "headway_sec", "recent_duration_median", "upstream_delay_sec")
-add("features_published", lambda s, d: pipelines.publish_features(built(s, d), _folder(s, "features"), _FEATURES, S).select("feature", r("fill", digits=6), "n_distinct", r("mean"), "sparse"), history.SQL["feature_summary"])
-add("journeys_published", lambda s, d: pipelines.publish_journeys(built(s, d), _folder(s, "journeys"), S).select("n_segments", "n_rows", r("p05"), r("median"), r("p95")), history.SQL["journey_summary"])
+add(
+    "features_published",
+    lambda s, d: pipelines.publish_features(built(s, d), _folder(s, "features"), _FEATURES, S).select("feature", r("fill", digits=6), "n_distinct", r("mean"), "sparse"),
+    history.SQL["feature_summary"],
+)
+add(
+    "journeys_published",
+    lambda s, d: pipelines.publish_journeys(built(s, d), _folder(s, "journeys"), S).select("n_segments", "n_rows", r("p05"), r("median"), r("p95")),
+    history.SQL["journey_summary"],
+)
 
 
 def _lookup(s, d):
