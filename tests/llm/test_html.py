@@ -1,3 +1,7 @@
+import html as entities
+import os
+import re
+
 from tramloom.llm.html import Page, extract_main_text
 
 ARTICLE = "<p>The first paragraph, with &amp; and <b>bold</b>er text.</p><p>A second one<br>after a break, long enough to count as text.</p>"
@@ -63,6 +67,22 @@ def test_votes_by_broadcast_and_by_shuffle_agree(spark, sf):
     assert one.count() == two.count() and one.exceptAll(two).isEmpty()
 
 
+def brute(source):
+    """The test pages keep their article in one element of that name: its text, by patterns alone."""
+    inner = re.search(r"<article>(.*)</article>", source, re.S)[1]
+    inner = re.sub(r"<!--.*?-->|<(script|style|form|nav|aside|footer)\b.*?</\1>|<div class=\"(?:ad|comments|cookie|share)[^>]*>.*?</div>", "", inner, flags=re.S)
+    inner = re.sub(r"</?(?:p|h[1-6]|br|div|ul|ol|li|blockquote|pre|table|tr|td|section)\b[^>]*>", " ", inner)
+    return " ".join(entities.unescape(re.sub(r"<[^>]*>", "", inner)).split())
+
+
+def test_whole_table_against_patterns(spark, sf):
+    pages = spark.read.parquet(f"{os.path.dirname(sf)}/sf0.01/pages.parquet")
+    want = {r["page_id"]: brute(r["html"]) for r in pages.collect()}
+    for options in ({}, {"path_bytes": 0}):
+        got = {r["page_id"]: r["main_text"] for r in extract_main_text(pages, **options).collect()}
+        assert got == want
+
+
 def test_table(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     rows = extract_main_text(pages).collect()

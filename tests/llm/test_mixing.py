@@ -1,4 +1,5 @@
 import random
+import re
 
 from tramloom.llm import mixing
 
@@ -73,3 +74,16 @@ def test_rows_alike_are_numbered_and_taken_evenly(spark):
     assert kept.columns == ["doc_id", "text", "source", "size", "source_size", "target", "copies", "taken"]
     assert kept.where("doc_id is null").agg({"copies": "sum"}).first()[0] == sum(r["copies"] for r in found if r["doc_id"] is None)
     assert sum(r["taken"] for r in kept.collect()) == sum(r["taken"] for r in found)
+
+
+def test_whole_table_sizes_and_targets(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    words = {r["doc_id"]: (r["source"], len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))) for r in docs.collect()}
+    totals = {}
+    for source, n in words.values():
+        totals[source] = totals.get(source, 0) + n
+    targets = mixing.source_targets(totals)
+    rows = mixing.mix_sources(docs).collect()
+    assert {r["doc_id"]: (r["source"], r["size"]) for r in rows} == words
+    assert all(r["source_size"] == totals[r["source"]] and abs(r["target"] - targets[r["source"]]) < 1e-6 for r in rows)
+    _check(rows)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import corpus_pipeline
 from pyspark.sql import functions as F
@@ -55,3 +56,29 @@ def test_planted_documents(spark, sf):
     assert clean.where(f"doc_id = {10**6 + 3}").count() == 0 and clean.where(f"doc_id = {10**6}").count() == 1
     lined = {r["doc_id"]: r["text"] for r in stages["line dedup"](spark, docs, sf).where("doc_id >= 1000010").collect()}
     assert [line in lined[10**6 + 10 + i] for i in range(6)] == [False] * 5 + [True]
+
+
+def test_stages_against_brute_force(spark, sf):
+    """Each stage but the learnt one on its own input, by the brute force of its operator's tests."""
+    from test_decontamination import brute as brute_items
+    from test_mixing import _check
+    from test_simhash import exact_classes
+    from test_text_dedup import brute_lines
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    lined = stages["line dedup"](spark, docs, sf)
+    want = {i: (None if t is None else text, n if t is None else len(text)) for (i, t), (_, _, text), n in zip(rows, brute_lines(rows), [r["n_chars"] for r in docs.collect()])}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in lined.collect()} == want
+    kept = stages["simhash near-dedup"](spark, docs, sf)
+    assert {r["doc_id"] for r in kept.collect()} == set(exact_classes(rows).values())
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    leaked = {key[1] for key, *_, hit in brute_items(rows, items) if hit}
+    assert {r["doc_id"] for r in stages["benchmark decontamination"](spark, docs, sf).collect()} == {i for i, _ in rows} - leaked
+    mix = [r.asDict() for r in stages["mixing"](spark, docs, sf).collect()]
+    sources = {r["doc_id"]: r for r in docs.collect()}
+    assert all(r["text"] == sources[r["doc_id"]]["text"] and r["taken"] == r["copies"] * r["size"] for r in mix)
+    left = [{"source": s["source"], "size": len(re.findall(r"[^\x20\x09-\x0D]+", s["text"] or "")), "taken": 0} for i, s in sources.items() if i not in {r["doc_id"] for r in mix}]
+    of = {r["source"]: r for r in mix}
+    _check(mix + [x | {"source_size": of[x["source"]]["source_size"], "target": of[x["source"]]["target"]} for x in left])

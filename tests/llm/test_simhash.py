@@ -1,5 +1,8 @@
+import math
+import os
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -179,3 +182,36 @@ def test_documents_that_repeat_a_passage_unlike_often(spark):
     want = _set_classes(docs)
     assert len(set(want)) == 60
     assert _same_partition(_classes(spark, docs), want)
+
+
+def exact_classes(texts, similarity=0.8):
+    """Least id of each one's class, by all pairs of sets that share a shingle of their rare fifth (which two sets so alike must)."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().encode().split()) else set() for i, t in texts}
+    seen = Counter(x for s in sets.values() for x in s)
+    label, places = {i: i for i in sets}, defaultdict(list)
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, own in sorted(sets.items(), key=lambda x: len(x[1])):
+        rare = sorted(own, key=lambda x: (seen[x], x))[: len(own) - math.ceil(similarity * len(own)) + 1]
+        for j in {j for x in rare for j in places[x]}:
+            if len(own & sets[j]) >= similarity * len(own | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                label[b] = a
+        for x in rare:
+            places[x].append(i)
+    empty = [i for i, s in sets.items() if not s]
+    return {i: min(empty) if i in empty else find(i) for i in sets}
+
+
+def test_near_duplicate_classes_are_exact_on_a_whole_table(spark, sf):
+    """No link is lost and none is made: the classes are those of all pairs of 0.8 or more."""
+    docs = spark.read.parquet(f"{os.path.dirname(sf)}/sf0.01/documents.parquet")
+    want = exact_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
+    found = {r["doc_id"]: r["class_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert len(set(want.values())) < len(want) - 30
+    assert len({(found[i], w) for i, w in want.items()}) == len(set(found.values())) == len(set(want.values()))
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(want.values())
