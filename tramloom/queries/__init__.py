@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tramloom.queries import feeds, history, networks, plans, travel
+from tramloom.queries import feeds, history, networks, plans, streams, travel
 from tramloom.queries.sql import Query
 
-_MODULES = (travel, feeds, history, networks, plans)
+_MODULES = (travel, feeds, history, networks, plans, streams)
 
 
 def queries() -> dict[str, Query]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.operators import arrivals, explore, quality, schedule, segments
@@ -99,6 +101,31 @@ def _round_trip(s, d):
 
 add("segments_written_and_read", _round_trip, sql("SELECT service_date, count(*) AS n, sum(dur)::BIGINT AS total_sec FROM segs GROUP BY 1", "segs"))
 
+
+
+def _some_dates(s, d):
+    """Written, held against what was written, and read by dates and by a range of dates."""
+    path = f"{tables.shared_folder(s)}/segments-{uuid.uuid4().hex}"
+    rows = built(s, d)
+    tables.write_partitions(rows, path)
+    back = tables.read_partitions(s, path, rows.schema)
+    same = tables.fingerprint(rows.select(*sorted(rows.columns))).join(tables.fingerprint(back.select(*sorted(rows.columns))).select(F.col("hash").alias("again")))
+    count = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+    named = tables.read_partitions(s, path, rows.schema, ["2024-01-03", "2024-01-09"])
+    parts = [count(named, "two dates"), count(tables.between_dates(back, "2024-01-03", "2024-01-09"), "a week"), count(tables.completed_dates(back), "dates"), same.select(F.lit("rows read as written").alias("what"), F.when(F.col("hash") == F.col("again"), F.col("n_rows")).otherwise(-1).alias("n"))]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+add(
+    "segments_of_some_dates",
+    _some_dates,
+    sql(
+        """SELECT 'two dates' AS what, count(*) AS n FROM segs WHERE service_date IN ('2024-01-03', '2024-01-09') UNION ALL SELECT 'a week', count(*) FROM segs WHERE service_date BETWEEN '2024-01-03' AND '2024-01-09'
+      UNION ALL SELECT 'dates', count(DISTINCT service_date) FROM segs UNION ALL SELECT 'rows read as written', count(*) FROM segs""",
+        "segs",
+    ),
+)
+
 # --- timetables ----------------------------------------------------------------------------------------------------
 add(
     "scheduled_stop_times",

@@ -15,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _observed(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> DataFrame:
+def _observed(events: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     sequence = (k % 10).cast("int")
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    rows = table(spark, sf_dir, "events").where(F.col("event_type").isin(*kinds)).withColumn("captured_at", F.timestamp_micros(micros))
+    rows = events.where(F.col("event_type").isin(*kinds)).withColumn("captured_at", F.timestamp_micros(micros))
     zone = DEFAULT.zone
     return rows.select(
         "event_id", "captured_at", F.date_format(X.local_time(F.col("captured_at"), zone), "yyyy-MM-dd").alias("service_date"), F.col("user_id").cast("string").alias("trip_id"), F.col("user_id").cast("string").alias("scheduled_trip_id"),
@@ -29,12 +29,18 @@ def _observed(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> DataF
 
 
 def vehicle_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _observed(spark, sf_dir, VEHICLE_EVENTS)
+    rows = _observed(table(spark, sf_dir, "events"), VEHICLE_EVENTS)
     return rows.withColumn("status", F.col("event_type")).drop("event_type", "value")
 
 
+def vehicle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vehicle observations as a stream of their files."""
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, since the table may be one file
+    return _observed(events, VEHICLE_EVENTS).withColumn("status", F.col("event_type")).drop("event_type", "value")
+
+
 def trip_update_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _observed(spark, sf_dir, UPDATE_EVENTS)
+    rows = _observed(table(spark, sf_dir, "events"), UPDATE_EVENTS)
     shift = (F.floor("value").cast("int") - 40) * 600
     return rows.withColumn("arrival_ts", F.timestamp_seconds(F.unix_seconds("captured_at") + shift)).withColumn("departure_ts", F.when(F.col("stop_sequence") % 2 == 0, F.col("arrival_ts"))).withColumn("relationship", F.col("event_type")).drop("event_type", "value")
 
