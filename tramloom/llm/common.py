@@ -73,17 +73,20 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
     return F.broadcast(df) if n <= rows and (held or 0) <= size else df
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], n: str, how: str = "inner", by: Sequence[str] = (), sizes: DataFrame | None = None) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], n: str, how: str = "inner", by: Sequence[str] = (), sizes: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """left joined with right (by key, with the number of left's rows of the key in ``n``), no task getting a hot key whole.
 
     A key with over twice the rows of an average partition is dealt into parts, and its row of right goes to each of
     them. Such keys are fewer than half the partitions, so their broadcast is bounded. Rows of left are dealt by a hash
     of the columns ``by``; without any, by their place in the files that left must then be read from. The numbers of
-    rows are counted at once, from ``sizes`` (keys, n) where right itself is not written yet and has no such column.
+    rows are taken from ``sizes`` (keys, n) where right itself is not written yet and has no such column; their sum is
+    counted at once unless ``total`` says about how many there are.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     counted = (right if sizes is None else sizes).select(*keys, n)
-    total = counted.agg(F.sum(n)).first()[0] or 0
+    total = (counted.agg(F.sum(n)).first()[0] or 0) if total is None else total
+    if total <= 1024 or left.sparkSession.conf.get("spark.sql.shuffle.partitions") == "1":
+        return left.join(right.drop(n), keys, how)
     room = max(1024, 2 * total // int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = F.broadcast(counted.where(F.col(n) > room).select(*keys, F.ceil(F.col(n) / F.lit(room)).cast("int").alias(f"{OWN}parts")).distinct())
     deal = F.xxhash64(*by) if by else F.monotonically_increasing_id()

@@ -26,16 +26,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u is not null")
-        least = materialize(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "cc-least")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         # large star: every larger neighbour of u is linked to the least of u and its neighbours
-        large = spread_join(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = spread_join(both, least, "u", "n", total=2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "cc")
-        forget(now), forget(least)
+        forget(now)
         # small star: u and its smaller neighbours are linked to the least of them
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "cc-least")
-        moved = spread_join(large, low, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        moved = spread_join(large, low, "u", "n", total=state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         now = materialize(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        forget(large), forget(low)
+        forget(large)
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     to = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
