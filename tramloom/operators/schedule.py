@@ -26,10 +26,10 @@ def scheduled_instants(scheduled: DataFrame, dates: DataFrame, settings: Setting
     Always an equi join: a timetable is never laid out for dates on which a trip or route was not seen.
     """
     by = "scheduled_trip_id" if "scheduled_trip_id" in dates.columns else "route_id"
-    rows = scheduled.join(dates.select(by, "service_date").distinct(), by)
-    start = X.service_day_start(F.col("service_date"), settings.zone)
-    rows = rows.withColumn("service_day_start_utc", start)
-    return rows.withColumn("scheduled_arrival_ts", F.timestamp_seconds(F.col("service_day_start_utc") + F.col("scheduled_arrival_offset_sec"))).withColumn("scheduled_departure_ts", F.timestamp_seconds(F.col("service_day_start_utc") + F.col("scheduled_departure_offset_sec")))
+    days = dates.select("service_date").distinct().withColumn("service_day_start_utc", X.service_day_start(F.col("service_date"), settings.zone))  # time zones are looked up once a day
+    rows = scheduled.join(dates.select(by, "service_date").distinct().join(days, "service_date"), by)
+    at = lambda c: F.timestamp_seconds(F.col("service_day_start_utc") + F.col(c))
+    return rows.withColumn("scheduled_arrival_ts", at("scheduled_arrival_offset_sec")).withColumn("scheduled_departure_ts", at("scheduled_departure_offset_sec"))
 
 
 def resolve_bundles(dates: DataFrame, bundles: DataFrame) -> DataFrame:

@@ -29,13 +29,12 @@ def decoded(snapshots: DataFrame, kind: str, path: str, start: Column, end: Colu
 
 
 def segments_of(vehicles: DataFrame, updates: DataFrame, trips: DataFrame, stop_times: DataFrame, settings: Settings = DEFAULT, tie: Sequence[str] = (), mode: str = "rail", static_version: str = "unknown", bundle_version: str | None = None) -> DataFrame:
-    """Observations and a timetable to segments. The timetable is laid out only for trips and dates that were seen."""
+    """Observations and a timetable to segments. The timetable is never laid out by date."""
     own = [k for k in settings.trip_keys if k not in ("trip_id",)]
     seen = observations.one_of_each(vehicles, (*own, *observations.VEHICLE_KEY, *tie))
     said = observations.one_of_each(updates, (*own, *observations.TRIP_UPDATE_KEY, *tie))
-    both = tables.materialize(arrivals.combined_arrivals(arrivals.observed_arrivals(seen, settings, tie), arrivals.predicted_arrivals(said, settings, tie), settings), "arrivals")
-    planned = schedule.scheduled_instants(schedule.scheduled_stop_times(trips, stop_times), both, settings)
-    return segments.build_segments(both, planned, mode, static_version, bundle_version, settings)
+    both = arrivals.combined_arrivals(arrivals.observed_arrivals(seen, settings, tie), arrivals.predicted_arrivals(said, settings, tie), settings)
+    return segments.build_segments(both, schedule.scheduled_stop_times(trips, stop_times), mode, static_version, bundle_version, settings)
 
 
 def run_window(vehicles: DataFrame, updates: DataFrame, trips: DataFrame, stop_times: DataFrame, start: Column, end: Column, path: str, settings: Settings = DEFAULT, tie: Sequence[str] = ()) -> DataFrame:

@@ -39,10 +39,8 @@ def planned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def built(spark: SparkSession, d: str) -> DataFrame:
-    """All segments. They and the arrivals they come from are written once, since most queries read them more than once."""
-    both = tables.materialize(combined(spark, d), "arrivals")
-    rows = segments.build_segments(both, schedule.scheduled_instants(planned(spark, d), both, S), "rail", "2024", "20670", S)
-    return tables.materialize(rows, "segments")
+    """All segments, written once, since most queries read them more than once."""
+    return tables.materialize(segments.build_segments(combined(spark, d), planned(spark, d), "rail", "2024", "20670", S), "segments")
 
 
 def kept(spark: SparkSession, d: str) -> DataFrame:
