@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramloom.llm import balltree, decontamination, html, lines, mixing, secrets, simhash, substrings, toxicity, warc
+from tramloom.llm import balltree, decontamination, html, languages, lines, mixing, negatives, secrets, simhash, substrings, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,8 +72,20 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ident, label = F.col("vec_id"), F.col("label")
+    moved = F.when(ident % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine_negatives(table(spark, sf_dir, "embeddings"), ident % 100 == 0, label=moved)
+
+
+def op12_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    found = languages.predict_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), trained=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_cube_mix, op2_simhash_bktree, op3_substring_dedup, op4_line_dedup, op5_html_consensus, op6_secret_scan, op7_balltree_topk, op8_decontaminate, op9_toxicity_gru, op10_warc_revisits)
+    own = (op1_cube_mix, op2_simhash_bktree, op3_substring_dedup, op4_line_dedup, op5_html_consensus, op6_secret_scan, op7_balltree_topk, op8_decontaminate, op9_toxicity_gru, op10_warc_revisits, op11_strassen_negatives, op12_ppm_language)
     return {f.__name__: f for f in own}
 
 
@@ -139,6 +151,20 @@ FROM m
 """
 
 
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those queries that SQL can express; the others are tested against brute force."""
-    return {"op3_substring_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_balltree_topk": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_warc_revisits": OP10_SQL}
+    return {"op3_substring_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_balltree_topk": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_warc_revisits": OP10_SQL, "op11_strassen_negatives": OP11_SQL}
