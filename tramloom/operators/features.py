@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tramloom.config import DEFAULT, SEGMENT_KEY, TRIP_KEY, Settings
 from tramloom.functions import exprs as X
 from tramloom.functions.asof import asof_backward
+from tramloom.functions.running import medians_before
+from tramloom.functions.slices import carry, slice_of, with_halo
 
 CALENDAR = ("local_hour", "local_hour_frac", "local_dow", "local_month", "is_weekend", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_holiday", "is_service_weekday", "fare_period")
 SCHEDULE = ("stop_sequence", "stop_span", "scheduled_duration_sec", "trip_progress", "stops_remaining", "minutes_into_trip", "trip_start_hour", "scheduled_duration_implausible")
@@ -76,33 +78,41 @@ def upstream_delay(rows: DataFrame) -> DataFrame:
 
 
 def headway(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Seconds since the previous departure from the stop on the same route and direction; long gaps are null."""
+    """Seconds since the previous departure from the stop on the same route and direction; long gaps are null.
+
+    A stop's days run apart from each other; a day's first departure gets the last one before that day as a carry.
+    """
     keys = ("route_id", "direction_id", "from_stop_id")
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    apart = F.when(~known, F.xxhash64(*_TIES))  # rows without a key have no headway and need not meet
-    line = Window.partitionBy(*keys, apart).orderBy("actual_departure_ts", *_TIES)
-    gap = F.unix_seconds("actual_departure_ts") - F.unix_seconds(F.lag("actual_departure_ts").over(line))
-    return rows.withColumn("headway_sec", F.when(known & (gap <= settings.max_headway_sec), gap))
+    # rows without a key have no headway and need not meet
+    sliced = rows.withColumn("__slice", F.when(known, slice_of(F.col("actual_departure_ts"))).otherwise(F.xxhash64(*_TIES)))
+    before = carry(sliced.where(known).select(*keys, "__slice", "actual_departure_ts"), keys, F.max("actual_departure_ts"), "__before")
+    line = Window.partitionBy(*keys, "__slice").orderBy("actual_departure_ts", *_TIES)
+    last = F.coalesce(F.lag("actual_departure_ts").over(line), F.col("__before"))
+    gap = F.unix_seconds("actual_departure_ts") - F.unix_seconds(last)
+    found = sliced.join(before, [*keys, "__slice"], "left").withColumn("headway_sec", F.when(known & (gap <= settings.max_headway_sec), gap))
+    return found.select(*rows.columns, "headway_sec")
 
 
-def completions(rows: DataFrame, settings: Settings = DEFAULT, norm_window: int | None = None) -> DataFrame:
+def completions(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Each segment's completions in order, with statistics of the last N up to and with each.
 
-    roll_deviation averages how far each lay from the median of all before it; ``norm_window`` bounds that history
-    where a key has very many completions (by default it is exact).
+    roll_deviation averages how far each lay from the median of all before it. Medians come from a running histogram,
+    a segment's days apart from each other; the last N from blocks of some thousand completions with a halo.
     """
     n = settings.rolling_traversals
-    line = Window.partitionBy(*SEGMENT_KEY).orderBy("actual_arrival_ts", *_TIES)
-    last = line.rowsBetween(-(n - 1), 0)
-    before = line.rowsBetween(Window.unboundedPreceding if norm_window is None else -norm_window, -1)
-    done = rows.where("actual_arrival_ts is not null").select(*SEGMENT_KEY, F.col("actual_arrival_ts").alias("completed_at"), "actual_arrival_ts", "actual_duration_sec", "delay_sec", *_TIES)
-    done = done.withColumn("deviation", F.col("actual_duration_sec") - F.percentile("actual_duration_sec", F.lit(0.5)).over(before))
-    return done.select(
-        *SEGMENT_KEY, "completed_at", *_TIES, F.percentile("actual_duration_sec", F.lit(0.5)).over(last).alias("roll_median"), F.avg("actual_duration_sec").over(last).alias("roll_mean"), F.avg("delay_sec").over(last).alias("roll_delay_mean"),
-        F.least(F.row_number().over(line), F.lit(n)).alias("roll_n"), F.avg("deviation").over(last).alias("roll_deviation"),
+    done = rows.where("actual_arrival_ts is not null").select(*SEGMENT_KEY, F.col("actual_arrival_ts").alias("completed_at"), "actual_duration_sec", "delay_sec", *_TIES).withColumn("__slice", slice_of(F.col("completed_at")))
+    done = medians_before(done, SEGMENT_KEY, "__slice", ("completed_at", *_TIES), "actual_duration_sec").drop("__slice")
+    done = with_halo(done.withColumn("deviation", F.col("actual_duration_sec") - F.col("__median")), "__place", n - 1)
+    last = Window.partitionBy(*SEGMENT_KEY, "__block").orderBy("__place").rowsBetween(-(n - 1), 0)
+    mean = lambda c: F.avg(c).over(last)
+    rolled = done.select(
+        *SEGMENT_KEY, "completed_at", *_TIES, "__halo", F.percentile("actual_duration_sec", F.lit(0.5)).over(last).alias("roll_median"), mean("actual_duration_sec").alias("roll_mean"), mean("delay_sec").alias("roll_delay_mean"),
+        F.least(F.col("__place") + 1, F.lit(n)).cast("int").alias("roll_n"), mean("deviation").alias("roll_deviation"),
     )
+    return rolled.where("not __halo").drop("__halo")
 
 
 def _recent(rows: DataFrame, age: Column, settings: Settings, negative: bool) -> DataFrame:
@@ -115,9 +125,9 @@ def _recent(rows: DataFrame, age: Column, settings: Settings, negative: bool) ->
     return rows.drop(*_ROLLED, "completed_at")
 
 
-def recent_conditions(rows: DataFrame, settings: Settings = DEFAULT, norm_window: int | None = None) -> DataFrame:
+def recent_conditions(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """How the last N traversals of the segment went that were completed strictly before this one departed."""
-    found = asof_backward(rows, completions(rows, settings, norm_window), SEGMENT_KEY, "actual_departure_ts", "completed_at", _ROLLED, _TIES)
+    found = asof_backward(rows, completions(rows, settings), SEGMENT_KEY, "actual_departure_ts", "completed_at", _ROLLED, _TIES)
     return _recent(found, F.unix_seconds("actual_departure_ts") - F.unix_seconds("completed_at"), settings, True)
 
 
