@@ -4,52 +4,77 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramloom.config import DEFAULT, SEGMENT_KEY, Settings
+from tramloom.functions.quantiles import quantiles
+from tramloom.sources.tables import materialize
 
 TARGET = "actual_duration_sec"
 
 
+def scores(rows: DataFrame, predictions: Mapping[str, tuple[Column, bool]], target: str = TARGET) -> DataFrame:
+    """One row for each named (prediction, in_sample): mean and median absolute error, root mean squared error, and the
+    share of rows with a prediction. All come from one aggregate; medians are selected exactly, in rounds."""
+    names = list(predictions)
+    used = materialize(rows.select(F.col(target).cast("double").alias("truth"), *[p.cast("double").alias(f"p{i}") for i, (p, _) in enumerate(predictions.values())]), "scored")
+    error = [F.col("truth") - F.col(f"p{i}") for i in range(len(names))]
+    middle = quantiles(used, {f"e{i}": (F.abs(e), (0.5,)) for i, e in enumerate(error)})
+    each = [
+        F.struct(
+            F.lit(name).alias("baseline"), F.count("*").alias("n_rows"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.lit(middle[f"e{i}"][0]).cast("double").alias("median_abs"),
+            F.avg(e.isNotNull().cast("double")).alias("coverage"), F.lit(predictions[name][1]).alias("in_sample"),
+        ).alias(f"s{i}")
+        for i, (name, e) in enumerate(zip(names, error, strict=True))
+    ]
+    return used.agg(*each).select(F.explode(F.array(*[f"s{i}" for i in range(len(names))])).alias("s")).select("s.*")
+
+
 def score(rows: DataFrame, name: str, prediction: Column, in_sample: bool, target: str = TARGET) -> DataFrame:
-    """One row: mean and median absolute error, root mean squared error, and the share of rows with a prediction."""
-    error = F.col("truth") - F.col("said")
-    used = rows.select(F.col(target).cast("double").alias("truth"), prediction.cast("double").alias("said"))
-    return used.agg(F.count("*").alias("n_rows"), F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse"), F.percentile(F.abs(error), F.lit(0.5)).alias("median_abs"), F.avg(error.isNotNull().cast("double")).alias("coverage")).select(F.lit(name).alias("baseline"), "*", F.lit(in_sample).alias("in_sample"))
+    """The one row of a single prediction."""
+    return scores(rows, {name: (prediction, in_sample)}, target)
 
 
-def schedule_baseline(rows: DataFrame) -> DataFrame:
-    return score(rows, "schedule", F.col("scheduled_duration_sec"), False)
+def _median_of(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """rows with the median target of their keys. Keys are null-safe; targets are whole seconds, so a median's buffer is small."""
+    medians = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.percentile(TARGET, F.lit(0.5)).alias(name))
+    same = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    return rows.join(medians, same, "left").drop(*[f"__{k}" for k in keys])
 
 
-def _median_of(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.withColumn("__m", F.percentile(TARGET, F.lit(0.5)).over(Window.partitionBy(*keys)))
+def schedule_baseline(rows: DataFrame) -> DataFrame:
+    return score(rows, "schedule", F.col("scheduled_duration_sec"), False)
 
 
 def segment_median_baseline(rows: DataFrame) -> DataFrame:
-    return score(_median_of(rows, list(SEGMENT_KEY)), "segment_median", F.col("__m"), True)
+    return score(_median_of(rows, SEGMENT_KEY, "__m"), "segment_median", F.col("__m"), True)
 
 
 def segment_hour_median_baseline(rows: DataFrame) -> DataFrame:
     """rows need local_hour."""
-    return score(_median_of(rows, [*SEGMENT_KEY, "local_hour"]), "segment_hour_median", F.col("__m"), True)
+    return score(_median_of(rows, (*SEGMENT_KEY, "local_hour"), "__m"), "segment_hour_median", F.col("__m"), True)
 
 
 def suite(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """All baselines, each with its distance from the noise floor and whether it is the best."""
-    every = functools.reduce(DataFrame.unionByName, (f(rows) for f in (schedule_baseline, segment_median_baseline, segment_hour_median_baseline)))
+    rows = materialize(rows.select(*SEGMENT_KEY, "local_hour", TARGET, "scheduled_duration_sec", "arrival_bracket_sec"), "suite")
+    both = _median_of(_median_of(rows, SEGMENT_KEY, "__segment"), (*SEGMENT_KEY, "local_hour"), "__hour")
+    every = scores(both, {"schedule": (F.col("scheduled_duration_sec"), False), "segment_median": (F.col("__segment"), True), "segment_hour_median": (F.col("__hour"), True)})
     floor = noise_floor(rows).select("floor_sec")
-    rows = every.join(F.broadcast(floor))
-    least = F.min("mae").over(Window.partitionBy())
-    return rows.withColumn("best", F.col("mae") == least).withColumn("over_floor_sec", F.col("mae") - F.col("floor_sec"))
+    every = every.join(F.broadcast(floor))  # one row
+    least = F.min("mae").over(Window.partitionBy())  # of three rows
+    return every.withColumn("best", F.col("mae") == least).withColumn("over_floor_sec", F.col("mae") - F.col("floor_sec"))
 
 
 def noise_floor(rows: DataFrame) -> DataFrame:
     """The mean error that timing alone causes: half the median bracket at either end, as an error's mean size."""
+    found = quantiles(rows, {"bracket": (F.col("arrival_bracket_sec"), (0.5,)), "duration": (F.col(TARGET), (0.5,))})
     half = F.col("bracket") / 2
-    return rows.agg(F.percentile("arrival_bracket_sec", F.lit(0.5)).alias("bracket"), F.percentile(TARGET, F.lit(0.5)).alias("median_duration")).select("bracket", "median_duration", half.alias("half_bracket"), (half * math.sqrt(2) * 0.8).alias("floor_sec"))
+    one = rows.sparkSession.range(1).select(F.lit(found["bracket"][0]).cast("double").alias("bracket"), F.lit(found["duration"][0]).cast("double").alias("median_duration"))
+    return one.select("bracket", "median_duration", half.alias("half_bracket"), (half * math.sqrt(2) * 0.8).alias("floor_sec"))
 
 
 BUCKETS = ((0, 90), (90, 150), (150, 240), (240, 10_000))

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramloom.config import DEFAULT, Settings
+from tramloom.functions.quantiles import quantiles
 from tramloom.operators import baselines
 from tramloom.operators.journeys import journey_errors
 
 
 def segment_level(rows: DataFrame, predictions: Sequence[str]) -> DataFrame:
     """One row of errors for each prediction column."""
-    return functools.reduce(DataFrame.unionByName, (baselines.score(rows, p, F.col(p), False) for p in predictions))
+    return baselines.scores(rows, {p: (F.col(p), False) for p in predictions})
 
 
 def journey_level(blocks: DataFrame, model: str, baseline: str, settings: Settings = DEFAULT) -> DataFrame:
@@ -29,11 +30,15 @@ def journey_level(blocks: DataFrame, model: str, baseline: str, settings: Settin
 
 
 def binned(rows: DataFrame, prediction: str, target: str = "actual_duration_sec", bins: int = 40, least: int = 30) -> DataFrame:
-    """Target quartiles within bins of equal share of the prediction; bins with few rows are left out."""
-    edges = rows.agg(F.array_distinct(F.percentile(prediction, F.array(*[F.lit(i / bins) for i in range(1, bins)]))).alias("__edges"))
-    place = F.size(F.filter("__edges", lambda e: e < F.col(prediction)))
+    """Target quartiles within bins of equal share of the prediction; bins with few rows are left out.
+
+    Edges are selected in rounds; targets are whole seconds, so a bin's buffer of distinct values is small.
+    """
+    found = quantiles(rows, {"p": (F.col(prediction), [i / bins for i in range(1, bins)])})["p"]
+    edges = F.array(*[F.lit(e) for e in sorted({e for e in found if e is not None})]).cast("array<double>")
+    place = F.when(F.col(prediction).isNotNull(), F.size(F.filter(edges, lambda e: e < F.col(prediction)))).otherwise(0)
     q = F.percentile(target, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = rows.join(F.broadcast(edges)).withColumn("bin", place).groupBy("bin").agg(F.count("*").alias("n"), F.avg(prediction).alias("mean_prediction"), q.alias("q")).where(F.col("n") >= least)
+    out = rows.withColumn("bin", place).groupBy("bin").agg(F.count("*").alias("n"), F.avg(prediction).alias("mean_prediction"), q.alias("q")).where(F.col("n") >= least)
     return out.select("bin", "n", "mean_prediction", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))])
 
 
@@ -44,11 +49,15 @@ def error_by_group(rows: DataFrame, group: str, predictions: Sequence[str], targ
 def clipped_residuals(rows: DataFrame, prediction: str, target: str = "actual_duration_sec", low: float = 0.005, high: float = 0.995, bins: int = 20) -> DataFrame:
     """Histogram of residuals between two of their quantiles, those beyond counted at the ends; with mean and median of all."""
     r = rows.where(F.col(prediction).isNotNull()).select((F.col(target) - F.col(prediction)).alias("r"))
-    ends = r.agg(F.percentile("r", F.array(F.lit(low), F.lit(high), F.lit(0.5))).alias("q"), F.avg("r").alias("mean_residual"))
-    x = r.join(F.broadcast(ends)).withColumn("c", F.least(F.greatest(F.col("r"), F.col("q")[0]), F.col("q")[1]))
-    width = F.greatest((F.col("q")[1] - F.col("q")[0]) / bins, F.lit(1e-9))
-    x = x.withColumn("bin", F.least(F.floor((F.col("c") - F.col("q")[0]) / width), F.lit(bins - 1)).cast("int"))
-    return x.groupBy("bin").agg(F.count("*").alias("n"), F.first(F.col("q")[0] + 0 * F.col("bin")).alias("low"), F.first(F.col("q")[1]).alias("high"), F.first("mean_residual").alias("mean_residual"), F.first(F.col("q")[2]).alias("median_residual"))
+    first, last, middle = quantiles(r, {"r": (F.col("r"), (low, high, 0.5))})["r"]
+    if first is None:
+        first = last = middle = math.nan
+    mean = r.agg(F.avg("r").alias("mean_residual"))
+    x = F.least(F.greatest(F.col("r"), F.lit(first)), F.lit(last)).cast("double")
+    bin_of = F.least(F.floor((x - first) / max((last - first) / bins, 1e-9)), F.lit(bins - 1)).cast("int")
+    counted = r.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
+    ends = [F.lit(v).cast("double").alias(name) for name, v in (("low", first), ("high", last), ("median_residual", middle))]
+    return counted.join(F.broadcast(mean)).select("bin", "n", ends[0], ends[1], "mean_residual", ends[2])  # the mean is one row
 
 
 def importance(gains: DataFrame, k: int = 20) -> DataFrame:

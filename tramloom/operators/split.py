@@ -6,24 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramloom.config import DEFAULT, SEGMENT_KEY, Settings
+from tramloom.functions.quantiles import quantiles
 from tramloom.operators.journeys import BLOCK_KEY
 
 
 def boundary(rows: DataFrame, ts: str, settings: Settings = DEFAULT) -> DataFrame:
-    """One row: the instant (microseconds) before which all but validation_fraction of the rows lie, between rows if need be.
-
-    Rows are counted by second first, so that what one task puts in order is seconds, not rows; then only the rows of
-    the one or two seconds that hold the ranks in question are looked at.
-    """
-    known = rows.where(F.col(ts).isNotNull()).select(F.unix_micros(ts).alias("m"), F.unix_seconds(ts).alias("s"))
-    whole, line = Window.partitionBy(), Window.orderBy("s")
-    counted = known.groupBy("s").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(line))
-    rank = (F.col("total") - 1) * F.lit(1 - settings.validation_fraction)
-    held = counted.withColumn("rank", rank).where((F.col("upto") > F.floor("rank")) & (F.col("upto") - F.col("n") <= F.ceil("rank")))
-    near = known.join(F.broadcast(held), "s").withColumn("place", F.col("upto") - F.col("n") + F.row_number().over(Window.partitionBy("s").orderBy("m")) - 1)
-    at = lambda r: F.max(F.when(F.col("place") == r("rank"), F.col("m").cast("double")))
-    low, high, rank = at(F.floor), at(F.ceil), F.max("rank")
-    return near.agg((low + (rank - F.floor(rank)) * (high - low)).alias("boundary"))
+    """One row: the instant (microseconds) before which all but validation_fraction of the rows lie, between rows if need be."""
+    edge = quantiles(rows, {"m": (F.unix_micros(ts), (1 - settings.validation_fraction,))})["m"][0]
+    return rows.sparkSession.range(1).select(F.lit(edge).cast("double").alias("boundary"))
 
 
 def _label(micros: Column, settings: Settings) -> Column:
