@@ -55,27 +55,21 @@ def _frame(spark, rows, n=3):
 def test_against_brute_force(spark, chunk):
     rows = _rows(1)
     got = mine_collocations(_frame(spark, rows), chunk=chunk)
-    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc", "first_at"]
-    found = got.collect()
-    assert sorted(tuple(r)[:9] for r in found) == brute(rows)
-    text = {r[0]: r[1] for r in rows if r[0] not in (None, 5)}
-    for r in found:
-        if r["first_doc"] in text:
-            begin = text[r["first_doc"]].encode()[r["first_at"] :].decode()
-            assert pieces(begin)[0][: len(r["phrase"].split(" "))] == r["phrase"].split(" ")
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc"]
+    assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
 def test_other_lengths_and_a_full_filter(spark):
     rows = _rows(2, 60)
     for longest, least, keep in ((2, 3, 5), (5, 4, 2000)):
         got = mine_collocations(_frame(spark, rows), longest=longest, least=least, keep=keep, filter_bits=1 << 20)
-        assert sorted(tuple(r)[:9] for r in got.collect()) == brute(rows, least, longest, keep)
+        assert sorted(tuple(r) for r in got.collect()) == brute(rows, least, longest, keep)
 
 
 def test_a_long_text_is_counted_whole(spark):
     rng = random.Random(3)
     rows = [(1, " ".join(rng.choice("abcdefgh") for _ in range(3000)), "en"), (2, "w" * 5000 + " a b " + "v" * 900 + " c d", "en"), (3, "z" * 9000, "en")]
-    assert sorted(tuple(r)[:9] for r in mine_collocations(_frame(spark, rows, 1), chunk=500).collect()) == brute(rows)
+    assert sorted(tuple(r) for r in mine_collocations(_frame(spark, rows, 1), chunk=500).collect()) == brute(rows)
 
 
 def test_no_rows_and_no_phrases(spark, nothing):
@@ -89,8 +83,7 @@ def test_parts_hold_every_word_once():
         for _ in range(50):
             text = "".join(rng.choice(["ab", "c", " ", " ", ".", "long" * 4]) for _ in range(80)).encode()
             words, joined = re.findall(rb"[^ .]+", text), []
-            for part, context, at in parts(text, room, 3):
-                assert text[at:].startswith(part)
+            for part, context in parts(text, room, 3):
                 own = re.findall(rb"[^ .]+", part)
                 assert own[:context] == joined[len(joined) - context :]
                 joined += own[context:]
@@ -116,7 +109,7 @@ def test_words_that_collide_by_construction(spark):
     morse = [bin(i).count("1") % 2 for i in range(2048)]
     one, other = ("".join("ab"[x ^ y] for x in morse) for y in (0, 1))
     rows = [(i, f"{one if i % 3 else other} tail", "en") for i in range(30)]
-    got = sorted(tuple(r)[:9] for r in mine_collocations(_frame(spark, rows)).collect())
+    got = sorted(tuple(r) for r in mine_collocations(_frame(spark, rows)).collect())
     assert got == brute(rows) and len(got) == 2
 
 

@@ -9,13 +9,13 @@
    in one pass a length, but only where both n-grams one word shorter passed: others can't be frequent.
 3. A last pass verifies against the text: n-grams that pass the filter are grouped by fingerprint, all occurrences of a
    group are compared word by word with its first (unlike ones are told apart), and only then is text written: the
-   phrase, its count and a pointer to its first occurrence (document, byte). A shuffle by the text itself sums counts and
+   phrase, its count and a pointer to the first document of its occurrences. A shuffle by the text itself sums counts and
    takes the least pointer, so counts are exact whatever fingerprints collide.
 4. The frequent phrases are joined with the counts of their parts, a hot part in portions, and ranked by language.
 
 Defined results: a null text is empty, a null language ``und``; words and pieces are as the contract of the query has them;
 rows alike count each; an empty table gives no rows. A text longer than a chunk is cut between words; the words before a
-cut go along as context, and an n-gram counts where its last word is new. Pointers with a null document come last.
+cut go along as context, and an n-gram counts where its last word is new. A null document is no pointer, unless there is no other.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from tramloom.llm.lines import SEGMENT_BITS, places
 LONGEST, LEAST, KEEP, COVER = 3, 10, 2000, 50
 #: Bytes of text in a chunk; bits of filter a fingerprint, and of all at most.
 CHUNK, BITS, FILTER_BITS = 2_000_000, 16, 1 << 28
+#: Portions in which a language's phrases are ranked before they meet.
+DEAL = 32
 UNKNOWN = "und"
 #: Kinds of bytes: 0 of words, 1 between words, 2 between pieces.
 KIND = np.zeros(256, np.uint8)
@@ -74,8 +76,8 @@ class Prefix:
         return (self.sums[n:] - self.sums[:-n]) * self.back[: len(self.sums) - n]
 
 
-def parts(text: bytes, room: int, longest: int) -> Iterator[tuple[bytes, int, int]]:
-    """(part, words of context at its start, place of the part in the text) of a text cut between words."""
+def parts(text: bytes, room: int, longest: int) -> Iterator[tuple[bytes, int]]:
+    """(part, words of context at its start) of a text cut between words."""
     low = context = begin = 0  # low: up to where all is counted
     while len(text) - begin > room:
         ends = np.flatnonzero(KIND[np.frombuffer(text, np.uint8, room, begin)])
@@ -85,7 +87,7 @@ def parts(text: bytes, room: int, longest: int) -> Iterator[tuple[bytes, int, in
             cut = after.start()
         else:
             break
-        yield text[begin:cut], context, begin
+        yield text[begin:cut], context
         # words of the piece that goes on at the cut
         tail = text[begin:cut]
         kind = KIND[np.frombuffer(tail, np.uint8)]
@@ -94,7 +96,7 @@ def parts(text: bytes, room: int, longest: int) -> Iterator[tuple[bytes, int, in
         starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + (piece[-1] + 1 if len(piece) else 0)
         context = min(longest - 1, len(starts))
         low, begin = cut, begin + int(starts[-context]) if context else cut
-    yield text[begin:], context, begin
+    yield text[begin:], context
 
 
 class Chunk:
@@ -109,7 +111,6 @@ class Chunk:
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
         begins = np.cumsum([1, *[len(t) + 1 for t in texts]])[:-1]
         self.row = np.searchsorted(begins, self.starts, "right") - 1
-        self.begins = begins
         first = np.searchsorted(self.row, np.arange(len(texts)))
         self.new = np.arange(len(self.row)) - first[self.row] >= context[self.row]
         self.lang = lang[self.row]
@@ -136,23 +137,23 @@ class Chunk:
         return words.indices.to_numpy(), words.dictionary
 
 
-def chunks(batches: Iterator[pa.RecordBatch], room: int, longest: int) -> Iterator[tuple[Chunk, list[str], list[int | None], np.ndarray]]:
-    """(words, languages by number, documents by row, place of each row in its document); rows in the order of documents."""
+def chunks(batches: Iterator[pa.RecordBatch], room: int, longest: int) -> Iterator[tuple[Chunk, list[str], list[int | None]]]:
+    """(words, languages by number, documents by row); rows in the order of documents."""
     held: list[tuple] = []
     size = 0
 
-    def close() -> tuple[Chunk, list[str], list[int | None], np.ndarray]:
-        held.sort(key=lambda x: (x[0] is None, x[0] or 0, x[4]))
+    def close() -> tuple[Chunk, list[str], list[int | None]]:
+        held.sort(key=lambda x: (x[0] is None, x[0] or 0))
         names: dict[str, int] = {}
         lang = np.array([names.setdefault(x[1], len(names)) for x in held])
         salt = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in names], np.uint64)
-        docs, _, texts, context, at = zip(*held, strict=True)
-        return Chunk(list(texts), np.array(context), lang, salt), list(names), list(docs), np.array(at)
+        docs, _, texts, context = zip(*held, strict=True)
+        return Chunk(list(texts), np.array(context), lang, salt), list(names), list(docs)
 
     for b in slices(batches, 500):
         for doc, lang, text in zip(b.column("doc").to_pylist(), b.column("lang").to_pylist(), binary(b, "text"), strict=True):
-            for part, context, at in parts(text, room, longest):
-                held.append((doc, lang, part, context, at))
+            for part, context in parts(text, room, longest):
+                held.append((doc, lang, part, context))
                 size += len(part)
                 if size >= room:
                     yield close()
@@ -215,19 +216,18 @@ def same_words(chunk: Chunk, numbers: np.ndarray, at: np.ndarray, n: int) -> tup
     return np.concatenate([at[cuts[~mixed]], rest[own]]), np.concatenate([size[~mixed], count])
 
 
-_VERIFIED = "lang string, words int, phrase string, n long, doc long, at long"
+_VERIFIED = "lang string, phrase string, n long, doc long"
 
 
 def _verified(shared, room: int, longest: int) -> Callable:
-    """For mapInArrow over (doc, lang, text): phrases that pass, with text; a row of no words has a language's words."""
+    """For mapInArrow over (doc, lang, text): phrases that pass, with text; a row without a phrase has the number of a language's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [np.frombuffer(x, np.uint8) for x in shared.value]
-        for chunk, names, docs, place in chunks(batches, room, longest):
+        for chunk, names, docs in chunks(batches, room, longest):
             numbers, words = chunk.numbers()
             total = np.bincount(chunk.lang[chunk.new], minlength=len(names))
-            none = pa.nulls(len(names), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.zeros(len(names), np.int32)), pa.nulls(len(names), pa.string()), pa.array(total), none, none], names=["lang", "words", "phrase", "n", "doc", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.nulls(len(names), pa.string()), pa.array(total), pa.nulls(len(names), pa.int64())], names=["lang", "phrase", "n", "doc"])
             langs, docs = pa.array(names), pa.array(docs, pa.int64())
             for n in range(1, longest + 1):
                 at = may_be_frequent(chunk, n, filters)
@@ -236,9 +236,7 @@ def _verified(shared, room: int, longest: int) -> Callable:
                     continue
                 first, count = same_words(chunk, numbers, at, n)
                 text = pc.binary_join_element_wise(*[words.take(pa.array(numbers[first + j])) for j in range(n)], b" ").cast(pa.string())
-                row = chunk.row[first]
-                byte = chunk.starts[first] - chunk.begins[row] + place[row]
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(chunk.lang[first])), pa.array(np.full(len(first), n, np.int32)), text, pa.array(count), docs.take(pa.array(row)), pa.array(byte)], names=["lang", "words", "phrase", "n", "doc", "at"])
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(chunk.lang[first])), text, pa.array(count), docs.take(pa.array(chunk.row[first]))], names=["lang", "phrase", "n", "doc"])
 
     return run
 
@@ -269,7 +267,7 @@ def fingerprint_filter(frequent: DataFrame, most_bits: int) -> bytes:
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", longest: int = LONGEST, least: int = LEAST, chunk: int = CHUNK, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """lang, words, phrase, n, first: all n-grams of up to ``longest`` words with n >= least, counted exactly, with the first (doc, at: byte); and a row of 0 words for each language with the number of its words."""
+    """lang, words, phrase, n, first_doc: all n-grams of up to ``longest`` words with n >= least, counted exactly, with the least document; and a row of 0 words for each language with the number of its words."""
     spark = docs.sparkSession
     source = docs.select(col(key).cast("long").alias("doc"), F.coalesce(col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), col(text).cast("string").alias("text"))
     filters: list[bytes] = []
@@ -278,9 +276,9 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", ke
         sums = source.mapInArrow(_sums(lengths, spark.sparkContext.broadcast(filters), chunk, longest), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
         filters = [*filters, fingerprint_filter(materialize(sums.where(F.col("n") >= least).select("fingerprint"), "fingerprints"), filter_bits)]
     found = source.mapInArrow(_verified(spark.sparkContext.broadcast(filters), chunk, longest), _VERIFIED)
-    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "at")
-    counted = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min(order).alias("first"))
-    return materialize(counted.where((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
+    counted = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("doc").alias("first_doc"))
+    words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
+    return materialize(counted.where((F.col("n") >= least) | F.col("phrase").isNull()).withColumn("words", words), "phrases")
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -290,7 +288,7 @@ def score(a: Column, left: Column, right: Column) -> Column:
 
 
 def mine_collocations(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", longest: int = LONGEST, least: int = LEAST, keep: int = KEEP, cover: int = COVER, chunk: int = CHUNK, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, first_doc and first_at of each language's ``keep`` best phrases."""
+    """lang, rank, phrase, a, l, r, n, score and first_doc of each language's ``keep`` best phrases."""
     if longest < 2 or least < 1:
         raise ValueError("longest >= 2 and least >= 1")
     known = frequent_phrases(docs, text, lang, key, longest, least, chunk, filter_bits)
@@ -311,9 +309,10 @@ def mine_collocations(docs: DataFrame, text: str = "text", lang: str = "lang", k
     inner = F.flatten(F.transform(F.sequence(F.lit(2), F.col("words") - 1), lambda n: F.transform(F.sequence(F.lit(1), F.col("words") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))))
     covering = whole.where("words >= 3").select("lang", F.explode(inner).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     left = best.join(covering, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < cover * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("b.score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= keep)
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("b.score"), F.desc("a"), "phrase"))
+    deal = left.withColumn("__deal", F.pmod(F.hash("phrase"), F.lit(DEAL)))  # a language's best are among the best of its portions
+    ranked = deal.withColumn("rank", place("lang", "__deal")).where(F.col("rank") <= keep).withColumn("rank", place("lang").cast("long")).where(F.col("rank") <= keep)
     total = known.where("words = 0").select("lang", "n")
-    firsts = known.where("words >= 2").select("lang", "phrase", "first")
+    firsts = known.where("words >= 2").select("lang", "phrase", "first_doc")
     result = ranked.join(firsts, ["lang", "phrase"]).join(total, "lang")
-    return result.select("lang", "rank", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), "n", F.col("b.score").alias("score"), F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at"))
+    return result.select("lang", "rank", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), "n", F.col("b.score").alias("score"), "first_doc")

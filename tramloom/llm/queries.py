@@ -85,7 +85,7 @@ def op12_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.mine_collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("first_doc", "first_at")
+    return collocations.mine_collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("first_doc")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
