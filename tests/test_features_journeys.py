@@ -166,6 +166,23 @@ def test_baselines_and_calibration(spark):
     assert baselines.noise_floor(rows).first()["floor_sec"] == pytest.approx(30 * 2**0.5 * 0.8)
 
 
+def test_categories_are_split_as_sets_and_the_unseen_are_one(spark):
+    worth = {"a": 5.0, "b": 90.0, "c": 6.0, "d": 91.0, None: 50.0}
+    rows = spark.createDataFrame([(c, v) for c, v in worth.items() for _ in range(9)], "c string, actual_duration_sec double")
+    fitted = model.fit(rows, ["c"], rounds=1, depth=1, loss="squared")
+    split_ = model.nodes(fitted).where("node = 0").first()
+    assert {*split_["categories"]} in ({"a", "c"}, {"a", "c", None})
+    deep = model.fit(rows, ["c"], rounds=2, depth=5, loss="squared")
+    out = model.predict(deep, spark.createDataFrame([("a",), ("d",), (None,), ("never",)], "c string")).collect()
+    assert [r["prediction"] for r in out] == pytest.approx([5.0, 91.0, 50.0, 50.0])
+
+
+def test_rounds_end_when_validation_gains_no_more(spark):
+    made = lambda lo, hi: spark.range(lo, hi).select((F.col("id") % 11).cast("double").alias("a"), F.when(F.col("id") % 11 > 5, 100.0).otherwise(10.0).alias("actual_duration_sec"))
+    trees = lambda **more: model.fit(made(0, 200), ["a"], rounds=25, depth=2, loss="squared", **more).trees.stages[-1].getNumTrees
+    assert trees(valid=made(200, 300)) < 5 and trees() == 25
+
+
 def test_trees_take_missing_values_and_beat_a_constant(spark):
     rows = spark.createDataFrame([(float(i % 7), None if i % 3 else float(i), "ab"[i % 2], 100.0 + 20 * (i % 7) + 50 * (i % 2)) for i in range(300)], "a double, b double, c string, actual_duration_sec double")
     fitted = model.fit(rows, ("a", "b", "c"), rounds=8, depth=4)
@@ -175,5 +192,12 @@ def test_trees_take_missing_values_and_beat_a_constant(spark):
     assert mae < 25
     top = evaluate.importance(model.gains(fitted)).collect()
     assert top[0]["feature"] in ("a", "c") and sum(r["share"] for r in top) == pytest.approx(1.0)
+    odd = rows.limit(20).unionByName(spark.createDataFrame([(1.0, None, "z", 0.0), (None, 2.0, None, 0.0), (None, None, "a", 0.0)], rows.schema))
+    both = model.by_nodes(model.predict(fitted, odd), model.nodes(fitted), model.known_values(fitted), "own").collect()
+    assert len(both) == 23 and all(r["own"] == pytest.approx(r["prediction"], rel=1e-12) for r in both)
+    table = model.nodes(fitted)
+    assert table.where("column = 'c'").count() and table.where("column = 'c' and threshold is not null").count() == 0
+    with pytest.raises(ValueError, match="b"):
+        model.predict(fitted, rows.drop("b"))
     warned = spark.createDataFrame([(18, None), (17, 1.0)], "n int, recent_deviation double").select(model.scoring_warnings("n").alias("w")).collect()
     assert [r["w"] for r in warned] == [["beyond_training", "no_recent_conditions"], []]

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramloom.config import SEGMENT_KEY, TRIP_KEY
+from tramloom.sources.tables import materialize
 
-#: What a model must never see: keys of the label's side and measurements of it.
+#: What a model must never see: keys of the label's side and measurements of it. Fixed names of the data model.
 LABEL_SIDE = ("actual_duration_sec", "actual_arrival_ts", "delay_sec", "arrival_source", "arrival_bracket_sec", "arrival_confident", "duration_plausible", "observed_at_utc")
 CATEGORIES = ("route_id", "direction_id", "mode", "segment_id", "from_station", "to_station", "fare_period")
 
@@ -27,17 +28,21 @@ def categorical_columns(rows: DataFrame, columns: Sequence[str], declared: Seque
 
 
 def fit_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, code): codes count the distinct values of each column in order, from 0; nulls have none."""
+    """(column, value, code): codes count the distinct values of each column in order, from 0; nulls have none. Written once."""
     long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")).select("p.*")
     known = long.where("value is not null").distinct()
-    return known.withColumn("code", F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1)
+    return materialize(known.withColumn("code", F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1), "codes")
 
 
-def encode(rows: DataFrame, codes: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
-    """Columns replaced (or, with a prefix, joined) by their codes; -1 for null and for what training never saw."""
+def encode(rows: DataFrame, codes: DataFrame, columns: Sequence[str], prefix: str = "", few: int = 100_000) -> DataFrame:
+    """Columns replaced (or, with a prefix, joined) by their codes; -1 for null and for what training never saw.
+
+    Up to ``few`` codes in all are broadcast, so that a column's commonest value is no hot key; more are joined by shuffle.
+    """
+    hint = F.broadcast if codes.limit(few + 1).count() <= few else lambda df: df
     for c in columns:
         own = codes.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias("__c"))
-        rows = rows.join(own, F.col(c).cast("string") == F.col("__v"), "left").withColumn(prefix + c, F.coalesce("__c", F.lit(-1))).drop("__v", "__c")
+        rows = rows.join(hint(own), F.col(c).cast("string") == F.col("__v"), "left").withColumn(prefix + c, F.coalesce("__c", F.lit(-1))).drop("__v", "__c")
     return rows
 
 
@@ -47,9 +52,11 @@ def unseen_rate(rows: DataFrame, codes: DataFrame, columns: Sequence[str]) -> Da
     return long.join(codes, ["column", "value"], "left").groupBy("column").agg((100 * F.avg(F.col("code").isNull().cast("double"))).alias("unseen_pct"))
 
 
-def matrix(rows: DataFrame, codes: DataFrame, columns: Sequence[str], categories: Sequence[str]) -> DataFrame:
-    """Columns in the stated order with categories encoded; a missing column is an error."""
+def matrix(rows: DataFrame, codes: DataFrame | None, columns: Sequence[str], categories: Sequence[str], prefix: str = "") -> DataFrame:
+    """Columns in the stated order with categories encoded (or, with a prefix, rows joined by them); a missing column is an error."""
     if missing := [c for c in columns if c not in rows.columns]:
         raise ValueError(f"columns are missing: {', '.join(missing)}")
-    return encode(rows, codes, categories).select(*columns)
-
+    coded = encode(rows, codes, categories, prefix) if categories else rows
+    if not prefix:
+        return coded.select(*columns)
+    return coded.select(*[c for c in coded.columns if not (c.startswith(prefix) and c[len(prefix) :] in columns)], *[F.col(prefix + c if c in categories else c).alias(prefix + c) for c in columns])

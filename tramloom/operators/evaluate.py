@@ -64,3 +64,11 @@ def importance(gains: DataFrame, k: int = 20) -> DataFrame:
     """The k features (feature, gain) that count most, with their share of all."""
     total = gains.agg(F.sum("gain").alias("__total"))
     return gains.join(F.broadcast(total)).select("feature", "gain", (F.col("gain") / F.nullif("__total", F.lit(0.0))).alias("share")).orderBy(F.desc("gain"), "feature").limit(k)
+
+
+def group_gains(rows: DataFrame, columns: Sequence[str], target: str = "actual_duration_sec") -> DataFrame:
+    """(feature, gain): by how much each column's groups alone lessen the target's variance."""
+    long = rows.where(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("y"), F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")).select("y", "p.*")
+    each = long.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("y").alias("s"))
+    within = each.groupBy("feature").agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"), F.sum("s").alias("s"), F.sum("n").alias("n"))
+    return within.select("feature", ((F.col("q") - F.col("s") * F.col("s") / F.col("n")) / F.col("n")).alias("gain"))

@@ -314,15 +314,52 @@ def _table(s, d):
 
 def _fitted(s, d):
     rows = _table(s, d)
-    return rows, model.fit(rows.where("split = 'train'"), _COLUMNS, rounds=5, depth=4, bins=32)
+    part = lambda name: rows.where(F.col("split") == name)
+    return rows, model.fit(part("train"), _COLUMNS, rounds=5, depth=4, bins=32, valid=part("embargo"))
 
 
-def _scored(s, d):
+def _trees_on_all(s, d):
     rows, fitted = _fitted(s, d)
     out = model.predict(fitted, rows.where("split = 'validation'"))
     return out.select(*_KEY, "prediction", F.array_join(model.scoring_warnings(F.col("stop_span"), settings=S), ",").alias("warnings"))
 
 
+def _by_nodes(s, d):
+    """The table of nodes scores every row, seen and unseen, as the trees do."""
+    rows, fitted = _fitted(s, d)
+    rows = rows.withColumn("route_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).when(F.col("trip_run") % 5 == 0, F.lit(None)).otherwise(F.col("route_id")))
+    both = model.by_nodes(model.predict(fitted, rows), model.nodes(fitted), model.known_values(fitted), "by_nodes")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.coalesce(F.abs(F.col("by_nodes") - F.col("prediction")) < 1e-6, F.lit(False))).alias("different"))
+
+
+#: Trees that are deep enough part all combinations of these, so that each has the mean of its training rows.
+_FEW = ("route_id", "direction_id")
+
+
+def _saturated(train):
+    return model.fit(train, _FEW, rounds=3, depth=8, loss="squared")
+
+
+def _scored(s, d):
+    rows = _split(s, d)
+    train = rows.where("split = 'train'")
+    fitted = _saturated(train)
+    seen = rows.where("split = 'validation'").join(train.select(*_FEW).distinct(), list(_FEW), "left_semi")
+    return model.by_nodes(seen, model.nodes(fitted), model.known_values(fitted)).select(*_KEY, r("prediction"))
+
+
+def _compared_with_model(s, d):
+    """A saved and loaded segment model beside sums of medians, over validation journeys."""
+    rows = dated(s, d)
+    blocks = tables.materialize(journeys.with_blocks(rows, S), "blocks")
+    parts = split.split_journeys(journeys.build_journeys(blocks, S), S)
+    train = split.outside_blocks(blocks, parts.where("split = 'validation'"))
+    path = f"{tables.shared_folder(s)}/model-{uuid.uuid4().hex}"
+    model.save(model.calibrate(_saturated(train), train), s, path)
+    found = pipelines.compared(rows, [], S, model.load(s, path))
+    return found.select("n_segments", "n", *[r(f"summed{c}_{m}") for c in ("", "_prediction", "_calibrated") for m in ("mae", "bias")])
+
+
 def _saved(s, d):
     """A saved and loaded model scores every row as the fitted one does."""
     rows, fitted = _fitted(s, d)
@@ -336,7 +373,33 @@ def _saved(s, d):
 
 
 add("model_saved_and_loaded", _saved, sql("SELECT count(*) AS n_rows, 0::BIGINT AS different FROM split WHERE split = 'validation'", "split"))
-add("trees_scored", _scored)
+add("trees_by_nodes", _by_nodes, sql("SELECT count(*) AS n_rows, 0::BIGINT AS different FROM split", "split"))
+add("trees_on_all_features", _trees_on_all)
+add(
+    "trees_scored",
+    _scored,
+    sql(f"SELECT {_K}, round(p, 4) AS prediction FROM split JOIN (SELECT route_id, direction_id, avg(dur) AS p FROM split WHERE split = 'train' GROUP BY ALL) USING (route_id, direction_id) WHERE split = 'validation'", "split"),
+)
+_SUMS = ", ".join(f"round(avg(abs(dur - {c}))::DOUBLE, 4) AS summed{n}_mae, round(avg(dur - {c})::DOUBLE, 4) AS summed{n}_bias" for n, c in (("", "pred"), ("_prediction", "p"), ("_calibrated", "p")))
+add(
+    "journeys_compared_with_model",
+    _compared_with_model,
+    sql("", "hscored", "tside").rstrip() + f""", means AS (SELECT route_id, direction_id, avg(dur) AS p FROM tside GROUP BY ALL),
+  own AS (SELECT h.*, p FROM hscored h JOIN means m ON h.route_id IS NOT DISTINCT FROM m.route_id AND h.direction_id IS NOT DISTINCT FROM m.direction_id),
+  sums AS (SELECT n::INT AS n_segments, sum(b.dur) AS dur, sum(b.pred) AS pred, sum(b.p) AS p FROM own a, (SELECT unnest([1, 2, 3, 4]) AS n) l
+    JOIN own b ON b.service_date = a.service_date AND b.trip_id = a.trip_id AND b.trip_run = a.trip_run AND b.block_no = a.block_no AND b.place >= a.place AND b.place < a.place + n
+    GROUP BY a.service_date, a.trip_id, a.trip_run, a.block_no, a.place, n HAVING count(*) = n)
+SELECT n_segments, count(*) AS n, {_SUMS} FROM sums GROUP BY 1""",
+)
+_GAIN = ("route_id", "direction_id", "local_hour", "local_dow", "from_stop_id")
+add(
+    "importance_shares",
+    lambda s, d: evaluate.importance(evaluate.group_gains(dated(s, d), _GAIN), 4).select("feature", r("gain", digits=2), r("share", digits=6)),
+    sql("", "feat").rstrip() + ", p AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {{}} AS value, dur FROM feat".format({"local_dow": "dow::VARCHAR"}.get(c, f"{c}::VARCHAR")) for c in _GAIN) + """),
+  q AS (SELECT feature, count(*) AS n, sum(dur)::DOUBLE AS s FROM p GROUP BY feature, value),
+  g AS (SELECT feature, (sum(s * s / n) - sum(s) * sum(s) / sum(n)) / sum(n) AS gain FROM q GROUP BY feature)
+SELECT feature, round(gain, 2) AS gain, round(gain / (SELECT sum(gain) FROM g), 6) AS share FROM g ORDER BY g.gain DESC, feature LIMIT 4""",
+)
 add("trees_importance", lambda s, d: evaluate.importance(model.gains(_fitted(s, d)[1])))
 add(
     "scoring_warnings",
