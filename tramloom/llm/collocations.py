@@ -35,8 +35,8 @@ from tramloom.llm.common import binary, col, materialize, mix64, slices, spread_
 from tramloom.llm.lines import SEGMENT_BITS, places
 
 LONGEST, LEAST, KEEP, COVER = 3, 10, 2000, 50
-#: Bytes of text in a chunk; bits of filter a fingerprint, and of all at most.
-CHUNK, BITS, FILTER_BITS = 2_000_000, 16, 1 << 28
+#: Bytes of text in a chunk (a task holds some 30 times as many); bits of filter a fingerprint, and of all at most.
+CHUNK, BITS, FILTER_BITS = 1_000_000, 16, 1 << 28
 #: Portions in which a language's phrases are ranked before they meet.
 DEAL = 32
 UNKNOWN = "und"
@@ -64,8 +64,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Prefix:
     """Prefix polynomials of a sequence of values, modulo 2**64."""
 
-    def __init__(self, values: np.ndarray) -> None:
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_BASE, len(values)))])
+    def __init__(self, values: np.ndarray, table: np.ndarray | None = None) -> None:
+        """Of values, or of what a table has for them. Worked out in place, as a chunk's bytes become eight times as many."""
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        own = self.sums[1:]
+        np.take(table, values, out=own) if table is not None else np.copyto(own, values)
+        own *= _powers(_BASE, len(values))
+        np.cumsum(own, out=own)
         self.back = _powers(pow(_BASE, -1, 1 << 64), len(values) + 1)
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -114,7 +119,7 @@ class Chunk:
         first = np.searchsorted(self.row, np.arange(len(texts)))
         self.new = np.arange(len(self.row)) - first[self.row] >= context[self.row]
         self.lang = lang[self.row]
-        words = mix64(Prefix(_VALUE[self.data]).spans(self.starts, self.ends) + (self.ends - self.starts).astype(np.uint64))
+        words = mix64(Prefix(self.data, _VALUE).spans(self.starts, self.ends) + (self.ends - self.starts).astype(np.uint64))
         self.salt, self.words = salt[self.lang], Prefix(words)
         self.known: dict[int, np.ndarray] = {}
 
