@@ -1,7 +1,10 @@
 import random
+import statistics
 import time
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
 from tramloom.operators import stations
 from tramloom.streaming import feeds
 
@@ -95,8 +98,37 @@ def test_stream_conditions_are_those_of_the_last_completions(spark, tmp_path):
     shape = "from_stop_id string, to_stop_id string, actual_arrival_ts timestamp, actual_duration_sec int, delay_sec int"
     done = [("a", "b", _at(m), 100 + 7 * m % 60, m) for m in range(12)]
     random.Random(1).shuffle(done)
-    rows = _run(feeds.recent_conditions(_stream(spark, tmp_path, [done[:5], done[5:]], shape)), "conditions", "update")
-    last = rows[-1]  # of the second batch
-    own = sorted(done, key=lambda r: r[2])[-5:]
-    assert last["roll_n"] == 5 and last["completed_at"] == own[-1][2].replace(tzinfo=None)
-    assert last["roll_median"] == sorted(r[3] for r in own)[2] and last["roll_delay_mean"] == sum(r[4] for r in own) / 5
+    rows = _run(feeds.recent_conditions(_stream(spark, tmp_path, [done[:5], done[5:]], shape)), "conditions", "append")
+    assert sorted(r["seen"] for r in rows) == [5, 12]
+    for row, part in zip(sorted(rows, key=lambda r: r["seen"]), (done[:5], done)):
+        part = sorted(part, key=lambda r: r[2])
+        own = part[-5:]
+        apart = [r[3] - statistics.median(x[3] for x in part[: part.index(r)]) for r in own if part.index(r)]
+        assert row["roll_n"] == 5 and row["completed_at"] == own[-1][2].replace(tzinfo=None) and row["roll_deviation"] == pytest.approx(statistics.fmean(apart))
+        assert row["roll_median"] == sorted(r[3] for r in own)[2] and row["roll_delay_mean"] == sum(r[4] for r in own) / 5
+
+
+def test_old_conditions_are_called_off(spark, tmp_path):
+    shape = "from_stop_id string, to_stop_id string, actual_arrival_ts timestamp, actual_duration_sec int, delay_sec int"
+    batches = [[("a", "b", _at(0), 100, 1)], [("x", "y", _at(600), 50, 1)], [("x", "y", _at(601), 50, 1)], [("a", "b", _at(602), 120, None)]]
+    rows = _run(feeds.recent_conditions(_stream(spark, tmp_path, batches, shape)), "called_off", "append")
+    got = [(r["seen"], r["roll_n"], r["roll_deviation"]) for r in rows if r["from_stop_id"] == "a"]
+    assert sorted(got, key=str) == [(1, 0, None), (1, 1, None), (2, 2, 20.0)]
+
+
+def test_a_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    """Stopped between two batches, arrivals and their state go on as if nothing had been."""
+    track = [("U", 2 * m, m % 7) for m in range(40)]
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    spark.createDataFrame([], SHAPE).write.mode("overwrite").parquet(source)
+
+    def drain() -> None:
+        stream = feeds.observed_arrivals(spark.readStream.schema(SHAPE).parquet(source))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+    rows = lambda part: spark.createDataFrame([(_at(m), t, q, f"PF_{q}") for t, m, q in part], SHAPE)
+    for part in (track[1::2], track[0::2], [("later", 900, 1)], [("later", 1500, 1)]):
+        rows(part).coalesce(1).write.mode("append").parquet(source)
+        drain()
+    got = [r for r in spark.read.parquet(out).collect() if r["trip_id"] == "U"]
+    assert _arrived(got) == _batch_arrivals(spark, track) and len(got) > 20

@@ -76,6 +76,17 @@ class History:
         self.values, self.counts, self.rows = every, sums, self.rows + rows
 
 
+    def medians_without(self, taken: Sequence[float]) -> list[float | None]:
+        """The median of all values but the first of ``taken``, but the first two, and so on."""
+        left, out = self.counts.copy(), []
+        for v in taken:
+            left[np.searchsorted(self.values, v)] -= 1
+            upto = np.cumsum(left)
+            n = int(upto[-1])
+            out.append(float(self.values[np.searchsorted(upto, [(n - 1) // 2, n // 2], "right")].mean()) if n else None)
+        return out
+
+
 def _histories(keys: Sequence[str]):
     """For mapInArrow over (keys, __slice, value, n) in order: the carry of each slice. A key's slices may lie in several batches."""
 

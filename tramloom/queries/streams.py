@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramloom.queries.base import S
+from tramloom.queries.base import S, kept, r
 from tramloom.queries.sql import Query, sql
 from tramloom.sources import bridge, tables
 from tramloom.streaming import feeds
@@ -64,3 +64,24 @@ add(
         "vpa",
     ),
 )
+
+
+def _conditions(s, d):
+    """Completions in eight files, of which a batch reads one; of a segment's rows the last in force."""
+    done = kept(s, d).where("actual_arrival_ts is not null").select("from_stop_id", "to_stop_id", "actual_arrival_ts", "actual_duration_sec", "delay_sec")
+    path = f"{tables.shared_folder(s)}/completions-{uuid.uuid4().hex}"
+    done.repartition(8).write.parquet(path)
+    stream = s.readStream.schema(done.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    found = drained(feeds.recent_conditions(stream, S, "20 years")).where("roll_n > 0")
+    last = found.groupBy("from_stop_id", "to_stop_id").agg(F.max_by(F.struct(*[c for c in found.columns if c not in ("from_stop_id", "to_stop_id", "seen")]), "seen").alias("r"), F.max("seen").alias("seen"))
+    return last.select("from_stop_id", "to_stop_id", "seen", F.unix_seconds("r.completed_at").alias("completed_sec"), *[r(F.col(f"r.{c}"), c) for c in ("roll_median", "roll_mean", "roll_delay_mean", "roll_deviation")], F.col("r.roll_n").alias("roll_n"))
+
+
+add(
+    "stream_conditions",
+    _conditions,
+    sql("", "fseg").rstrip() + """, o AS (SELECT *, row_number() OVER (PARTITION BY from_stop_id, to_stop_id ORDER BY arr, dur) AS place, count(*) OVER (PARTITION BY from_stop_id, to_stop_id) AS seen FROM fseg WHERE arr IS NOT NULL AND dur IS NOT NULL),
+  n AS (SELECT a.*, (SELECT quantile_cont(b.dur, 0.5) FROM o b WHERE b.from_stop_id = a.from_stop_id AND b.to_stop_id = a.to_stop_id AND b.place < a.place) AS norm FROM o a WHERE a.place > a.seen - 5)
+SELECT from_stop_id, to_stop_id, any_value(seen) AS seen, max(arr) AS completed_sec, round(quantile_cont(dur, 0.5)::DOUBLE, 4) AS roll_median, round(avg(dur), 4) AS roll_mean, round(avg(delay), 4) AS roll_delay_mean, round(avg(dur - norm)::DOUBLE, 4) AS roll_deviation, count(*)::INT AS roll_n
+FROM n GROUP BY from_stop_id, to_stop_id""",
+)

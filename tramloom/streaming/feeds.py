@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import json
 import statistics
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from tramloom.config import DEFAULT, Settings
 from tramloom.functions import exprs as X
+from tramloom.functions.running import History
 
 
 def deduplicated(stream: DataFrame, keys: tuple[str, ...], delay: str = "4 hours", ts: str = "captured_at") -> DataFrame:
@@ -37,84 +39,140 @@ def service_date_counts(stream: DataFrame, settings: Settings = DEFAULT) -> Data
     return rows.groupBy("service_date", "day_end").agg(F.count("*").alias("n"), F.max("captured_at").alias("last_captured_at")).drop("day_end")
 
 
-_OUT = "trip_id string, stop_sequence int, stop_id string, trip_run int, actual_arrival_ts timestamp, arrival_bracket_sec int, sequence_jump int, arrival_confident boolean, observed_at_utc timestamp"
-_STATE = "sequence int, captured long, run int, reached int, waiting string"
+def with_rocksdb(spark: SparkSession) -> None:
+    """State by columns, lists and timers needs the RocksDB store; what a session has set to another is set to it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _micros(ts: pd.Series) -> np.ndarray:
+    return ts.astype("datetime64[us]").astype("int64").to_numpy()
+
+
+_ARRIVED = "trip_id string, stop_sequence int, stop_id string, trip_run int, actual_arrival_ts timestamp, arrival_bracket_sec int, sequence_jump int, arrival_confident boolean, observed_at_utc timestamp"
+
+
+class _Arrivals(StatefulProcessor):
+    """Of a trip: sightings that wait, and the last one taken with the run and the last stop reached in it."""
+
+    def __init__(self, limit: int, idle_ms: int) -> None:
+        self.limit, self.idle_ms = limit, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "captured long, sequence int, stop_id string")
+        self.last = handle.getValueState("last", "sequence int, captured long, run int, reached int")
+
+    def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """New sightings are added to the list, which nobody reads before the watermark has passed the first of them."""
+        for batch in rows:
+            batch = batch.dropna(subset=["captured_at", "stop_sequence"])
+            if len(batch):
+                at = _micros(batch["captured_at"])
+                self.waiting.appendList([(int(t), int(n), s) for t, n, s in zip(at, batch["stop_sequence"], batch["stop_id"], strict=True)])
+                self.handle.registerTimer(int(at.min()) // 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = pd.DataFrame(list(self.waiting.get()), columns=["captured", "sequence", "stop_id"]).sort_values(["captured", "sequence"], kind="stable")
+        due = held["captured"] <= passed
+        if due.any():
+            later = held[~due]
+            if len(later):
+                self.waiting.put([(int(t), int(n), s) for t, n, s in later.itertuples(index=False)])
+                self.handle.registerTimer(int(later["captured"].iloc[0]) // 1000)
+            else:
+                self.waiting.clear()
+            yield self._take(key[0], held[due])
+        elif not len(held) and self.last.exists() and self.last.get()[1] + self.idle_ms * 1000 <= passed:
+            self.last.clear()
+
+    def _take(self, trip: str, seen: pd.DataFrame) -> pd.DataFrame:
+        """Arrivals among sightings in the order of capture: where the sequence is above that of the sighting before."""
+        sequence, captured, run, reached = self.last.get() if self.last.exists() else (None, None, 0, None)
+        seen = seen if captured is None else seen[seen["captured"] >= captured]  # what is older was late
+        now, at = seen["sequence"].to_numpy(np.int64), seen["captured"].to_numpy(np.int64)
+        if not len(now):
+            return pd.DataFrame(columns=[c.split()[0] for c in _ARRIVED.split(", ")])
+        before, since = np.append(now[0] if sequence is None else sequence, now[:-1]), np.append(at[0] if captured is None else captured, at[:-1])
+        up = now > before
+        stops = now[up]
+        runs = run + np.cumsum(stops <= np.append(-1 if reached is None else reached, stops[:-1])) if len(stops) else stops
+        first, end = since[up] // 1_000_000, at[up] // 1_000_000
+        if len(stops):
+            run, reached = int(runs[-1]), int(stops[-1])
+        self.last.update((int(now[-1]), int(at[-1]), run, reached))
+        self.handle.registerTimer(int(at[-1]) // 1000 + self.idle_ms)
+        return pd.DataFrame({
+            "trip_id": trip, "stop_sequence": stops.astype("int32"), "stop_id": seen["stop_id"].to_numpy()[up], "trip_run": runs.astype("int32"), "actual_arrival_ts": pd.to_datetime((first + end) // 2, unit="s"),
+            "arrival_bracket_sec": (end - first).astype("int32"), "sequence_jump": (stops - before[up]).astype("int32"), "arrival_confident": end - first <= self.limit, "observed_at_utc": pd.to_datetime(at[up], unit="us"),
+        })
 
 
 def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "4 hours", idle: str = "1 day") -> DataFrame:
     """Arrivals as vehicles' stop sequences rise, with run numbers; needs captured_at, trip_id, stop_sequence, stop_id.
 
     Sightings wait in their trip's state until the watermark has passed them, and are then taken in the order of
-    capture, so that the order in which batches bring them does not matter. Beside them the state holds the last
-    sighting taken, the run and the last stop reached in it; it ends some idle time after that sighting.
+    capture, so that the order in which batches bring them does not matter. A batch only adds to the list; a timer
+    reads it. The state ends some idle time after the trip's last sighting.
     """
-    limit = settings.max_bracket_sec
-    idle_us = int(pd.Timedelta(idle).total_seconds() * 1e6)
-
-    def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sequence, captured, run, reached, held = state.get if state.exists else (None, None, 0, None, "[]")
-        waiting = json.loads(held)
-        if not state.hasTimedOut:
-            for rows in batches:
-                rows = rows.dropna(subset=["stop_sequence"])
-                micros = rows["captured_at"].astype("datetime64[us]").astype("int64")
-                waiting += [[int(t), int(n), s] for t, n, s in zip(micros, rows["stop_sequence"], rows["stop_id"], strict=True)]
-        passed = state.getCurrentWatermarkMs() * 1000
-        out = []
-        waiting.sort(key=lambda w: (w[0], w[1]))
-        while waiting and waiting[0][0] <= passed:
-            t, now, stop = waiting.pop(0)
-            if captured is not None and t < captured:  # beyond the watermark when it came
-                continue
-            if sequence is not None and now > sequence:
-                width = t // 1_000_000 - captured // 1_000_000
-                if reached is not None and now <= reached:
-                    run += 1
-                reached = now
-                middle = pd.Timestamp((captured // 1_000_000 + t // 1_000_000) // 2, unit="s")
-                out.append((key[0], now, stop, run, middle, width, now - sequence, width <= limit, pd.Timestamp(t, unit="us")))
-            sequence, captured = now, t
-        if waiting or captured is not None and captured + idle_us > passed:
-            state.update((sequence, captured, run, reached, json.dumps(waiting)))
-            due = waiting[0][0] if waiting else captured + idle_us
-            state.setTimeoutTimestamp(max(due, passed) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
-
+    with_rocksdb(stream.sparkSession)
     keyed = stream.withWatermark("captured_at", delay).where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id")
-    return keyed.applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.transformWithStateInPandas(_Arrivals(settings.max_bracket_sec, int(pd.Timedelta(idle).total_seconds() * 1000)), _ARRIVED, "append", "eventTime")
 
 
-_RECENT = "from_stop_id string, to_stop_id string, completed_at timestamp, roll_median double, roll_mean double, roll_delay_mean double, roll_n int"
+_RECENT = "from_stop_id string, to_stop_id string, completed_at timestamp, roll_median double, roll_mean double, roll_delay_mean double, roll_n int, roll_deviation double, seen long"
 
 
-def recent_conditions(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "1 hour") -> DataFrame:
-    """In update mode: statistics of each segment's last N completions, as a lookup for scoring; roll_n is 0 once they are too old.
+class _Conditions(StatefulProcessor):
+    """Of a segment: a histogram of all its durations, and its N newest completions, in whatever order they come."""
 
-    The state is the N newest completions, whatever the order in which they come.
-    """
-    n, age_ms = settings.rolling_traversals, settings.rolling_max_age_sec * 1000
-    names = [c.split()[0] for c in _RECENT.split(", ")]
+    def __init__(self, n: int, age_ms: int) -> None:
+        self.n, self.age_ms = n, age_ms
 
-    def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame([(*key, pd.NaT, None, None, None, 0)], columns=names)
-            return
-        held = json.loads(state.get[0]) if state.exists else []
-        for rows in batches:
-            rows = rows.dropna(subset=["actual_arrival_ts", "actual_duration_sec"])
-            at = rows["actual_arrival_ts"].astype("datetime64[us]").astype("int64")
-            held += [[int(t), float(d), None if pd.isna(late) else float(late)] for t, d, late in zip(at, rows["actual_duration_sec"], rows["delay_sec"], strict=True)]
-        held = sorted(held, key=lambda h: h[:2])[-n:]
-        if not held:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.history = handle.getValueState("history", "values array<double>, counts array<bigint>")
+        self.newest = handle.getListState("newest", "completed long, duration double, delay double")
+
+    def _row(self, key: tuple[Any, ...], *values: Any) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *values)], columns=[c.split()[0] for c in _RECENT.split(", ")]).astype({"completed_at": "datetime64[us]"})
+
+    def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        history = History()
+        if self.history.exists():
+            history.values, history.counts = (np.array(x, t) for x, t in zip(self.history.get(), (float, np.int64), strict=True))
+        newest = [tuple(x) for x in self.newest.get()] if self.newest.exists() else []
+        for batch in rows:
+            batch = batch.dropna(subset=["actual_arrival_ts", "actual_duration_sec"])
+            duration = batch["actual_duration_sec"].to_numpy(float)
+            history.take(*np.unique(duration, return_counts=True), len(batch))
+            late = [None if pd.isna(x) else float(x) for x in batch["delay_sec"]]
+            newest = sorted([*newest, *zip(_micros(batch["actual_arrival_ts"]).tolist(), duration.tolist(), late, strict=True)], key=lambda h: h[:2])[-self.n :]
+        if not newest:
             return
-        newest = held[-1][0]
-        state.update((json.dumps(held),))
-        state.setTimeoutTimestamp(max(newest // 1000 + age_ms, state.getCurrentWatermarkMs()) + 1)
-        late = [h[2] for h in held if h[2] is not None]
-        yield pd.DataFrame([(*key, pd.Timestamp(newest, unit="us"), statistics.median(h[1] for h in held), statistics.fmean(h[1] for h in held), statistics.fmean(late) if late else None, len(held))], columns=names)
+        self.history.update((history.values.tolist(), history.counts.tolist()))
+        self.newest.put(newest)
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(newest[-1][0] // 1000 + self.age_ms + 1)
+        delays = [h[2] for h in newest if h[2] is not None]
+        durations = [h[1] for h in newest]
+        apart = [d - m for d, m in zip(reversed(durations), history.medians_without(durations[::-1]), strict=True) if m is not None]
+        mean = lambda x: statistics.fmean(x) if x else None
+        yield self._row(key, pd.Timestamp(newest[-1][0], unit="us"), statistics.median(durations), mean(durations), mean(delays), len(newest), mean(apart), int(history.counts.sum()))
+
+    def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """Too old to be used; the history stays, for the medians of what may come."""
+        yield self._row(key, pd.NaT, None, None, None, 0, None, sum(self.history.get()[1]))
+
 
+def recent_conditions(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "1 hour") -> DataFrame:
+    """Statistics of each segment's last N completions whenever they change, as a lookup for scoring; roll_n is 0 once they are too old.
+
+    ``seen`` counts the segment's completions, so that of its rows the one with the most is in force. The deviation of
+    the i-th newest is from the median of all but the i newest, which the histogram without those tells at once.
+    """
+    with_rocksdb(stream.sparkSession)
     keyed = stream.withWatermark("actual_arrival_ts", delay).select("from_stop_id", "to_stop_id", "actual_arrival_ts", "actual_duration_sec", "delay_sec").groupBy("from_stop_id", "to_stop_id")
-    return keyed.applyInPandasWithState(step, _RECENT, "held string", "update", GroupStateTimeout.EventTimeTimeout)
+    return keyed.transformWithStateInPandas(_Conditions(settings.rolling_traversals, settings.rolling_max_age_sec * 1000), _RECENT, "append", "eventTime")
