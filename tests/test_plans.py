@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tramloom.config import DEFAULT
 from tramloom.operators import encode, features, model, segments, split
 from tramloom.plans import pipelines
-from tramloom.sources import tables
+from tramloom.sources import published, tables
 
 S = dataclasses.replace(DEFAULT, lookback_days=6)
 DAYS = [f"2026-08-{d:02d}" for d in range(4, 9)]
@@ -38,7 +38,7 @@ def world(spark):
 
 
 def _written(spark, path, schema):
-    rows = tables.read_partitions(spark, path, schema)
+    rows = published.read(spark, path, schema)
     return {r["service_date"]: r["n"] for r in rows.groupBy("service_date").agg(F.count("*").alias("n")).collect()}
 
 
@@ -72,11 +72,11 @@ def test_catch_up_fills_gaps_and_is_what_single_runs_give(spark, world, tmp_path
     assert set(found) == {"2026-08-04", "2026-08-06", "2026-08-07"} and len(set(found.values())) == 1
     single = str(tmp_path / "single")
     pipelines.run_window(vehicles, *world, _at("2026-08-06 04:00:00"), _at("2026-08-07 08:00:00"), single, S)
-    where = lambda p: sorted(map(str, tables.read_partitions(spark, p, schema, ["2026-08-06"]).select(*sorted(schema.names)).collect()))
+    where = lambda p: sorted(map(str, published.read(spark, p, schema, ["2026-08-06"]).select(*sorted(schema.names)).collect()))
     assert where(path) == where(single) != []
-    dates = tables.completed_dates(tables.read_partitions(spark, path, schema))
+    dates = tables.completed_dates(published.read(spark, path, schema))
     assert pipelines.catch_up(spark, vehicles, *world, dates, now, path, S, archive_start=_at("2026-08-04 00:00:00")) == ["2026-08-05"]
-    assert pipelines.catch_up(spark, vehicles, *world, tables.completed_dates(tables.read_partitions(spark, path, schema)), now, path, S, archive_start=_at("2026-08-04 00:00:00")) == []
+    assert pipelines.catch_up(spark, vehicles, *world, tables.completed_dates(published.read(spark, path, schema)), now, path, S, archive_start=_at("2026-08-04 00:00:00")) == []
     forced = pipelines.catch_up(spark, vehicles, *world, dates, now, path, S, force=True, archive_start=_at("2026-08-06 00:00:00"))
     assert forced == ["2026-08-06", "2026-08-07"] and len(_written(spark, path, schema)) == 4
     assert pipelines.catch_up(spark, spark.createDataFrame([], VEHICLE), *world, dates, now, path, S) == []

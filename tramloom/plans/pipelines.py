@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tramloom.config import DEFAULT, Settings
 from tramloom.functions import exprs as X
 from tramloom.operators import arrivals, baselines, dates, evaluate, explore, features, journeys, model, quality, schedule, segments, split
-from tramloom.sources import observations, tables
+from tramloom.sources import observations, published, tables
 
 
 def decoded(snapshots: DataFrame, kind: str, path: str, start: Column, end: Column, settings: Settings = DEFAULT) -> DataFrame:
@@ -38,18 +38,17 @@ def segments_of(vehicles: DataFrame, updates: DataFrame, trips: DataFrame, stop_
 
 
 def run_window(vehicles: DataFrame, updates: DataFrame, trips: DataFrame, stop_times: DataFrame, start: Column, end: Column, path: str, settings: Settings = DEFAULT, tie: Sequence[str] = ()) -> DataFrame:
-    """Segments of every service date that [start, end) covers, written by date; returns their quality, one row.
+    """Segments of every service date that [start, end) covers, published by date; returns their quality, one row.
 
-    Only observations of the window are read. Dates that it covers only in part are neither written nor touched; of a
+    Quality is observed by the job that writes, so that nothing is computed or read twice. Only observations of the window are read. Dates that it covers only in part are neither written nor touched; of a
     covered date that has no segments now, none are left.
     """
     spark = vehicles.sparkSession
     own = lambda df: observations.in_window(df, start, end)
     spine = dates.date_spine(spark, F.to_date(F.date_sub(start, 1)), F.to_date(end))
     targets = [r[0] for r in dates.fully_covered(spine, F.unix_seconds(start), F.unix_seconds(end), settings).select("service_date").collect()]
-    rows = tables.materialize(segments_of(own(vehicles), own(updates), trips, stop_times, settings, tie), "window").where(F.col("service_date").isin(targets))
-    tables.replace_dates(rows, path, targets)
-    return quality.segment_quality(rows, settings)
+    rows = segments_of(own(vehicles), own(updates), trips, stop_times, settings, tie)
+    return quality.observed_quality(spark, published.publish(rows, path, targets, measures=quality.quality_measures(settings)), settings)
 
 
 def on_run_dates(rows: DataFrame, wanted: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
@@ -82,7 +81,7 @@ def catch_up(spark: SparkSession, vehicles: DataFrame, updates: DataFrame, trips
         own = replace(settings, trip_keys=("run_date", *settings.trip_keys))
         rows = segments_of(*[on_run_dates(df, wanted, settings) for df in (vehicles, updates)], trips, stop_times, own, tie)
         rows = rows.where("service_date = run_date").drop("run_date")
-        tables.replace_dates(tables.materialize(rows, "caught-up"), path, wanted)
+        published.publish(rows, path, wanted)
     return wanted
 
 
@@ -95,22 +94,22 @@ def feature_table(rows: DataFrame, settings: Settings = DEFAULT, holidays: DataF
 def publish_features(rows: DataFrame, path: str, columns: Sequence[str], settings: Settings = DEFAULT, holidays: DataFrame | None = None) -> DataFrame:
     """Write the feature table by service date, its keys, features and target alone; returns its summary."""
     made = features.projected(features.all_features(segments.filtered(rows, settings), settings, holidays), tuple(columns))
-    tables.write_partitions(made, path)
-    return features.feature_summary(tables.read_partitions(rows.sparkSession, path, made.schema), list(columns))
+    published.publish(made, path)
+    return features.feature_summary(published.read(rows.sparkSession, path, made.schema), list(columns))
 
 
 def publish_journeys(rows: DataFrame, path: str, settings: Settings = DEFAULT) -> DataFrame:
     """Write the journeys of filtered segments by service date; returns their summary by length."""
     made = journeys.build_journeys(segments.filtered(rows, settings), settings)
-    tables.write_partitions(made, path)
-    return journeys.journey_summary(tables.read_partitions(rows.sparkSession, path, made.schema))
+    published.publish(made, path)
+    return journeys.journey_summary(published.read(rows.sparkSession, path, made.schema))
 
 
 def publish_lookup(rows: DataFrame, path: str, settings: Settings = DEFAULT) -> DataFrame:
-    """Write the latest conditions of each segment in place of the former lookup; returns it as read back."""
+    """Publish the latest conditions of each segment in place of the former lookup, which its readers keep; returns it as read back."""
     made = features.conditions_lookup(segments.filtered(rows, settings), settings)
-    made.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(made.schema).parquet(path)
+    published.publish(made, path, by=None)
+    return published.read(rows.sparkSession, path, made.schema, by=None)
 
 
 def compared(rows: DataFrame, predictions: Sequence[str], settings: Settings = DEFAULT, fitted: model.Model | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from tramloom.plans import pipelines
 from tramloom.queries import feeds, history, travel
 from tramloom.queries.base import TIE, S, built, dated, observed, r
 from tramloom.queries.sql import Query, sql
-from tramloom.sources import bridge, tables
+from tramloom.sources import bridge, observations, published, tables
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -45,9 +46,9 @@ def _window(s, d):
     """A table of nine dates, of which the run of a window replaces the three that it covers whole."""
     path, at = _folder(s, "window"), lambda t: F.to_timestamp(F.lit(t))
     rows = built(s, d)
-    tables.write_partitions(rows.where("service_date between '2024-01-02' and '2024-01-10'"), path)
+    published.publish(rows.where("service_date between '2024-01-02' and '2024-01-10'"), path)
     pipelines.run_window(*_inputs(s, d), at("2024-01-05 00:00:00"), at("2024-01-09 00:00:00"), path, S, TIE)
-    return _by_date(tables.read_partitions(s, path, rows.schema))
+    return _by_date(published.read(s, path, rows.schema))
 
 
 _BEFORE = sql(f"SELECT service_date, {_BY_DATE} FROM segs WHERE service_date BETWEEN '2024-01-02' AND '2024-01-10' AND service_date NOT BETWEEN '2024-01-05' AND '2024-01-07' GROUP BY 1", "segs")
@@ -61,7 +62,7 @@ def _caught_up(s, d):
     path = _folder(s, "caught-up")
     done = s.createDataFrame([(x,) for x in _DONE], "service_date string")
     pipelines.catch_up(s, *_inputs(s, d), done, F.to_timestamp(F.lit("2024-01-12 12:00:00")), path, S, TIE)
-    return _by_date(tables.read_partitions(s, path, built(s, d).schema))
+    return _by_date(published.read(s, path, built(s, d).schema))
 
 
 _RUN_DATES = f"""rds AS (SELECT d, strftime(d, '%Y-%m-%d') AS rd FROM (SELECT unnest(range(DATE '2023-12-29', DATE '2024-01-13', INTERVAL 1 DAY)) AS d)
@@ -78,6 +79,37 @@ add(
 )
 
 
+def _window_quality(s, d):
+    """What the run of a window says of itself, observed while it wrote."""
+    at = lambda t: F.to_timestamp(F.lit(t))
+    found = pipelines.run_window(*_inputs(s, d), at("2024-01-05 00:00:00"), at("2024-01-09 00:00:00"), _folder(s, "window"), S, TIE)
+    whole = [c for c in found.columns if c not in ("implausible", "delay_p05", "delay_median", "delay_p95", "implausible_rate")]
+    return found.select(*whole, *[r(c) for c in ("delay_p05", "delay_median", "delay_p95")], r("implausible_rate", digits=6))
+
+
+_WHOLE, _, _REST = travel.SQL["segment_quality"].rpartition("FROM segs")
+add("window_quality", _window_quality, f"{_WHOLE}FROM segs WHERE service_date BETWEEN '2024-01-05' AND '2024-01-07'{_REST}".replace("FROM events", "FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-09'", 1))
+
+
+def _archived(s, d):
+    """Captures by hour of three days, through an archive of raw observations that is read by its folders."""
+    path, rows = _folder(s, "archive"), bridge.vehicle_observations(s, d)
+    tables.write_archive(rows.where("captured_at < timestamp '2024-01-07'"), path, "vehicles")
+    tables.write_archive(rows.where("captured_at >= timestamp '2024-01-07'"), path, "vehicles")
+    start, end = (datetime(2024, 1, day, 6, 30) for day in (5, 8))
+    held = tables.read_archive(s, path, rows.schema, "vehicles", start, end)
+    hours = observations.hour_spine(s, F.to_timestamp(F.lit(str(start))), F.to_timestamp(F.lit(str(end))))
+    return observations.counts_by_hour(held, hours).select(F.unix_seconds("hour").alias("hour_sec"), "n")
+
+
+add(
+    "archive_written_and_read",
+    _archived,
+    sql("""SELECT epoch(h)::BIGINT AS hour_sec, count(cap) AS n FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-05 06:00:00', TIMESTAMP '2024-01-08 06:00:00', INTERVAL 1 HOUR)) AS h)
+      LEFT JOIN (SELECT * FROM vp WHERE captured_at >= TIMESTAMP '2024-01-05 06:30:00' AND captured_at < TIMESTAMP '2024-01-08 06:30:00') ON date_trunc('hour', captured_at) = h GROUP BY h""", "vp"),
+)
+
+
 # --- published tables ----------------------------------------------------------------------------------------------
 _FEATURES = ("local_hour", "fare_period", "headway_sec", "recent_duration_median", "upstream_delay_sec")
 add(

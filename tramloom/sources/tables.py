@@ -6,9 +6,12 @@ import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tramloom.functions import exprs as X
 
@@ -24,19 +27,6 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str] = ("service_dat
     df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def replace_dates(df: DataFrame, path: str, dates: Sequence[str]) -> None:
-    """Write the rows of the dates, whose partitions are then exactly these: of a date without rows nothing stays."""
-    spark = df.sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    folders = {d: at(f"{path}/service_date={d}") for d in dates}
-    before = {d: [f.getPath() for f in files.listStatus(p)] for d, p in folders.items() if files.exists(p)}
-    write_partitions(df.where(F.col("service_date").isin(list(dates))), path)
-    for d, old in before.items():
-        if any(files.exists(f) for f in old):  # not written again
-            files.delete(folders[d], True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written into the folder that driver and executors share, and read back: for what a plan reads more than once."""
     spark = df.sparkSession
@@ -83,10 +73,15 @@ def fingerprint(rows: DataFrame) -> DataFrame:
 
 
 def read_static_table(spark: SparkSession, path: str) -> DataFrame:
-    """A member of a static bundle; all columns are text, and an empty field is the empty text whether quoted or not."""
+    """A member of a static bundle; all columns are text. An empty field is the empty text whether quoted or not, as the
+    public format knows no null; a row that ends early has empty fields too."""
     return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"', nullValue="\u0000", emptyValue="").na.fill("")
 
 
+#: The folders of an archive. Fixed names of its layout.
+ARCHIVE = ("feed", "year", "month", "day", "hour")
+
+
 def archive_columns(captured_at: Column) -> list[Column]:
     """year, month, day and hour in UTC, by which raw snapshots are partitioned."""
     return [F.date_format(captured_at, form).alias(name) for name, form in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))]
@@ -94,7 +89,31 @@ def archive_columns(captured_at: Column) -> list[Column]:
 
 def archive_path(feed: Column, captured_at: Column) -> Column:
     stamp = F.struct(*archive_columns(captured_at))
-    return F.concat_ws("/", feed, *[F.concat(F.lit(f"{c}="), stamp[c]) for c in ("year", "month", "day", "hour")])
+    return F.concat_ws("/", feed, *[F.concat(F.lit(f"{c}="), stamp[c]) for c in ARCHIVE[1:]])
+
+
+def write_archive(snapshots: DataFrame, path: str, feed: str, captured_at: str = "captured_at") -> None:
+    """Add raw snapshots of a feed to its archive, by the hour of their capture; what is there stays."""
+    stamp = F.struct(*archive_columns(F.col(captured_at)))
+    rows = snapshots.withColumn("feed", F.lit(feed)).select("*", *[stamp[c].alias(c) for c in ARCHIVE[1:]])
+    rows.hint("rebalance", *[F.col(c) for c in ARCHIVE]).write.mode("append").partitionBy(*ARCHIVE).parquet(path)
+
+
+def read_archive(spark: SparkSession, path: str, schema: StructType, feed: str, start: datetime, end: datetime, captured_at: str = "captured_at") -> DataFrame:
+    """Snapshots captured within [start, end): only the folders of the days that it touches are listed, only its hours read."""
+    first, last = (t.astimezone(timezone.utc) if t.tzinfo else t.replace(tzinfo=timezone.utc) for t in (start, end))
+    days = [first + timedelta(days=i) for i in range((last.date() - first.date()).days + 1)]
+    wanted = "{" + ",".join(f"year={d:%Y}/month={d:%m}/day={d:%d}" for d in days) + "}"
+    shape = StructType([f for f in schema if f.name not in ARCHIVE])
+    try:
+        rows = spark.read.schema(StructType([*shape, *[StructField(c, StringType()) for c in ARCHIVE]])).option("basePath", path).parquet(f"{path}/feed={feed}/{wanted}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], shape)
+    hour = F.concat(*ARCHIVE[1:])
+    within = (F.col(captured_at) >= F.lit(first)) & (F.col(captured_at) < F.lit(last))
+    return rows.where((hour >= f"{first:%Y%m%d%H}") & (hour <= f"{last:%Y%m%d%H}")).where(within).select(*shape.names)
 
 
 def content_addressed(files: DataFrame, content: str = "content", keys: Sequence[str] = ("mode",)) -> DataFrame:
