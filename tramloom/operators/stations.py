@@ -34,24 +34,37 @@ def station_index(stops: DataFrame) -> DataFrame:
 
 
 def ordered_pairs(stop_times: DataFrame) -> DataFrame:
-    """Every (earlier, later) pair of stops of each trip: some hundreds for a trip of thirty stops."""
-    a, b = stop_times.alias("a"), stop_times.alias("b")
-    rows = a.join(b, (F.col("a.scheduled_trip_id") == F.col("b.scheduled_trip_id")) & (F.col("a.stop_sequence") < F.col("b.stop_sequence")))
-    return rows.select("a.scheduled_trip_id", "a.route_id", "a.direction_id", F.col("a.stop_id").alias("origin"), F.col("b.stop_id").alias("destination"), F.col("a.stop_sequence").alias("origin_sequence"), F.col("b.stop_sequence").alias("dest_sequence"), F.col("a.scheduled_arrival_offset_sec").alias("leaves"), F.col("b.scheduled_arrival_offset_sec").alias("arrives"), F.col("a.first_leg_to").alias("first_leg_to"), F.col("a.position").alias("origin_position"), F.col("b.position").alias("dest_position"))
+    """Every (earlier, later) pair of stops of each trip, from one sorted array a trip: some hundreds for a trip of thirty stops."""
+    stop = F.struct("stop_sequence", "stop_id", "scheduled_arrival_offset_sec", "route_id", "direction_id")
+    trips = stop_times.groupBy("scheduled_trip_id").agg(F.array_sort(F.collect_list(stop)).alias("s"))
+    trips = trips.select("scheduled_trip_id", "s", F.posexplode("s").alias("i", "a"))
+    rows = trips.select("scheduled_trip_id", "i", "a", F.get("s", F.col("i") + 1)["stop_id"].alias("first_leg_to"), F.posexplode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("j", "b")).where("b.stop_sequence > a.stop_sequence")
+    return rows.select(
+        "scheduled_trip_id", "a.route_id", "a.direction_id", F.col("a.stop_id").alias("origin"), F.col("b.stop_id").alias("destination"), F.col("a.scheduled_arrival_offset_sec").alias("leaves"), F.col("b.scheduled_arrival_offset_sec").alias("arrives"),
+        "first_leg_to", (F.col("j") + 1).alias("legs"), (F.col("b.stop_sequence") - F.col("a.stop_sequence")).alias("span"),
+    )
 
 
-def od_schedule(stop_times: DataFrame) -> DataFrame:
-    """Scheduled time, stops and trips of each origin and destination by hour, and for all day (hour -1)."""
-    line = Window.partitionBy("scheduled_trip_id").orderBy("stop_sequence")
-    rows = stop_times.where("scheduled_arrival_offset_sec is not null").withColumn("first_leg_to", F.lead("stop_id").over(line)).withColumn("position", F.row_number().over(line))
-    pairs = ordered_pairs(rows).withColumn("hour", X.hour_bucket(F.col("leaves"))).withColumn("sec", F.col("arrives") - F.col("leaves"))
-    pairs = pairs.withColumn("legs", F.col("dest_position") - F.col("origin_position")).withColumn("span", F.col("dest_sequence") - F.col("origin_sequence"))
+def _most(alike: str, field: str) -> Column:
+    """The value of the field that most trips have, of equals the lower; alike is an array of structs with n."""
+    known = F.array_compact(F.array_distinct(F.transform(alike, lambda x: x[field])))
+    trips = lambda v: F.aggregate(F.filter(alike, lambda x: x[field] == v), F.lit(0).cast("long"), lambda acc, x: acc - x["n"])
+    return F.array_min(F.transform(known, lambda v: F.struct(trips(v).alias("less"), v.alias("v"))))["v"]
+
 
-    def summed(keys: list[str], hour: Column) -> DataFrame:
-        most = lambda c: F.mode(c, True)
-        return pairs.groupBy(*keys).agg(F.bround(F.percentile("sec", F.lit(0.5)), 0).cast("long").alias("sched_sec"), most("legs").alias("n_segments"), most("span").alias("stop_span"), F.count("*").alias("trips"), most("route_id").alias("route_id"), most("direction_id").alias("direction_id"), most("first_leg_to").alias("first_leg_to")).select("origin", "destination", hour.alias("hour"), "sched_sec", "n_segments", "stop_span", "trips", "route_id", "direction_id", "first_leg_to")
+def od_schedule(stop_times: DataFrame) -> DataFrame:
+    """Scheduled time, stops and trips of each origin and destination by hour, and for all day (hour -1).
 
-    return summed(["origin", "destination", "hour"], F.col("hour")).unionByName(summed(["origin", "destination"], F.lit(-1)))
+    Trips alike between two stops, nearly all of a timetable, are counted as one row first; both summaries are one
+    aggregate of those.
+    """
+    same = ["legs", "span", "route_id", "direction_id", "first_leg_to"]
+    pairs = ordered_pairs(stop_times.where("scheduled_arrival_offset_sec is not null"))
+    pairs = pairs.groupBy("origin", "destination", X.hour_bucket(F.col("leaves")).alias("hour"), (F.col("arrives") - F.col("leaves")).alias("sec"), *same).agg(F.count("*").alias("n"))
+    sets = pairs.groupingSets([[F.col("origin"), F.col("destination"), F.col("hour")], [F.col("origin"), F.col("destination")]], "origin", "destination", "hour")
+    rows = sets.agg(F.bround(F.percentile("sec", F.lit(0.5), F.col("n")), 0).cast("long").alias("sched_sec"), F.sum("n").alias("trips"), F.collect_list(F.struct(*same, "n")).alias("alike"))
+    most = [_most("alike", c).alias(name) for c, name in zip(same, ("n_segments", "stop_span", *same[2:]), strict=True)]
+    return rows.select("origin", "destination", F.coalesce("hour", F.lit(-1)).alias("hour"), "sched_sec", *most[:2], "trips", *most[2:])
 
 
 def resolve_requests(requests: DataFrame, codes: DataFrame, schedule: DataFrame) -> DataFrame:
