@@ -2,7 +2,14 @@ import html as entities
 import os
 import re
 
-from tramloom.llm.html import Page, extract_main_text
+import random
+import resource
+import time
+from html.parser import HTMLParser
+
+import pytest
+
+from tramloom.llm.html import Page, extract_main_text, main_text_of
 
 ARTICLE = "<p>The first paragraph, with &amp; and <b>bold</b>er text.</p><p>A second one<br>after a break, long enough to count as text.</p>"
 TEXT = "The first paragraph, with & and bolder text. A second one after a break, long enough to count as text."
@@ -13,7 +20,7 @@ def page(body, head=""):
 
 
 def _one(html, paths=()):
-    return Page(html).main_text(dict.fromkeys(paths, 1))
+    return main_text_of(html, dict.fromkeys(paths, 1))
 
 
 def test_what_is_not_the_article_goes():
@@ -37,6 +44,114 @@ def test_malformed_pages():
     assert _one("<div><p>One, a paragraph.</p></span></div></div><p>Two</p>") == "One, a paragraph."
 
 
+WRAPPERS = [
+    "<div class='layout has-sidebar'>{}</div>", "<div class='page no-sidebar'>{}</div>", "<form id='aspnetForm' action='/'><input type='hidden' value='x'>{}</form>", "<div id='search-results-page'>{}</div>",
+    "<div class='content widget'>{}</div>", "<div class='post comments-open'>{}</div>", "<div class='widget'>{}</div>", "<body class='login-page'>{}", "<section id='related-content-main' role='region'>{}</section>",
+    "<div class='modal-open'><div class='ads-enabled'>{}</div></div>", "<div class='sidebar-layout cookie-banner-shown'>{}</div>", "<span class='share'>{}</span>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("tag", ["article", "div", "div class='text'"])
+def test_wrappers_named_after_what_they_may_hold(wrapper, tag):
+    """The article stays, whatever words stand on what is around it; what is around it within the wrapper goes."""
+    extra = "<div class='sidebar'><p>Other stories of the day.</p></div><nav>Home</nav><div class='comments'><p>Well said, I think.</p></div>"
+    whole = f"<{tag}>{ARTICLE * 4}</{tag.split()[0]}>{extra}"
+    assert _one(page(wrapper.format(whole))) == " ".join([TEXT] * 4)
+
+
+def test_long_comments_and_small_forms_go():
+    comments = "<section class='comments'>" + "<article class='comment'><p>I read all of this, and a reader may well write more than the author did.</p></article>" * 12 + "</section>"
+    form = "<form class='signup'><p>Leave your name, and we write to you.</p></form>"
+    assert _one(page(f"<div class='story'>{ARTICLE}</div>{form}{comments}")) == TEXT
+    assert _one(page(f"<div><div class='story'>{ARTICLE}{form}</div>{comments}</div>")) == TEXT
+
+
+def test_never_empty_while_there_is_text():
+    for body in ("<nav><p>Only a menu, here.</p></nav>", "<aside>Only a menu, here.</aside>", "<div class='ad'>Only a menu, here.</div>", "<div hidden>Only a menu, here.</div>", "<nav>Only a menu, here.<script>x()</script>"):
+        assert _one(page(body)) == "Only a menu, here."
+    assert _one(page("<script>x</script><style>y</style>")) == ""
+
+
+@pytest.mark.parametrize("kind", ["<div>", "<div class='a b c'>", "<span>", "<div><span><p>", "<b class='ad'>", "<td>", "<article>", "<div class='comments'><article>"])
+def test_deep_pages_take_linear_time_and_memory(kind):
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    deep = page(kind * 50_000 + "deep <p>down, at last.</p>" + "</b></td></span>" * 20_000 + "<p>up</p>" * 5_000)
+    began = time.process_time()
+    read = Page(deep)
+    assert main_text_of(deep, {}) and read.held() is not None
+    assert time.process_time() - began < 12
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000
+
+
+class Tree(HTMLParser):
+    """An independent reading of well-formed pages: the text of the element with the id story, without what the test planted."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.inside, self.gone, self.text = 0, 0, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += [" "] * bool(self.inside)
+            return
+        self.depth += 1
+        have = dict(attrs)
+        if have.get("data-story"):
+            self.inside = self.depth
+        if have.get("data-gone") and not self.gone:
+            self.gone = self.depth
+        if self.inside and not self.gone and tag in ("p", "div", "section", "h2"):
+            self.text.append(" ")
+
+    def handle_endtag(self, tag):
+        if self.inside and not self.gone and tag in ("p", "div", "section", "h2"):
+            self.text.append(" ")
+        if self.inside == self.depth:
+            self.inside = 0
+        if self.gone == self.depth:
+            self.gone = 0
+        self.depth -= 1
+
+    def handle_data(self, data):
+        if self.inside and not self.gone:
+            self.text.append(data)
+
+
+def _template(rng):
+    """A page's frame of random wrappers, boxes around and within the story; never an article element."""
+    words = lambda n: " ".join(rng.choice(["tram", "the", "line", "of", "a", "city", "was", "late,", "again."]) for _ in range(n))
+    wraps = rng.sample(["layout has-sidebar", "page no-sidebar", "wrap", "grid-2 comments-open", "site nav-collapsed", "container ads-enabled"], 2)
+    outside = rng.sample(["sidebar", "footer-links", "comments", "cookie-notice", "related-posts", "newsletter", "share-bar"], 3)
+    within = rng.sample(["ad-slot", "share-buttons", "newsletter-signup"], 2)
+    name = rng.choice(["story-body", "post", "text", "c-17", "entry-content"])
+
+    def made(rng2):
+        body = lambda n: " ".join(rng2.choice(["rail", "stop", "bus", "went", "on", "and", "then,", "the", "end."]) for _ in range(n))
+        story = "".join(f"<p>{body(rng2.randrange(30, 60))}</p>" + (f"<div class='{rng2.choice(within)}' data-gone='1'><p>{words(5)}</p></div>" if rng2.random() < 0.5 else "") for _ in range(rng2.randrange(3, 7)))
+        boxes = [f"<div class='{c}'><p>{words(rng2.randrange(4, 15))}</p></div>" for c in outside]
+        inner = f"{boxes[0]}<div class='{name}' data-story='1'><h2>{body(5)}</h2>{story}</div>{boxes[1]}"
+        return f"<!DOCTYPE html><html><head><title>{words(3)}</title></head><body><div class='{wraps[0]}'><div class='{wraps[1]}'>{inner}</div>{boxes[2]}</div></body></html>"
+
+    return made
+
+
+def test_hosts_of_mixed_templates_without_article_elements(spark):
+    rng = random.Random(8)
+    rows = [(100 * h + 10 * t + i, f"https://h{h}.example/{i}", made(rng)) for h in range(4) for t, made in enumerate(_template(rng) for _ in range(5)) for i in range(8)]
+
+    def want(source):
+        tree = Tree()
+        tree.feed(source)
+        return " ".join("".join(tree.text).split())
+
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for options in ({}, {"path_bytes": 0}):
+        got = {r["page_id"]: r["main_text"] for r in extract_main_text(pages, **options).collect()}
+        wrong = [i for i, _, source in rows if got[i] != want(source)]
+        assert len(wrong) <= 0.03 * len(rows), [(got[i], want(s)) for i, _, s in rows if i in wrong[:2]]
+
+
 def test_host_consensus_corrects_a_page_with_a_longer_side_text(spark):
     rows = [(i, f"https://Host.example/{i}", page(f"<div class='story-{i}'>{ARTICLE}</div><div class='more-stuff'><p>Short side text.</p></div>")) for i in range(6)]
     side = "<p>" + "Promised, later, and longer than the story of this page. " * 9 + "</p>"
