@@ -147,3 +147,27 @@ def test_line_table(spark, sf):
     _lines(docs, rows, filter_bytes=0, bits=5000)  # a filter that is too large to broadcast
     sums = lines.dedup_lines(docs).select(F.sha2(F.col("text").cast("binary"), 256).alias("h"), "text").first()
     assert sums["h"] == hashlib.sha256(sums["text"].encode()).hexdigest()
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Words that follow the Thue-Morse sequence and its complement have equal polynomials modulo 2**64, in any base."""
+    morse = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = ("".join("ab"[x ^ y] for x in morse) for y in (0, 1))
+    common = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{common} {one}"), (2, f"{common} {other}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"hot_kinds": 0}):
+        _substrings(df, rows, **options)
+        assert {r["n_removed"] for r in substrings.dedup_substrings(df, **options).collect()} == {0}
+
+
+def test_hashes_of_many_long_words_differ():
+    rng = random.Random(5)
+    words = set()
+    while len(words) < 200_000:
+        base = rng.randbytes(64).hex()
+        words |= {(base * 9)[:1000].encode(), (base * 9)[:999].encode() + b"x"}
+    words = list(words)
+    assert len(np.unique(substrings.word_hashes(words))) == len(words)
+    assert len({substrings.digest(words[i : i + 2]) for i in range(0, len(words), 2)}) == len(words) // 2
+    assert substrings.digest([b"a", b"b"]) != substrings.digest([b"ab"]) != substrings.digest([b"b", b"a"])

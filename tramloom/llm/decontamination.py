@@ -48,7 +48,7 @@ def grams(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    return word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))) if words else np.empty(0, np.uint64)
+    return word_hashes(words)
 
 
 class Vocabulary:

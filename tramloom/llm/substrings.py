@@ -5,8 +5,9 @@
    words, the union of its windows; a document of n words has about n / 14 of them, and only their hashes shuffle.
 2. Anchors whose hash occurs twice or more are suspected. Equal stretches are pre-aggregated to one with a count, so
    that groups of copies, however large, leave one stretch each.
+   Stretches count as equal by a 128-bit BLAKE2b digest of their words; the 64-bit hashes only bring together what may be.
 3. An anchor with over HOT_KINDS kinds of stretches (the edge of a passage in very many contexts) would make an automaton
-   without bound. Its kinds are taken apart into windows, which are counted by a hash of all their words.
+   without bound. Its kinds are taken apart into windows, which are counted by such digests of their words.
 4. Of all other anchors the words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
    bounded automata: all stretches of an anchor lie in one, and a shard is built, used and dropped in its own task.
    A broadcast of all automata would grow with the corpus; the shuffle by anchor sends each only what it can match.
@@ -20,10 +21,13 @@ lose nothing; an empty table gives an empty result. Columns of the input named n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,32 +38,18 @@ LENGTH = 35
 GRAM = 8
 #: Words of distinct stretches that one automaton takes, but for its last anchor; distinct stretches that an anchor may have.
 SHARD_WORDS, HOT_KINDS = 100_000, 4096
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_STEP_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_KEY = 0x51F15E
 
 
-_TABLES: dict[int, np.ndarray] = {}
+def word_hashes(words: Sequence[bytes]) -> np.ndarray:
+    """64-bit hashes that spread words evenly. They find what may be equal; what is equal, words or their digests decide."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(_KEY)), np.uint64, len(words))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """base to the power of 0 to n - 1, from a table that a worker keeps."""
-    if len(known := _TABLES.get(int(base), ())) < n:
-        known = np.full(max(n, 1 << 14), base, np.uint64)
-        known[0] = 1
-        known = np.multiply.accumulate(known)
-        if len(known) <= 1 << 22:
-            _TABLES[int(base)] = known
-    return known[:n]
-
-
-def word_hashes(joined: bytes, lengths: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words of joined (words joined by one byte), equal for equal words."""
-    data = np.frombuffer(joined, np.uint8)
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * _powers(_STEP, len(data)))]
-    return mix64((sums[ends] - sums[starts]) * _powers(_STEP_BACK, len(data) + 1)[starts] + lengths.astype(np.uint64))
+def digest(words: Sequence[bytes]) -> bytes:
+    """128 bits of all the words: BLAKE2b, for which nobody knows two texts alike. Words have no spaces, so their joint text tells them apart."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
 def least_in_windows(x: np.ndarray, width: int) -> np.ndarray:
@@ -72,11 +62,11 @@ def least_in_windows(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def stretches(hashes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, hash of the stretch, first word, windows) of each stretch of a document, by its words' hashes."""
+def stretches(hashes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first word, windows) of each stretch of a document, by its words' hashes."""
     n = len(hashes)
     if n < length:
-        return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     grams = np.zeros(n - gram + 1, np.uint64)
     for i in range(gram):
         grams = grams * _STEP + hashes[i : n - gram + 1 + i]
@@ -87,16 +77,13 @@ def stretches(hashes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tup
     anchor = (least & np.uint64((1 << 28) - 1)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     windows = np.diff(np.r_[first, len(anchor)])
-    sums = np.r_[np.uint64(0), np.cumsum(hashes * _powers(_STEP, n))]
-    last = first + windows + length - 1
-    content = mix64((sums[last] - sums[first]) * _powers(_STEP_BACK, n + 1)[first] + windows.astype(np.uint64))
-    return grams[anchor[first]], content, first, windows
+    return grams[anchor[first]], first, windows
 
 
-def document_stretches(words: list[bytes], length: int, gram: int):
-    if len(words) < length:
-        return stretches(np.empty(0, np.uint64), length, gram)
-    return stretches(word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))), length, gram)
+def document_stretches(words: list[bytes], length: int, gram: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(anchor hash, digest of the words, first word, windows) of each stretch."""
+    anchor, first, windows = stretches(word_hashes(words) if len(words) >= length else np.empty(0, np.uint64), length, gram)
+    return anchor, [digest(words[i : i + n + length - 1]) for i, n in zip(first.tolist(), windows.tolist(), strict=True)], first, windows
 
 
 def _scan(length: int, gram: int):
@@ -105,22 +92,14 @@ def _scan(length: int, gram: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
             found = [document_stretches(t.split(), length, gram) for t in binary(b, "text")]
-            anchor, content, first, windows = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(4))
+            anchor, first, windows = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 2, 3))
             row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-            columns = (pa.array(anchor.view(np.int64)), b.column("id").take(row), b.column("th").take(row), pa.array(content.view(np.int64)), pa.array(first << 5 | windows))
+            columns = (pa.array(anchor.view(np.int64)), b.column("id").take(row), b.column("th").take(row), pa.array([x for f in found for x in f[1]], pa.binary()), pa.array(first << 5 | windows))
             yield pa.RecordBatch.from_arrays(list(columns), names=["anchor", "id", "th", "content", "place"])
 
     return scan
 
 
-def _window_hashes(words: list[bytes], length: int) -> np.ndarray:
-    hashes = word_hashes(b" ".join(words), np.fromiter(map(len, words), np.int64, len(words)))
-    whole = np.zeros(len(words) - length + 1, np.uint64)
-    for k in range(length):
-        whole = whole * _STEP + hashes[k : k + len(whole)]
-    return mix64(whole).view(np.int64)
-
-
 #: Stretches whose words or windows a task holds before it sends them.
 _SEND = 5000
 
@@ -140,7 +119,7 @@ def _fetch(length: int):
     """The words of the stretches that documents were chosen to give."""
 
     def send(cols: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "content", "n", "words"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[] for _ in range(4)]
@@ -158,22 +137,23 @@ def _fetch(length: int):
 
 
 def _fetch_windows(length: int):
-    """The windows of stretches of hot anchors, by the hash of all their words and their place in the stretch."""
-    names = ["anchor", "content", "n", "window", "at"]
+    """The windows of stretches of hot anchors, by the digest of all their words and their place in the stretch."""
+    kinds = {"anchor": pa.int64(), "content": pa.binary(), "n": pa.int64(), "window": pa.binary(), "at": pa.int64()}
+
+    def send(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in names]
+        rows: list[tuple] = []
         for words, wanted in _wanted(batches, True):
-            hashes = _window_hashes(words, length)
             for w in wanted:
                 first, windows = w["place"] >> 5, w["place"] & 31
-                for c, v in zip(cols, (np.full(windows, w["anchor"]), np.full(windows, w["content"]), np.full(windows, w["n"]), hashes[first : first + windows], np.arange(windows)), strict=True):
-                    c.append(v)
-            if len(cols[0]) >= _SEND:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
-                cols = [[] for _ in names]
-        if cols[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
+                rows += [(w["anchor"], w["content"], w["n"], digest(words[first + i : first + i + length]), i) for i in range(windows)]
+            if len(rows) >= _SEND:
+                yield send(rows)
+                rows = []
+        if rows:
+            yield send(rows)
 
     return fetch
 
@@ -189,7 +169,7 @@ def _match(length: int, room: int):
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["anchor"], max(1, room // (2 * length))):
-            anchor, content = table["anchor"].to_numpy(), table["content"].to_numpy()
+            anchor, content = table["anchor"].to_numpy(), np.array(table["content"].to_pylist(), object)
             table = table.filter(pa.array(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]))  # rows alike give a stretch again
             found = match_shard([x.split() for x in table["words"].to_pylist()], table["n"].to_pylist(), length)
             hits = table.select(["anchor", "content"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
@@ -201,7 +181,7 @@ def _match(length: int, room: int):
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words."""
     assert length - gram < 32, "a place holds up to 31 windows"
-    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content long, place long"
+    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content binary, place long"
     every = materialize(docs.mapInArrow(_scan(length, gram), shape), "anchors")
     suspected = materialize(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "suspected")
     rows = materialize(spread_join(every, suspected, "anchor", "n"), "stretches")
@@ -211,11 +191,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     marked = kinds.join(small(per), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
     giving = marked.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", "hot", F.col("from.place").alias("place"))).alias("wanted"))
     given = docs.join(giving, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
-    shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
-    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
+    shards = given.mapInArrow(_fetch(length), "anchor long, content binary, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
+    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content binary, repeated array<int>")
     if not per.isEmpty():
         # a plan of its own: with it, one stage would hold too many sorts at once
-        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
+        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content binary, n long, window binary, at long").distinct(), "hot-windows")
         twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
         again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
         again = materialize(again.groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")), "hot-found")
