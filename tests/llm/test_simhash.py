@@ -215,3 +215,9 @@ def test_near_duplicate_classes_are_exact_on_a_whole_table(spark, sf):
     assert len(set(want.values())) < len(want) - 30
     assert len({(found[i], w) for i, w in want.items()}) == len(set(found.values())) == len(set(want.values()))
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(want.values())
+
+
+def test_the_one_kept_of_rows_alike_does_not_change(spark):
+    rows = [(1, "a b c d e f g", f"l{i}") for i in range(40)]
+    keep = lambda n: [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n)).collect()]
+    assert len(keep(1)) == 1 and keep(1) == keep(6)

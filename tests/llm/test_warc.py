@@ -81,3 +81,12 @@ def test_text_ids_of_any_characters(spark):
     rows = [(i, f"http://x/{n}", "same" if n > 6 else f"page {n}") for n, i in enumerate(ids)]
     got = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archived_pages(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
     assert got == {(i, "response", None) for i in ids[:8]} | {("y", "revisit", "z")}
+
+
+def test_revisits_are_dealt_by_size_too(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", "one payload") for i in range(3000)]
+    path = f"{tmp_path}/warc"
+    warc.write_archives(spark.createDataFrame(rows, _SHAPE).coalesce(1), path, archive_bytes=200_000, compression="none")
+    sizes = [p.stat().st_size for p in (tmp_path / "warc").glob("part-*") if p.stat().st_size]
+    assert len(sizes) >= 7 and max(sizes) < 300_000
+    assert warc.read_archives(spark, path).count() == 3000

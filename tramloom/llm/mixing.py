@@ -27,6 +27,8 @@ from tramloom.llm.common import OWN, col, materialize, n_words, small, without
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3.0
 SHARD_ROWS = 512
+#: Rows alike that are numbered together.
+PORTION = 4096
 #: Undecided documents of one source that one task may land; with more, they fly again in shards.
 LANDING_ROWS = 4096
 LANDING = 12
@@ -122,8 +124,10 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     spark = docs.sparkSession
     base = docs.select(col(key).alias("id"), col(source).alias("source"), n_words(col(text)).alias("size"), F.xxhash64(col(key), col(text), F.lit(seed)).alias("mix_key"))
     alike = base.groupBy(*base.columns).agg(F.count("*").alias("n"))
-    number = F.explode(F.sequence(F.lit(1), "n")).alias("number")  # rows alike go to shards of their own choice
-    base = materialize(alike.select(*base.columns, number).select(*base.columns, F.when(F.col("number") == 1, F.col("mix_key")).otherwise(F.xxhash64("mix_key", "number")).alias("order")), "mix-sizes")
+    # rows alike go to shards of their own choice; a group's numbers are made in portions, each in a task of its own
+    portions = alike.select(*base.columns, "n", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {PORTION}"))).alias("portion")).repartition("mix_key", "portion")
+    number = F.explode(F.sequence(F.col("portion") * PORTION + 1, F.least(F.col("n"), (F.col("portion") + 1) * PORTION))).alias("number")
+    base = materialize(portions.select(*base.columns, number).select(*base.columns, F.when(F.col("number") == 1, F.col("mix_key")).otherwise(F.xxhash64("mix_key", "number")).alias("order")), "mix-sizes")
     totals = [(r["source"], r["size"], r["n"]) for r in base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).toLocalIterator()]
     targets = source_targets({s: n for s, n, _ in totals}, weights, max_repeat)
     known = spark.createDataFrame([(s, n, targets[s], rows) for s, n, rows in totals], f"src {base.schema['source'].dataType.simpleString()}, source_size long, target double, n long")
@@ -151,18 +155,40 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     return done.select(F.col("id").alias(key), F.col("source").alias(source), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "mix_key")
 
 
+def _numbered(rows: DataFrame, rest: list[str]) -> DataFrame:
+    """rows (with their group and its size n in own columns) with the number of each in its group, from 1.
+
+    A group's rows are ordered by a hash of their other columns, so that reruns agree; of rows alike in all it doesn't
+    matter which comes first. Groups are dealt into portions, which are counted; a row's number is that within its
+    portion behind the rows of the portions before.
+    """
+    group, kind, deal = (f"{OWN}{x}" for x in ("mix", "kind", "deal"))
+    rows = rows.withColumn(kind, F.xxhash64(*map(col, rest)) if rest else F.lit(0).cast("long"))
+    rows = materialize(rows.withColumn(deal, F.pmod(F.monotonically_increasing_id(), F.expr(f"1 + {OWN}n div {PORTION}")).cast("int")), "mix-alike")
+    counted = rows.groupBy(group, kind, deal).agg(F.count("*").alias(f"{OWN}own"))
+    before = F.sum(f"{OWN}own").over(Window.partitionBy(group).orderBy(kind, deal)) - F.col(f"{OWN}own")
+    found = rows.join(counted.withColumn(f"{OWN}before", before).drop(f"{OWN}own"), [group, kind, deal])
+    number = F.col(f"{OWN}before") + F.row_number().over(Window.partitionBy(group, kind, deal).orderBy(group))
+    return found.withColumn(f"{OWN}number", number).drop(kind, deal, f"{OWN}before")
+
+
 def take(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """The documents that the mix takes, whole, with size, source_size, target, copies and taken.
 
-    Of rows alike the copies go to as many rows as there are, as evenly as whole copies allow. Columns of the input
+    Of rows alike in key and text the copies go to as many rows as there are, as evenly as whole copies allow, those
+    left over by the order of a hash of their other columns. Columns of the input
     named like the five give way to them.
     """
     docs = without(docs, "size", "source_size", "target", "copies", "taken")
     seed = options.get("seed", 17)
     chosen = mix_sources(docs, text, key, source, **options).groupBy(F.col("mix_key").alias(f"{OWN}mix"))
     chosen = chosen.agg(F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("copies").alias(f"{OWN}all"), F.count("*").alias(f"{OWN}n")).where(f"{OWN}all > 0")
-    joined = docs.withColumn(f"{OWN}mix", F.xxhash64(col(key), col(text), F.lit(seed))).join(chosen, f"{OWN}mix")
-    number = F.row_number().over(Window.partitionBy(f"{OWN}mix").orderBy(f"{OWN}mix"))
-    joined = joined.withColumn("copies", F.expr(f"{OWN}all div {OWN}n") + (number <= F.col(f"{OWN}all") % F.col(f"{OWN}n")).cast("long"))
+    chosen = materialize(chosen, "mix-chosen")
+    keyed = docs.withColumn(f"{OWN}mix", F.xxhash64(col(key), col(text), F.lit(seed)))
+    each, more = F.expr(f"{OWN}all div {OWN}n"), F.col(f"{OWN}all") % F.col(f"{OWN}n")
+    plain = keyed.join(chosen.where(more == 0), f"{OWN}mix").withColumn("copies", each)
+    # only rows alike can share unevenly
+    placed = _numbered(keyed.join(small(chosen.where(more > 0)), f"{OWN}mix"), [c for c in docs.columns if c not in (key, text)])
+    joined = plain.unionByName(placed.withColumn("copies", each + (F.col(f"{OWN}number") <= more).cast("long")).drop(f"{OWN}number"))
     joined = joined.where("copies > 0").withColumn("taken", F.col("copies") * F.col("size"))
     return joined.select(*map(col, docs.columns), "size", "source_size", "target", "copies", "taken")

@@ -327,8 +327,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
 
 
 def one_of_alike(df: DataFrame, key: str, th: str) -> DataFrame:
-    """One of the rows with equal key and hash, whatever their other columns."""
+    """One of the rows with equal key and hash: that whose other columns have the least hash, so that reruns agree."""
     rest = [c for c in df.columns if c not in (key, th)]
-    row = F.first(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(rest)])).alias(f"{OWN}r")
+    row = F.min_by(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(rest)]), F.xxhash64(*map(col, rest))).alias(f"{OWN}r")
     one = df.groupBy(col(key), col(th)).agg(row).select(col(key), col(th), *[F.col(f"{OWN}r.c{i}").alias(c) for i, c in enumerate(rest)])
     return one.select(*map(col, df.columns))

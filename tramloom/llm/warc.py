@@ -24,6 +24,8 @@ from tramloom.llm.common import col, fresh_path, materialize, spread_join
 
 #: Bytes of records that one archive holds on average; an archive is read back whole by one task.
 ARCHIVE_BYTES = 16_000_000
+#: Bytes that a record's headers count as.
+HEAD_BYTES = 500
 _END = "\r\n\r\n"
 # The base32 alphabet, the profile's and the format's names
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -94,12 +96,13 @@ def record(digest: Column, size: Column, refers_to: Column, ident: Column, url:
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> None:
-    """Write all pages as deduplicated WARC archives into the folder path; with gzip an archive is one member."""
+    """Write all pages as deduplicated WARC archives into the folder path, responses and revisits in archives of bounded size each; with gzip an archive is one member."""
     heads = materialize(resolve_revisits(pages, key, url, html, min_bytes), "resolved")
     kept, again = heads.where("refers_to is null"), heads.where("refers_to is not null")
     payload = F.coalesce(col(html), F.lit(""))
-    size = kept.agg(F.sum("bytes"), F.count("*")).first()
-    archives = max(1, -(-((size[0] or 0) + 400 * size[1]) // archive_bytes))
+    held, n, revisits = heads.agg(F.sum(F.when(F.col("refers_to").isNull(), F.col("bytes"))), F.count_if(F.col("refers_to").isNull()), F.count_if(F.col("refers_to").isNotNull())).first()
+    many = lambda size: max(1, -(-size // archive_bytes))
+    archives, more = many((held or 0) + HEAD_BYTES * n), many(HEAD_BYTES * revisits)
     # each row that is a response writes its own payload, so payloads shuffle once, into as many archives as their size asks for
     k = F.xxhash64("id", "digest").alias("k")
     bodies = pages.select(col(key).alias("id"), col(url).alias("url"), payload.alias("payload"), sha1_base32(payload.cast("binary")).alias("digest"))
@@ -107,7 +110,7 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     full = bodies.select("*", k).repartition(archives, "k").join(chosen, "k")
     lines = lambda df, size, to, body: df.select(record(F.col("digest"), size, to, F.col("id"), F.col("url"), body).alias("value"))
     own = lines(full, F.octet_length("payload"), F.lit(None).cast("string"), F.col("payload"))
-    own.unionByName(lines(again, F.col("bytes"), F.col("refers_to"), F.lit(""))).write.option("lineSep", _END).option("compression", compression).text(path)
+    own.unionByName(lines(again.repartition(more), F.col("bytes"), F.col("refers_to"), F.lit(""))).write.option("lineSep", _END).option("compression", compression).text(path)
 
 
 _LINE = re.compile(rb"([^:\r\n]+): ?([^\r\n]*)")
