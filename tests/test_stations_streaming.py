@@ -4,6 +4,7 @@ import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from tramloom.operators import stations
 from tramloom.streaming import feeds
@@ -23,6 +24,42 @@ def test_station_index_and_requests(spark):
     assert near["station"] == "vienna"
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = _next(row, i, x, b)
+    return row[-1]
+
+
+def _next(row, i, x, b):
+    out = [i]
+    for j, y in enumerate(b, 1):
+        out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
+    return out
+
+
+def test_nearest_names_against_all_pairs(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcde ") for _ in range(n)).strip()
+    known = sorted({" ".join(w.split()) for w in [word(rng.randrange(1, 14)) for _ in range(250)] if w.strip()})
+    asked = sorted({*rng.sample(known, 20), *[" ".join((k + "e").split()) for k in rng.sample(known, 20)], "zzzz", "a", "q", "zzzzzzzzzzzzzzzzzzzzzz", *[" ".join(word(9).split()) for _ in range(20)]} - {""})
+    for k in (1, 3, 7):
+        got = stations.nearest_names(spark.createDataFrame([(a,) for a in asked], "name string"), spark.createDataFrame([(x,) for x in known], "station string"), k).collect()
+        want = {}
+        for a in asked:
+            ranked = sorted((-round(1 - _edits(a, b) / max(len(a), len(b), 1), 6), b) for b in known)[:k]
+            want |= {(a, i + 1): (b, pytest.approx(-s)) for i, (s, b) in enumerate(ranked)}
+        assert {(r["asked"], r["rank"]): (r["station"], r["likeness"]) for r in got} == want
+
+
+def test_nearest_names_of_thirty_thousand(spark):
+    known = spark.range(30_000).select(F.concat(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 9), F.lit(" "), F.col("id").cast("string")).alias("station"))
+    asked = known.where("crc32(station) % 500 = 0").select(F.concat("station", F.lit("7")).alias("name"))
+    rows = stations.nearest_names(asked, known, 2).where("rank = 1").collect()
+    assert len(rows) == asked.count() > 40
+    assert all(r["likeness"] >= 1 - 1 / len(r["asked"]) - 1e-6 for r in rows)
+
+
 def test_od_schedule_of_two_trips(spark):
     rows = [(t, "RD", 0, q, f"PF_{q}", 3600 * h + 100 * q * (1 + i)) for i, (t, h) in enumerate((("a", 8), ("b", 8))) for q in range(3)]
     df = spark.createDataFrame(rows, "scheduled_trip_id string, route_id string, direction_id int, stop_sequence int, stop_id string, scheduled_arrival_offset_sec int")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramloom.functions import exprs as X
+from tramloom.sources.tables import materialize
 
 
 def platform_names(stops: DataFrame) -> DataFrame:
@@ -87,15 +88,60 @@ def resolve_requests(requests: DataFrame, codes: DataFrame, schedule: DataFrame)
     return both.withColumn("status", status).select("request_id", "status", *[sure(c) for c in ("origin", "destination", "hour", *carried)])
 
 
+#: Letters of a gram; names a block of the index has.
+GRAM, BLOCK = 2, 4096
+
+
+def _grams(name: Column) -> Column:
+    """(gram, number among its like) of a padded name: a multiset as a set."""
+    padded = F.concat(F.lit("\u0001"), name, F.lit("\u0002"))
+    each = F.transform(F.sequence(F.lit(1), F.length(name) + 3 - GRAM), lambda i: F.substring(padded, i, F.lit(GRAM)))
+    return F.transform(each, lambda g, i: F.struct(g.alias("gram"), F.size(F.filter(F.slice(each, 1, i + 1), lambda x: x == g)).alias("nth")))
+
+
+def _likeness(a: Column, b: Column) -> Column:
+    return F.round(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)), 6)
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("asked").orderBy(F.desc("likeness"), "station")
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def nearest_names(names: DataFrame, known: DataFrame, k: int = 3) -> DataFrame:
     """For each name the k known names most alike by edit distance over length; of equals the lower.
 
-    known is the station list of a network, some hundreds of names: it becomes one row, and each asked name picks its
-    own k from that row, so that pairs are never rows of a table.
+    An index of grams finds candidates. An edit spoils at most GRAM grams, so within d edits one of the d * GRAM + 1
+    rarest grams of the asked name is shared, and the more a pair shares the less it can differ.
+
+    1. What shares one of the asked name's rarest grams gives k names; the least alike of them sets a bound.
+    2. The bound tells how many edits can beat it, how many of the rarest grams must be looked up, and which lengths
+       can be alike enough. Only candidates that share enough grams are measured.
+    3. Names so unlike all others that no gram need be shared are measured against all known names, a block of BLOCK
+       at a time, each block giving its k best.
     """
-    asked = names.select(X.plain_name(F.col("name")).alias("asked")).distinct()
-    one = known.agg(F.array_sort(F.collect_set("station")).alias("stations"))
-    likeness = lambda s: F.round(1 - F.levenshtein(F.col("asked"), s) / F.greatest(F.length("asked"), F.length(s), F.lit(1)), 6)
-    ranked = F.array_sort(F.transform("stations", lambda s: F.struct((-likeness(s)).alias("d"), s.alias("station"))))
-    best = asked.join(F.broadcast(one)).select("asked", F.posexplode(F.slice(ranked, 1, k)).alias("at", "b"))
-    return best.select("asked", F.col("b.station").alias("station"), (-F.col("b.d")).alias("likeness"), (F.col("at") + 1).alias("rank"))
+    asked = names.select(X.plain_name(F.col("name")).alias("asked")).where("asked is not null").distinct()
+    stations = known.select("station").where("station is not null").distinct()
+    postings = materialize(stations.withColumn("n", F.length("station")).select("station", "n", F.explode(_grams(F.col("station"))).alias("g")).select("station", "n", "g.*"), "grams")
+    often = postings.groupBy("gram", "nth").agg(F.count("*").alias("often"))
+    own = asked.select("asked", F.length("asked").alias("m"), F.explode(_grams(F.col("asked"))).alias("g")).select("asked", "m", "g.*")
+    own = own.join(often, ["gram", "nth"], "left").withColumn("often", F.coalesce("often", F.lit(0)))
+    own = materialize(own.withColumn("place", F.row_number().over(Window.partitionBy("asked").orderBy("often", "gram", "nth"))), "asked-grams")
+
+    met = own.where("often > 0").withColumn("first", F.row_number().over(Window.partitionBy("asked").orderBy("often", "gram", "nth"))).where("first <= 2")
+    some = met.join(postings, ["gram", "nth"]).select("asked", "station").distinct()
+    bound = _ranked(some.withColumn("likeness", _likeness(F.col("asked"), F.col("station"))), k).groupBy("asked").agg(F.min("likeness").alias("least"), F.count("*").alias("found"))
+    # of lengths m and n, likeness >= least leaves (1 - least) * max(m, n) edits, and max(m, n) <= m / least
+    least = F.col("least") - 1e-6
+    edits = F.floor((1 - least) * F.greatest(F.col("m"), F.col("m") / least))
+    judged = materialize(own.select("asked", "m").distinct().join(bound, "asked", "left").withColumn("edits", F.when((F.col("found") >= k) & (least > 0), edits)).withColumn("indexed", F.coalesce(F.col("edits") * GRAM + 1 <= F.col("m") + 1, F.lit(False))), "bounds")
+
+    near = own.drop("m").join(judged.where("indexed"), "asked").where(F.col("place") <= F.col("edits") * GRAM + 1)
+    pairs = near.join(postings, ["gram", "nth"]).where((F.least("m", "n") >= least * F.greatest("m", "n"))).select("asked", "station").distinct()
+    best = _ranked(pairs.withColumn("likeness", _likeness(F.col("asked"), F.col("station"))), k)
+
+    blocks = stations.groupBy(F.pmod(F.xxhash64("station"), F.lit(1 + stations.count() // BLOCK)).alias("block")).agg(F.collect_list("station").alias("held"))
+    alike = F.transform("held", lambda s: F.struct((-_likeness(F.col("asked"), s)).alias("d"), s.alias("station")))
+    rest = judged.where("not indexed").select("asked").join(blocks.hint("broadcast") if stations.count() <= BLOCK else blocks)
+    rest = rest.select("asked", F.explode(F.slice(F.array_sort(alike), 1, k)).alias("b")).select("asked", "b.station", (-F.col("b.d")).alias("likeness"))
+    return best.unionByName(_ranked(rest, k)).select("asked", "station", "likeness", "rank")

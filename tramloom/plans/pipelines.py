@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tramloom.config import DEFAULT, Settings
 from tramloom.functions import exprs as X
-from tramloom.operators import arrivals, baselines, dates, evaluate, explore, features, journeys, model, quality, schedule, segments, split
+from tramloom.operators import arrivals, baselines, dates, encode, evaluate, explore, features, journeys, model, quality, schedule, segments, split
 from tramloom.sources import observations, published, tables
 
 
@@ -131,14 +131,29 @@ def compared(rows: DataFrame, predictions: Sequence[str], settings: Settings = D
     return journeys.head_to_head(valid, scored, columns, ["schedule", *predictions], settings)
 
 
-def evaluation_report(scored: DataFrame, prediction: str, settings: Settings = DEFAULT) -> DataFrame:
-    """(part, about, measure, value): errors of segments by model, of journeys by length, and of groups, in one table."""
+def _long(df: DataFrame, part: str, about: Column, names: Sequence[str]) -> DataFrame:
+    """The named columns of df as rows of (part, about, measure, value)."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).cast("double").alias("value")) for n in names])
+    return df.select(F.lit(part).alias("part"), about.cast("string").alias("about"), F.explode(pairs).alias("m")).select("part", "about", "m.*")
+
+
+def evaluation_report(scored: DataFrame, prediction: str, settings: Settings = DEFAULT, codes: DataFrame | None = None, categories: Sequence[str] = ()) -> DataFrame:
+    """(part, about, measure, value) in one table: errors of segments by model, of journeys by length and of groups, how
+    blocks hold together, the offset that a calibration would add, and the share of each category that training never saw."""
     rows = tables.materialize(scored, "scored")
-    long = lambda df, part, about, names: df.select(F.lit(part).alias("part"), F.col(about).cast("string").alias("about"), F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")).select("part", "about", "m.*")
+    blocks = journeys.with_blocks(rows, settings)
     level = evaluate.segment_level(rows, [prediction, "scheduled_duration_sec"])
-    length = evaluate.journey_level(journeys.with_blocks(rows, settings), prediction, "scheduled_duration_sec", settings)
+    length = evaluate.journey_level(blocks, prediction, "scheduled_duration_sec", settings)
     group = evaluate.error_by_group(rows, "route_id", [prediction])
-    parts = [long(level, "segments", "baseline", ["n_rows", "mae", "rmse", "median_abs"]), long(length, "journeys", "n_segments", ["n", "median_sec", "model_mae", "baseline_mae", "beats_pct"]), long(group, "routes", "route_id", ["n", f"{prediction}_mae"])]
+    parts = [
+        _long(level, "segments", F.col("baseline"), ["n_rows", "mae", "rmse", "median_abs"]),
+        _long(length, "journeys", F.col("n_segments"), ["n", "median_sec", "model_mae", "baseline_mae", "beats_pct"]),
+        _long(group, "routes", F.col("route_id"), ["n", f"{prediction}_mae"]),
+        _long(journeys.block_diagnostics(blocks), "blocks", F.lit(""), ["n_segments", "runs", "blocks", "pairs", "broken", "median_block", "contiguous_pct"]),
+        _long(baselines.residual_offset(rows, prediction), "calibration", F.lit(prediction), ["offset"]),
+    ]
+    if codes is not None:
+        parts.append(_long(encode.unseen_rate(rows, codes, categories), "unseen", F.col("column"), ["unseen_pct"]))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -148,18 +163,33 @@ def quality_report(rows: DataFrame, realtime: DataFrame, trips: DataFrame, hours
     match = tables.materialize(schedule.match_report(realtime, trips, settings), "match")
     cover = tables.materialize(quality.coverage(hours), "coverage")
 
-    def long(df: DataFrame, part: str, about: Column, skip: Sequence[str] = ()) -> DataFrame:
-        names = [f.name for f in df.schema if f.name not in skip and f.dataType.typeName() in ("integer", "long", "double")]
-        return df.select(F.lit(part).alias("part"), about.alias("about"), F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")).select("part", "about", "m.*")
+    def long(df: DataFrame, part: str, about: Column) -> DataFrame:
+        return _long(df, part, about, [f.name for f in df.schema if f.dataType.typeName() in ("integer", "long", "double")])
 
     issues = quality.blocking_issues(match, segment, cover, settings).select(F.lit("blocking").alias("part"), "about", F.col("issue").alias("measure"), "value")
     return functools.reduce(DataFrame.unionByName, [long(segment, "segments", F.lit("")), long(match, "match", F.lit("")), long(cover, "coverage", F.col("feed")), issues])
 
 
-def exploration_report(vehicles: DataFrame, updates: DataFrame, observed: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """(part, about, measure, value): fields set, relationships, ages of reports, and whether arrivals can be had from a feed."""
-    fields = [explore.field_census(df).select(F.lit(name).alias("part"), F.col("field").alias("about"), F.lit("share").alias("measure"), F.col("share").alias("value")) for name, df in (("vehicle_fields", vehicles), ("update_fields", updates))]
-    profile = explore.prediction_profile(updates).select(F.lit("updates").alias("part"), F.concat_ws("=", "measure", "value").alias("about"), F.lit("n").alias("measure"), F.col("n").cast("double").alias("value"))
+def exploration_report(
+    vehicles: DataFrame, updates: DataFrame, observed: DataFrame, settings: Settings = DEFAULT, hours: DataFrame | None = None, static: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None,
+    lifetimes: DataFrame | None = None, k: int = 8,
+) -> DataFrame:
+    """(part, about, measure, value): fields set, statuses and commonest stops, relationships, ages of reports (where
+    vehicle_ts is known), how predictions live and drift, whether arrivals can be had from a feed, and, where they are
+    given, what each feed's hours lack (of quality.hour_status) and how ids meet the timetable's (realtime ids, trips,
+    stop times and stops)."""
+    parts = [_long(explore.field_census(df), name, F.col("field"), ["share"]) for name, df in (("vehicle_fields", vehicles), ("update_fields", updates))]
+    parts += [_long(explore.value_counts(vehicles, c, most), "vehicles", F.concat_ws("=", F.lit(c), "value"), ["n"]) for c, most in (("status", None), ("stop_id", k))]
+    parts.append(_long(explore.prediction_profile(updates, k), "updates", F.concat_ws("=", "measure", "value"), ["n"]))
+    if "vehicle_ts" in vehicles.columns:
+        parts.append(_long(explore.report_age(vehicles), "report_age", F.lit(""), ["n", "median", "p95", "longest"]))
+    lived = arrivals.prediction_lifetimes(updates) if lifetimes is None else lifetimes
+    parts.append(_long(explore.prediction_drift(updates, lived), "predictions", F.lit(""), ["pairs", "settled", "median_drift", "most_observations"]))
     can = explore.viability(observed, settings.max_bracket_sec)
-    can = can.select(F.lit("arrivals").alias("part"), F.lit("").alias("about"), F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in can.columns])).alias("m")).select("part", "about", "m.*")
-    return functools.reduce(DataFrame.unionByName, [*fields, profile, can])
+    parts.append(_long(can, "arrivals", F.lit(""), can.columns))
+    if hours is not None:
+        lacking = explore.hour_shortfall(hours).groupBy("feed", "status").agg(F.count("*").alias("hours"), F.sum("n").alias("snapshots"), F.sum("shortfall").alias("shortfall"))
+        parts.append(_long(lacking, "hours", F.concat_ws("=", "feed", "status"), ["hours", "snapshots", "shortfall"]))
+    if static is not None:
+        parts.append(_long(schedule.static_join_report(*static), "timetable", F.col("measure"), ["n"]).withColumn("measure", F.lit("n")))
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -174,7 +174,7 @@ add(
 )
 
 # --- codes ---------------------------------------------------------------------------------------------------------
-_CATS = ["from_stop_id", "route_id"]
+CATEGORIES = ["from_stop_id", "route_id"]
 _CODES = (
     "SELECT 'from_stop_id' AS \"column\", from_stop_id AS value, (dense_rank() OVER (ORDER BY from_stop_id) - 1)::INT AS code "
     "FROM (SELECT DISTINCT from_stop_id FROM split WHERE split = 'train') UNION ALL SELECT 'route_id', route_id, (dense_rank() OVER (ORDER BY route_id) "
@@ -182,19 +182,19 @@ _CODES = (
 )
 
 
-def _codes(s, d):
-    return encode.fit_codes(_split(s, d).where("split = 'train'"), _CATS)
+def codes(s, d):
+    return encode.fit_codes(_split(s, d).where("split = 'train'"), CATEGORIES)
 
 
-add("codes", lambda s, d: _codes(s, d), sql(_CODES, "split"))
+add("codes", lambda s, d: codes(s, d), sql(_CODES, "split"))
 add(
     "codes_applied",
-    lambda s, d: encode.encode(_split(s, d).where("split = 'validation'").select(*_KEY, "from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), _codes(s, d), _CATS),
+    lambda s, d: encode.encode(_split(s, d).where("split = 'validation'").select(*_KEY, "from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), codes(s, d), CATEGORIES),
     sql("", "split").rstrip() + f", codes AS ({_CODES})\nSELECT {_K}, coalesce(a.code, -1) AS from_stop_id, coalesce(b.code, -1) AS route_id FROM (SELECT {_K}, from_stop_id, CASE WHEN trip_run % 3 = 0 THEN 'R9' ELSE route_id END AS route_id FROM split WHERE split = 'validation') v LEFT JOIN codes a ON a.\"column\" = 'from_stop_id' AND a.value = v.from_stop_id LEFT JOIN codes b ON b.\"column\" = 'route_id' AND b.value = v.route_id",
 )
 add(
     "unseen_rate",
-    lambda s, d: encode.unseen_rate(_split(s, d).select("from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), _codes(s, d), _CATS).select("column", r("unseen_pct")),
+    lambda s, d: encode.unseen_rate(_split(s, d).select("from_stop_id", F.when(F.col("trip_run") % 3 == 0, F.lit("R9")).otherwise(F.col("route_id")).alias("route_id")), codes(s, d), CATEGORIES).select("column", r("unseen_pct")),
     sql("", "split").rstrip() + f", codes AS ({_CODES}), v AS (SELECT from_stop_id, CASE WHEN trip_run % 3 = 0 THEN 'R9' ELSE route_id END AS route_id FROM split)\nSELECT 'from_stop_id' AS \"column\", round(100 * avg((from_stop_id NOT IN (SELECT value FROM codes WHERE \"column\" = 'from_stop_id'))::INT), 4) AS unseen_pct FROM v UNION ALL SELECT 'route_id', round(100 * avg((route_id NOT IN (SELECT value FROM codes WHERE \"column\" = 'route_id'))::INT), 4) FROM v",
 )
 

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tramloom.operators import journeys, segments, split
+from tramloom.operators import arrivals, journeys, segments, split
 from tramloom.plans import pipelines
 from tramloom.queries import feeds, history, travel
 from tramloom.queries.base import TIE, S, built, dated, observed, r
@@ -197,7 +197,13 @@ def _body(text: str) -> tuple[str, str]:
 
 
 def _evaluation(s, d):
-    return pipelines.evaluation_report(history.valid(s, d), "pred", S).where("part <> 'journeys' or measure <> 'floor_pct'").select("part", "about", "measure", r("value", digits=3))
+    codes = history.codes(s, d)
+    found = pipelines.evaluation_report(history.valid(s, d), "pred", S, codes, history.CATEGORIES)
+    return found.select("part", "about", "measure", r("value", digits=3))
+
+
+_BLOCKS = _body(history.SQL["block_diagnostics"])[1].replace("FROM blocks", "FROM sblocks")
+_UNSEEN = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", 100 * avg(({c} NOT IN (SELECT {c} FROM split WHERE split = 'train'))::INT) AS unseen_pct FROM scored" for c in history.CATEGORIES)
 
 
 _PARTS, _LEVEL = _body(history.SQL["segment_level"])
@@ -206,12 +212,15 @@ _ROUTES = _body(history.SQL["error_by_group"])[1]
 add(
     "evaluation_report",
     _evaluation,
-    f"{_NEEDED}\nSELECT part, about, measure, round(value, 3) AS value FROM ("
+    f"{_NEEDED}, b AS (SELECT service_date, trip_id, trip_run, block_no, count(*) AS n FROM sblocks GROUP BY ALL), u AS (SELECT service_date, trip_id, trip_run, count(*) AS b, sum(n) AS n FROM b GROUP BY ALL), diagnosed AS ({_BLOCKS})\nSELECT part, about, measure, round(value, 3) AS value FROM ("
     + " UNION ALL ".join(
         [
             _long(_LEVEL, "segments", "baseline", ["n_rows", "mae", "rmse", "median_abs"]),
             _long(_LENGTH, "journeys", "n_segments::VARCHAR", ["n", "median_sec", "model_mae", "baseline_mae", "beats_pct"]),
             _long(_ROUTES, "routes", "route_id", ["n", "pred_mae"]),
+            _long("SELECT avg(dur - pred) AS \"offset\" FROM scored", "calibration", "'pred'", ["\"offset\""]).replace("'\"offset\"'", "'offset'"),
+            _long(_UNSEEN, "unseen", '"column"', ["unseen_pct"]),
+            _long("SELECT * FROM diagnosed", "blocks", "''", ["n_segments", "runs", "blocks", "pairs", "broken", "median_block", "contiguous_pct"]),
         ]
     )
     + ")",
@@ -245,7 +254,11 @@ add(
 
 
 def _exploration(s, d):
-    return pipelines.exploration_report(bridge.vehicle_observations(s, d).drop("event_id"), bridge.trip_update_observations(s, d).drop("event_id"), observed(s, d), S).select("part", "about", "measure", r("value", digits=6))
+    vehicles = bridge.vehicle_observations(s, d).withColumn("vehicle_ts", F.timestamp_seconds(F.unix_seconds("captured_at") - F.col("event_id") % 97)).drop("event_id")
+    updates = bridge.trip_update_observations(s, d)
+    static = (bridge.realtime_ids(s, d), bridge.trips(s, d), bridge.stop_times(s, d), bridge.stops(s, d))
+    found = pipelines.exploration_report(vehicles, updates.drop("event_id"), observed(s, d), S, feeds.hours(s, d), static, arrivals.prediction_lifetimes(updates, TIE))
+    return found.select("part", "about", "measure", r("value", digits=6))
 
 
 _SAME = ["captured_at", "service_date", "trip_id", "scheduled_trip_id", "schedule_version", "route_id", "direction_id", "vehicle_id", "stop_id", "stop_sequence"]
@@ -258,6 +271,12 @@ add(
     _exploration,
     sql("", "tu").rstrip()
     + "\nSELECT part, about, measure, round(value, 6) AS value FROM ("
-    + " UNION ALL ".join([_SET("vehicle_fields", [*_SAME, "status"]), _SET("update_fields", [*_SAME, "arrival_ts", "relationship"]), _UPDATES, _wide("arrivals", travel.SQL["arrival_viability"], "''", ["arrivals", "within_share", "one_stop_share", "unseen_stops", "median_bracket"])])
+    + " UNION ALL ".join(
+        [_SET("vehicle_fields", [*_SAME, "status", "vehicle_ts"]), _SET("update_fields", [*_SAME, "arrival_ts", "relationship"]), _UPDATES, _wide("arrivals", travel.SQL["arrival_viability"], "''", ["arrivals", "within_share", "one_stop_share", "unseen_stops", "median_bracket"])]
+        + [_wide("vehicles", f"SELECT * FROM ({feeds.SQL['value_counts']})", "'status=' || value", ["n"]), _wide("vehicles", f"SELECT * FROM ({feeds.SQL['top_stops'].replace('LIMIT 5', 'LIMIT 8')})", "'stop_id=' || value", ["n"])]
+        + [_wide("report_age", feeds.SQL["report_age"], "''", ["n", "median", "p95", "longest"]), _wide("predictions", feeds.SQL["prediction_drift"], "''", ["pairs", "settled", "median_drift", "most_observations"])]
+        + [_wide("hours", f"SELECT feed, status, count(*) AS hours, sum(n) AS snapshots, sum(shortfall) AS shortfall FROM ({feeds.SQL['hour_shortfall']}) GROUP BY ALL", "feed || '=' || status", ["hours", "snapshots", "shortfall"])]
+        + [f"SELECT 'timetable' AS part, measure AS about, 'n' AS measure, n::DOUBLE AS value FROM ({travel.SQL['static_join_report']})"]
+    )
     + ")",
 )
