@@ -169,5 +169,6 @@ def test_hashes_of_many_long_words_differ():
         words |= {(base * 9)[:1000].encode(), (base * 9)[:999].encode() + b"x"}
     words = list(words)
     assert len(np.unique(substrings.word_hashes(words))) == len(words)
-    assert len({substrings.digest(words[i : i + 2]) for i in range(0, len(words), 2)}) == len(words) // 2
-    assert substrings.digest([b"a", b"b"]) != substrings.digest([b"ab"]) != substrings.digest([b"b", b"a"])
+    digest = lambda w: substrings.digest(w, b"key")
+    assert len({digest(words[i : i + 2]) for i in range(0, len(words), 2)}) == len(words) // 2
+    assert digest([b"a", b"b"]) != digest([b"ab"]) != digest([b"b", b"a"]) and digest([b"a"]) != substrings.digest([b"a"], b"other")

@@ -5,7 +5,8 @@
    words, the union of its windows; a document of n words has about n / 14 of them, and only their hashes shuffle.
 2. Anchors whose hash occurs twice or more are suspected. Equal stretches are pre-aggregated to one with a count, so
    that groups of copies, however large, leave one stretch each.
-   Stretches count as equal by a 128-bit BLAKE2b digest of their words; the 64-bit hashes only bring together what may be.
+   Stretches of one anchor count as equal by a BLAKE2b digest of all their words, of 64 bits under a key that each run draws
+   anew, so that nobody can write words that it confuses; the plain hashes only bring together what may be equal.
 3. An anchor with over HOT_KINDS kinds of stretches (the edge of a passage in very many contexts) would make an automaton
    without bound. Its kinds are taken apart into windows, which are counted by such digests of their words.
 4. Of all other anchors the words of one stretch of each kind are fetched and sent to a shard by anchor hash. Shards, not documents, get
@@ -22,6 +23,7 @@ lose nothing; an empty table gives an empty result. Columns of the input named n
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
@@ -47,9 +49,9 @@ def word_hashes(words: Sequence[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(_KEY)), np.uint64, len(words))
 
 
-def digest(words: Sequence[bytes]) -> bytes:
-    """128 bits of all the words: BLAKE2b, for which nobody knows two texts alike. Words have no spaces, so their joint text tells them apart."""
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def digest(words: Sequence[bytes], key: bytes) -> int:
+    """64 bits of all the words by BLAKE2b, as a long. Words have no spaces, so their joint text tells them apart."""
+    return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8, key=key).digest(), "little", signed=True)
 
 
 def least_in_windows(x: np.ndarray, width: int) -> np.ndarray:
@@ -80,21 +82,21 @@ def stretches(hashes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tup
     return grams[anchor[first]], first, windows
 
 
-def document_stretches(words: list[bytes], length: int, gram: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+def document_stretches(words: list[bytes], length: int, gram: int, key: bytes) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
     """(anchor hash, digest of the words, first word, windows) of each stretch."""
     anchor, first, windows = stretches(word_hashes(words) if len(words) >= length else np.empty(0, np.uint64), length, gram)
-    return anchor, [digest(words[i : i + n + length - 1]) for i, n in zip(first.tolist(), windows.tolist(), strict=True)], first, windows
+    return anchor, [digest(words[i : i + n + length - 1], key) for i, n in zip(first.tolist(), windows.tolist(), strict=True)], first, windows
 
 
-def _scan(length: int, gram: int):
+def _scan(length: int, gram: int, key: bytes):
     """All stretches: their anchors, documents, contents and places (first << 5 | windows)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
-            found = [document_stretches(t.split(), length, gram) for t in binary(b, "text")]
+            found = [document_stretches(t.split(), length, gram, key) for t in binary(b, "text")]
             anchor, first, windows = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 2, 3))
             row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-            columns = (pa.array(anchor.view(np.int64)), b.column("id").take(row), b.column("th").take(row), pa.array([x for f in found for x in f[1]], pa.binary()), pa.array(first << 5 | windows))
+            columns = (pa.array(anchor.view(np.int64)), b.column("id").take(row), b.column("th").take(row), pa.array([x for f in found for x in f[1]], pa.int64()), pa.array(first << 5 | windows))
             yield pa.RecordBatch.from_arrays(list(columns), names=["anchor", "id", "th", "content", "place"])
 
     return scan
@@ -119,7 +121,7 @@ def _fetch(length: int):
     """The words of the stretches that documents were chosen to give."""
 
     def send(cols: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "content", "n", "words"])
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], names=["anchor", "content", "n", "words"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[] for _ in range(4)]
@@ -136,19 +138,19 @@ def _fetch(length: int):
     return fetch
 
 
-def _fetch_windows(length: int):
+def _fetch_windows(length: int, key: bytes):
     """The windows of stretches of hot anchors, by the digest of all their words and their place in the stretch."""
-    kinds = {"anchor": pa.int64(), "content": pa.binary(), "n": pa.int64(), "window": pa.binary(), "at": pa.int64()}
+    names = ["anchor", "content", "n", "window", "at"]
 
     def send(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for words, wanted in _wanted(batches, True):
             for w in wanted:
                 first, windows = w["place"] >> 5, w["place"] & 31
-                rows += [(w["anchor"], w["content"], w["n"], digest(words[first + i : first + i + length]), i) for i in range(windows)]
+                rows += [(w["anchor"], w["content"], w["n"], digest(words[first + i : first + i + length], key), i) for i in range(windows)]
             if len(rows) >= _SEND:
                 yield send(rows)
                 rows = []
@@ -169,7 +171,7 @@ def _match(length: int, room: int):
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["anchor"], max(1, room // (2 * length))):
-            anchor, content = table["anchor"].to_numpy(), np.array(table["content"].to_pylist(), object)
+            anchor, content = table["anchor"].to_numpy(), table["content"].to_numpy()
             table = table.filter(pa.array(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]))  # rows alike give a stretch again
             found = match_shard([x.split() for x in table["words"].to_pylist()], table["n"].to_pylist(), length)
             hits = table.select(["anchor", "content"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
@@ -181,8 +183,9 @@ def _match(length: int, room: int):
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """(id, th, windows): for each row of docs (id, th, text) with repeated windows, the places of their first words."""
     assert length - gram < 32, "a place holds up to 31 windows"
-    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content binary, place long"
-    every = materialize(docs.mapInArrow(_scan(length, gram), shape), "anchors")
+    key = secrets.token_bytes(16)
+    shape = f"anchor long, id {docs.schema['id'].dataType.simpleString()}, th long, content long, place long"
+    every = materialize(docs.mapInArrow(_scan(length, gram, key), shape), "anchors")
     suspected = materialize(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "suspected")
     rows = materialize(spread_join(every, suspected, "anchor", "n"), "stretches")
     forget(every)
@@ -191,11 +194,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     marked = kinds.join(small(per), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
     giving = marked.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", "hot", F.col("from.place").alias("place"))).alias("wanted"))
     given = docs.join(giving, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
-    shards = given.mapInArrow(_fetch(length), "anchor long, content binary, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
-    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content binary, repeated array<int>")
+    shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
+    found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
     if not per.isEmpty():
         # a plan of its own: with it, one stage would hold too many sorts at once
-        windows = materialize(given.mapInArrow(_fetch_windows(length), "anchor long, content binary, n long, window binary, at long").distinct(), "hot-windows")
+        windows = materialize(given.mapInArrow(_fetch_windows(length, key), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
         twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
         again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
         again = materialize(again.groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")), "hot-found")
