@@ -40,7 +40,10 @@ def prediction_availability(updates: DataFrame) -> DataFrame:
 
 
 def prediction_profile(updates: DataFrame, k: int = 8) -> DataFrame:
-    """(measure, value, n, share): schedule relationships, and the k most frequent uncertainties and stop sequences with a departure."""
+    """(measure, value, n, share): schedule relationships, and the k most frequent uncertainties and stop sequences with a departure.
+
+    A feed without a column of that name has no rows of its measure.
+    """
     kinds = (("relationship", "relationship", "true", None), ("uncertainty", "uncertainty", "uncertainty is not null", k), ("departs_at", "stop_sequence", "departure_ts is not null", k))
     parts = [value_counts(updates.where(where), column, most).select(F.lit(name).alias("measure"), "value", "n", "share") for name, column, where, most in kinds if column in updates.columns]
     return functools.reduce(DataFrame.unionByName, parts)

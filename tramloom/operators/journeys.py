@@ -31,7 +31,7 @@ def with_blocks(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 def block_diagnostics(blocks: DataFrame) -> DataFrame:
     """One row: segments, runs, blocks, the share of neighbouring segments that join, and the median block length."""
     per_block = blocks.groupBy(*BLOCK_KEY).agg(F.count("*").alias("n"))
-    per_run = per_block.groupBy(*TRIP_KEY).agg(F.count("*").alias("b"), F.sum("n").alias("n"), F.collect_list("n").alias("sizes"))
+    per_run = per_block.groupBy(*TRIP_KEY).agg(F.count("*").alias("b"), F.sum("n").alias("n"))
     one = per_run.agg(F.sum("n").alias("n_segments"), F.count("*").alias("runs"), F.sum("b").alias("blocks"), F.sum(F.col("n") - 1).alias("pairs"), F.sum(F.col("b") - 1).alias("broken"))
     middle = per_block.agg(F.percentile("n", F.lit(0.5)).alias("median_block"))
     return one.join(F.broadcast(middle)).withColumn("contiguous_pct", 100 - 100 * F.col("broken") / F.nullif("pairs", F.lit(0)))

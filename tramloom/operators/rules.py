@@ -28,7 +28,8 @@ def _over_ratio(settings: Settings) -> Column:
     return (planned > 0) & (F.col("actual_duration_sec") > planned * settings.max_duration_ratio)
 
 
-#: The order in which filters act: what is dropped counts under the first rule that it breaks.
+#: Names are fixed: quality reports publish them. The first four are in the order in which filters act, as what is
+#: dropped counts under the first rule that it breaks; then what can't be, then what is only worth knowing.
 RULES = (
     Rule("implausible", lambda s: ~F.col("duration_plausible"), drops=lambda s: s.plausible_only, reason="duration_plausible"),
     Rule("low_confidence", lambda s: ~F.col("arrival_confident"), drops=lambda s: s.confident_only, reason="arrival_confident"),
