@@ -103,3 +103,50 @@ def test_toxic_words_inside_unspaced_texts_are_recognised():
     p = toxicity.train(texts[:450], labels[:450])
     scores = np.array(toxicity.score_texts(p, toxicity.Inputs(p), texts[450:]))
     assert _auc(labels[450:], scores) > 0.9
+
+
+def test_scores_of_whole_texts_against_a_plain_forward_pass():
+    """Word by word in double precision, from the parameters alone: inputs, both directions, attention, the best window."""
+    from tramloom.llm.common import mix64
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["good", "Vile", "été", "x" * 60, "a,", "day", "(no)"], n)).encode() for n in (1, 5, 31, 32, 33, 90)] + [b"", "毒語".encode() * 40]
+    p = toxicity.train([t for t in texts if t] * 3, [i % 2 for i in range(7)] * 3, epochs=3)
+    d = {k: v.astype(float) for k, v in p.items()}
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    n = toxicity.HIDDEN
+
+    def vector(word):
+        if word[:1] == b" ":
+            plain, edged = b" ", word[1:].lower()
+        else:
+            plain = word.lower().strip(toxicity._STRIP)
+            edged = b"^" + plain + b"$"
+        edged = edged if len(edged) > 2 else edged.ljust(3)
+        grams = [int(mix64(np.array([a << 16 | b << 8 | c], np.uint64))[0] % np.uint64(toxicity.GRAMS)) for a, b, c in zip(edged, edged[1:], edged[2:])]
+        import xxhash
+
+        return np.concatenate([d["word"][xxhash.xxh3_64_intdigest(plain) % toxicity.WORDS], np.mean([d["gram"][g] for g in grams], axis=0)])
+
+    def states(vectors, way):
+        h, out = np.zeros(n), []
+        for x in vectors:
+            x, u = x @ d[f"W{way}"] + d[f"c{way}"], h @ d[f"U{way}"]
+            z, r = sig(x[:n] + u[:n]), sig(x[n : 2 * n] + u[n : 2 * n])
+            h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * u[2 * n :])
+            out.append(h)
+        return out
+
+    def logit(words):
+        if not words:
+            return d["o"][0]
+        v = [vector(w) for w in words]
+        h = np.concatenate([states(v, "f"), states(v[::-1], "b")[::-1]], axis=1)
+        weight = np.exp(np.tanh(h @ d["A"] + d["a"]) @ d["v"])
+        return (weight / weight.sum()) @ h @ d["w"] + d["o"][0]
+
+    got = toxicity.score_texts(p, toxicity.Inputs(p), texts)
+    for text, score in zip(texts, got):
+        words = toxicity.tokens(text)
+        want = max(logit(words[s : s + toxicity.WINDOW]) for s in toxicity.window_starts(len(words)))
+        assert abs(score - sig(want)) < 1e-4
