@@ -96,6 +96,21 @@ SQL["feature_summary"] = (
 SELECT feature, round(fill, 6) AS fill, n_distinct, round(mean, 4) AS mean, fill < 0.5 AS sparse FROM z"""
 )
 
+def _for_model(s, d):
+    """Summaries of just those columns that a model may see, as feature_columns picks them from a wider table."""
+    rows = features.identity_features(kept(s, d))
+    rows = rows.select(*_KEY, "from_stop_id", "to_stop_id", "actual_departure_ts", "actual_arrival_ts", "actual_duration_sec", "delay_sec", "arrival_source", "duration_plausible", "stop_span", "scheduled_duration_sec", "route_id", "segment_id", "from_station")
+    return features.feature_summary(rows, encode.feature_columns(rows, ("route_id",))).select("feature", r("fill", digits=6), "n_distinct", r("mean"))
+
+
+_SEEN = {"stop_sequence": "avg(stop_sequence)", "stop_span": "avg(stop_span)", "scheduled_duration_sec": "avg(sdur)", "segment_id": "NULL::DOUBLE", "from_station": "NULL::DOUBLE"}
+_OF = {"scheduled_duration_sec": "sdur", "segment_id": "from_stop_id || '>' || to_stop_id", "from_station": "substr(from_stop_id, 4, 3)"}
+add(
+    "features_for_a_model",
+    _for_model,
+    sql(" UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg(({_OF.get(c, c)} IS NOT NULL)::INT), 6) AS fill, count(DISTINCT {_OF.get(c, c)}) AS n_distinct, round({mean}::DOUBLE, 4) AS mean FROM fseg" for c, mean in _SEEN.items()), "fseg"),
+)
+
 # --- baselines -----------------------------------------------------------------------------------------------------
 _SCORE = (
     "count(*) AS n_rows, round(avg(abs(dur - p))::DOUBLE, 4) AS mae, round(sqrt(avg((dur - p)::DOUBLE * (dur - p))), 4) AS rmse, "

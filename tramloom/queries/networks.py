@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tramloom.functions import exprs as X
 from tramloom.operators import stations
 from tramloom.queries.base import planned, r
 from tramloom.queries.sql import Query, sql
-from tramloom.sources import bridge
+from tramloom.sources import bridge, tables
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -88,3 +90,18 @@ add(
     lambda s, d: bridge.table(s, d, "orders").select("o_orderkey", X.readable_duration(F.col("o_orderkey") * 37 % 9000).alias("text")),
     "SELECT o_orderkey, CASE WHEN x < 60 THEN x || 's' WHEN x < 3600 THEN (x // 60) || 'm' || lpad((x % 60)::VARCHAR, 2, '0') || 's' ELSE (x // 3600) || 'h' || lpad(((x % 3600) // 60)::VARCHAR, 2, '0') || 'm' END AS text FROM (SELECT o_orderkey, (o_orderkey * 37 % 9000)::BIGINT AS x FROM orders)",
 )
+
+
+def _static(s, d):
+    """Stops through a member of a static bundle: quotes and commas in names, and nulls, which the format has not."""
+    path = f"{tables.shared_folder(s)}/stops-{uuid.uuid4().hex}"
+    odd = F.when(F.col("stop_id").endswith("1"), F.lit(None)).otherwise(F.concat("stop_name", F.lit(', "the" stop')))
+    bridge.stops(s, d).select("stop_id", odd.alias("stop_name"), "parent_station").coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    return tables.read_static_table(s, path).groupBy("stop_name", "parent_station").agg(F.count("*").alias("n"), F.min("stop_id").alias("first"))
+
+
+add(
+    "static_table_read",
+    _static,
+    sql("SELECT CASE WHEN stop_id LIKE '%1' THEN '' ELSE coalesce(stop_name || ', \"the\" stop', '') END AS stop_name, coalesce(parent_station, '') AS parent_station, count(*) AS n, min(stop_id) AS first FROM stops GROUP BY 1, 2", "stops"),
+)
