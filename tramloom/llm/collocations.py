@@ -20,6 +20,7 @@ cut go along as context, and an n-gram counts where its last word is new. A null
 
 from __future__ import annotations
 
+import contextlib
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramloom.llm.common import binary, col, materialize, mix64, slices, spread_join
@@ -37,6 +38,8 @@ from tramloom.llm.lines import SEGMENT_BITS, places
 LONGEST, LEAST, KEEP, COVER = 3, 10, 2000, 50
 #: Bytes of text in a chunk (a task holds some 30 times as many); bits of filter a fingerprint, and of all at most.
 CHUNK, BITS, FILTER_BITS = 1_000_000, 16, 1 << 28
+#: Rows of text that a task hands to Python at once.
+BATCH = 500
 #: Portions in which a language's phrases are ranked before they meet.
 DEAL = 32
 UNKNOWN = "und"
@@ -246,6 +249,18 @@ def _verified(shared, room: int, longest: int) -> Callable:
     return run
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand texts to Python so many rows at a time: ten thousand whole texts are tens of megabytes, held by either side."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fingerprint_filter(frequent: DataFrame, most_bits: int) -> bytes:
     """Two bits for each fingerprint, in a power of two of segments of SEGMENT_BITS; each segment is merged on its own."""
     wanted = min(most_bits, BITS * frequent.count()) >> SEGMENT_BITS
@@ -276,14 +291,16 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", ke
     spark = docs.sparkSession
     source = docs.select(col(key).cast("long").alias("doc"), F.coalesce(col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), col(text).cast("string").alias("text"))
     filters: list[bytes] = []
-    for n in range(2, longest + 1):
-        lengths = (1, 2) if n == 2 else (n,)
-        sums = source.mapInArrow(_sums(lengths, spark.sparkContext.broadcast(filters), chunk, longest), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
-        filters = [*filters, fingerprint_filter(materialize(sums.where(F.col("n") >= least).select("fingerprint"), "fingerprints"), filter_bits)]
-    found = source.mapInArrow(_verified(spark.sparkContext.broadcast(filters), chunk, longest), _VERIFIED)
-    counted = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("doc").alias("first_doc"))
-    words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
-    return materialize(counted.where((F.col("n") >= least) | F.col("phrase").isNull()).withColumn("words", words), "phrases")
+    with batches_of(spark, BATCH):
+        for n in range(2, longest + 1):
+            lengths = (1, 2) if n == 2 else (n,)
+            sums = source.mapInArrow(_sums(lengths, spark.sparkContext.broadcast(filters), chunk, longest), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
+            frequent = materialize(sums.where(F.col("n") >= least).select("fingerprint"), "fingerprints")
+            filters = [*filters, fingerprint_filter(frequent, filter_bits)]
+        found = source.mapInArrow(_verified(spark.sparkContext.broadcast(filters), chunk, longest), _VERIFIED)
+        counted = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("doc").alias("first_doc"))
+        words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
+        return materialize(counted.where((F.col("n") >= least) | F.col("phrase").isNull()).withColumn("words", words), "phrases")
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
