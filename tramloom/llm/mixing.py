@@ -186,7 +186,7 @@ def take(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     chosen = materialize(chosen, "mix-chosen")
     keyed = docs.withColumn(f"{OWN}mix", F.xxhash64(col(key), col(text), F.lit(seed)))
     each, more = F.expr(f"{OWN}all div {OWN}n"), F.col(f"{OWN}all") % F.col(f"{OWN}n")
-    plain = keyed.join(chosen.where(more == 0), f"{OWN}mix").withColumn("copies", each)
+    plain = keyed.join(chosen.where(more == 0).hint("merge"), f"{OWN}mix").withColumn("copies", each)  # one plan at every size
     # only rows alike can share unevenly
     placed = _numbered(keyed.join(small(chosen.where(more > 0)), f"{OWN}mix"), [c for c in docs.columns if c not in (key, text)])
     joined = plain.unionByName(placed.withColumn("copies", each + (F.col(f"{OWN}number") <= more).cast("long")).drop(f"{OWN}number"))
