@@ -106,15 +106,14 @@ def _scan(length: int, gram: int, key: bytes):
 _SEND = 5000
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple[list[bytes], list[dict]]]:
-    """The words of each document that was chosen to give stretches, and those of a hot anchor or the others."""
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[dict]]]:
+    """The words of each document that was chosen to give stretches, and those stretches."""
     before = None
     for b in slices(batches, 20):
         for t, wanted in zip(binary(b, "text"), b.column("wanted").to_pylist(), strict=True):
             if wanted != before:  # rows alike come one after the other
                 before = wanted
-                if own := [w for w in wanted if w["hot"] == hot]:
-                    yield t.split(), own
+                yield t.split(), wanted
 
 
 def _fetch(length: int):
@@ -125,7 +124,7 @@ def _fetch(length: int):
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[] for _ in range(4)]
-        for words, wanted in _wanted(batches, False):
+        for words, wanted in _wanted(batches):
             for w in wanted:
                 first, windows = w["place"] >> 5, w["place"] & 31
                 for c, v in zip(cols, (w["anchor"], w["content"], w["n"], b" ".join(words[first : first + windows + length - 1])), strict=True):
@@ -147,7 +146,7 @@ def _fetch_windows(length: int, key: bytes):
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for words, wanted in _wanted(batches, True):
+        for words, wanted in _wanted(batches):
             for w in wanted:
                 first, windows = w["place"] >> 5, w["place"] & 31
                 rows += [(w["anchor"], w["content"], w["n"], digest(words[first + i : first + i + length], key), i) for i in range(windows)]
@@ -192,13 +191,20 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     kinds = materialize(rows.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("th", "place", "id")).alias("from")), "stretch-kinds")
     per = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot_kinds).select("anchor", F.lit(True).alias("hot")), "hot-anchors")
     marked = kinds.join(small(per), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
-    giving = marked.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(F.collect_list(F.struct("anchor", "content", "n", "hot", F.col("from.place").alias("place"))).alias("wanted"))
-    given = docs.join(giving, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
-    shards = given.mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
+
+    def giving(some: DataFrame) -> DataFrame:
+        wanted = F.collect_list(F.struct("anchor", "content", "n", F.col("from.place").alias("place"))).alias("wanted")
+        return some.groupBy(F.col("from.id").alias("wid"), F.col("from.th").alias("wth")).agg(wanted)
+
+    def given(by: DataFrame) -> DataFrame:
+        return docs.join(by, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "wanted")
+
+    shards = given(giving(marked.where(~F.col("hot")))).mapInArrow(_fetch(length), "anchor long, content long, n long, words binary").repartition("anchor").sortWithinPartitions("anchor", "content")
     found = shards.mapInArrow(_match(length, SHARD_WORDS), "anchor long, content long, repeated array<int>")
     if not per.isEmpty():
         # a plan of its own: with it, one stage would hold too many sorts at once
-        windows = materialize(given.mapInArrow(_fetch_windows(length, key), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
+        few = small(materialize(giving(marked.where("hot")), "hot-giving"))  # mostly some thousand documents, for which texts need not move
+        windows = materialize(given(few).mapInArrow(_fetch_windows(length, key), "anchor long, content long, n long, window long, at long").distinct(), "hot-windows")
         twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("all"), F.count("*").alias("own")).where("all > 1").select("anchor", "window", "own")
         again = spread_join(windows, materialize(twice, "hot-repeated"), ["anchor", "window"], "own")
         again = materialize(again.groupBy("anchor", "content").agg(F.collect_list(F.col("at").cast("int")).alias("repeated")), "hot-found")
