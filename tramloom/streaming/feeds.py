@@ -147,8 +147,10 @@ class _Conditions(StatefulProcessor):
             batch = batch.dropna(subset=["actual_arrival_ts", "actual_duration_sec"])
             duration = batch["actual_duration_sec"].to_numpy(float)
             history.take(*np.unique(duration, return_counts=True), len(batch))
-            late = [None if pd.isna(x) else float(x) for x in batch["delay_sec"]]
-            newest = sorted([*newest, *zip(_micros(batch["actual_arrival_ts"]).tolist(), duration.tolist(), late, strict=True)], key=lambda h: h[:2])[-self.n :]
+            at = _micros(batch["actual_arrival_ts"])
+            own = np.lexsort((duration, at))[-self.n :]  # no other can be among the newest
+            late = [None if pd.isna(x) else float(x) for x in batch["delay_sec"].iloc[own]]
+            newest = sorted([*newest, *zip(at[own].tolist(), duration[own].tolist(), late, strict=True)], key=lambda h: h[:2])[-self.n :]
         if not newest:
             return
         self.history.update((history.values.tolist(), history.counts.tolist()))
