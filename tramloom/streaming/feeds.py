@@ -51,73 +51,113 @@ def _micros(ts: pd.Series) -> np.ndarray:
 _ARRIVED = "trip_id string, stop_sequence int, stop_id string, trip_run int, actual_arrival_ts timestamp, arrival_bracket_sec int, sequence_jump int, arrival_confident boolean, observed_at_utc timestamp"
 
 
+#: Before the first stop that a trip reaches.
+_NONE = int(np.iinfo(np.int64).min)
+_HELD = {"trip": object, "captured": np.int64, "sequence": np.int64, "stop_id": object}
+_LAST = {"trip": object, "sequence": np.int64, "captured": np.int64, "run": np.int64, "reached": np.int64}
+
+
 class _Arrivals(StatefulProcessor):
-    """Of a trip: sightings that wait, and the last one taken with the run and the last stop reached in it."""
+    """Of a bucket of trips: sightings that wait, and each trip's last one taken with the run and the last stop reached in it.
+
+    Calls and state cost the same for one trip as for thousands, so that a bucket's trips are taken together: a row of
+    the list is what one batch brought, in arrays, and the trips' last sightings are one value of arrays.
+    """
 
     def __init__(self, limit: int, idle_ms: int) -> None:
-        self.limit, self.idle_ms = limit, idle_ms
+        self.limit, self.idle = limit, idle_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "captured long, sequence int, stop_id string")
-        self.last = handle.getValueState("last", "sequence int, captured long, run int, reached int")
+        self.waiting = handle.getListState("waiting", "trip array<string>, captured array<bigint>, sequence array<bigint>, stop_id array<string>")
+        self.last = handle.getValueState("last", "trip array<string>, sequence array<bigint>, captured array<bigint>, run array<bigint>, reached array<bigint>")
 
     def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         """New sightings are added to the list, which nobody reads before the watermark has passed the first of them."""
+        came, first = [], None
         for batch in rows:
             batch = batch.dropna(subset=["captured_at", "stop_sequence"])
             if len(batch):
                 at = _micros(batch["captured_at"])
-                self.waiting.appendList([(int(t), int(n), s) for t, n, s in zip(at, batch["stop_sequence"], batch["stop_id"], strict=True)])
-                self.handle.registerTimer(int(at.min()) // 1000)
+                came.append((batch["trip_id"].tolist(), at.tolist(), batch["stop_sequence"].astype("int64").tolist(), [None if pd.isna(x) else x for x in batch["stop_id"]]))
+                first = int(at.min()) if first is None else min(first, int(at.min()))
+        if came:
+            self.waiting.appendList(came)
+            self.handle.registerTimer(first // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = pd.DataFrame(list(self.waiting.get()), columns=["captured", "sequence", "stop_id"]).sort_values(["captured", "sequence"], kind="stable")
-        due = held["captured"] <= passed
-        if due.any():
-            later = held[~due]
+        rows = list(self.waiting.get())
+        held = pd.DataFrame({c: np.concatenate([np.array([], t), *[np.array(row[i], t) for row in rows]]) for i, (c, t) in enumerate(_HELD.items())})
+        last = pd.DataFrame(dict(zip(_LAST, self.last.get() if self.last.exists() else [[]] * 5, strict=True))).astype(_LAST)
+        over = held["captured"] <= passed
+        due, later = held[over], held[~over]
+        if len(due):
             if len(later):
-                self.waiting.put([(int(t), int(n), s) for t, n, s in later.itertuples(index=False)])
-                self.handle.registerTimer(int(later["captured"].iloc[0]) // 1000)
+                self.waiting.put([tuple(later[c].tolist() for c in held.columns)])
             else:
                 self.waiting.clear()
-            yield self._take(key[0], held[due])
-        elif not len(held) and self.last.exists() and self.last.get()[1] + self.idle_ms * 1000 <= passed:
+        known = last[~((last["captured"] + self.idle <= passed) & ~last["trip"].isin(held["trip"]))]  # others have been idle
+        if len(due):
+            found, known = self._take(due, known)
+            if len(found):
+                yield found
+        if len(known):
+            self.last.update(tuple(known[c].tolist() for c in _LAST))
+        elif len(last):
             self.last.clear()
-
-    def _take(self, trip: str, seen: pd.DataFrame) -> pd.DataFrame:
-        """Arrivals among sightings in the order of capture: where the sequence is above that of the sighting before."""
-        sequence, captured, run, reached = self.last.get() if self.last.exists() else (None, None, 0, None)
-        seen = seen if captured is None else seen[seen["captured"] >= captured]  # what is older was late
-        now, at = seen["sequence"].to_numpy(np.int64), seen["captured"].to_numpy(np.int64)
-        if not len(now):
-            return pd.DataFrame(columns=[c.split()[0] for c in _ARRIVED.split(", ")])
-        before, since = np.append(now[0] if sequence is None else sequence, now[:-1]), np.append(at[0] if captured is None else captured, at[:-1])
-        up = now > before
-        stops = now[up]
-        runs = run + np.cumsum(stops <= np.append(-1 if reached is None else reached, stops[:-1])) if len(stops) else stops
+        ends = known["captured"][~known["trip"].isin(later["trip"])]
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        timers = [int(t.min()) // 1000 for t in (later["captured"], ends + self.idle) if len(t)]
+        if timers:
+            self.handle.registerTimer(min(timers))
+
+    def _take(self, due: pd.DataFrame, known: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Arrivals among sightings in the order of capture, where the sequence is above that of the trip's sighting before; and the trips' last sightings now."""
+        due = due.merge(known[["trip", "captured"]].rename(columns={"captured": "until"}), "left", "trip")
+        due = due[~(due["captured"] < due["until"])]  # what is older was late
+        before = known[known["trip"].isin(due["trip"])]
+        both = pd.concat([before.assign(row=0), due[["trip", "captured", "sequence", "stop_id"]].assign(row=1, run=0, reached=_NONE)], ignore_index=True)
+        trip = pd.factorize(both["trip"])[0]
+        order = np.lexsort((both["sequence"].to_numpy(np.int64), both["captured"].to_numpy(np.int64), both["row"].to_numpy(np.int64), trip))
+        both, trip = both.iloc[order], trip[order]
+        now, at, run, reached = (both[c].to_numpy(np.int64) for c in ("sequence", "captured", "run", "reached"))
+        start = np.append(True, trip[1:] != trip[:-1])[: len(trip)]
+        up = ~start & (now > np.append(now[:1], now[:-1]))
+        since = np.append(at[:1], at[:-1])
+        # each arrival's stop reached before it: of the trip's arrival before, or else of what was known of the trip
+        places, firsts = np.flatnonzero(up), np.flatnonzero(start)[np.cumsum(start) - 1]
+        prior = np.append([-1], places[:-1])[: len(places)]
+        earlier = np.where(prior >= firsts[places], now[prior], reached[firsts[places]])
+        anew = np.zeros(len(now), np.int64)
+        anew[places] = now[places] <= earlier
+        runs = np.cumsum(anew)
+        runs = run[firsts] + runs - runs[firsts]
+        ends = np.flatnonzero(np.append(start[1:], True)[: len(start)])
+        latest = np.maximum.accumulate(np.where(up | start, np.arange(len(now)), 0))[ends]  # the trip's last arrival, or its first row
+        stops = np.where(up[latest], now[latest], reached[latest])
+        ended = pd.DataFrame({"trip": both["trip"].to_numpy()[ends], "sequence": now[ends], "captured": at[ends], "run": runs[ends], "reached": stops})
         first, end = since[up] // 1_000_000, at[up] // 1_000_000
-        if len(stops):
-            run, reached = int(runs[-1]), int(stops[-1])
-        self.last.update((int(now[-1]), int(at[-1]), run, reached))
-        self.handle.registerTimer(int(at[-1]) // 1000 + self.idle_ms)
-        return pd.DataFrame({
-            "trip_id": trip, "stop_sequence": stops.astype("int32"), "stop_id": seen["stop_id"].to_numpy()[up], "trip_run": runs.astype("int32"), "actual_arrival_ts": pd.to_datetime((first + end) // 2, unit="s"),
-            "arrival_bracket_sec": (end - first).astype("int32"), "sequence_jump": (stops - before[up]).astype("int32"), "arrival_confident": end - first <= self.limit, "observed_at_utc": pd.to_datetime(at[up], unit="us"),
+        found = pd.DataFrame({
+            "trip_id": both["trip"].to_numpy()[up], "stop_sequence": now[up].astype("int32"), "stop_id": both["stop_id"].to_numpy()[up], "trip_run": runs[up].astype("int32"), "actual_arrival_ts": pd.to_datetime((first + end) // 2, unit="s"),
+            "arrival_bracket_sec": (end - first).astype("int32"), "sequence_jump": (now[up] - now[places - 1]).astype("int32"), "arrival_confident": end - first <= self.limit, "observed_at_utc": pd.to_datetime(at[up], unit="us"),
         })
+        return found, pd.concat([known[~known["trip"].isin(ended["trip"])], ended], ignore_index=True)
 
 
-def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "4 hours", idle: str = "1 day") -> DataFrame:
+def observed_arrivals(stream: DataFrame, settings: Settings = DEFAULT, delay: str = "4 hours", idle: str = "1 day", buckets: int = 1024) -> DataFrame:
     """Arrivals as vehicles' stop sequences rise, with run numbers; needs captured_at, trip_id, stop_sequence, stop_id.
 
-    Sightings wait in their trip's state until the watermark has passed them, and are then taken in the order of
-    capture, so that the order in which batches bring them does not matter. A batch only adds to the list; a timer
-    reads it. The state ends some idle time after the trip's last sighting.
+    Sightings wait in the state of their trip's bucket until the watermark has passed them, and are then taken in the
+    order of capture, so that the order in which batches bring them does not matter. A batch only adds to the list; a
+    timer reads it. A trip's state ends some idle time after its last sighting. The number of buckets bounds the tasks
+    that share the work and must stay what it was when a checkpoint began.
     """
     with_rocksdb(stream.sparkSession)
-    keyed = stream.withWatermark("captured_at", delay).where("trip_id is not null").select("trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("trip_id")
+    rows = stream.withWatermark("captured_at", delay).where("trip_id is not null")
+    keyed = rows.select(F.pmod(F.hash("trip_id"), F.lit(buckets)).alias("bucket"), "trip_id", "captured_at", "stop_sequence", "stop_id").groupBy("bucket")
     return keyed.transformWithStateInPandas(_Arrivals(settings.max_bracket_sec, int(pd.Timedelta(idle).total_seconds() * 1000)), _ARRIVED, "append", "eventTime")
 
 
