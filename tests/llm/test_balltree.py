@@ -55,3 +55,44 @@ def test_search_leaves_most_of_a_clustered_tree_out():
     assert sum(seen) < 0.4 * len(queries) * len(points)
     want = np.sort(queries @ points.T, axis=1)[:, ::-1][:, :5]
     assert (best.score == want).all()
+
+
+def _watched(points, queries, own, floor, k=5):
+    """The best of the queries, with the number of times that a leaf met queries."""
+    met = []
+
+    class Watched(balltree.Best):
+        def offer(self, q, score, ident):
+            met.append(score.shape)
+            super().offer(q, score, ident)
+
+    ident = np.arange(len(points))
+    best = Watched(np.full((len(queries), k), balltree._NONE), np.full((len(queries), k), np.iinfo(np.int64).max))
+    balltree.search(balltree.BallTree(points), ident, queries, own, best, floor)
+    return best, len(met)
+
+
+def test_vectors_that_point_everywhere_meet_queries_many_at_once():
+    rng = np.random.default_rng(4)
+    points = np.floor(rng.normal(0, 32, (4096, 64)))
+    points[2000:2040] = points[:40]  # ties
+    own = np.arange(0, 4096, 16)
+    queries = points[own]
+    score = queries @ points.T
+    score[np.arange(len(own)), own] = -np.inf
+    order = np.lexsort((np.broadcast_to(np.arange(4096), score.shape), -score), axis=1)[:, :5]
+    want = np.take_along_axis(score, order, 1)
+    for floor in (np.full(len(own), balltree._NONE), want[:, -1].astype(np.int64), want[:, 0].astype(np.int64)):
+        best, met = _watched(points, queries, own, floor)
+        assert met <= 64 * 7  # 64 leaves in waves of 1, 2, 4, ..., 32 and 1; by single leaves there were thousands
+        fine = want >= floor[:, None]
+        assert (best.score[fine] == want[fine]).all() and (best.ident[fine] == order[fine]).all()
+        assert (best.score[~fine] < np.broadcast_to(floor[:, None], fine.shape)[~fine]).all()
+
+
+def test_greatest_id_and_floors_that_few_reach(spark):
+    top = np.iinfo(np.int64).max
+    rows = [(top, [1.0, 1.0]), (top - 1, [1.0, 1.0]), (50, [1.0, 0.0]), (51, [-1.0, 0.0]), (100, [0.0, 0.0])]
+    _against(spark, rows)
+    _against(spark, rows, pilot=1)
+    _against(spark, [(i, [float(i % 7), 1.0]) for i in range(700)], pilot=650)

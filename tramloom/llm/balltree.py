@@ -3,7 +3,9 @@
 Every shard's vectors form a ball tree. A node's upper bound for a query is q.c + |q| r; nodes are taken in the order
 of their bounds, and a node is left out once its bound is under the query's kth score so far. That score is shared:
 it starts from a pilot, in which every query meets a bounded sample of candidates, and is handed from shard to shard
-within a task.
+within a task. Leaves are taken in waves, each query's best one, then its next two, four and so on: a leaf meets all
+queries of its wave at once, and a shard of n leaves takes n log n such meetings at most, not n * n. Vectors that point
+everywhere alike have bounds that leave nothing out: then every query meets every vector, by matrix products.
 
 Queries are broadcast in blocks of BLOCK_BYTES. A shard's tree is built once a block and met by the block's queries some
 thousands at a time. With more than one block, candidates are prepared once and each block's finds are written.
@@ -75,16 +77,22 @@ class Best:
         return Best(self.score[some], self.ident[some])
 
     def offer(self, q: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
-        """For queries q (distinct), rows of scores and ids."""
+        """For queries q (distinct), rows of scores of the same ids; -inf is no score."""
         k = self.score.shape[1]
-        s, i = np.hstack([self.score[q], score]), np.hstack([self.ident[q], ident])
-        if s.shape[1] > 4 * k:  # the kth score and all equal to it suffice
-            kth = -np.partition(-s, k - 1, axis=1)[:, k - 1 : k]
-            many = int((s >= kth).sum(1).max())
-            at = np.argsort(-s, axis=1, kind="stable")[:, :many]
-            s, i = np.take_along_axis(s, at, 1), np.take_along_axis(i, at, 1)
-        at = np.lexsort((i, -s), axis=1)[:, :k]
-        self.score[q], self.ident[q] = np.take_along_axis(s, at, 1), np.take_along_axis(i, at, 1)
+        kth, last = self.score[q, -1], self.ident[q, -1]
+        at = np.flatnonzero(score >= kth.astype(np.float64)[:, None])
+        row, s, i = at // len(ident), score.ravel()[at].astype(np.int64), ident[at % len(ident)]
+        better = (s > kth[row]) | (i < last[row])
+        row, s, i = row[better], s[better], i[better]
+        if not len(row):
+            return
+        own = np.unique(row)
+        owner = np.r_[np.repeat(own, k), row]
+        s, i = np.r_[self.score[q[own]].ravel(), s], np.r_[self.ident[q[own]].ravel(), i]
+        order = np.lexsort((i, -s, owner))
+        owner = owner[order]
+        kept = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k]
+        self.score[q[own]], self.ident[q[own]] = s[kept].reshape(-1, k), i[kept].reshape(-1, k)
 
     def kth(self) -> np.ndarray:
         return self.score[:, -1]
@@ -99,8 +107,11 @@ def search(tree: BallTree, ident: np.ndarray, queries: np.ndarray, own: np.ndarr
         top = queries @ centre[nodes].T + norm[:, None] * radius[None, nodes]
         return top + 1e-9 * np.abs(top) + 0.5  # scores are integers, so this covers rounding
 
+    under = best.score < floor[:, None] - 1  # what can't be among the k best makes way for what keeps the like out
+    best.score[under], best.ident[under] = np.broadcast_to(floor[:, None] - 1, under.shape)[under], np.iinfo(np.int64).max
+    here = np.isin(own, ident)
     alive = np.ones((len(queries), 1), bool)
-    least = np.maximum(best.kth(), floor)
+    least = best.kth()
     for level in range(len(tree.levels)):
         if level:
             alive = np.repeat(alive, 2, axis=1)
@@ -108,22 +119,26 @@ def search(tree: BallTree, ident: np.ndarray, queries: np.ndarray, own: np.ndarr
         alive &= top >= least[:, None]
     top = np.where(alive, top, -np.inf)
     rank = np.argsort(-top, axis=1, kind="stable")
-    for step in range(rank.shape[1]):
-        leaf = rank[:, step]
-        least = np.maximum(best.kth(), floor)
-        going = np.flatnonzero(top[np.arange(len(queries)), leaf] >= np.maximum(least, _NONE + 1))
-        if not len(going):
+    first = 0
+    while first < rank.shape[1]:
+        wave = rank[:, first : 2 * first + 1]
+        first = 2 * first + 1
+        row, place = np.nonzero(np.take_along_axis(top, wave, 1) >= best.kth()[:, None])
+        if not len(row):
             break
-        by = going[np.argsort(leaf[going], kind="stable")]
-        cuts = np.flatnonzero(np.r_[True, leaf[by][1:] != leaf[by][:-1], True])
+        leaf = wave[row, place]
+        by = np.argsort(leaf, kind="stable")
+        row, leaf = row[by], leaf[by]
+        cuts = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1], True])
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            q, node = by[low:high], leaf[by[low]]
+            q, node = row[low:high], leaf[low]
+            q = q[top[q, node] >= best.kth()[q]]  # the wave's other leaves may have raised it
             rows = tree.order[tree.bounds[node] : tree.bounds[node + 1]]
-            if len(rows):
-                score = np.rint(queries[q] @ tree.points[rows].T).astype(np.int64)
-                names = np.broadcast_to(ident[rows], score.shape)
-                mine = names == own[q, None]
-                best.offer(q, np.where(mine, _NONE, score), np.where(mine, np.iinfo(np.int64).max, names))
+            if len(rows) and len(q):
+                score, names = queries[q] @ tree.points[rows].T, ident[rows]
+                at = np.flatnonzero(here[q])
+                score[at] = np.where(names == own[q[at], None], -np.inf, score[at])
+                best.offer(q, score, names)
 
 
 def search_all(tree: BallTree, ident: np.ndarray, queries: np.ndarray, own: np.ndarray, best: Best, floor: np.ndarray) -> None:
